@@ -13,16 +13,21 @@ from pyspark.sql import functions as F
 from lorekeel.session import cut
 
 
+def _apart(least: DataFrame) -> DataFrame:
+    """Dealt by both columns, so that the join after it shuffles both sides and a hot node's rows can be split."""
+    return least.repartition("u", "m")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.where("v > u").join(_apart(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    across = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    across = down.join(_apart(least), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return across.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
