@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lorekeel.llm.exact_dedup import exact_dedup
+from lorekeel.llm.near_dedup import near_dedup
+from lorekeel.llm.packing import pack, token_pieces
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,5 +31,15 @@ WITH n AS (
 SELECT doc_id, keep_id, group_size, keep_id = doc_id AS kept, sha256(z) AS text_sha256 FROM g
 """
 
-QUERIES = {"op4_exact_dedup": op4_exact_dedup}
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    digests = pieces.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens")
+    return pack(digests)
+
+
+QUERIES = {"op4_exact_dedup": op4_exact_dedup, "op6_near_dedup": op6_near_dedup, "op9_packing": op9_packing}
 ORACLES = {"op4_exact_dedup": OP4_SQL}
