@@ -6,15 +6,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lorekeel.llm import byte_bpe
 from lorekeel.llm.exact_dedup import exact_dedup
 from lorekeel.llm.near_dedup import near_dedup
 from lorekeel.llm.packing import pack, token_pieces
+from lorekeel.llm.quality import quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), *ranks)
+    listed = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    coded = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), "ids")
+    back = byte_bpe.decode(coded, *ranks)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -41,5 +57,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(digests)
 
 
-QUERIES = {"op4_exact_dedup": op4_exact_dedup, "op6_near_dedup": op6_near_dedup, "op9_packing": op9_packing}
+QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_byte_bpe": op2_byte_bpe,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op6_near_dedup": op6_near_dedup,
+    "op9_packing": op9_packing,
+}
 ORACLES = {"op4_exact_dedup": OP4_SQL}
