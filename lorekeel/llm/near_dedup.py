@@ -9,11 +9,11 @@ of independent draws.
 
 Documents with one set are one class from the start. Classes that share a band form a
 bucket. Buckets are worked off in two passes, neither of which lists all pairs of a
-bucket: first each member meets the bucket's hub (another in each band); what
+bucket: first each member meets the bucket's hub, its first class; what
 passes verification is joined into components. Then only members of one bucket that
 are still in different components can matter; small buckets compare those
-directly, large ones by the prefix rule on the bucket's rarest shingles, which loses
-no pair at the threshold. Every link is confirmed on the full sets.
+directly, members of large ones by the prefix rule on the rarest of their shingles, which
+loses no pair at the threshold. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -176,9 +176,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     firsts = some.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi")
     banded = firsts.select(F.col("row_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    hubs = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.col("node").bitwiseXOR(F.col("key"))).alias("hub"))
+    hubs = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"))
     # written first: a join beside an aggregate on the same key could not be split where a bucket is hot
-    hubs = cut(hubs.where("size > 1").select("key", "size", F.col("hub").bitwiseXOR(F.col("key")).alias("hub")))
+    hubs = cut(hubs.where("size > 1"))
     members = cut(banded.join(hubs, "key").select("key", "size", "node", "n", "hub"))
 
     nodes = classes.select("node", "set_key", F.col("n_shingles").alias("n"))
@@ -224,18 +224,18 @@ def _untried(members: DataFrame, found: DataFrame, sets: DataFrame, tried: DataF
         return a.join(b, on).where("a < b and c_a <> c_b").where(_close(percent)).select("a", "b")
 
     small = paired(left.where(F.col("size") <= SMALL_BUCKET), ["key"])
-    large = left.where(F.col("size") > SMALL_BUCKET)
+    large = left.where(F.col("size") > SMALL_BUCKET).select("node", "n", "component").distinct()
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 s = np.frombuffer(batch.column("members")[i].as_buffer(), np.int64)
                 one = batch.slice(i, 1)
-                yield pa.RecordBatch.from_arrays([*(one.column(c).take(pa.array(np.zeros(len(s), np.int64))) for c in ("key", "node", "n", "component")), pa.array(s)], ["key", "node", "n", "component", "shingle"])
+                yield pa.RecordBatch.from_arrays([*(one.column(c).take(pa.array(np.zeros(len(s), np.int64))) for c in ("node", "n", "component")), pa.array(s)], ["node", "n", "component", "shingle"])
 
-    spread = large.join(sets, "node").select("key", "node", "n", "component", "members").mapInArrow(listed, "key long, node long, n long, component long, shingle long")
-    often = spread.groupBy("key", "shingle").agg(F.count(F.lit(1)).alias("often"))
-    ranked = spread.join(often, ["key", "shingle"]).withColumn("place", F.row_number().over(Window.partitionBy("key", "node").orderBy("often", "shingle")))
+    spread = large.join(sets, "node").select("node", "n", "component", "members").mapInArrow(listed, "node long, n long, component long, shingle long")
+    often = spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    ranked = spread.join(often, "shingle", "left").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "shingle")))
     prefix = ranked.where(F.expr(f"place <= n - cast(ceil(n * {percent} / 100) as long) + 1 and often > 1"))
-    pairs = small.unionByName(paired(prefix, ["key", "shingle"])).distinct()
+    pairs = small.unionByName(paired(prefix, ["shingle"])).distinct()
     return pairs.join(tried, ["a", "b"], "left_anti")
