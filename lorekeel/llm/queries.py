@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekeel.llm import byte_bpe
+from lorekeel.llm import byte_bpe, language_id, toxicity
 from lorekeel.llm.exact_dedup import exact_dedup
 from lorekeel.llm.near_dedup import near_dedup
 from lorekeel.llm.packing import pack, token_pieces
@@ -51,6 +51,20 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.learn(docs.where(~language_id.held_out()).select("doc_id", "text", "lang"))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    lexicon = toxicity.learn(docs, labels.where(~toxicity.held_out()))
+    scored = toxicity.toxicity(docs, lexicon)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     digests = pieces.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens")
@@ -62,6 +76,8 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_near_dedup": op6_near_dedup,
+    "op7_language_id": op7_language_id,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
 }
 ORACLES = {"op4_exact_dedup": OP4_SQL}

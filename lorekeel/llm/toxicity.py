@@ -2,11 +2,12 @@
 
 Words are folded first: lower case, homoglyphs to the Latin letter they look like, digits and
 signs inside a word to the letter they stand for, marks at the edges and accents dropped. The
-lexicon is learned from labelled documents: words far likelier in toxic ones, if found
-there in many different contexts (copies of one toxic document share theirs). Phrases of a
-lexicon word and a neighbour that mostly occur in documents that are not toxic are exceptions. One automaton
-holds terms and exceptions; a term inside an exception does not count. The sum of weights is
-divided by a power of the text's length, and a logistic curve fitted to the labels gives the score.
+lexicon is learned from labelled documents: words, and beginnings of words, far likelier in toxic
+ones, if found there in many different contexts (copies of one toxic document share theirs). Phrases of a
+matched word and a neighbour that mostly occur in documents that are not toxic are exceptions. One automaton
+holds terms and exceptions; a word counts with its weightiest term, and not at all inside an exception.
+The sum of weights is divided by a power of the text's length; that power and the logistic curve
+that gives the score are the likeliest for the labels.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -23,17 +25,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorekeel.llm.batches import text_slices, words_of
+from lorekeel.session import cut
 
 #: Labelled documents that are learned from (expected number), terms and exceptions that a lexicon holds.
-SAMPLE_DOCS, MAX_TERMS, MAX_EXCEPTIONS = 40_000, 2_000, 10_000
+SAMPLE_DOCS, MAX_TERMS, MAX_EXCEPTIONS = 20_000, 2_000, 10_000
+#: Letters of a word's beginnings that may be terms, written with a star.
+BEGINNINGS = range(4, 9)
 #: Different words that must have stood before a term in toxic documents; the least log odds of a term.
 CONTEXTS, LEAST_WEIGHT = 8, 1.5
 #: Documents that an exception was seen in, and the share of them that may be toxic.
 EXCEPTION_DOCS, EXCEPTION_SHARE = 5, 0.2
-#: Power of the number of words that the sum of weights is divided by.
-LENGTH_POWER = 0.5
-#: Places on the axis of the normalised sum that the curve is fitted on.
-BINS, WIDEST = 400, 20.0
+#: Powers of the number of words, one of which divides the sum of weights.
+LENGTH_POWERS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.8, 1.0)
+#: Places for each so many units of the log of a normalised sum, over which the curve is fitted.
+BINS, WIDEST = 400, 4.0
 
 # Letters that look like a Latin letter, and what stands for a letter inside a word.
 HOMOGLYPHS = {
@@ -61,16 +66,22 @@ def fold(word: str) -> str:
     return word
 
 
+def forms(word: str) -> list[str]:
+    """The terms that a folded word matches."""
+    return [word, *(word[:k] + "*" for k in BEGINNINGS if len(word) > k)]
+
+
 class Lexicon:
     """Terms with weights, exception phrases, and the curve from normalised sums to scores; bounded in size."""
 
-    def __init__(self, weights: dict[str, float], exceptions: list[str], slope: float = 1.0, shift: float = 0.0) -> None:
-        self.weights, self.exceptions, self.slope, self.shift = weights, exceptions, slope, shift
+    def __init__(self, weights: dict[str, float], exceptions: list[str], power: float = 0.5, slope: float = 1.0, shift: float = 0.0) -> None:
+        self.weights, self.exceptions, self.power, self.slope, self.shift = weights, exceptions, power, slope, shift
 
     def automaton(self) -> ahocorasick.Automaton | None:
         found = ahocorasick.Automaton()
         for term, weight in self.weights.items():
-            found.add_word(f" {term} ", (len(term) + 2, weight))
+            key = f" {term[:-1]}" if term.endswith("*") else f" {term} "
+            found.add_word(key, (len(key), weight))
         for phrase in self.exceptions:
             found.add_word(f" {phrase} ", (len(phrase) + 2, 0.0))
         if not len(found):
@@ -78,16 +89,18 @@ class Lexicon:
         found.make_automaton()
         return found
 
-    def curve(self, sums: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * sums + self.shift, -30, 30)))
-
 
-def matches(folded: str, found: ahocorasick.Automaton) -> list[tuple[int, int, float]]:
-    """(start, past, weight) of each term in a folded text, without those inside an exception."""
-    terms, shields = [], []
+def matches(folded: str, found: ahocorasick.Automaton) -> list[tuple[int, float]]:
+    """(start, weight) of each matched word of a folded text, without those inside an exception."""
+    words: dict[int, float] = {}
+    shields = []
     for end, (size, weight) in found.iter(folded):
-        (terms if weight else shields).append((end + 1 - size, end + 1, weight))
-    return [t for t in terms if not any(a <= t[0] and t[1] <= b for a, b, _ in shields)] if shields else terms
+        start = end + 1 - size
+        if weight:
+            words[start] = max(weight, words.get(start, 0.0))
+        else:
+            shields.append((start, end + 1))
+    return [(at, w) for at, w in words.items() if not any(a <= at < b - 1 for a, b in shields)] if shields else list(words.items())
 
 
 def _folded(batch: pa.RecordBatch) -> tuple[list[list[str]], np.ndarray]:
@@ -97,9 +110,10 @@ def _folded(batch: pa.RecordBatch) -> tuple[list[list[str]], np.ndarray]:
     return [[w for w in words[a:b] if w] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())], np.diff(starts)
 
 
-def length_normalised(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``rows`` with ``text`` replaced by ``weighed`` (the normalised sum) and ``hits`` (start, past in the folded text, weight)."""
+def matched(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """``rows`` with ``text`` replaced by ``n_words``, ``total`` (the sum of weights) and ``hits`` (start in the folded text, weight)."""
     held = rows.sparkSession.sparkContext.broadcast(lexicon)
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("weight", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = held.value.automaton()
@@ -107,74 +121,98 @@ def length_normalised(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
             for batch in text_slices(whole):
                 texts, sizes = _folded(batch)
                 hits = [matches(f" {' '.join(t)} ", found) if found and t else [] for t in texts]
-                sums = np.array([sum(h[2] for h in x) for x in hits]) / np.maximum(sizes, 1) ** LENGTH_POWER
                 at = batch.schema.get_field_index("text")
-                kind = pa.list_(pa.struct([("start", pa.int32()), ("past", pa.int32()), ("weight", pa.float64())]))
-                listed = pa.array([[{"start": a, "past": b, "weight": w} for a, b, w in x] for x in hits], kind)
-                yield batch.remove_column(at).append_column("weighed", pa.array(sums, pa.float64())).append_column("hits", listed)
+                out = batch.remove_column(at).append_column("n_words", pa.array(sizes, pa.int64()))
+                out = out.append_column("total", pa.array([float(sum(h[1] for h in x)) for x in hits], pa.float64()))
+                yield out.append_column("hits", pa.array([[{"start": a, "weight": w} for a, w in x] for x in hits], kind))
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(run, f"{kinds}, weighed double, hits array<struct<start:int,past:int,weight:double>>")
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != "text")
+    return rows.mapInArrow(run, f"{kinds}n_words long, total double, hits array<struct<start:int,weight:double>>")
 
 
-def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, word, before, after) once for each different context of a word in a document."""
-    for whole in batches:
-        for batch in text_slices(whole):
-            texts, _ = _folded(batch)
-            for toxic, words in zip(batch.column("toxic").to_pylist(), texts):
-                rows = list(dict.fromkeys(zip(words, ["", *words[:-1]], [*words[1:], ""])))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array([toxic] * len(rows), pa.int32()), *(pa.array(c, pa.string()) for c in zip(*rows))], ["toxic", "word", "before", "after"])
+def _normalised(power: float):
+    return F.col("total") / F.pow(F.greatest("n_words", F.lit(1)).cast("double"), F.lit(power))
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, toxic documents, other documents) of a task's rows, each word of a document once."""
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, bad, good): for each term, 1 plus the log of its count, summed over toxic and other documents."""
     for whole in batches:
         for batch in text_slices(whole):
             texts, _ = _folded(batch)
-            count: dict[str, list[int]] = {}
+            sums: dict[str, list[float]] = {}
             for toxic, words in zip(batch.column("toxic").to_pylist(), texts):
-                for w in set(words):
-                    count.setdefault(w, [0, 0])[0 if toxic else 1] += 1
-            if count:
-                yield pa.RecordBatch.from_arrays([pa.array(list(count)), *(pa.array(c, pa.int64()) for c in zip(*count.values()))], ["word", "bad", "good"])
+                times: Counter = Counter()
+                for word, n in Counter(words).items():
+                    for term in forms(word):
+                        times[term] += n
+                for term, n in times.items():
+                    sums.setdefault(term, [0.0, 0.0])[0 if toxic else 1] += 1 + math.log(n)
+            if sums:
+                yield pa.RecordBatch.from_arrays([pa.array(list(sums)), *(pa.array(c, pa.float64()) for c in zip(*sums.values()))], ["term", "bad", "good"])
+
+
+def _contexts(terms: set[str]):
+    """(term, toxic, before, word, after) for each different context of a term in a document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in text_slices(whole):
+                texts, _ = _folded(batch)
+                rows = []
+                for toxic, words in zip(batch.column("toxic").to_pylist(), texts):
+                    padded = ["", *words, ""]
+                    seen = {tuple(padded[k : k + 3]) for k, w in enumerate(words) if not terms.isdisjoint(forms(w))}
+                    rows += [(t, toxic, *c) for c in seen for t in forms(c[1]) if t in terms]
+                if rows:
+                    columns = [pa.array(c, pa.int32() if k == 1 else pa.string()) for k, c in enumerate(zip(*rows))]
+                    yield pa.RecordBatch.from_arrays(columns, ["term", "toxic", "before", "word", "after"])
+
+    return run
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Lexicon:
     """A lexicon from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic); null labels and texts teach nothing.
 
-    Without both kinds of documents nothing is learned, and every score is the share of toxic ones (0 if none).
+    Without both kinds of documents nothing is learned, and every score is 0 (1 if all are toxic).
     """
     known = labels.where("toxic is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     count = known.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("bad")).first()
     n, bad = count["n"], count["bad"] or 0
     if not bad or bad == n:
-        return Lexicon({}, [], 0.0, 30.0 if bad else -30.0)
+        return Lexicon({}, [], shift=30.0 if bad else -30.0)
     share = min(1.0, sample_docs / n)
     picked = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    texts = docs.select("doc_id", "text").where("text is not null").join(picked, "doc_id").select("toxic", "text")
+    texts = cut(docs.select("doc_id", "text").where("text is not null").join(picked, "doc_id").select("toxic", "text"))
 
     totals = texts.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).first()
     bad, good = (totals["bad"] or 0) + 1, (totals["good"] or 0) + 1
-    often = texts.mapInArrow(_words, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    odds = F.log((F.col("bad") + 0.5) / bad) - F.log((F.col("good") + 0.5) / good)
+    often = texts.mapInArrow(_terms, "term string, bad double, good double").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    odds = F.round(F.log((F.col("bad") + 0.5) / bad) - F.log((F.col("good") + 0.5) / good), 6)
     likely = often.where(F.col("bad") >= CONTEXTS).withColumn("weight", odds).where(F.col("weight") >= LEAST_WEIGHT)
-    likely = likely.orderBy(F.desc(F.col("weight") * F.sqrt("bad")), "word").limit(2 * MAX_TERMS)
-    around = texts.mapInArrow(_seen, "toxic int, word string, before string, after string").join(F.broadcast(likely.select("word")), "word")
-    varied = around.where("toxic = 1").groupBy("word").agg(F.countDistinct("before").alias("b"), F.countDistinct("after").alias("a"))
-    terms = likely.join(varied.where((F.col("b") >= CONTEXTS) & (F.col("a") >= CONTEXTS)), "word").orderBy(F.desc("weight"), "word").limit(MAX_TERMS)
-    weights = {r["word"]: r["weight"] for r in terms.select("word", "weight").collect()}
-
-    pairs = around.select("toxic", F.explode(F.array(F.concat_ws(" ", "before", "word"), F.concat_ws(" ", "word", "after"))).alias("phrase"), "word")
-    mild = pairs.groupBy("phrase").agg(F.count(F.lit(1)).alias("n"), F.avg("toxic").alias("bad"), F.first("word").alias("word"))
-    mild = mild.where((F.col("n") >= EXCEPTION_DOCS) & (F.col("bad") <= EXCEPTION_SHARE)).orderBy(F.desc("n"), "phrase").limit(MAX_EXCEPTIONS)
-    exceptions = [r["phrase"].strip() for r in mild.collect() if r["word"] in weights and " " in r["phrase"].strip()]
+    likely = {r["term"]: r["weight"] for r in likely.orderBy(F.desc(F.col("weight") * F.sqrt(F.round("bad", 6))), "term").limit(2 * MAX_TERMS).collect()}
 
-    lexicon = Lexicon(weights, exceptions)
-    place = F.least(F.floor(F.col("weighed") / WIDEST * BINS), F.lit(BINS - 1))
-    histogram = length_normalised(texts, lexicon).groupBy(place.alias("place"), "toxic").agg(F.count(F.lit(1)).alias("n"), F.avg("weighed").alias("x")).collect()
-    lexicon.slope, lexicon.shift = _logistic(*(np.array([r[c] for r in histogram], float) for c in ("x", "toxic", "n")))
+    around = cut(texts.mapInArrow(_contexts(set(likely)), "term string, toxic int, before string, word string, after string"))
+    varied = around.where("toxic = 1").groupBy("term").agg(F.countDistinct("before").alias("b"), F.countDistinct("after").alias("a"))
+    kept = varied.where((F.col("b") >= CONTEXTS) & (F.col("a") >= CONTEXTS)).select("term").collect()
+    weights = {t: likely[t] for t in sorted((r["term"] for r in kept), key=lambda t: (-likely[t], t))[:MAX_TERMS]}
+
+    pairs = around.where(F.col("term").isin(*weights) if weights else F.lit(False)).select("toxic", "before", "word", "after").distinct()
+    pairs = pairs.select("toxic", F.explode(F.array(F.concat_ws(" ", "before", "word"), F.concat_ws(" ", "word", "after"))).alias("phrase")).where("trim(phrase) = phrase")
+    mild = pairs.groupBy("phrase").agg(F.count(F.lit(1)).alias("n"), F.avg("toxic").alias("bad"))
+    mild = mild.where((F.col("n") >= EXCEPTION_DOCS) & (F.col("bad") <= EXCEPTION_SHARE)).orderBy(F.desc("n"), "phrase").limit(MAX_EXCEPTIONS)
+    lexicon = Lexicon(weights, [r["phrase"] for r in mild.collect()])
+
+    powers = F.explode(F.array(*(F.struct(F.lit(p).alias("power"), _normalised(p).alias("x")) for p in LENGTH_POWERS))).alias("e")
+    spread = matched(texts, lexicon).select("toxic", powers).select("toxic", "e.power", "e.x")
+    place = F.floor(F.log(1 + F.col("x")) * BINS / WIDEST)
+    rows = spread.groupBy("power", place.alias("place"), "toxic").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("x")).collect()
+    fits = []
+    for power in LENGTH_POWERS:
+        x, y, k = (np.array([r[c] for r in rows if r["power"] == power], float) for c in ("x", "toxic", "n"))
+        slope, shift = _logistic(x, y, k)
+        z = np.clip(slope * x + shift, -30, 30)
+        fits.append((float(k @ (y * z - np.logaddexp(0, z))), power, slope, shift))
+    _, lexicon.power, lexicon.slope, lexicon.shift = max(fits)
     return lexicon
 
 
@@ -194,13 +232,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float
 
 
 def toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, score (0 to 1), hits (start, past, weight; places in the folded text).
+    """One row per row of ``docs``: doc_id, score (0 to 1), hits (start, weight; places in the folded text).
 
     A null, empty or wordless text has no hits and the lowest score. Repeated rows are scored alike.
     No other column is read, whatever its name.
     """
-    rows = length_normalised(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), lexicon)
-    linear = F.col("weighed") * lexicon.slope + lexicon.shift
+    rows = matched(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), lexicon)
+    linear = _normalised(lexicon.power) * lexicon.slope + lexicon.shift
     return rows.select("doc_id", (1 / (1 + F.exp(-F.greatest(F.least(linear, F.lit(30.0)), F.lit(-30.0))))).alias("score"), "hits")
 
 
