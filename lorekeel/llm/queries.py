@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekeel.llm import byte_bpe, language_id, toxicity
+from lorekeel.llm import byte_bpe, language_id, private_data, toxicity
 from lorekeel.llm.exact_dedup import exact_dedup
 from lorekeel.llm.near_dedup import near_dedup
 from lorekeel.llm.packing import pack, token_pieces
 from lorekeel.llm.quality import quality_rules
+from lorekeel.llm.token_rollup import Rollup, count_tokens
+from lorekeel.llm.url_filter import canonical_of, filter_urls, host_of
+from lorekeel.session import cut, shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +36,51 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+#: Rules of the URL query: host, path, verdict.
+URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
+#: Words that, as a part of a host between dots and hyphens, put its pages on the list.
+URL_WORDS = ("casino", "bets", "pills", "adult")
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    bad = host_of(F.col("url")).rlike(rf"(^|[.-])({'|'.join(URL_WORDS)})([.-]|$)")
+    listed = pages.where(bad).select(canonical_of(F.col("url")).alias("url"))
+    return filter_urls(pages, URL_RULES, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP3_SQL = rf"""
+WITH p AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path,
+         coalesce(regexp_extract(url, '^.*?://[^?#]*\?([^#]*)', 1, 's'), '') AS query
+  FROM pages
+), q AS (
+  SELECT *, array_to_string(list_sort(list_filter(string_split(query, '&'),
+           lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|gclid|fbclid)(=|$)'))), '&') AS kept
+  FROM p
+), c AS (
+  SELECT page_id, host, path,
+         regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/$', '') || CASE WHEN kept = '' THEN '' ELSE '?' || kept END AS canonical,
+         regexp_matches(host, '(^|[.-])({'|'.join(URL_WORDS)})([.-]|$)') AS bad
+  FROM q
+), r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/7') THEN 'example.com/en/7'
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/de/8') THEN 'example.net/de/8'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/en/') THEN 'com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/de/') THEN 'net/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/es/') THEN 'org/es/' END AS rule
+  FROM c
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.com/en/7', 'net/de/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN canonical IN (SELECT canonical FROM c WHERE bad AND canonical <> '') THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+"""
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -51,6 +101,19 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def _joined(spans: str):
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op5_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = private_data.find_private(docs, private_data.learn(docs))
+    kinds = F.col("base_spans.kind")
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in private_data.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_joined("base_spans"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.learn(docs.where(~language_id.held_out()).select("doc_id", "text", "lang"))
@@ -71,13 +134,34 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(digests)
 
 
+#: Tokenizer version of the counts below; its vocabulary is a parameter of the operator.
+VERSION = "word_bpe_49k@1"
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents are inserted, then recounted with their end token, then those labelled toxic or of low quality are deleted; the recount is replayed."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    counts = cut(count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), VERSION))
+    rollup = Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    recount = counts.withColumn("n_tokens", F.col("n_tokens") + 1).withColumn("op", F.lit("revise"))
+    rollup.commit(1, counts.withColumn("op", F.lit("insert")))
+    rollup.commit(2, recount)
+    gone = labels.where("toxic = 1 or quality = 0").select("doc_id").distinct()
+    rollup.commit(3, counts.join(gone, "doc_id", "left_semi").withColumn("op", F.lit("delete")))
+    rollup.commit(2, recount)
+    return rollup.totals()
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_url_filter": op3_url_filter,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_private_data": op5_private_data,
     "op6_near_dedup": op6_near_dedup,
     "op7_language_id": op7_language_id,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
+    "op10_token_counts": op10_token_counts,
 }
-ORACLES = {"op4_exact_dedup": OP4_SQL}
+ORACLES = {"op3_url_filter": OP3_SQL, "op4_exact_dedup": OP4_SQL}
