@@ -12,8 +12,8 @@ bucket. Buckets are worked off in two passes, neither of which lists all pairs o
 bucket: first each member meets the bucket's hub, its first class; what
 passes verification is joined into components. Then only members of one bucket that
 are still in different components can matter; small buckets compare those
-directly, members of large ones by the prefix rule on the rarest of their shingles, which
-loses no pair at the threshold. Every link is confirmed on the full sets.
+directly, members of large ones by the prefix and position rules on the rarest of their shingles,
+which lose no pair at the threshold. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -218,10 +218,11 @@ def _untried(members: DataFrame, found: DataFrame, sets: DataFrame, tried: DataF
     mixed = cut(mixed)
     left = cut(labelled.join(mixed, "key", "left_semi"))
 
-    def paired(rows: DataFrame, on: list[str]) -> DataFrame:
-        a = rows.select(*on, F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-        b = rows.select(*on, F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-        return a.join(b, on).where("a < b and c_a <> c_b").where(_close(percent)).select("a", "b")
+    def paired(rows: DataFrame, on: list[str], further=F.lit(True)) -> DataFrame:
+        kept = [c for c in ("place",) if c in rows.columns]
+        a = rows.select(*on, *(F.col(c).alias(f"{c}_a") for c in kept), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
+        b = rows.select(*on, *(F.col(c).alias(f"{c}_b") for c in kept), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+        return a.join(b, on).where("a < b and c_a <> c_b").where(_close(percent)).where(further).select("a", "b")
 
     small = paired(left.where(F.col("size") <= SMALL_BUCKET), ["key"])
     large = left.where(F.col("size") > SMALL_BUCKET).select("node", "n", "component").distinct()
@@ -237,5 +238,8 @@ def _untried(members: DataFrame, found: DataFrame, sets: DataFrame, tried: DataF
     often = spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     ranked = spread.join(often, "shingle", "left").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "shingle")))
     prefix = ranked.where(F.expr(f"place <= n - cast(ceil(n * {percent} / 100) as long) + 1 and often > 1"))
-    pairs = small.unionByName(paired(prefix, ["shingle"])).distinct()
+    # nothing before the first shingle that two sets share is shared, which bounds what they can share in all
+    reach = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    enough = (100 + percent) * reach >= percent * (F.col("n_a") + F.col("n_b"))
+    pairs = small.unionByName(paired(prefix, ["shingle"], enough)).distinct()
     return pairs.join(tried, ["a", "b"], "left_anti")
