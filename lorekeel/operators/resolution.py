@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from lorekeel.functions.scalars import content_hash, deterministic_id, jaccard, normalised, tokens
 from lorekeel.operators.components import connected_components
-from lorekeel.operators.textjoin import containing_pairs, sharing_pairs, similar_pairs
+from lorekeel.operators.textjoin import containing_pairs, similar_pairs
 from lorekeel.operators.vectors import similar_vectors
 from lorekeel.session import cut
 
@@ -26,11 +26,22 @@ def surfaces(mentions: DataFrame) -> DataFrame:
     return keyed.groupBy("group", "key").agg(F.min("ordinal").alias("ordinal")).withColumn("words", tokens("key"))
 
 
+def contained_pairs(names: DataFrame, least: int = SHARED_WORDS) -> DataFrame:
+    """Distinct (group, a, b) of surfaces of which one holds the other and that share ``least`` words or more.
+
+    Containment is much rarer than shared words, so it is looked up first.
+    """
+    texts = names.select("group", F.col("key").alias("text"))
+    inside = containing_pairs(texts, texts).where("inner <> outer")
+    words = lambda side: names.select("group", F.col("key").alias(side), F.col("words").alias(f"words_{side}"))
+    both = inside.join(words("inner"), ["group", "inner"]).join(words("outer"), ["group", "outer"]).where(F.size(F.array_intersect("words_inner", "words_outer")) >= least)
+    return both.select("group", F.least("inner", "outer").alias("a"), F.greatest("inner", "outer").alias("b")).distinct()
+
+
 def surface_edges(names: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
     """Distinct (group, a, b) of surfaces that are the same entity: containment or word similarity, each with shared words, or vector similarity."""
     names = cut(names.select("group", "key", "words"))
-    shared = sharing_pairs(names, SHARED_WORDS)
-    contained = shared.where(F.contains("b", "a") | F.contains("a", "b"))
+    contained = contained_pairs(names, SHARED_WORDS)
     similar = similar_pairs(names, WORD_SIMILARITY, SHARED_WORDS).drop("similarity")
     edges = contained.unionByName(similar)
     if vectors is not None:

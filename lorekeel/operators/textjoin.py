@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lorekeel.functions.scalars import jaccard
+from lorekeel.session import cut
 
 #: Code points of the pieces that containment is looked up by.
 GRAM = 3
@@ -25,17 +25,29 @@ def ranked_words(names: DataFrame, word_list: str = "words", key: str = "key") -
     return each.join(often, ["group", "word"]).select("group", key, "word", "n", F.row_number().over(order).alias("place"))
 
 
-def candidate_pairs(names: DataFrame, prefix: Column, key: str = "key") -> DataFrame:
-    """Distinct (group, a, b), a before b, whose first ``prefix`` (of ``n``) words by rarity share one."""
-    head = ranked_words(names, key=key).where(F.col("place") <= prefix).select("group", "word", key)
-    a, b = head.withColumnRenamed(key, "a"), head.withColumnRenamed(key, "b")
-    return a.join(b, ["group", "word"]).where("a < b").select("group", "a", "b").distinct()
+def candidate_pairs(names: DataFrame, prefix: Column, key: str = "key", further: Column | None = None) -> DataFrame:
+    """Distinct (group, a, b), a before b, whose first ``prefix`` (of ``n``) words by rarity share one.
+
+    ``further`` may hold n_a, n_b and the places of the shared word, place_a and place_b, and is tested in the join.
+    """
+    head = ranked_words(names, key=key).where(F.col("place") <= prefix)
+    a, b = (head.select("group", "word", F.col(key).alias(s), F.col("n").alias(f"n_{s}"), F.col("place").alias(f"place_{s}")) for s in "ab")
+    found = a.join(b, ["group", "word"]).where("a < b")
+    return (found if further is None else found.where(further)).select("group", "a", "b").distinct()
+
+
+def _numbered(names: DataFrame, key: str) -> DataFrame:
+    """Names with a number each: pairs of numbers are cheaper to shuffle than pairs of texts."""
+    return cut(names.select("group", F.col(key).alias("key"), "words").withColumn("id", F.monotonically_increasing_id()))
 
 
-def _with_words(pairs: DataFrame, names: DataFrame, key: str) -> DataFrame:
-    a = names.select("group", F.col(key).alias("a"), F.col("words").alias("words_a"))
-    b = names.select("group", F.col(key).alias("b"), F.col("words").alias("words_b"))
-    return pairs.join(a, ["group", "a"]).join(b, ["group", "b"])
+def _with_words(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    """Pairs of numbers with the keys (the lesser as a) and words of both."""
+    for side in "ab":
+        own = names.select(F.col("id").alias(side), F.col("key").alias(f"key_{side}"), F.col("words").alias(f"words_{side}"))
+        pairs = pairs.join(own, side)
+    named = pairs.withColumn("_shared", F.size(F.array_intersect("words_a", "words_b")))
+    return named.select("group", F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"), "_shared", (F.size("words_a") + F.size("words_b") - F.col("_shared")).alias("_either"))
 
 
 def sharing_pairs(names: DataFrame, least: int = 2, key: str = "key") -> DataFrame:
@@ -43,16 +55,21 @@ def sharing_pairs(names: DataFrame, least: int = 2, key: str = "key") -> DataFra
 
     Of two names that share so many, each has one of the shared words among all but its ``least`` - 1 most frequent ones.
     """
-    pairs = _with_words(candidate_pairs(names, F.col("n") - (least - 1), key), names, key)
-    return pairs.where(F.size(F.array_intersect("words_a", "words_b")) >= least).select("group", "a", "b")
+    names = _numbered(names, key)
+    pairs = _with_words(candidate_pairs(names, F.col("n") - (least - 1), "id"), names)
+    return pairs.where(F.col("_shared") >= least).select("group", "a", "b")
 
 
 def similar_pairs(names: DataFrame, over: float, least: int = 1, key: str = "key") -> DataFrame:
     """(group, a, b, similarity) of names whose word sets have a Jaccard similarity above ``over`` and share ``least`` words or more."""
+    names = _numbered(names, key)
     prefix = F.least(F.col("n") - F.ceil(F.col("n") * over) + 1, F.col("n") - (least - 1))
-    pairs = _with_words(candidate_pairs(names, prefix, key), names, key)
-    scored = pairs.withColumn("similarity", jaccard("words_a", "words_b"))
-    return scored.where((F.col("similarity") > over) & (F.size(F.array_intersect("words_a", "words_b")) >= least)).select("group", "a", "b", "similarity")
+    # no word before the first common one is shared, which bounds how many can be
+    reach = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    enough = reach * (1 + over) >= over * (F.col("n_a") + F.col("n_b")) - 1e-9
+    pairs = _with_words(candidate_pairs(names, prefix, "id", enough), names)
+    scored = pairs.where(F.col("_shared") >= least).withColumn("similarity", F.col("_shared") / F.col("_either"))
+    return scored.where(F.col("similarity") > over).select("group", "a", "b", "similarity")
 
 
 def _grams(text: Column, size: int) -> Column:

@@ -231,8 +231,7 @@ def surface_similar_pairs(spark, d):
 
 @query(f"WITH {SURFACES_SQL} SELECT a, b FROM pairs WHERE shared >= 2 AND (contains(a, b) OR contains(b, a))")
 def surface_contained_pairs(spark, d):
-    pairs = textjoin.sharing_pairs(resolution.surfaces(mentions(spark, d)))
-    return pairs.where(F.contains("a", "b") | F.contains("b", "a")).select("a", "b")
+    return resolution.contained_pairs(resolution.surfaces(mentions(spark, d))).select("a", "b")
 
 
 @query(f"""WITH RECURSIVE {SURFACES_SQL}, edges AS (SELECT a, b FROM pairs WHERE shared >= 2 AND (shared / CAST(either AS DOUBLE) > 0.6 OR contains(a, b) OR contains(b, a))),
