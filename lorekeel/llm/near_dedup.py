@@ -24,9 +24,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lorekeel.llm.batches import text_slices, words_of
 from lorekeel.operators.components import connected_components
@@ -37,6 +36,9 @@ COORDINATES, BAND = 128, 4
 #: Buckets of so many classes at most compare what is left directly.
 SMALL_BUCKET = 64
 
+#: Bits of the table that orders shingles by how many sets of large buckets have them; its size is fixed.
+SLOT_BITS = 18
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -211,6 +213,47 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (_mix(shingles ^ _seed(9000)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << SLOT_BITS, np.int64)
+    for batch in batches:
+        for x in batch.column("members"):
+            np.add.at(total, _slots(np.frombuffer(x.as_buffer(), np.uint64)), 1)
+    slot = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], ["slot", "often"])
+
+
+def _slot_counts(full: DataFrame) -> np.ndarray:
+    """How many of the sets' shingles fall into each slot; ``1 << SLOT_BITS`` numbers, whatever the input."""
+    found = full.mapInArrow(_counting, "slot long, often long").groupBy("slot").agg(F.sum("often").alias("often")).toPandas()
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    counts[found["slot"].to_numpy()] = found["often"].to_numpy()
+    return counts
+
+
+def _prefixes(percent: int, counts: np.ndarray):
+    """The first shingles of each set, in an order from rare to frequent slots that is the same for all sets.
+
+    Any such order loses no pair. A shingle alone in its slot is in no other set; it takes its place but is not given out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, x in enumerate(batch.column("members")):
+                shingles = np.frombuffer(x.as_buffer(), np.uint64)
+                n = len(shingles)
+                often = counts[_slots(shingles)]
+                first = np.lexsort((shingles, often))[: n - -(-n * percent // 100) + 1]
+                place = np.flatnonzero(often[first] > 1)
+                one = batch.slice(i, 1).select(["node", "n", "component"]).take(pa.array(np.zeros(len(place), np.int64)))
+                yield pa.RecordBatch.from_arrays([*one.columns, pa.array(shingles[first[place]].view(np.int64)), pa.array(place + 1)], ["node", "n", "component", "shingle", "place"])
+
+    return run
+
+
 def _untried(members: DataFrame, found: DataFrame, sets: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
     """(a, b) of one bucket, in different components and not yet compared, that can reach the threshold."""
     labelled = members.join(found, "node", "left").select("key", "size", "node", "n", F.coalesce("component", "node").alias("component"))
@@ -218,26 +261,18 @@ def _untried(members: DataFrame, found: DataFrame, sets: DataFrame, tried: DataF
     mixed = cut(mixed)
     left = cut(labelled.join(mixed, "key", "left_semi"))
 
-    def paired(rows: DataFrame, on: list[str], further=F.lit(True)) -> DataFrame:
+    def paired(rows: DataFrame, on: list[str], further: Column | bool = True) -> DataFrame:
         kept = [c for c in ("place",) if c in rows.columns]
         a = rows.select(*on, *(F.col(c).alias(f"{c}_a") for c in kept), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
         b = rows.select(*on, *(F.col(c).alias(f"{c}_b") for c in kept), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-        return a.join(b, on).where("a < b and c_a <> c_b").where(_close(percent)).where(further).select("a", "b")
+        return a.join(b, on).where("a < b and c_a <> c_b").where(_close(percent)).where(F.lit(further)).select("a", "b")
 
     small = paired(left.where(F.col("size") <= SMALL_BUCKET), ["key"])
     large = left.where(F.col("size") > SMALL_BUCKET).select("node", "n", "component").distinct()
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                s = np.frombuffer(batch.column("members")[i].as_buffer(), np.int64)
-                one = batch.slice(i, 1)
-                yield pa.RecordBatch.from_arrays([*(one.column(c).take(pa.array(np.zeros(len(s), np.int64))) for c in ("node", "n", "component")), pa.array(s)], ["node", "n", "component", "shingle"])
-
-    spread = large.join(sets, "node").select("node", "n", "component", "members").mapInArrow(listed, "node long, n long, component long, shingle long")
-    often = spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    ranked = spread.join(often, "shingle", "left").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "shingle")))
-    prefix = ranked.where(F.expr(f"place <= n - cast(ceil(n * {percent} / 100) as long) + 1 and often > 1"))
+    full = large.join(sets, "node").select("node", "n", "component", "members")
+    counts = _slot_counts(full)
+    prefix = full.mapInArrow(_prefixes(percent, counts), "node long, n long, component long, shingle long, place long")
     # nothing before the first shingle that two sets share is shared, which bounds what they can share in all
     reach = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     enough = (100 + percent) * reach >= percent * (F.col("n_a") + F.col("n_b"))
