@@ -25,14 +25,18 @@ def ranked_words(names: DataFrame, word_list: str = "words", key: str = "key") -
     return each.join(often, ["group", "word"]).select("group", key, "word", "n", F.row_number().over(order).alias("place"))
 
 
-def candidate_pairs(names: DataFrame, prefix: Column, key: str = "key", further: Column | None = None) -> DataFrame:
-    """Distinct (group, a, b), a before b, whose first ``prefix`` (of ``n``) words by rarity share one.
+def candidate_pairs(names: DataFrame, prefix: Column, together: int = 1, key: str = "key", further: Column | None = None) -> DataFrame:
+    """Distinct (group, a, b), a before b, that share one word (``together`` 2: two words) among their first ``prefix`` (of ``n``) words by rarity.
 
-    ``further`` may hold n_a, n_b and the places of the shared word, place_a and place_b, and is tested in the join.
+    ``further`` may hold n_a, n_b and the places of the (second) shared word, place_a and place_b, and is tested in the join.
     """
     head = ranked_words(names, key=key).where(F.col("place") <= prefix)
-    a, b = (head.select("group", "word", F.col(key).alias(s), F.col("n").alias(f"n_{s}"), F.col("place").alias(f"place_{s}")) for s in "ab")
-    found = a.join(b, ["group", "word"]).where("a < b")
+    on = ["group", "word"]
+    if together == 2:
+        first = head.select("group", key, F.col("word").alias("before"), F.col("place").alias("_p"))
+        head, on = head.join(first, ["group", key]).where("_p < place").drop("_p"), ["group", "before", "word"]
+    a, b = (head.select(*on, F.col(key).alias(s), F.col("n").alias(f"n_{s}"), F.col("place").alias(f"place_{s}")) for s in "ab")
+    found = a.join(b, on).where("a < b")
     return (found if further is None else found.where(further)).select("group", "a", "b").distinct()
 
 
@@ -56,18 +60,23 @@ def sharing_pairs(names: DataFrame, least: int = 2, key: str = "key") -> DataFra
     Of two names that share so many, each has one of the shared words among all but its ``least`` - 1 most frequent ones.
     """
     names = _numbered(names, key)
-    pairs = _with_words(candidate_pairs(names, F.col("n") - (least - 1), "id"), names)
+    pairs = _with_words(candidate_pairs(names, F.col("n") - (least - 1), key="id"), names)
     return pairs.where(F.col("_shared") >= least).select("group", "a", "b")
 
 
 def similar_pairs(names: DataFrame, over: float, least: int = 1, key: str = "key") -> DataFrame:
-    """(group, a, b, similarity) of names whose word sets have a Jaccard similarity above ``over`` and share ``least`` words or more."""
+    """(group, a, b, similarity) of names whose word sets have a Jaccard similarity above ``over`` and share ``least`` words or more.
+
+    A name of n words shares more than ``over`` * n with such a partner, so the first common word is among its first words by
+    rarity, and so are the first two if two must be shared. Two words together are much rarer than one.
+    """
     names = _numbered(names, key)
-    prefix = F.least(F.col("n") - F.ceil(F.col("n") * over) + 1, F.col("n") - (least - 1))
-    # no word before the first common one is shared, which bounds how many can be
-    reach = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    together = min(least, 2)
+    shared = F.greatest(F.floor(F.col("n") * over + 1e-9) + 1, F.lit(least))
+    # no other word up to the last of the first common ones is shared, which bounds how many can be
+    reach = together + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     enough = reach * (1 + over) >= over * (F.col("n_a") + F.col("n_b")) - 1e-9
-    pairs = _with_words(candidate_pairs(names, prefix, "id", enough), names)
+    pairs = _with_words(candidate_pairs(names, F.col("n") - shared + together, together, "id", enough), names)
     scored = pairs.where(F.col("_shared") >= least).withColumn("similarity", F.col("_shared") / F.col("_either"))
     return scored.where(F.col("similarity") > over).select("group", "a", "b", "similarity")
 

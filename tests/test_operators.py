@@ -234,3 +234,19 @@ def test_store(spark, tmp_path):
     old = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, v string, w int")
     new = spark.createDataFrame([(2, "B", 9), (3, "C", 8)], "k int, v string, w int")
     assert sorted(map(tuple, incremental.merged(old, new, ["k"], ["v"]).collect())) == [(1, "a", 1), (2, "B", 2), (3, "C", 8)]
+
+
+@pytest.mark.parametrize("over, least", [(0.6, 2), (0.5, 1), (0.3, 2), (0.8, 3)])
+def test_similar_pairs_agree_with_all_pairs(spark, over, least):
+    rng = random.Random(int(over * 10) + least)
+    names = {" ".join(sorted({rng.choice("abcdefghij") for _ in range(rng.randrange(1, 9))})) for _ in range(120)}
+    df = spark.createDataFrame([("g", n, n.split()) for n in sorted(names)], "group string, key string, words array<string>")
+    expected = set()
+    for a in names:
+        for b in names:
+            x, y = set(a.split()), set(b.split())
+            if a < b and len(x & y) >= least and len(x & y) / len(x | y) > over:
+                expected.add((a, b))
+    got = {(r["a"], r["b"]) for r in textjoin.similar_pairs(df, over, least).collect()}
+    assert got == expected and got
+    assert {(r["a"], r["b"]) for r in textjoin.sharing_pairs(df, least).collect()} >= got
