@@ -37,6 +37,8 @@ FLOORS = {"v_word_length": 0.05, "v_symbols": 0.03, "v_capitals": 0.03, "v_marks
 SHARE, OWN_ROWS = 0.75, 50
 #: A clean document is rejected once in so many if transformed statistics are normal; theirs have heavier tails, so it is far out.
 ONE_IN = 1_000_000_000
+#: Parts that a group's rows are dealt into when they meet its estimate.
+SALTS = 32
 #: Concentration steps at most, and the fall of the log determinant that ends them.
 STEPS, SETTLED = 8, 1e-3
 
@@ -113,6 +115,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.log(F.greatest(F.col("word_chars"), F.lit(1)) / F.greatest(F.col("n_words"), F.lit(1))).alias("v_word_length"),
         share("n_symbols", "word_chars").alias("v_symbols"), share("n_capitals", "word_chars").alias("v_capitals"), share("n_marks", "word_chars").alias("v_marks"),
         share("n_repeat_words", "n_words").alias("v_repeats"), F.sqrt(F.col("n_dup_lines") / (F.col("n_breaks") + 1)).alias("v_lines"),
+        (F.monotonically_increasing_id() % SALTS).alias("salt"),
     )
 
 
@@ -156,8 +159,14 @@ def _from_moments(df: DataFrame, keys: list[str], factor) -> DataFrame:
     return df.select(*keys, F.col("n").cast("double"), solved("n", sums, cross, factor).alias("e")).select(*keys, "n", "e.mu", "e.white", "e.logdet")
 
 
+def _meeting(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Rows with their group's estimates, joined by group and salt: were they dealt by group alone, the next aggregate would not combine before its shuffle."""
+    dealt = estimates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumn("salt", F.col("salt").cast("long"))
+    return rows.join(dealt, ["group_key", "salt"])
+
+
 def robust_estimates(rows: DataFrame) -> DataFrame:
-    """(group_key, rows, mu, white) for ``rows`` of group_key and the vector's statistics."""
+    """(group_key, rows, mu, white) for ``rows`` of group_key, salt and the vector's statistics."""
     keys = ["group_key", "start"]
     all_rows = rows.groupBy("group_key").agg(*_moments()).withColumn("start", F.lit("all"))
     sizes = cut(all_rows.select("group_key", F.col("n").alias("rows")))
@@ -171,13 +180,13 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     share = SHARE / chi2_cdf(chi2_quantile(SHARE, P), P + 2)
     before = None
     for _ in range(STEPS):
-        now = cut(_from_moments(_closest(rows.join(now.drop("n"), "group_key"), sizes, keys), keys, F.lit(share)))
+        now = cut(_from_moments(_closest(_meeting(rows, now.drop("n")), sizes, keys), keys, F.lit(share)))
         after = now.agg(F.sum("logdet")).first()[0]
         if after is None or before is not None and before - after < SETTLED:
             break
         before = after
     best = now.withColumn("place", F.row_number().over(Window.partitionBy("group_key").orderBy("logdet", "start"))).where("place = 1")
-    near = rows.join(cut(best.select("group_key", "mu", "white")), "group_key").where(_distance() <= chi2_quantile(0.975, P))
+    near = _meeting(rows, cut(best.select("group_key", "mu", "white"))).where(_distance() <= chi2_quantile(0.975, P))
     factor = 0.975 / chi2_cdf(chi2_quantile(0.975, P), P + 2)
     last = _from_moments(near.groupBy("group_key").agg(*_moments()), ["group_key"], F.lit(factor))
     return last.drop("n", "logdet").join(sizes, "group_key")
@@ -206,7 +215,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = cut(text_statistics(docs, id_col, text_col, lang_col, source_col))
     named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
     own, of_lang, of_all = F.concat_ws("\x1f", F.lit("2"), named("lang"), named("source")), F.concat_ws("\x1f", F.lit("1"), named("lang")), F.lit("0")
-    fit = rows.where("not base_failed").select(F.explode(F.array(own, of_lang, of_all)).alias("group_key"), *NAMES)
+    fit = rows.where("not base_failed").select(F.explode(F.array(own, of_lang, of_all)).alias("group_key"), "salt", *NAMES)
     found = cut(robust_estimates(fit))
 
     pairs = rows.select("lang", "source").distinct().select(own.alias("own"), F.explode(F.array(own, of_lang, of_all)).alias("group_key"))
