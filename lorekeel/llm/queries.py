@@ -128,6 +128,31 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+OP6_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                                           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g
+  FROM d
+), n AS (
+  SELECT d.doc_id, count(g) AS n FROM d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+  SELECT doc_id AS node, doc_id AS origin FROM n UNION SELECT e.b, r.origin FROM r JOIN e ON e.a = r.node
+), c AS (
+  SELECT node, min(origin) AS component_id FROM r GROUP BY node
+)
+SELECT doc_id, n AS n_shingles, component_id, component_id = doc_id AS kept FROM n JOIN c ON node = doc_id
+"""
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     digests = pieces.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens")
@@ -164,4 +189,4 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
 }
-ORACLES = {"op3_url_filter": OP3_SQL, "op4_exact_dedup": OP4_SQL}
+ORACLES = {"op3_url_filter": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op6_near_dedup": OP6_SQL}
