@@ -11,30 +11,44 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lorekeel.llm import language_id, private_data
-from lorekeel.llm.exact_dedup import exact_dedup
+from lorekeel.llm.exact_dedup import exact_dedup, normalised
 from lorekeel.llm.near_dedup import near_dedup
 from lorekeel.llm.packing import pack, token_pieces
-from lorekeel.session import shared_dir
+from lorekeel.session import cut, shared_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, whose language stays undetermined, go; a missing ``lang`` is filled with the one found."""
     model = language_id.learn(docs.where(~language_id.held_out()).select("doc_id", "text", "lang"))
-    found = language_id.identify(docs, model).select("doc_id", "lang_pred").where(F.col("lang_pred") != language_id.UNDETERMINED)
-    named = docs.join(found.dropDuplicates(["doc_id"]), "doc_id")
-    return named.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    found = language_id.with_language(docs, model, into="_found").where(F.col("_found") != language_id.UNDETERMINED)
+    return found.withColumn("lang", F.coalesce("lang", "_found")).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of equal texts, the one document that stays."""
-    return docs.join(exact_dedup(docs).where("kept").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    """Of each group of equal texts, the one document that stays; also of rows that have one id and one text."""
+    kept = cut(exact_dedup(docs).where("kept").select("doc_id", "text_sha256"))
+    ids = kept.select("doc_id").distinct()
+    stay = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    # an id whose rows are not all told by it: only there the texts decide
+    rows = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id")
+    rows = cut(rows)
+    if rows.isEmpty():
+        return stay.select(*docs.columns)
+    clear = stay.join(rows, stay["doc_id"].eqNullSafe(rows["doc_id"]), "left_anti")
+    some = stay.join(rows, stay["doc_id"].eqNullSafe(rows["doc_id"]), "left_semi").withColumn("_sha", F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    some = some.join(kept, some["doc_id"].eqNullSafe(kept["doc_id"]) & (some["_sha"] == kept["text_sha256"]), "left_semi")
+    first = Window.partitionBy("doc_id", "_sha").orderBy(F.desc(F.length("text")))
+    once = some.withColumn("_place", F.row_number().over(first)).where("_place = 1")
+    return clear.select(*docs.columns).unionByName(once.select(*docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, similarity of 0.8 or more), the document with the least id."""
-    return docs.join(near_dedup(docs).where("kept").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    ids = near_dedup(docs).where("kept").select("doc_id").distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select(*docs.columns)
 
 
 def redact_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lorekeel.llm.batches import text_slices, words_of
 
@@ -165,6 +166,32 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, max_langs: int =
     return Model(langs, table - table.mean(axis=0), allowed)
 
 
+class Found:
+    """Languages of a batch of texts: ``lang``, ``score`` and ``spans`` as Arrow arrays."""
+
+    def __init__(self, texts: pa.Array, model: Model, switch: float) -> None:
+        names = np.array([*model.langs, UNDETERMINED], object)
+        starts, codes, distinct = words_of(texts)
+        n, n_langs = len(texts), len(model.langs)
+        if not n_langs:
+            codes, starts = codes[:0], np.zeros_like(starts)
+        scores, letters = model.scores(distinct.to_pylist()) if n_langs else (np.zeros((0, 1)), np.zeros(0, np.int64))
+        labels = viterbi(scores, codes, starts, switch)
+        of = np.repeat(np.arange(n), np.diff(starts))
+        width = max(n_langs, 1)
+        held_by = np.bincount(of * width + labels, weights=letters[codes] if len(codes) else None, minlength=n * width).reshape(n, width)
+        total = held_by.sum(axis=1)
+        self.score = pa.array(np.where(total > 0, held_by.max(axis=1) / np.maximum(total, 1), 0.0), pa.float64())
+        self.lang = pa.array(names[np.where(total > 0, held_by.argmax(axis=1), n_langs)], pa.string())
+        turn = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (labels[1:] != labels[:-1])))) if len(of) else np.zeros(0, np.int64)
+        turn = turn[total[of[turn]] > 0]
+        past = np.minimum(np.concatenate((turn[1:], [len(of)])) if len(turn) else turn, starts[of[turn] + 1])
+        bounds = np.searchsorted(of[turn], np.arange(n + 1)).astype(np.int32)
+        base = starts[of[turn]]
+        spans = pa.StructArray.from_arrays([pa.array(turn - base, pa.int32()), pa.array(past - base, pa.int32()), pa.array(names[labels[turn]], pa.string())], ["first", "past", "lang"])
+        self.spans = pa.ListArray.from_arrays(pa.array(bounds), spans)
+
+
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", switch: float = SWITCH) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, score, spans.
 
@@ -177,38 +204,29 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     held = given.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
-        names = np.array([*model.langs, UNDETERMINED], object)
         for whole in batches:
             for batch in text_slices(whole):
-                starts, codes, distinct = words_of(batch.column("text"))
-                n, n_langs = batch.num_rows, len(model.langs)
-                if not n_langs:
-                    codes, starts = codes[:0], np.zeros_like(starts)
-                scores, letters = model.scores(distinct.to_pylist()) if n_langs else (np.zeros((0, 1)), np.zeros(0, np.int64))
-                labels = viterbi(scores, codes, starts, switch)
-                of = np.repeat(np.arange(n), np.diff(starts))
-                held_by = np.bincount(of * max(n_langs, 1) + labels, weights=letters[codes] if len(codes) else None, minlength=n * max(n_langs, 1)).reshape(n, -1)
-                total, best = held_by.sum(axis=1), held_by.argmax(axis=1)
-                score = np.where(total > 0, held_by.max(axis=1) / np.maximum(total, 1), 0.0)
-                best = np.where(total > 0, best, n_langs)
-                turn = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (labels[1:] != labels[:-1])))) if len(of) else np.zeros(0, np.int64)
-                turn = turn[total[of[turn]] > 0]
-                past = np.minimum(np.concatenate((turn[1:], [len(of)])) if len(turn) else turn, starts[of[turn] + 1])
-                bounds = np.searchsorted(of[turn], np.arange(n + 1)).astype(np.int32)
-                base = starts[of[turn]]
-                spans = pa.StructArray.from_arrays(
-                    [pa.array(turn - base, pa.int32()), pa.array(past - base, pa.int32()), pa.array(names[labels[turn]], pa.string())], ["first", "past", "lang"]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(score, pa.float64()), pa.ListArray.from_arrays(pa.array(bounds), spans)],
-                    ["doc_id", "lang_pred", "score", "spans"],
-                )
+                f = Found(batch.column("text"), held.value, switch)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), f.lang, f.score, f.spans], ["doc_id", "lang_pred", "score", "spans"])
 
     kind = given.schema["doc_id"].dataType.simpleString()
     return given.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, spans array<struct<first:int,past:int,lang:string>>")
 
 
+def with_language(docs: DataFrame, model: Model, text_col: str = "text", into: str = "lang_pred", switch: float = SWITCH) -> DataFrame:
+    """``docs`` as they are, with the language of each text (as in ``identify``) in a new column ``into``; nothing is shuffled."""
+    if into in docs.columns:
+        raise ValueError(f"{into} is a column already")
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in text_slices(whole, text_col):
+                yield batch.append_column(into, Found(batch.column(text_col), held.value, switch).lang)
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(into, T.StringType())]))
+
+
 def held_out(id_col: str = "doc_id", parts: int = 5, part: int = 0):
     """Whether a document is kept from learning: crc32 of its id as text, modulo ``parts``; a null id is."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts == part, F.lit(True))

@@ -165,9 +165,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     similarity, its own included; ``kept`` says that the row is that document. A text of
     fewer than ``width`` words is one shingle; without words, or null, it has an empty set
     and links with nothing. Rows repeated with one id are of one component, and each is
-    kept if that id is; a null id never is a component's name unless no member has
-    another, and then component_id is null and nothing of it is kept. Other columns are
-    not read, whatever their names. An empty table gives no rows.
+    kept if that id is. A null id names a component only if no member has another: then
+    component_id is null, and its rows, which nothing tells apart, are all kept. Other columns
+    are not read, whatever their names. An empty table gives no rows.
     """
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id %s, n_shingles long, set_key binary, bands array<long>" % given.schema["doc_id"].dataType.simpleString()
@@ -210,7 +210,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = labels.join(least, "component").select("set_key", "component_id")
     out = some.join(named, "set_key").select("doc_id", "n_shingles", "component_id")
     out = out.unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def _slots(shingles: np.ndarray) -> np.ndarray:

@@ -45,6 +45,13 @@ def test_every_stage_against_plain_versions(spark, docs_of, given, small, tmp_pa
     assert {r["doc_id"] for r in docs.select("doc_id").collect()} == set(expected)
 
 
+def test_null_and_repeated_ids_stay_once(spark, docs_of, small):
+    docs = docs_of([(1, "one two three"), (1, "one two three"), (1, "onetwothree"), (1, "other words"), (None, "null id here"), (None, "second null id"), (2, "null id here")])
+    docs = corpus_pipeline.drop_copies(spark, docs, small)
+    assert sorted(r["text"] for r in docs.collect()) == ["null id here", "one two three", "other words", "second null id"]
+    assert sorted(r["text"] for r in corpus_pipeline.drop_near_copies(spark, docs, small).collect()) == ["null id here", "one two three", "other words", "second null id"]
+
+
 def test_run(spark, small):
     rows = corpus_pipeline.run(spark, small)
     assert rows.count() > 0 and {"doc_id", "start", "length", "sequence_id", "offset"} <= set(rows.columns)
