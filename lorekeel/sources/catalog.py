@@ -21,11 +21,18 @@ def group_of(name):
 
 
 def list_datasets(spark: SparkSession, root: str) -> DataFrame:
-    """(layer, code_location, group, asset, root) of every folder with a metadata file."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "_metadata.json").load(root).select("path")
-    parts = F.split(F.regexp_extract("path", r"^(.*)/_metadata\.json$", 1), "/")
-    found = files.select(F.slice(parts, F.size(parts) - 3, F.lit(4)).alias("p"), F.array_join(parts, "/").alias("root")).where(F.size("p") == 4)
-    return found.select(*(F.col("p")[k].alias(n) for k, n in enumerate(["layer", "code_location", "group", "asset"])), "root")
+    """(layer, code_location, group, asset, root) of every folder with a metadata file.
+
+    Spark's readers pass over names with a leading underscore, so the folders are listed by the file system; there is a name for each dataset.
+    """
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found, files = [], top.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(top, True)
+    while files.hasNext():
+        path = files.next().getPath().toString()
+        parts = path.split("/")
+        if parts[-1] == "_metadata.json" and len(parts) > 4:
+            found.append((*parts[-5:-1], "/".join(parts[:-1])))
+    return spark.createDataFrame(found, "layer string, code_location string, group string, asset string, root string")
 
 
 def list_sources(datasets: DataFrame) -> DataFrame:

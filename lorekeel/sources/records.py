@@ -69,8 +69,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
                         at = 0
                         with z.open(member) as f:
                             for part in pd.read_csv(f, dtype=str, keep_default_na=False, encoding="utf-8-sig", chunksize=20_000):
-                                fields = [list(r.items()) for r in part.to_dict("records")]
-                                yield pd.DataFrame({"archive": archive, "member": member.rsplit("/", 1)[-1], "ordinal": range(at, at + len(part)), "fields": fields})
+                                yield pd.DataFrame({"archive": archive, "member": member.rsplit("/", 1)[-1], "ordinal": range(at, at + len(part)), "fields": part.to_dict("records")})
                                 at += len(part)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
@@ -116,7 +115,7 @@ def media_totals(files: DataFrame) -> DataFrame:
 
 def prompts(spark: SparkSession, path: str) -> DataFrame:
     """name, front_matter and body of prompt files; a file without front matter is all body."""
-    files = spark.read.option("wholetext", "true").text(path).select("value", F.input_file_name().alias("path"))
+    files = spark.read.text(path, wholetext=True).select("value", F.input_file_name().alias("path"))
     front = F.regexp_extract("value", r"(?s)^---\s*\n(.*?)\n---\s*\n?", 1)
     return files.select(
         F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1).alias("name"), front.alias("front_matter"), stripped(F.regexp_replace("value", r"(?s)\A---\s*\n.*?\n---\s*\n?", "")).alias("body")
