@@ -108,7 +108,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     named = cut(document_names(docs, id_col, text_col, block))
     best = F.min(F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("id"), F.col("row_id").alias("row")))
-    groups = named.groupBy("level", "name").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+    # written first: a join beside an aggregate on the same key could not be split where a group is hot
+    groups = cut(named.groupBy("level", "name").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")))
     return named.join(groups, ["level", "name"]).select(
         "doc_id", F.col("best.id").alias("keep_id"), "group_size", (F.col("row_id") == F.col("best.row")).alias("kept"), "text_sha256"
     )
