@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that one slice of a batch holds at most, unless a single text is longer.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def text_slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
