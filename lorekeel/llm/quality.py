@@ -31,8 +31,8 @@ from pyspark.sql.window import Window
 from lorekeel.llm.batches import text_slices, words_of
 from lorekeel.session import cut
 
-#: Statistics of the vector and the least standard deviation that each is given.
-FLOORS = {"v_word_length": 0.05, "v_symbols": 0.03, "v_capitals": 0.03, "v_marks": 0.03, "v_repeats": 0.15, "v_lines": 0.15}
+#: Statistics of the vector and the least standard deviation that each is given, so small that each can reject a document on its own.
+FLOORS = {"v_word_length": 0.05, "v_symbols": 0.03, "v_capitals": 0.03, "v_marks": 0.03, "v_repeats": 0.05, "v_lines": 0.05}
 #: Share of a group's rows that the estimate rests on; rows from which on a group has an estimate of its own.
 SHARE, OWN_ROWS = 0.75, 50
 #: A clean document is rejected once in so many if transformed statistics are normal; theirs have heavier tails, so it is far out.

@@ -48,6 +48,28 @@ def test_outliers_of_a_group_go_and_the_rest_stays(spark):
     assert kept == {k: k % 20 != 0 for k in kept}
 
 
+def test_an_outlier_in_any_one_statistic_goes(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8)))
+    plain_words = lambda n: [word() for _ in range(n)]
+    twice = plain_words(30)
+    odd = {
+        "v_word_length": " ".join(w * 3 for w in plain_words(120)),
+        "v_symbols": " ".join(w + "|" for w in plain_words(120)),
+        "v_capitals": " ".join(w.upper() for w in plain_words(120)),
+        "v_marks": " ".join(w + "," for w in plain_words(120)),
+        # 60 of 130 words lie in windows found twice; then lines of two words, half of them repeated, between lines of one word that differ
+        "v_repeats": " ".join(twice + plain_words(70) + twice),
+        "v_lines": "\n".join(x for w in plain_words(60) for x in ("abcij dfghe", w)),
+    }
+    assert list(odd) == NAMES
+    rows = [(k, " ".join(plain_words(120))) for k in range(400)] + [(1000 + k, t) for k, t in enumerate(odd.values())]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s1' AS source")
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality_rules(df).collect()}
+    assert {NAMES[k - 1000]: v for k, v in got.items() if k >= 1000} == {n: (False, False) for n in NAMES}
+    assert all(kept for k, (_, kept) in got.items() if k < 1000)
+
+
 def test_empty_table_and_one_group_of_equal_rows(docs_of):
     assert quality_rules(docs_of([])).count() == 0
     text = " ".join(f"w{k}" for k in range(60))
