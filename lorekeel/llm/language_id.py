@@ -28,7 +28,7 @@ SWITCH, FOREIGN = 20.0, 30.0
 SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
 
-# First code point of script blocks, and the script of each (0: none).
+# First code point of script blocks, and the script of each (0: none listed).
 SCRIPTS = [
     (0x0041, 1), (0x005B, 0), (0x0061, 1), (0x007B, 0), (0x00AA, 1), (0x00AB, 0), (0x00BA, 1), (0x00BB, 0), (0x00C0, 1), (0x00D7, 0), (0x00D8, 1), (0x00F7, 0),
     (0x00F8, 1), (0x0300, 0), (0x0370, 2), (0x0400, 3), (0x0530, 4), (0x0590, 5), (0x0600, 6), (0x0700, 7), (0x0750, 6), (0x0780, 8), (0x0900, 9), (0x0980, 10),
@@ -36,8 +36,21 @@ SCRIPTS = [
     (0x1000, 22), (0x10A0, 23), (0x1100, 24), (0x1200, 25), (0x1780, 26), (0x1800, 0), (0x1E00, 1), (0x1F00, 2), (0x2000, 0), (0x3041, 27), (0x3100, 0),
     (0x3400, 28), (0x4DC0, 0), (0x4E00, 28), (0xA000, 0), (0xAC00, 24), (0xD7B0, 0), (0xF900, 28), (0xFB00, 1), (0xFB50, 6), (0xFE00, 0), (0x20000, 28), (0x323B0, 0),
 ]
-N_SCRIPTS = 29
-_FIRST, _SCRIPT = (np.array(x) for x in zip(*SCRIPTS))
+N_LISTED, BLOCK_BITS = 29, 7
+N_SCRIPTS = N_LISTED + (0x110000 >> BLOCK_BITS)
+
+
+def _script_table() -> np.ndarray:
+    """The script of every code point, 0 where it is no letter; letters outside the listed blocks have one for each 128 code points."""
+    first, script = (np.array(x) for x in zip(*SCRIPTS))
+    points = np.arange(0x110000)
+    at = np.searchsorted(first, points, side="right") - 1
+    listed = np.where(at < 0, 0, script[at])
+    letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    return np.where(letter, np.where(listed > 0, listed, N_LISTED + (points >> BLOCK_BITS)), 0).astype(np.int16)
+
+
+_SCRIPT_OF = _script_table()
 
 
 def _points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -48,8 +61,7 @@ def _points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scripts(points: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(_FIRST, points, side="right") - 1
-    return np.where(at < 0, 0, _SCRIPT[at])
+    return _SCRIPT_OF[points]
 
 
 def _grams(points: np.ndarray, order: int) -> np.ndarray:

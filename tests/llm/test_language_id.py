@@ -72,3 +72,14 @@ def test_script_narrows(spark, docs_of):
     model = learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     got = [r["lang_pred"] for r in identify(docs_of(["щущу жыжа", "zzz qqq"]), model).orderBy("doc_id").collect()]
     assert got == ["ru", "en"]
+
+
+def test_letters_of_every_script_count(spark, docs_of, model):
+    texts = ["ᠮᠣᠩᠭᠣᠯ", "ⰳⰾⰰⰳⱁⰾ", "ⵜⵉⴼⵉⵏⴰⵖ", "ㄅㄆㄇ", "ꆈꌠꉙ", "ꕙꔤ", "ﺍﺏﺕ", "ｆｕｌｌ", "ｱｲｳ", "𐌲𐌿𐍄", "𐐀𐐁", "ᱚᱞ"]
+    letterless = ["٠١٢", "\u0301\u0302", "१२३", "😀 ⅷ"]
+    rows = {r["doc_id"]: r for r in identify(docs_of(texts + letterless), model).collect()}
+    assert [k for k in range(len(texts)) if rows[k]["lang_pred"] == UNDETERMINED or not rows[k]["score"] > 0] == []
+    assert [rows[len(texts) + k]["lang_pred"] for k in range(len(letterless))] == [UNDETERMINED] * len(letterless)
+    labelled = [(k, "ꆈꌠꉙ ꆈꌠ", "ii") for k in range(9)] + [(20 + k, "ꕙꔤ ꕙ", "vai") for k in range(9)]
+    learned = learn(spark.createDataFrame(labelled, "doc_id long, text string, lang string"))
+    assert [r["lang_pred"] for r in identify(docs_of(["ꉙꉙ", "ꔤꔤ"]), learned).orderBy("doc_id").collect()] == ["ii", "vai"]
