@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lorekeel.llm.batches import text_slices
 
@@ -34,8 +35,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_TRIGGER = re.compile(r"[0-9@]|[(\[{](?:at|AT|dot|DOT)[)\]}]|\x20dot\x20")
 _ATOM = re.compile(r"[A-Za-zÀ-\U0010FFFF]+|[0-9]+|.", re.S)
+_AT = re.compile(r"(?<![A-Za-z])(?:at)(?![A-Za-z])", re.I)
+_DOT = re.compile(r"(?<![A-Za-z])(?:dot|punkt|punto|point)(?![A-Za-z])", re.I)
+#: A bare word for "at" counts where a dot inside a name or between blanks, or a word for one, follows within the atoms that one segment can hold.
+_TRIGGER = re.compile(
+    rf"[0-9@]|[(\[{{]at[)\]}}]|{_AT.pattern}(?=(?:[A-ZÀ-\U0010FFFF]++|[0-9]++|[^\n]){{1,{MAX_ATOMS}}}?(?:\.(?=[A-Z0-9])|(?<=\s)\.(?=\s)|{_DOT.pattern}))|{_DOT.pattern}", re.I
+)
 
 
 def luhn(digits: str) -> bool:
@@ -127,10 +133,6 @@ def _gaps(a: int, b: int, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     return out
 
 
-_AT = re.compile(r"(?<![A-Za-z])(?:at)(?![A-Za-z])", re.I)
-_DOT = re.compile(r"(?<![A-Za-z])(?:dot|punkt|punto|point)(?![A-Za-z])", re.I)
-
-
 def features(span: str, before: str, after: str) -> list[str]:
     """Whole-segment features, before they are paired with a kind."""
     digits = re.sub("[^0-9]", "", span)
@@ -279,12 +281,23 @@ def _log_sum(values: list[float]) -> float:
     return top + math.log(sum(math.exp(v - top) for v in values))
 
 
+#: How "@" and "." of an address are written out.
+ATS = (" at ", " AT ", " At ", "(at)", "(At)", " (at) ", "[at]", " [at] ", " @ ")
+DOTS = (".", " dot ", " DOT ", " punkt ", " punto ", " point ", " (dot) ", "[dot]")
+
+
+def _emails_whole(text: str) -> bool:
+    return list(_emails(text)) == [(0, len(text))]
+
+
 def vary(span: str, kind: int, rng: random.Random) -> str:
     """A span as people disguise or vary it."""
     if kind == 0:
-        at, dot = rng.choice([(" at ", " dot "), ("(at)", "."), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."), (" @ ", "."), (" at ", ".")])
+        if rng.random() < 0.5:
+            bare = re.sub("[0-9]+", "", span)
+            span = bare if _emails_whole(bare) else span
         name, _, domain = span.partition("@")
-        return name + at + domain.replace(".", dot)
+        return name + rng.choice(ATS) + domain.replace(".", rng.choice(DOTS))
     digits = re.sub("[^0-9]", "", span)
     if kind == 1:
         return rng.choice(["[.]", " . ", "(.)", "[dot]", " dot "]).join(span.split("."))
@@ -296,7 +309,7 @@ def vary(span: str, kind: int, rng: random.Random) -> str:
 
 
 def passages_of(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, limit: int = SAMPLE_PASSAGES) -> list[tuple[str, list[tuple[int, int, int]]]]:
-    """``limit`` passages at most, those with the least hash, of a sample of ``docs`` (doc_id, text) with digits or signs."""
+    """``limit`` passages at most of a sample of ``docs`` (doc_id, text) with digits, signs or words for them: those with the least hash, three quarters with base spans and one without."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -318,7 +331,9 @@ def passages_of(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, limit: int = SA
     share = min(1.0, sample_docs / n)
     some = some.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
     found = some.mapInArrow(run, "passage string, spans array<struct<a:int,b:int,k:int>>").distinct()
-    found = found.orderBy(F.xxhash64("passage"), "passage").limit(limit).collect()
+    place = F.row_number().over(Window.partitionBy("bare").orderBy(F.xxhash64("passage"), "passage"))
+    found = found.withColumn("bare", F.size("spans") == 0).withColumn("place", place).where(F.col("place") <= F.when(F.col("bare"), limit // 4).otherwise(limit - limit // 4))
+    found = found.orderBy("bare", "place").collect()
     return [(r["passage"], [(s["a"], s["b"], s["k"]) for s in r["spans"]]) for r in found]
 
 

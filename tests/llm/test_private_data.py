@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -6,7 +7,7 @@ from hypothesis import given as cases
 from hypothesis import settings
 from hypothesis import strategies as st
 
-from lorekeel.llm.private_data import KINDS, Field, added, base_spans, find_private, fit, learn, luhn, redact, redacted
+from lorekeel.llm.private_data import KINDS, Field, added, base_spans, find_private, fit, learn, luhn, redact, redacted, regions
 
 
 def plain(t):
@@ -84,3 +85,24 @@ def test_query_on_given_documents(spark, small, given_rows):
 
 def test_nothing_to_learn(docs_of):
     assert learn(docs_of([])).weights == {} and learn(docs_of(["no digits", None])).weights == {}
+
+
+ATS = (" at ", " AT ", " At ", "(at)", "(At)", " (at) ", "[at]", " [at] ", " @ ")
+DOTS = (".", " dot ", " DOT ", " punkt ", " punto ", " point ", " (dot) ", "[dot]")
+
+
+def test_every_written_out_address_is_looked_at_and_found():
+    rng = random.Random(4)
+    seen = []
+    for k in range(150):
+        before, address, after = "x" * (k % 4) + " mail to ", f"{rng.choice(['bob', 'ann', 'li.wu'])}{rng.choice(ATS)}site{rng.choice(DOTS)}com", " please"
+        seen.append((before + address + after, [(len(before), len(before) + len(address), 0)]))
+        seen.append(("they are at home. Then the point was made.", []))
+    trained = fit(seen, rounds=6)
+    for at in ATS:
+        for dot in DOTS:
+            address = f"eve{at}place{dot}org"
+            text = f"now mail to {address} please"
+            assert any(a <= 12 and b >= 12 + len(address) for a, b in regions(text, [])), address
+            assert [text[a:b] for a, b, _ in added(text, [], trained)] == [address]
+    assert added("they are at home. Then they left.", [], trained) == []
