@@ -40,7 +40,7 @@ _AT = re.compile(r"(?<![A-Za-z])(?:at)(?![A-Za-z])", re.I)
 _DOT = re.compile(r"(?<![A-Za-z])(?:dot|punkt|punto|point)(?![A-Za-z])", re.I)
 #: A bare word for "at" counts where a dot inside a name or between blanks, or a word for one, follows within the atoms that one segment can hold.
 _TRIGGER = re.compile(
-    rf"[0-9@]|[(\[{{]at[)\]}}]|{_AT.pattern}(?=(?:[A-ZÀ-\U0010FFFF]++|[0-9]++|[^\n]){{1,{MAX_ATOMS}}}?(?:\.(?=[A-Z0-9])|(?<=\s)\.(?=\s)|{_DOT.pattern}))|{_DOT.pattern}", re.I
+    rf"[0-9@]|[(\[{{]at[)\]}}]|{_AT.pattern}(?=(?:[A-ZÀ-\U0010FFFF]++|[0-9]++|[^\nA-ZÀ-\U0010FFFF0-9]){{1,{MAX_ATOMS}}}?(?:\.(?=[A-Z0-9])|(?<=\s)\.(?=\s)|{_DOT.pattern}))|{_DOT.pattern}", re.I
 )
 
 
