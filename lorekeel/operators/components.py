@@ -2,7 +2,8 @@
 
 Each round is one grouped minimum (combined before the shuffle) and one join on
 the same key, so a hub with very many neighbours costs a partial aggregate and a
-join that adaptive execution splits; no neighbour list is ever collected.
+join that adaptive execution splits; no neighbour list is ever collected. Rounds run
+in as many tasks as their edges are worth, since most graphs shrink to little work.
 """
 
 from __future__ import annotations
@@ -10,24 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekeel.session import cut
+from lorekeel.session import cut, parts_for
 
 
-def _apart(least: DataFrame) -> DataFrame:
-    """Dealt by both columns, so that the join after it shuffles both sides and a hot node's rows can be split."""
-    return least.repartition("u", "m")
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, parts: int) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.where("v > u").join(_apart(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    # coalesced: the join then shuffles both sides anew, so that a hot node's rows can be split
+    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")).coalesce(parts)
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").coalesce(parts)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, parts: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    across = down.join(_apart(least), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m")).coalesce(parts)
+    across = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(parts)
     return across.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -49,12 +46,15 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", max_round
     loops = given.where("u = v").select("u")
     now = given.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     mark = None
+    # a round makes no edges, so the number of edges tells how many tasks its parts are worth
+    rows = given.count()
     for _ in range(max_rounds):
-        now = cut(_small_star(_large_star(now)))
+        parts = parts_for(rows)
+        now = cut(_small_star(_large_star(now, parts), parts).coalesce(parts))
         new = _mark(now)
         if new == mark or not new[0]:
             break
-        mark = new
+        mark, rows = new, new[0]
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     found = now.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -26,18 +26,29 @@ def build_session(name: str = "lorekeel", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares, from ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder that the cluster shares, from ``spark.checkpoint.dir``; a local one only where that is unset and one machine does all."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(named)
         return named.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the whole cluster shares")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR")))
     return sc.getCheckpointDir().rstrip("/")
 
 
+#: Rows of a few numbers that one task takes at least, where a table's size is known.
+ROWS_A_TASK = 250_000
+
+
+def parts_for(rows: int) -> int:
+    """Tasks for a table of ``rows`` narrow rows: in proportion to it, never one alone."""
+    return max(4, -(-rows // ROWS_A_TASK))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, so that lost executors recompute nothing before it."""
     shared_dir(df.sparkSession)
