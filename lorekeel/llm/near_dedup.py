@@ -9,11 +9,14 @@ of independent draws.
 
 Documents with one set are one class from the start. Classes that share a band form a
 bucket. Buckets are worked off in two passes, neither of which lists all pairs of a
-bucket: first each member meets the bucket's hub, its first class; what
-passes verification is joined into components. Then only members of one bucket that
+bucket: first each member meets the bucket's hub, the member that shares most bands with
+most others, so mostly the text that the rest were made from; what passes verification is
+joined into components. Then only members of one bucket that
 are still in different components can matter; small buckets compare those
 directly, members of large ones by the prefix and position rules on the rarest of their shingles,
-which lose no pair at the threshold. Every link is confirmed on the full sets.
+counted exactly, which lose no pair at the threshold. Of two sets the smaller one is looked up by the
+shorter prefix that its size allows, which in a family of edited copies mostly holds shingles of that text
+alone. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -24,8 +27,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from lorekeel.llm.batches import text_slices, words_of
 from lorekeel.operators.components import connected_components
@@ -33,11 +37,10 @@ from lorekeel.session import cut
 
 #: Coordinates of a sketch, and how many of them make a band: 32 bands of 4 miss a pair at 0.8 once in 20 million.
 COORDINATES, BAND = 128, 4
-#: Buckets of so many classes at most compare what is left directly.
-SMALL_BUCKET = 64
-
-#: Bits of the table that orders shingles by how many sets of large buckets have them; its size is fixed.
-SLOT_BITS = 18
+#: Buckets of so many classes at most compare what is left directly, others by prefixes; both find the same links.
+SMALL_BUCKET = 8
+#: Numeric ids up to this count go to all tasks (8 bytes each) to pick the texts that are read again; beyond it they are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -153,6 +156,14 @@ def _verifying(percent: int):
     return run
 
 
+def _exploding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in text_slices(whole, "members"):
+            shingles = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("members")]
+            node = np.repeat(batch.column("node").to_numpy(), [len(x) for x in shingles])
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate(shingles))], ["node", "shingle"])
+
+
 def _close(percent: int):
     """Sizes that two sets at the threshold can have."""
     return (100 * F.least("n_a", "n_b")) >= (percent * F.greatest("n_a", "n_b"))
@@ -178,15 +189,20 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     firsts = some.join(classes.select(F.col("node").alias("row_id")), "row_id", "left_semi")
     banded = firsts.select(F.col("row_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    hubs = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"))
-    # written first: a join beside an aggregate on the same key could not be split where a bucket is hot
-    hubs = cut(hubs.where("size > 1"))
-    members = cut(banded.join(hubs, "key").select("key", "size", "node", "n", "hub"))
-
-    nodes = classes.select("node", "set_key", F.col("n_shingles").alias("n"))
-    needed = members.select("node").distinct().join(nodes, "node").select("node", "set_key")
-    ids = needed.join(rows.select(F.col("row_id").alias("node"), "doc_id"), "node").select("doc_id").distinct()
-    texts = given.join(ids, given["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    # written first, here and below: a join beside an aggregate on the same key could not be split where a bucket is hot
+    sizes = cut(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    members = cut(banded.join(sizes, "key").select("key", "size", "node", "n"))
+    central = members.groupBy("node").agg(F.sum("size").alias("central"))
+    members = cut(members.join(central, "node").select("key", "size", "node", "n", "central"))
+    best = F.max_by(F.struct(F.col("node").alias("hub"), F.col("n").alias("n_hub")), F.struct(F.col("central"), (-F.col("node")).alias("first")))
+    hubs = cut(members.groupBy("key").agg(best.alias("best")).select("key", "best.*"))
+    to_hub = members.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), F.col("n").alias("n_a"), F.col("n_hub").alias("n_b"))
+    tried = cut(to_hub.where(_close(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+    needed = cut(members.select("node").distinct().join(classes, "node").select("node", "set_key"))
+    ids = cut(needed.join(rows.select(F.col("row_id").alias("node"), "doc_id"), "node").select("doc_id").distinct())
+    light = isinstance(given.schema["doc_id"].dataType, NumericType) and ids.count() <= BROADCAST_IDS
+    texts = given.join(F.broadcast(ids) if light else ids, given["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
     sets = texts.mapInArrow(_listing(width), "set_key binary, members binary")
     sets = cut(sets.join(needed, "set_key").select("node", "members").dropDuplicates(["node"]))
 
@@ -195,15 +211,18 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         full = full.join(sets.select(F.col("node").alias("b"), F.col("members").alias("members_b")), "b")
         return cut(full.select("a", "b", "members_a", "members_b").mapInArrow(_verifying(percent), "a long, b long"))
 
-    to_hub = members.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    to_hub = to_hub.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").join(nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
-    tried = cut(to_hub.where(_close(percent)).select("a", "b"))
-    links = verified(tried)
-    found = cut(connected_components(links, "a", "b"))
+    found = cut(connected_components(verified(tried), "a", "b"))
+
+    def component_of(pairs: DataFrame, end: str) -> DataFrame:
+        return pairs.join(found.withColumnRenamed("node", end), end, "left").select(pairs["*"], F.coalesce("component", end).alias(f"c_{end}"))
 
     rest = verified(_untried(members, found, sets, tried, percent))
     if not rest.isEmpty():
-        found = connected_components(links.unionByName(rest), "a", "b")
+        # components that a later link joins: a graph of components, not of nodes
+        joined = cut(connected_components(component_of(component_of(rest, "a"), "b"), "c_a", "c_b"))
+        alone = joined.join(found.select(F.col("node").alias("seen")), joined["node"] == F.col("seen"), "left_anti")
+        later = joined.select(F.col("node").alias("component"), F.col("component").alias("joined"))
+        found = found.join(later, "component", "left").select("node", F.coalesce("joined", "component").alias("component")).unionByName(alone)
 
     labels = classes.join(found, "node", "left").select("set_key", "least_id", F.coalesce("component", "node").alias("component"))
     least = labels.groupBy("component").agg(F.min("least_id").alias("component_id"))
@@ -213,47 +232,6 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _slots(shingles: np.ndarray) -> np.ndarray:
-    return (_mix(shingles ^ _seed(9000)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
-def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << SLOT_BITS, np.int64)
-    for batch in batches:
-        for x in batch.column("members"):
-            np.add.at(total, _slots(np.frombuffer(x.as_buffer(), np.uint64)), 1)
-    slot = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], ["slot", "often"])
-
-
-def _slot_counts(full: DataFrame) -> np.ndarray:
-    """How many of the sets' shingles fall into each slot; ``1 << SLOT_BITS`` numbers, whatever the input."""
-    found = full.mapInArrow(_counting, "slot long, often long").groupBy("slot").agg(F.sum("often").alias("often")).toPandas()
-    counts = np.zeros(1 << SLOT_BITS, np.int64)
-    counts[found["slot"].to_numpy()] = found["often"].to_numpy()
-    return counts
-
-
-def _prefixes(percent: int, counts: np.ndarray):
-    """The first shingles of each set, in an order from rare to frequent slots that is the same for all sets.
-
-    Any such order loses no pair. A shingle alone in its slot is in no other set; it takes its place but is not given out.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, x in enumerate(batch.column("members")):
-                shingles = np.frombuffer(x.as_buffer(), np.uint64)
-                n = len(shingles)
-                often = counts[_slots(shingles)]
-                first = np.lexsort((shingles, often))[: n - -(-n * percent // 100) + 1]
-                place = np.flatnonzero(often[first] > 1)
-                one = batch.slice(i, 1).select(["node", "n", "component"]).take(pa.array(np.zeros(len(place), np.int64)))
-                yield pa.RecordBatch.from_arrays([*one.columns, pa.array(shingles[first[place]].view(np.int64)), pa.array(place + 1)], ["node", "n", "component", "shingle", "place"])
-
-    return run
-
-
 def _untried(members: DataFrame, found: DataFrame, sets: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
     """(a, b) of one bucket, in different components and not yet compared, that can reach the threshold."""
     labelled = members.join(found, "node", "left").select("key", "size", "node", "n", F.coalesce("component", "node").alias("component"))
@@ -261,20 +239,25 @@ def _untried(members: DataFrame, found: DataFrame, sets: DataFrame, tried: DataF
     mixed = cut(mixed)
     left = cut(labelled.join(mixed, "key", "left_semi"))
 
-    def paired(rows: DataFrame, on: list[str], further: Column | bool = True) -> DataFrame:
-        kept = [c for c in ("place",) if c in rows.columns]
-        a = rows.select(*on, *(F.col(c).alias(f"{c}_a") for c in kept), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-        b = rows.select(*on, *(F.col(c).alias(f"{c}_b") for c in kept), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-        return a.join(b, on).where("a < b and c_a <> c_b").where(_close(percent)).where(F.lit(further)).select("a", "b")
-
-    small = paired(left.where(F.col("size") <= SMALL_BUCKET), ["key"])
-    large = left.where(F.col("size") > SMALL_BUCKET).select("node", "n", "component").distinct()
-
-    full = large.join(sets, "node").select("node", "n", "component", "members")
-    counts = _slot_counts(full)
-    prefix = full.mapInArrow(_prefixes(percent, counts), "node long, n long, component long, shingle long, place long")
+    def end(rows: DataFrame, which: str, *more: str) -> DataFrame:
+        return rows.select(*(F.col(c).alias(f"{c}_{which}") for c in (*more, "n")), F.col("node").alias(which), F.col("component").alias(f"c_{which}"))
+
+    few = left.where(F.col("size") <= SMALL_BUCKET)
+    small = end(few, "a", "key").join(end(few, "b", "key"), F.expr("key_a = key_b and a < b and c_a <> c_b")).where(_close(percent)).select("a", "b")
+
+    large = cut(left.where(F.col("size") > SMALL_BUCKET).select("node", "n", "component").distinct())
+    listed = cut(large.select("node").join(sets, "node").mapInArrow(_exploding, "node long, shingle long"))
+    shared = cut(listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1"))
+    # one row a set; shingles of no other set come first in its order, and are only counted
+    order = listed.join(shared, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order"))
+    ranked = large.join(order, "node").withColumn("own", F.col("n") - F.size("order")).withColumn("length", F.expr(f"n - int(ceil(n * {percent} / 100)) + 1 - own"))
+    ranked = ranked.where("length > 0").select("node", "n", "component", "own", F.posexplode(F.expr("slice(order, 1, int(length))")).alias("pos", "item"))
+    prefix = cut(ranked.select("node", "n", "component", (F.col("own") + F.col("pos") + 1).alias("place"), F.col("item.shingle").alias("shingle")))
+    # the smaller set of a pair must share enough for a larger one, so that its prefix is shorter
+    short = prefix.where(f"place <= n - int(ceil(n * {2 * percent} / {100 + percent})) + 1")
+    pairs = end(short, "a", "shingle", "place").join(end(prefix, "b", "shingle", "place"), F.expr("shingle_a = shingle_b and c_a <> c_b and (n_a < n_b or n_a = n_b and a < b)"))
     # nothing before the first shingle that two sets share is shared, which bounds what they can share in all
     reach = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    enough = (100 + percent) * reach >= percent * (F.col("n_a") + F.col("n_b"))
-    pairs = small.unionByName(paired(prefix, ["shingle"], enough)).distinct()
+    pairs = pairs.where(_close(percent)).where((100 + percent) * reach >= percent * (F.col("n_a") + F.col("n_b")))
+    pairs = small.unionByName(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
     return pairs.join(tried, ["a", "b"], "left_anti")

@@ -66,6 +66,21 @@ def test_large_bucket_takes_the_prefix_path(docs_of, monkeypatch):
     assert found(near_dedup(docs_of(texts), width=5)) == plain(list(enumerate(texts)), 5)
 
 
+@pytest.mark.parametrize("direct", [3, 64])
+def test_hot_family_without_its_origin(docs_of, monkeypatch, direct):
+    import lorekeel.llm.near_dedup as module
+
+    monkeypatch.setattr(module, "SMALL_BUCKET", direct)
+    # two rounds of edits: members of one branch link with each other, hardly with the hub
+    texts = family(7, 200, 8, 100)
+    for k, branch in enumerate(texts[:4]):
+        for i in range(12):
+            w = branch.split()
+            w[(17 * i + k) % len(w)] = f"y{k}_{i}"
+            texts.append(" ".join(w))
+    assert found(near_dedup(docs_of(texts), width=4)) == plain(list(enumerate(texts)), 4)
+
+
 def test_given_documents(given, given_rows):
     assert found(near_dedup(given, width=4)) == plain([(i, t) for i, t, _ in given_rows], 4)
 
