@@ -225,7 +225,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         found = found.join(later, "component", "left").select("node", F.coalesce("joined", "component").alias("component")).unionByName(alone)
 
     labels = classes.join(found, "node", "left").select("set_key", "least_id", F.coalesce("component", "node").alias("component"))
-    least = labels.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    labels = cut(labels)
+    least = cut(labels.groupBy("component").agg(F.min("least_id").alias("component_id")))
     named = labels.join(least, "component").select("set_key", "component_id")
     out = some.join(named, "set_key").select("doc_id", "n_shingles", "component_id")
     out = out.unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
