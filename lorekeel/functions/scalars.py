@@ -209,10 +209,16 @@ def without_fences(text) -> Column:
     return F.coalesce(falsy(inside), stripped(text))
 
 
+def quoted(text) -> Column:
+    """A pattern that finds ``text`` as it is, case aside; places of hits are those of the text searched, whatever the length of its lower case."""
+    return F.concat(F.lit(r"(?iu)\Q"), F.replace(_c(text), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+
+
 def keyword_in_context(context, entity, window: int) -> list[Column]:
-    """(left, hit, right) around the first hit, case aside; without one the context's tail, the entity and nothing."""
+    """(left, hit, right) around the first hit, case aside; without one the context's tail, the entity and nothing. An empty entity is found at the start."""
     context, entity = _c(context), _c(entity)
-    at = F.call_function("locate", F.lower(entity), F.lower(context))
+    parts = F.split(context, quoted(entity), 2)
+    at = F.when(entity == "", 1).when(F.size(parts) > 1, F.length(parts[0]) + 1).otherwise(0)
     size, n = F.length(context), F.length(entity)
     start = F.greatest(at - window, F.lit(1))
     left = F.when(at > 0, F.call_function("substring", context, start, at - start)).otherwise(F.call_function("substring", context, F.greatest(size - window + 1, F.lit(1)), F.lit(window)))

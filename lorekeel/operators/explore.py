@@ -179,3 +179,62 @@ def with_mentions(chunks: DataFrame, mentions: DataFrame, most: int = 12) -> Dat
     kept = once.withColumn("_p", place).where(F.col("_p") <= most)
     listed = kept.groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("ordinal", "text", "mention_type"))).alias("mentions"))
     return chunks.join(listed, "chunk_id", "left")
+
+
+def counts_by(rows: DataFrame, *columns: str) -> DataFrame:
+    """(columns, n): how many rows have each combination; nulls are a value."""
+    return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def alignment_counts(edges: DataFrame) -> DataFrame:
+    """One row: edges of each of the two kinds."""
+    kinds = {"same_as": "sameAs", "possible_same_as": "possibleSameAs"}
+    return edges.agg(*(F.count_if(F.col("alignment_type") == k).alias(c) for c, k in kinds.items()))
+
+
+def reduction_ratio(mentions: DataFrame, candidates: DataFrame) -> DataFrame:
+    """One row: distinct surfaces (text and type), candidates, and candidates for each surface to three places."""
+    surfaces = mentions.select(F.lower("text").alias("t"), "mention_type").distinct().agg(F.count(F.lit(1)).alias("n_surfaces"))
+    found = candidates.agg(F.count(F.lit(1)).alias("n_candidates"))
+    both = surfaces.join(F.broadcast(found))
+    return both.withColumn("ratio", F.round(F.col("n_candidates") / F.greatest("n_surfaces", F.lit(1)), 3))
+
+
+def label_degrees(degrees: DataFrame, labels: DataFrame, most: int = 20) -> DataFrame:
+    """(label, node, degree, place): the nodes of most degree under each label, of equals the first by name; a node without a label is UNKNOWN.
+
+    ``labels``: (key, label, ordinal) by lower-cased name; the last label given counts.
+    """
+    last = labels.groupBy("key").agg(F.max_by("label", "ordinal").alias("label"))
+    named = degrees.withColumn("key", F.lower("node")).join(last, "key", "left").withColumn("label", F.coalesce("label", F.lit("UNKNOWN")))
+    place = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("degree"), "node"))
+    return named.withColumn("place", place).where(F.col("place") <= most).select("label", "node", "degree", "place")
+
+
+def entity_averages(entities: DataFrame) -> DataFrame:
+    """One row: entities, mentions and aliases for each; 0 where there are none."""
+    n = F.greatest(F.count(F.lit(1)), F.lit(1))
+    aliases = F.sum(F.size(F.coalesce("aliases", F.array().cast("array<string>"))))
+    return entities.agg(
+        F.count(F.lit(1)).alias("n"), (F.coalesce(F.sum("mention_count"), F.lit(0)) / n).alias("mentions_each"), (F.coalesce(aliases, F.lit(0)) / n).alias("aliases_each"),
+    )
+
+
+def known_languages(rows: DataFrame, column: str = "language") -> DataFrame:
+    """(language) of all rows, once each, without ``unknown`` and nulls."""
+    return rows.select(F.col(column).alias("language")).where("language <> 'unknown'").distinct()
+
+
+def ordered(rows: DataFrame, by: str, name: str = "canonical_name", count: str = "mention_count", aliases: str = "aliases", ordinal: str = "ordinal") -> DataFrame:
+    """Rows by ``count`` or ``aliases`` (most first), ``name`` (case aside) or ``length`` of the name (longest first); equals stay as they came."""
+    keys = {"count": F.desc(F.coalesce(count, F.lit(0))), "aliases": F.desc(F.size(aliases)), "name": F.asc(F.lower(name)), "length": F.desc(F.length(name))}
+    return rows.orderBy(keys[by], ordinal)
+
+
+def with_lineage(**parts: DataFrame) -> DataFrame:
+    """Rows of several sources with ``_source``: the source that a row names itself, else the one it came from."""
+    named = []
+    for source, rows in parts.items():
+        own = F.col("_source") if "_source" in rows.columns else F.lit(None).cast("string")
+        named.append(rows.withColumn("_source", F.coalesce(own, F.lit(source))))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)

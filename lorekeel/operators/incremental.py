@@ -88,6 +88,13 @@ def unprocessed(rows: DataFrame, processed: DataFrame, key: str = "content_hash"
     return rows.join(processed.select(key).distinct(), key, "left_anti")
 
 
+def append_lines(rows: DataFrame, path: str, id_col: str = "document_id") -> None:
+    """Append rows as JSON lines, a folder for each document; an id that is no safe name (letters, digits, ``_``, ``.`` and ``-``, no sign first) stops the write."""
+    safe = F.col(id_col).cast("string").rlike(r"^[a-zA-Z0-9][a-zA-Z0-9_.\-]*$")
+    sure = F.when(F.coalesce(safe, F.lit(False)), F.col(id_col)).otherwise(F.raise_error(F.concat(F.lit("no safe name: "), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))).cast(rows.schema[id_col].dataType))
+    rows.withColumn(id_col, sure).write.mode("append").partitionBy(id_col).json(path)
+
+
 def audit_rows(results: DataFrame, payload: str = "payload") -> DataFrame:
     """``results`` with payload_hash, the first 16 hexadecimal digits of the payload's SHA-256."""
     return results.withColumn("payload_hash", F.substring(F.sha2(F.col(payload).cast("string"), 256), 1, 16))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lorekeel.functions.scalars import content_hash, deterministic_id, jaccard, normalised, tokens
+from lorekeel.functions.scalars import content_hash, deterministic_id, jaccard, normalised, stripped, tokens
 from lorekeel.operators.components import connected_components
 from lorekeel.operators.textjoin import containing_pairs, similar_pairs
 from lorekeel.operators.vectors import similar_vectors
@@ -85,6 +85,23 @@ def resolve_mentions(mentions: DataFrame, code_location: str, vectors: DataFrame
     return out.withColumn("norm", normalised("canonical_name")).join(vectors.select("norm", "embedding").dropDuplicates(["norm"]), "norm", "left").drop("norm")
 
 
+def name_groups(mentions: DataFrame) -> DataFrame:
+    """(canonical, label, aliases, count) of ``mentions`` (ordinal, text, mention_type): names that are one entity across types.
+
+    Names equal but for case and outer blanks are one whatever their type; containment and word similarity join names of one type, and
+    groups run on over all types. The canonical name is the commonest, of equals the first seen; its label is the last one that it was given.
+    """
+    texts = mentions.select("ordinal", stripped("text").alias("text"), F.coalesce("mention_type", F.lit("")).alias("mention_type")).where("text <> ''")
+    names = cut(surfaces(texts))
+    linked = connected_components(surface_edges(names).select("a", "b"), "a", "b")
+    keys = names.select("key").distinct().join(linked.withColumnRenamed("node", "key"), "key", "left").select(F.col("key").alias("norm"), F.coalesce("component", "key").alias("component"))
+    each = texts.groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first"), F.max_by("mention_type", "ordinal").alias("label"))
+    rows = each.withColumn("norm", normalised("text")).join(cut(keys), "norm")
+    best = F.min_by(F.struct("text", "label"), F.struct((-F.col("n")).alias("n"), "first")).alias("best")
+    groups = rows.groupBy("component").agg(best, F.sum("n").alias("count"), F.array_sort(F.collect_list(F.struct("first", "text")))["text"].alias("texts"))
+    return groups.select(F.col("best.text").alias("canonical"), F.col("best.label").alias("label"), F.array_remove("texts", F.col("best.text")).alias("aliases"), "count")
+
+
 def align(candidates: DataFrame, locations: list[str]) -> DataFrame:
     """Alignment edges between candidates (candidate_id, canonical_name, candidate_type, aliases, code_location, embedding) of different locations.
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lorekeel.functions.scalars import falsy
+from lorekeel.functions.scalars import falsy, quoted
 
 
 def valid_span(start, end, text) -> Column:
@@ -40,14 +41,15 @@ def non_overlapping(rows: DataFrame, key: str, start: str = "start", end: str =
 def occurrences(texts: DataFrame, entities: DataFrame, key: str = "id") -> DataFrame:
     """(key, entity, start, end) of every hit of an entity of the same key in its text, case aside; ``texts`` (key, text), ``entities`` (key, entity).
 
-    Hits of one entity do not overlap each other.
+    Hits of one entity do not overlap each other. Places are code points of the text itself.
     """
-    rows = texts.select(key, F.lower("text").alias("t")).join(entities.select(key, "entity").where(falsy("entity").isNotNull()).distinct(), key)
-    parts = F.split(F.col("t"), F.concat(F.lit(r"\Q"), F.regexp_replace(F.lower("entity"), r"\\E", r"\\\\E"), F.lit(r"\E")), -1)
-    size = F.length("entity")
-    n = rows.withColumn("parts", parts).where(F.size("parts") > 1)
-    starts = F.transform(F.sequence(F.lit(1), F.size("parts") - 1), lambda i: F.aggregate(F.slice("parts", 1, i), F.lit(0), lambda a, p: a + F.length(p)) + (i - 1) * size)
-    return n.select(key, "entity", F.explode(starts).alias("start")).select(key, "entity", "start", (F.col("start") + F.length("entity")).alias("end"))
+    rows = texts.select(key, "text").join(entities.select(key, "entity").where(falsy("entity").isNotNull()).distinct(), key)
+    parts = rows.select(key, "entity", F.transform(F.split("text", quoted("entity"), -1), F.length).alias("parts")).where(F.size("parts") > 1)
+    each = parts.select(key, "entity", F.size("parts").alias("n"), F.posexplode("parts").alias("pos", "size"))
+    before = Window.partitionBy(key, "entity").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = (F.sum("size").over(before) + F.col("pos") * F.length("entity")).cast("int")
+    hits = each.withColumn("start", start).where("pos < n - 1")
+    return hits.select(key, "entity", "start", (F.col("start") + F.length("entity")).alias("end"))
 
 
 def annotated(texts: DataFrame, entities: DataFrame, key: str = "id") -> DataFrame:

@@ -28,6 +28,49 @@ def top_k(vectors: DataFrame, query: list[float], k: int, threshold: float | Non
     return best if threshold is None else best.where(F.col("score") >= threshold)
 
 
+def search(vectors: DataFrame, queries: DataFrame, k: int, threshold: float | None = None, id_col: str = "vec_id", vector_col: str = "embedding", query_id: str = "query_id", query_block: int = 512) -> DataFrame:
+    """(query_id, id, score, place): the ``k`` rows closest by cosine to each of ``queries`` (query_id, embedding), then those of at least ``threshold``; exact.
+
+    Ties go to the smaller id; vectors without length have score 0, null and empty ones are left out. Rows and queries meet in blocks: a pair
+    of blocks is one task's matrix product, made a slice of queries at a time, and keeps ``k`` rows for each query, which are merged by query.
+    """
+    rows = vectors.where(F.size(vector_col) > 0).select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<float>").alias("v"))
+    asked = queries.where(F.size(vector_col) > 0).select(F.col(query_id).alias("id"), F.col(vector_col).cast("array<float>").alias("v"))
+    n_rows, n_asked = (max(1, -(-df.count() // n)) for df, n in ((rows, BLOCK_ROWS * 4), (asked, BLOCK_ROWS)))
+    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    a = asked.select(every(n_rows).alias("r"), block(n_asked).alias("q"), "id", "v", F.lit(True).alias("asks"))
+    b = rows.select(block(n_rows).alias("r"), every(n_asked).alias("q"), "id", "v", F.lit(False).alias("asks"))
+    kinds = [df.schema["id"].dataType.simpleString() for df in (asked, rows)]
+
+    def unit(frame: pd.DataFrame) -> np.ndarray:
+        v = np.stack(frame["v"].to_numpy()).astype(np.float64)
+        norm = np.linalg.norm(v, axis=1)
+        return v / np.where(norm > 0, norm, 1)[:, None]
+
+    def best(frame: pd.DataFrame) -> pd.DataFrame:
+        mine, held = frame[frame["asks"]], frame[~frame["asks"]].sort_values("id")
+        out = []
+        if len(mine) and len(held):
+            u, v, q, ids = unit(mine), unit(held), mine["id"].to_numpy(), held["id"].to_numpy()
+            for at in range(0, len(u), query_block):
+                score = u[at : at + query_block] @ v.T
+                # rows are in the order of their ids, which a stable sort keeps among equals
+                top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                n = top.shape[1]
+                out.append(pd.DataFrame({"query_id": np.repeat(q[at : at + query_block], n), "id": ids[top].ravel(), "score": np.take_along_axis(score, top, 1).ravel()}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "id": [], "score": []})
+
+    # one type for both ids inside a task; they get their own back after
+    kind = kinds[0] if kinds[0] == kinds[1] else "string"
+    both = a.withColumn("id", F.col("id").cast(kind)).unionByName(b.withColumn("id", F.col("id").cast(kind)))
+    found = both.groupBy("r", "q").applyInPandas(best, f"query_id {kind}, id {kind}, score double")
+    found = found.select(F.col("query_id").cast(kinds[0]), F.col("id").cast(kinds[1]).alias(id_col), "score")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), id_col))
+    out = found.withColumn("place", place).where(F.col("place") <= k)
+    return out if threshold is None else out.where(F.col("score") >= threshold)
+
+
 def similar_vectors(vectors: DataFrame, over: float, id_col: str = "vec_id", vector_col: str = "embedding", group_col: str | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(a, b, score) of all pairs of a group with a cosine above ``over``, a before b; exact.
 
@@ -70,18 +113,25 @@ def overlap(left: DataFrame, right: DataFrame, id_col: str = "vec_id") -> DataFr
     return counts.withColumn("share", F.coalesce(F.col("n_both") / F.nullif(F.least("n_a", "n_b"), F.lit(0)), F.lit(0.0)))
 
 
-def budgeted(rows: DataFrame, budget: int, order: list, text_col: str = "text") -> DataFrame:
-    """The leading rows of an order (of a bounded result such as a top-k) whose texts together stay within ``budget`` code points."""
-    running = F.sum(F.coalesce(F.length(text_col), F.lit(0))).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return rows.withColumn("used", running).where(F.col("used") <= budget)
+def overlaps(left: DataFrame, right: DataFrame, id_col: str = "vec_id", query_id: str = "query_id") -> DataFrame:
+    """(query_id, n_a, n_b, n_both, share) for each query: rows of either result, of both, and the shared part of the smaller one."""
+    a, b = left.select(query_id, id_col, F.lit(1).alias("in_a")), right.select(query_id, id_col, F.lit(1).alias("in_b"))
+    counts = a.join(b, [query_id, id_col], "full_outer").groupBy(query_id).agg(F.count("in_a").alias("n_a"), F.count("in_b").alias("n_b"), F.count(F.expr("in_a + in_b")).alias("n_both"))
+    return counts.withColumn("share", F.coalesce(F.col("n_both") / F.nullif(F.least("n_a", "n_b"), F.lit(0)), F.lit(0.0)))
+
+
+def budgeted(rows: DataFrame, budget: int, order: list, text_col: str = "text", keys: list[str] | None = None) -> DataFrame:
+    """The leading rows of an order (of a bounded result such as a top-k, one for each of ``keys``) whose texts together stay within ``budget`` code points."""
+    window = Window.partitionBy(*(keys or [])).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("used", F.sum(F.coalesce(F.length(text_col), F.lit(0))).over(window)).where(F.col("used") <= budget)
 
 
-def retrieval_context(hits: DataFrame, chunks: DataFrame, budget: int = 8000) -> DataFrame:
-    """One row ``context``: the texts of the hits (chunk_id, score), best first, as far as the budget reaches, an empty line between them."""
+def retrieval_context(hits: DataFrame, chunks: DataFrame, budget: int = 8000, keys: list[str] | None = None) -> DataFrame:
+    """One row (for each of ``keys``) with ``context``: the texts of the hits (chunk_id, score), best first, as far as the budget reaches, an empty line between them."""
     texts = hits.join(chunks.select("chunk_id", "document_id", "text"), "chunk_id")
-    kept = budgeted(texts, budget, [F.desc("score"), "chunk_id"])
+    kept = budgeted(texts, budget, [F.desc("score"), "chunk_id"], keys=keys)
     parts = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "chunk_id", "text")))
-    return kept.agg(F.array_join(parts["text"], "\n\n").alias("context"), F.count(F.lit(1)).alias("n_chunks"))
+    return kept.groupBy(*(keys or [])).agg(F.array_join(parts["text"], "\n\n").alias("context"), F.count(F.lit(1)).alias("n_chunks"))
 
 
 def embedded(rows: DataFrame, embed, dimensions: int, text_col: str = "text", model: str = "", batch_size: int = 100) -> DataFrame:

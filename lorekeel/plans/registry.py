@@ -2,35 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekeel.functions.scalars import h3_resolution, keyword_in_context, mention_type, stripped, text_hash
-from lorekeel.operators import chunking, documents, explore, incremental, resolution, spans, textjoin, validation, vectors
+from lorekeel.functions.scalars import keyword_in_context, text_hash
+from lorekeel.operators import chunking, documents, explore, incremental, resolution, textjoin, validation, vectors
 from lorekeel.operators.components import connected_components
+from lorekeel.plans.base import ORACLES, QUERIES, query
 from lorekeel.plans.views import ASSERTIONS_SQL, CANDIDATES_SQL, SURFACES_SQL, assertions, candidates, mentions, table
 from lorekeel.plans.views import documents as given_documents
 from lorekeel.streaming import metrics
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function by its name, with the SQL that must give the same rows."""
-
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 # --- documents and chunks -------------------------------------------------------------------------------
 
 
@@ -301,24 +283,27 @@ def link_status(spark, d):
 
 # --- vectors ---------------------------------------------------------------------------------------------------------
 
-_QUERY_VECTOR = [1.0 if k % 3 else -0.5 for k in range(64)]
 _VECTOR_SQL = """
-q AS (SELECT list_transform(range(64), lambda k: CASE WHEN k % 3 <> 0 THEN 1.0 ELSE -0.5 END)::DOUBLE[] AS v),
-scored AS (SELECT vec_id, label, list_cosine_similarity(embedding::DOUBLE[], v) AS score FROM embeddings, q)"""
+q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 50 = 0),
+scored AS (SELECT query_id, vec_id, label, list_cosine_similarity(embedding::DOUBLE[], v) AS score FROM embeddings, q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)"""
+
+
+def _searched(spark, d, k, rows="true", threshold=None):
+    """The ``k`` vectors closest to every one whose id 50 divides."""
+    e = table(spark, d, "embeddings")
+    return vectors.search(e.where(rows), e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), k, threshold)
 
 
-@query(f"WITH {_VECTOR_SQL} SELECT vec_id, label, round(score, 6) AS score FROM scored ORDER BY scored.score DESC, vec_id LIMIT 10")
+@query(f"WITH {_VECTOR_SQL} SELECT query_id, vec_id, round(score, 5) AS score, CAST(place AS INTEGER) AS place FROM ranked WHERE place <= 10 AND score >= 0.2")
 def vector_topk(spark, d):
-    return vectors.top_k(table(spark, d, "embeddings"), _QUERY_VECTOR, 10).select("vec_id", "label", F.round("score", 6).alias("score"))
+    return _searched(spark, d, 10, threshold=0.2).select("query_id", "vec_id", F.round("score", 5).alias("score"), "place")
 
 
-@query(f"""WITH {_VECTOR_SQL}, a AS (SELECT vec_id, score FROM scored ORDER BY score DESC, vec_id LIMIT 50), b AS (SELECT vec_id, score FROM scored WHERE label < 5 ORDER BY score DESC, vec_id LIMIT 50)
-SELECT (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM b) AS n_b, (SELECT count(*) FROM a JOIN b USING (vec_id)) AS n_both,
-round((SELECT avg(score) FROM a), 6) AS mean_a, round((SELECT avg(score) FROM b), 6) AS mean_b""")
+@query(f"""WITH {_VECTOR_SQL}, a AS (SELECT query_id, vec_id FROM ranked WHERE place <= 50), c AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS p FROM scored WHERE label < 5), b AS (SELECT query_id, vec_id FROM c WHERE p <= 50)
+SELECT query_id, (SELECT count(*) FROM a WHERE a.query_id = q.query_id) AS n_a, (SELECT count(*) FROM b WHERE b.query_id = q.query_id) AS n_b, (SELECT count(*) FROM a JOIN b USING (query_id, vec_id) WHERE a.query_id = q.query_id) AS n_both FROM q""")
 def result_overlap(spark, d):
-    e = table(spark, d, "embeddings")
-    both = vectors.overlap(vectors.top_k(e, _QUERY_VECTOR, 50), vectors.top_k(e.where("label < 5"), _QUERY_VECTOR, 50))
-    return both.select("n_a", "n_b", F.col("n_both"), F.round("mean_a", 6).alias("mean_a"), F.round("mean_b", 6).alias("mean_b"))
+    return vectors.overlaps(_searched(spark, d, 50), _searched(spark, d, 50, "label < 5")).select("query_id", "n_a", "n_b", "n_both")
 
 
 @query("""SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS score
@@ -328,64 +313,17 @@ def vector_pairs(spark, d):
     return found.select("a", "b", F.round("score", 5).alias("score"))
 
 
-@query(f"""WITH {_VECTOR_SQL}, h AS (SELECT vec_id, score FROM scored ORDER BY score DESC, vec_id LIMIT 30), t AS (SELECT h.score, doc_id, text, sum(length(text)) OVER (ORDER BY h.score DESC, doc_id) AS used FROM h JOIN documents ON doc_id = vec_id)
-SELECT string_agg(text, chr(10) || chr(10) ORDER BY score DESC, doc_id) AS context, count(*) AS n_chunks FROM t WHERE used <= 8000""")
+@query(f"""WITH {_VECTOR_SQL}, t AS (SELECT query_id, score, doc_id, text, sum(length(text)) OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS used FROM ranked JOIN documents ON doc_id = vec_id WHERE place <= 30)
+SELECT query_id, string_agg(text, chr(10) || chr(10) ORDER BY score DESC, doc_id) AS context, count(*) AS n_chunks FROM t WHERE used <= 8000 GROUP BY query_id""")
 def retrieval_context(spark, d):
-    hits = vectors.top_k(table(spark, d, "embeddings"), _QUERY_VECTOR, 30).select(F.col("vec_id").alias("chunk_id"), "score")
+    hits = _searched(spark, d, 30).select("query_id", F.col("vec_id").alias("chunk_id"), "score")
     chunks = table(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("doc_id").alias("document_id"), "text")
-    return vectors.retrieval_context(hits, chunks)
+    return vectors.retrieval_context(hits, chunks, keys=["query_id"])
 
 
 # --- validation --------------------------------------------------------------------------------------------------------
 
 
-def _mention_items(spark, d):
-    docs = table(spark, d, "documents")
-    end = F.least(F.length("text"), F.lit(12))
-    text = F.when(F.col("lang") == "fr", F.upper(F.substring("text", 1, 12))).otherwise(F.substring("text", 1, 12))
-    items = docs.select(
-        F.col("source").alias("batch_id"), F.col("doc_id").cast("int").alias("pos"), text.alias("text"), F.when(F.col("lang") == "es", "thing").otherwise("company").alias("mention_type"),
-        F.lit(0).alias("span_start"), end.cast("int").alias("span_end"), (F.col("n_chars") / 2000).alias("confidence"),
-    )
-    return items, docs.select(F.col("doc_id").cast("int").alias("pos"), F.col("source").alias("batch_id"), F.substring("text", 1, 12).alias("text"))
-
-
-_MENTION_SQL = """
-m AS (SELECT doc_id, CASE WHEN lang = 'fr' THEN upper(substr(text, 1, 12)) ELSE substr(text, 1, 12) END AS t, substr(text, 1, 12) AS s, lang, n_chars / 2000 AS confidence FROM documents WHERE length(text) > 0),
-errors AS (
-  SELECT doc_id, 'SPAN_MISMATCH' AS code FROM m WHERE t <> s UNION ALL SELECT doc_id, 'INVALID_TYPE' FROM m WHERE lang = 'es' UNION ALL
-  SELECT doc_id, 'CONFIDENCE_OUT_OF_RANGE' FROM m WHERE confidence > 1)"""
-
-
-def _mention_errors(spark, d):
-    items, texts = _mention_items(spark, d)
-    one = lambda df: df.withColumn("batch_id", F.col("pos"))  # noqa: E731  each document is a batch of its own
-    items = one(items).where("text <> ''")
-    return items, one(texts).where("text <> ''").select("batch_id", "text"), validation.mention_errors(items, one(texts).where("text <> ''").select("batch_id", "text"))
-
-
-@query(f"WITH {_MENTION_SQL} SELECT code, count(*) AS n FROM errors GROUP BY code")
-def mention_error_codes(spark, d):
-    return _mention_errors(spark, d)[2].groupBy("code").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query(f"WITH {_MENTION_SQL}, b AS (SELECT DISTINCT doc_id FROM errors) SELECT CASE WHEN b.doc_id IS NULL THEN 'valid' ELSE 'invalid' END AS verdict, count(*) AS n FROM m LEFT JOIN b USING (doc_id) GROUP BY 1")
-def mention_verdicts(spark, d):
-    items, texts, errors = _mention_errors(spark, d)
-    return validation.verdicts(items, errors, texts, "invalid").groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("""WITH e AS (SELECT user_id, event_id, value / 3 - 60 AS lat, value - 200 AS lon FROM events), b AS (SELECT user_id, lat NOT BETWEEN -90 AND 90 OR lon NOT BETWEEN -180 AND 180 AS bad FROM e)
-SELECT user_id AS batch_id, count(*) FILTER (NOT bad) AS valid_count, count(*) FILTER (bad) AS invalid_count, CASE WHEN count(*) FILTER (bad) = 0 THEN 'valid' WHEN count(*) FILTER (NOT bad) = 0 THEN 'invalid' ELSE 'ambiguous' END AS verdict FROM b GROUP BY user_id""")
-def spatial_verdicts(spark, d):
-    e = table(spark, d, "events")
-    rows = e.select(
-        F.col("user_id").alias("batch_id"), F.col("event_id").alias("pos"), (F.col("value") / 3 - 60).alias("lat"), (F.col("value") - 200).alias("lon"),
-        F.lit("872830828ffffff").alias("h3_index"), F.lit("POINT(1 2)").alias("geometry_wkt"), F.lit(1.0).alias("confidence"),
-    )
-    return validation.verdicts(rows, validation.spatial_errors(rows)).select("batch_id", "valid_count", "invalid_count", "verdict")
-
-
 @query("""WITH p AS (SELECT o_orderkey, o_custkey, lower(replace(o_orderpriority, '-', ' ')) AS predicate, o_totalprice / 300000 AS confidence FROM orders),
 e AS (SELECT 'INVALID_REFERENCE' AS code, false AS w FROM p WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) UNION ALL
 SELECT 'PREDICATE_FORMAT', true FROM p WHERE NOT regexp_matches(predicate, '^[a-z][a-z0-9]*(_[a-z0-9]+)*$') UNION ALL SELECT 'CONFIDENCE_OUT_OF_RANGE', false FROM p WHERE confidence > 1)
@@ -401,30 +339,6 @@ def proposition_error_codes(spark, d):
     return validation.proposition_errors(rows, known).groupBy("code", "is_warning").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT action, auto_applicable, count(*) AS n FROM (SELECT CASE code WHEN 'SPAN_MISMATCH' THEN 'replace' ELSE 'coerce' END AS action, code = 'CONFIDENCE_OUT_OF_RANGE' AS auto_applicable FROM (WITH """ + _MENTION_SQL + """ SELECT code FROM errors)) GROUP BY 1, 2""")
-def repair_actions(spark, d):
-    items, _, errors = _mention_errors(spark, d)
-    valued = errors.join(items.select("batch_id", "pos", F.col("confidence").alias("current_value")), ["batch_id", "pos"])
-    return validation.repair_plan(valued).groupBy("action", "auto_applicable").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("SELECT upper(event_type) AS raw, 'OTHER' AS mention_type, count(*) AS n FROM events GROUP BY 1")
-def mention_types(spark, d):
-    e = table(spark, d, "events")
-    return e.groupBy(F.upper("event_type").alias("raw"), mention_type("event_type").alias("mention_type")).agg(F.count(F.lit(1)).alias("n"))
-
-
-# --- spans ---------------------------------------------------------------------------------------------------------------
-
-
-@query()
-def annotated_conversations(spark, d):
-    """Hits of words of each conversation's first turn in all its turns, the longest kept where they overlap."""
-    c = table(spark, d, "conversations").select(F.concat_ws(":", "conv_id", "turn").alias("id"), "conv_id", "turn", "text")
-    words = c.where("turn = 0").select("conv_id", F.explode(F.slice(F.split(stripped("text"), " "), 1, 5)).alias("entity")).distinct()
-    return spans.annotated(c, c.select("id", "conv_id").join(words, "conv_id").select("id", "entity"))
-
-
 # --- metrics over events -----------------------------------------------------------------------------------------------------
 
 
@@ -463,10 +377,11 @@ def user_sessions(spark, d):
     return found.select("user_id", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")), "n")
 
 
-@query("""SELECT user_id % 100 AS user_group, CAST(7 AS INTEGER) AS resolution, count(*) AS n FROM events GROUP BY 1""")
-def cell_counts(spark, d):
-    e = table(spark, d, "events")
-    return e.groupBy((F.col("user_id") % 100).alias("user_group"), h3_resolution(F.lit("872830828ffffff")).alias("resolution")).agg(F.count(F.lit(1)).alias("n"))
+# the queries of these modules are registered as they are read
+from lorekeel.plans import extraction_queries, lookup_queries, record_queries  # noqa: E402
+
+MODULES = (extraction_queries, lookup_queries, record_queries)
+__all__ = ["MODULES", "ORACLES", "QUERIES", "flagship"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,6 +113,34 @@ def media_totals(files: DataFrame) -> DataFrame:
     return files.agg(F.count(F.lit(1)).alias("n_files"), F.round(F.coalesce(F.sum("size_bytes"), F.lit(0)) / 2**30, 2).alias("gib"))
 
 
+def media_breakdown(files: DataFrame) -> DataFrame:
+    """(facet, value, n, gib): files by extension and by source folder."""
+    facets = F.explode(F.array(*(F.struct(F.lit(c).alias("facet"), F.col(c).alias("value")) for c in ("extension", "source_dir")))).alias("f")
+    counts = files.select(facets, "size_bytes").groupBy("f.facet", "f.value").agg(F.count(F.lit(1)).alias("n"), F.sum("size_bytes").alias("b"))
+    return counts.select("facet", "value", "n", F.round(F.col("b") / 2**30, 2).alias("gib"))
+
+
+def probe_totals(probed: DataFrame) -> DataFrame:
+    """One row: files, files whose probe failed (``error``), files with video and with sound, hours to two places."""
+    return probed.agg(
+        F.count(F.lit(1)).alias("n_files"), F.count("error").alias("n_errors"), F.count_if("has_video").alias("with_video"), F.count_if("has_audio").alias("with_audio"),
+        F.round(F.coalesce(F.sum("duration_seconds"), F.lit(0.0)) / 3600, 2).alias("hours"),
+    )
+
+
+def spoken(transcripts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Transcripts with a text, and one row ``n_skipped``: how many have none."""
+    has = F.coalesce("text", F.lit("")) != ""
+    return transcripts.where(has), transcripts.agg(F.count_if(~has).alias("n_skipped"))
+
+
+def front_matter(prompts: DataFrame) -> DataFrame:
+    """``prompts`` with ``entries``: the ``key: value`` lines of their front matter, quotes around a value dropped."""
+    lines = F.filter(F.split(F.coalesce("front_matter", F.lit("")), "\n"), lambda x: F.contains(x, F.lit(":")))
+    key, value = lambda x: stripped(F.substring_index(x, ":", 1)), lambda x: F.regexp_replace(stripped(F.regexp_replace(x, "^[^:]*:", "")), r"""^(['"])(.*)\1$""", "$2")
+    return prompts.withColumn("entries", F.map_from_entries(F.transform(lines, lambda x: F.struct(key(x), value(x)))))
+
+
 def prompts(spark: SparkSession, path: str) -> DataFrame:
     """name, front_matter and body of prompt files; a file without front matter is all body."""
     files = spark.read.text(path, wholetext=True).select("value", F.input_file_name().alias("path"))
@@ -149,6 +177,29 @@ def members_from_api(payloads: DataFrame) -> DataFrame:
     )
 
 
+def committees_from_api(payloads: DataFrame) -> DataFrame:
+    """Committees from ``payloads`` (value: the JSON of one committee); the code is the id."""
+    schema = "systemCode string, name string, chamber string, committeeTypeCode string, parent struct<systemCode:string>, url string"
+    c = payloads.select(F.from_json("value", schema).alias("c")).select("c.*")
+    code = F.coalesce("systemCode", F.lit(""))
+    return c.select(
+        code.alias("id"), code.alias("system_code"), F.coalesce("name", F.lit("")).alias("name"), "chamber", F.col("committeeTypeCode").alias("committee_type"),
+        F.col("parent.systemCode").alias("parent_committee"), F.col("url").alias("source_url"),
+    )
+
+
+def filings_from_api(payloads: DataFrame) -> DataFrame:
+    """Court filings from ``payloads`` (ordinal, value: the JSON of one filing); one without an id has its ordinal."""
+    schema = "id string, title string, slug string, case_number string, document_type string, document_date string, excerpt string, page_count string, source_url string, file_url string"
+    f = payloads.select("ordinal", F.from_json("value", schema).alias("f")).select("ordinal", "f.*")
+    empty = F.lit("")
+    return f.select(
+        F.coalesce("id", F.col("ordinal").cast("string")).alias("id"), F.coalesce("title", "slug", empty).alias("title"), F.coalesce("case_number", empty).alias("case_number"),
+        F.coalesce("document_type", empty).alias("document_type"), F.coalesce("document_date", empty).alias("date_filed"), F.coalesce("excerpt", empty).alias("content"),
+        F.coalesce(F.expr("try_cast(page_count as int)"), F.lit(0)).alias("page_count"), F.coalesce("source_url", "file_url").alias("source_url"),
+    )
+
+
 def probe_metadata(files: DataFrame) -> DataFrame:
     """``files`` (probe: the JSON of a media probe) with duration and the first video and audio streams; what is missing is 0, empty or false."""
     schema = "format struct<duration:string,format_name:string>, streams array<struct<codec_type:string,codec_name:string,width:int,height:int,channels:int,sample_rate:string>>"

@@ -61,6 +61,21 @@ def counter_rate(samples: DataFrame, keys: list[str], value: str = "value", ts:
     return _edges(out)
 
 
+def over_limit(samples: DataFrame, used: str = "used", limit: str = "available", over: float = 0.9) -> DataFrame:
+    """``samples`` with ``ratio`` of used to available, above ``over``; without a positive limit there is no ratio."""
+    ratio = F.col(used) / F.nullif(F.greatest(F.col(limit), F.lit(0)), F.lit(0))
+    return samples.withColumn("ratio", ratio).where(F.col("ratio") > over)
+
+
+def sustained(samples: DataFrame, keys: list[str], holds, seconds: int = 300, ts: str = "ts") -> DataFrame:
+    """(keys, since, until, n) of runs of successive samples for which a condition holds, that last ``seconds`` or longer. For batches."""
+    order = Window.partitionBy(*keys).orderBy(ts)
+    marked = samples.select(*keys, ts, F.coalesce(holds, F.lit(False)).alias("_holds"))
+    runs = marked.withColumn("_run", F.sum((~F.col("_holds")).cast("int")).over(order)).where("_holds")
+    spans = runs.groupBy(*keys, "_run").agg(F.min(ts).alias("since"), F.max(ts).alias("until"), F.count(F.lit(1)).alias("n")).drop("_run")
+    return spans.where(F.unix_micros("until") - F.unix_micros("since") >= seconds * 1_000_000)
+
+
 def first_seen(rows: DataFrame, key: str = "content_hash") -> DataFrame:
     """Rows whose key was not seen before; on a stream the seen keys are kept as state."""
     return rows.dropDuplicates([key])

@@ -64,3 +64,17 @@ def test_files_and_keys(spark):
     assert one(spark, S.config_key(F.lit(400), F.lit(100), "a", F.lit(64), {"big": "b1"}), a="My-Model_2024") == "cs400_co100_mymodel2_d64"
     assert [one(spark, S.hive_segment("a"), a=v) for v in ("2024-03-05", "2024-03", "x")] == ["year=2024/month=03/day=05", "year=2024/month=03", "x"]
     assert one(spark, S.first_truthy("a", "b"), a="", b="y") == "y" and one(spark, S.preview("a", 3), a="abcdef") == "abc..."
+
+
+def test_places_of_hits_where_lower_case_is_longer(spark):
+    from lorekeel.functions.scalars import keyword_in_context
+    from lorekeel.operators.spans import annotated, occurrences
+
+    rows = spark.createDataFrame([("İİ acme end", "ACME"), ("none here", "acme"), (r"a \E+ b", r"\e+"), ("x", "")], "c string, e string")
+    parts = keyword_in_context("c", "e", 3)
+    got = [tuple(r) for r in rows.select(*(p.alias(str(k)) for k, p in enumerate(parts))).collect()]
+    assert got == [("İİ ", "acme", " en"), ("ere", "acme", ""), ("a ", r"\E+", " b"), ("", "", "x")]
+    texts = spark.createDataFrame([(1, "İİ acme end, Acme! acme corp")], "id int, text string")
+    names = spark.createDataFrame([(1, "acme"), (1, "ACME corp"), (1, ""), (1, None)], "id int, entity string")
+    assert sorted(tuple(r)[1:] for r in occurrences(texts, names).collect()) == [("ACME corp", 19, 28), ("acme", 3, 7), ("acme", 13, 17), ("acme", 19, 23)]
+    assert sorted(tuple(r)[1:] for r in annotated(texts, names).select("id", "entity", "start", "end").collect()) == [("ACME corp", 19, 28), ("acme", 3, 7), ("acme", 13, 17)]

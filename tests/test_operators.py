@@ -250,3 +250,70 @@ def test_similar_pairs_agree_with_all_pairs(spark, over, least):
     got = {(r["a"], r["b"]) for r in textjoin.similar_pairs(df, over, least).collect()}
     assert got == expected and got
     assert {(r["a"], r["b"]) for r in textjoin.sharing_pairs(df, least).collect()} >= got
+
+
+def test_search_against_brute_force(spark):
+    import numpy as np
+
+    from lorekeel.operators import vectors
+
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(300, 8)).astype(np.float32)
+    v[7] = 0
+    v[20] = v[10]
+    e = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)] + [(900, []), (901, None)], "vec_id long, embedding array<float>")
+    asked = e.where("vec_id % 50 = 0").selectExpr("vec_id as query_id", "embedding")
+    got = {(r["query_id"], r["place"]): r["vec_id"] for r in vectors.search(e, asked, 5, query_block=2).collect()}
+    n = np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    u = v / np.where(n > 0, n, 1)
+    for q in range(0, 300, 50):
+        s = u @ u[q]
+        assert [got[q, k + 1] for k in range(5)] == sorted(range(300), key=lambda i: (-round(s[i], 9), i))[:5]
+    assert vectors.search(e.where("false"), asked, 5).count() == 0 and vectors.search(e, asked.where("false"), 5).count() == 0
+
+
+def test_append_lines_refuses_unsafe_names(spark, tmp_path):
+    import pytest
+
+    from lorekeel.operators.incremental import append_lines
+    from lorekeel.sources.records import json_lines
+
+    rows = lambda *ids: spark.createDataFrame([(i, 1) for i in ids], "document_id string, n int")
+    append_lines(rows("a-1", "b.2"), str(tmp_path / "x"))
+    append_lines(rows("a-1"), str(tmp_path / "x"))
+    assert sorted(r["document_id"] for r in json_lines(spark, str(tmp_path / "x"), "n int, document_id string").collect()) == ["a-1", "a-1", "b.2"]
+    for bad in ("../up", "", None, "-x"):
+        with pytest.raises(Exception, match="no safe name"):
+            append_lines(rows(bad), str(tmp_path / "y"))
+
+
+def test_extractor_is_tried_again():
+    import pytest
+
+    from lorekeel.operators.extraction import retried
+
+    calls = []
+
+    def flaky(texts, hints):
+        calls.append(texts)
+        if len(calls) < 3:
+            raise TimeoutError
+        return ["[]"] * len(texts)
+
+    assert retried(flaky, 3, 0)(["a"], [None]) == ["[]"] and len(calls) == 3
+    calls.clear()
+    with pytest.raises(TimeoutError):
+        retried(flaky, 2, 0)(["a"], [None])
+    with pytest.raises(KeyError):
+        retried(lambda t, h: {}["x"], 5, 0)(["a"], [None])
+
+
+def test_runs_that_last(spark):
+    from pyspark.sql import functions as F
+
+    from lorekeel.streaming.metrics import sustained
+
+    rows = [("a", 0, 1), ("a", 60, 1), ("a", 400, 1), ("a", 500, 0), ("a", 600, 1), ("b", 0, 1), ("b", 100, None), ("b", 900, 1)]
+    df = spark.createDataFrame([(k, t, v) for k, t, v in rows], "k string, t long, up int").withColumn("ts", F.timestamp_seconds("t"))
+    got = [(r["k"], r["n"]) for r in sustained(df, ["k"], F.col("up") == 1, 300).collect()]
+    assert got == [("a", 3)]

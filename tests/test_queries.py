@@ -10,7 +10,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def rows_of(frame):
     frame = frame[sorted(frame.columns)]
-    plain = lambda v: None if v is None or v is pd.NaT or v != v else str(v) if hasattr(v, "isoformat") else v.item() if hasattr(v, "item") else v
+    plain = lambda v: None if v is None or v is pd.NA or v is pd.NaT or v != v else str(v) if hasattr(v, "isoformat") else v.item() if hasattr(v, "item") else v
     return sorted(repr(tuple(plain(v) for v in r)) for r in frame.itertuples(index=False, name=None))
 
 
