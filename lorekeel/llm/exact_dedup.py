@@ -1,8 +1,9 @@
 """Operator 4, exact dedup by deterministic block naming.
 
 A text without its ASCII white space is cut into blocks of ``block`` code points. The
-distinct blocks are sorted, and a block's place is its integer name; then the
-distinct pairs of neighbouring names are sorted and named, level after level,
+distinct blocks are sorted over the whole cluster (dealt by ranges, sorted within them), and a block's
+place in that order is its integer name, so that names do not depend on how the cluster deals rows out; then the
+distinct pairs of neighbouring names are sorted and named alike, level after level,
 until each document has one name. Names stand for contents, not for hashes, so
 two documents share (level, name) only if their normalised texts are equal.
 
@@ -19,11 +20,12 @@ from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lorekeel.session import cut
+from lorekeel.session import cut, parts_for
 
 #: Code points in a block.
-BLOCK = 4096
+BLOCK = 512
 
 
 def normalised(text):
@@ -40,9 +42,16 @@ def _keys(part, seed: int):
     return F.xxhash64(F.lit(2 * seed), part), F.xxhash64(F.lit(2 * seed + 1), part)
 
 
-def _named(distinct: DataFrame, by: list[str]) -> DataFrame:
-    """Distinct rows with their sorted place (made unique over partitions) as integer ``name``."""
-    return cut(distinct.sortWithinPartitions(*by).withColumn("name", F.monotonically_increasing_id()))
+def _named(distinct: DataFrame, by: list[str], keep: list[str]) -> DataFrame:
+    """``keep`` of distinct rows, and as ``name`` the place of each, from 0, in the order of ``by``."""
+    placed = cut(distinct.repartitionByRange(*by).sortWithinPartitions(*by).select(*keep, F.monotonically_increasing_id().alias("id")))
+    # an id holds the partition above bit 33 and the place in it below; partitions are in the order of their ranges
+    part, within = F.shiftright("id", 33).cast("int"), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    first = sizes.select("part", F.coalesce(before, F.lit(0)).alias("first"))
+    # a row for each partition
+    return placed.withColumn("part", part).join(F.broadcast(first), "part").select(*keep, (F.col("first") + within).alias("name"))
 
 
 def block_names(docs: DataFrame, text_col: str = "text", block: int = BLOCK) -> tuple[DataFrame, int]:
@@ -51,7 +60,7 @@ def block_names(docs: DataFrame, text_col: str = "text", block: int = BLOCK) ->
     for seed in count():
         k1, k2 = _keys(F.col("part"), seed)
         distinct = parts.select(k1.alias("k1"), k2.alias("k2"), "part").distinct()
-        names = cut(distinct.sortWithinPartitions("part").select("k1", "k2", F.monotonically_increasing_id().alias("name")))
+        names = _named(distinct, ["part"], ["k1", "k2"])
         if names.groupBy("k1", "k2").count().where("count > 1").isEmpty():
             return names, seed
 
@@ -77,8 +86,8 @@ def document_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     now = each.select("row_id", "nodes", "pos", "key.k1", "key.k2").join(names, ["k1", "k2"]).select("row_id", "nodes", "pos", "name")
     now = cut(now)
     done, level = now.where("nodes = 1").select("row_id", F.lit(0).alias("level"), "name"), 0
-    longest = now.agg(F.max("nodes")).first()[0] or 1
     now = now.where("nodes > 1")
+    longest, rows_left = now.agg(F.coalesce(F.max("nodes"), F.lit(1)), F.count(F.lit(1))).first()
     while longest > 1:
         level += 1
         longest = (longest + 1) // 2
@@ -86,10 +95,11 @@ def document_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("left"),
             F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("right"),
         )
-        pairs = cut(pairs)
-        named = _named(pairs.select("left", "right").distinct(), ["left", "right"])
+        rows_left = (rows_left + 1) // 2
+        pairs = cut(pairs.coalesce(parts_for(rows_left)))
+        named = _named(pairs.select("left", "right").distinct(), ["left", "right"], ["left", "right"])
         now = pairs.join(named, ["left", "right"]).select("row_id", F.expr("cast((nodes + 1) div 2 as int)").alias("nodes"), "pos", "name")
-        now = cut(now)
+        now = cut(now.coalesce(parts_for(rows_left)))
         done = done.unionByName(now.where("nodes = 1").select("row_id", F.lit(level).alias("level"), "name"))
         now = now.where("nodes > 1")
     return rows.drop("keys").join(done, "row_id")
@@ -103,7 +113,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the first read. A null text counts as empty, and all empty or blank texts
     form one group. Repeated rows, also with one id, are rows of their own, of which
     one stays. Columns besides the two named are not read, whatever their names. An
-    empty table gives no rows. A group of any size is counted by combining before
+    empty table gives no rows. Texts of any length are cut whole, into as many blocks as they have. A group of any size is counted by combining before
     the shuffle, and no group is held in one place.
     """
     named = cut(document_names(docs, id_col, text_col, block))

@@ -37,3 +37,20 @@ def test_repeated_rows_keep_one_and_null_ids_come_last(docs_of):
 
 def test_empty_table(docs_of):
     assert exact_dedup(docs_of([])).count() == 0
+
+
+def test_names_are_places_in_sorted_order_however_rows_are_dealt(docs_of):
+    from lorekeel.llm.exact_dedup import block_names, document_names
+
+    texts = ["b" * 5 + "a", "aaaa", "c", "", None, "b b", "aaaab", "zz" * 4, "aaaab"]
+    seen = set()
+    for n in (1, 3, 7):
+        docs = docs_of(texts).repartition(n)
+        names, _ = block_names(docs, block=4)
+        assert sorted(r["name"] for r in names.collect()) == list(range(names.count()))
+        named = document_names(docs, block=4).collect()
+        seen.add(tuple(sorted((r["doc_id"], r["level"], r["name"]) for r in named)))
+        # single blocks are named in the order of their contents
+        single = sorted((texts[r["doc_id"]] or "", r["name"]) for r in named if r["level"] == 0 and r["doc_id"] != 5)
+        assert [x for _, x in single] == sorted(x for _, x in single)
+    assert len(seen) == 1
