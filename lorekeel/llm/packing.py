@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lorekeel.llm.batches import text_slices
@@ -84,7 +85,8 @@ def plan_windows(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
 def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of each document's ids: doc_id, start, length, doc_tokens and tokens (little-endian unsigned 32-bit).
 
-    A null text counts as empty and has one piece, with the end id alone.
+    A null or empty text has one piece, with the end id alone; a text of any length is encoded whole. Rows repeated
+    with one id have pieces of their own. Other columns are not read, and an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,33 +112,33 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     return given.mapInArrow(run, f"doc_id {kind}, start long, length long, doc_tokens long, tokens binary")
 
 
-def _numbering(schema_names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        part = TaskContext.get().partitionId()
-        for batch in batches:
-            local = []
-            for n in batch.column("length").to_pylist():
-                local.append(seen[n])
-                seen[n] += 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, part), pa.int64()), pa.array(local, pa.int64())], [*schema_names, "_part", "_local"])
-
-    return run
+def _numbering(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: Counter = Counter()
+    part = TaskContext.get().partitionId()
+    for batch in batches:
+        local = []
+        for n in batch.column("length").to_pylist():
+            local.append(seen[n])
+            seen[n] += 1
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, part), pa.int64()), pa.array(local, pa.int64())], ["piece", "length", "part", "local"])
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (any columns, with ``length`` of 1 to ``capacity``) with sequence_id and offset.
 
     Places in a sequence are gapless from 0. Pieces that are equal in every column are pieces of
-    their own. No pieces give no rows. The driver holds one count for each length, ``capacity``
+    their own. Columns of ``pieces`` named sequence_id or offset are replaced; all others stay, whatever their names.
+    No pieces give no rows. The driver holds one count for each length, ``capacity``
     at most, and the plan made of them; both are bounded whatever the input.
     """
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    numbered = cut(pieces.mapInArrow(_numbering(pieces.columns), f"{kinds}, _part long, _local long"))
-    tally = cut(numbered.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("_n")))
-    before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tally.select("_part", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    counts = {r["length"]: r["n"] for r in tally.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    # a piece travels as one struct, so that no name of its columns can clash with a name used here
+    whole = pieces.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("piece"), F.col("length").cast("long").alias("length"))
+    numbered = cut(whole.mapInArrow(_numbering, T.StructType([*whole.schema.fields, T.StructField("part", T.LongType()), T.StructField("local", T.LongType())])))
+    tally = cut(numbered.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")))
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tally.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    counts = {r["length"]: r["n"] for r in tally.groupBy("length").agg(F.sum("n").alias("n")).collect()}
 
     rows, sequence, used = [], 0, Counter()
     for repeats, pattern in plan_windows(counts, capacity):
@@ -156,8 +158,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         turn, slot = np.divmod(rank - since, copies)
         return pd.DataFrame({"sequence_id": base + turn, "offset": at + slot * length})
 
-    ranked = numbered.join(offsets, ["_part", "length"]).withColumn("_at", place("length", F.col("_before") + F.col("_local")))
-    return ranked.select(*pieces.columns, "_at.sequence_id", "_at.offset")
+    ranked = numbered.join(offsets, ["part", "length"]).withColumn("at", place("length", F.col("before") + F.col("local")))
+    return ranked.select(*(F.col("piece")[c].alias(c) for c in kept), "at.sequence_id", "at.offset")
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -116,3 +116,14 @@ def test_query_on_given_documents(spark, small, given_rows, plain):
 
 def test_empty_table(docs_of):
     assert pack(token_pieces(docs_of([]), VOCABULARY)).count() == 0
+
+
+def test_names_of_columns_do_not_matter(spark):
+    rows = spark.createDataFrame([(k, 3 + k % 5, k) for k in range(20)], "_part long, length long, _local long").selectExpr("*", "'x' as piece", "7 as offset", "1 as before", "2 as `at`")
+    placed = pack(rows, 8).collect()
+    assert sorted((r["_part"], r["length"], r["_local"]) for r in placed) == [(k, 3 + k % 5, k) for k in range(20)]
+    assert all(r["piece"] == "x" and r["before"] == 1 and r["at"] == 2 for r in placed)
+    fill = {}
+    for r in sorted(placed, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == fill.get(r["sequence_id"], 0)
+        fill[r["sequence_id"]] = r["offset"] + r["length"]
