@@ -6,8 +6,10 @@ and a document far from its own group's centre is rejected.
 
 The estimate is the deterministic kind: from two starts (medians with quantile widths;
 all rows), concentration steps replace centre and scatter by those of the ``SHARE`` of rows
-that are closest, until the determinant stops falling; the start with the least determinant
-wins, and one reweighting step follows. A step is one aggregate over all rows: distances
+that are closest, for each group and start until its own determinant stops falling; the start with the least determinant
+wins, and one reweighting step follows. Centre and scatter of a group are then drawn towards its language's, and
+those towards all rows', as if ``PRIOR_ROWS`` rows had those, so that small groups are not
+estimated from a few rows and large ones keep their own. A step is one aggregate over all rows: distances
 fall into bins of 1/8 octave, each bin of a group holds its count and moments, and the bins up
 to the one that completes the share are added up. So a group of any size, also one that
 holds a third of all rows, is combined before the shuffle, and no row is ordered or collected. Every
@@ -33,14 +35,14 @@ from lorekeel.session import cut
 
 #: Statistics of the vector and the least standard deviation that each is given, so small that each can reject a document on its own.
 FLOORS = {"v_word_length": 0.05, "v_symbols": 0.03, "v_capitals": 0.03, "v_marks": 0.03, "v_repeats": 0.05, "v_lines": 0.05}
-#: Share of a group's rows that the estimate rests on; rows from which on a group has an estimate of its own.
-SHARE, OWN_ROWS = 0.75, 50
+#: Share of a group's rows that the estimate rests on; rows that a language's estimate counts as beside those of a group of it.
+SHARE, PRIOR_ROWS = 0.75, 10
 #: A clean document is rejected once in so many if transformed statistics are normal; theirs have heavier tails, so it is far out.
 ONE_IN = 1_000_000_000
 #: Parts that a group's rows are dealt into when they meet its estimate.
 SALTS = 32
-#: Concentration steps at most, and the fall of the log determinant that ends them.
-STEPS, SETTLED = 8, 1e-3
+#: The least fall of a group's log determinant for which its concentration steps go on; floors bound it from below, so they end.
+SETTLED = 1e-3
 
 NAMES = list(FLOORS)
 P = len(NAMES)
@@ -120,7 +122,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _solved(n: pd.Series, sums: pd.Series, cross: pd.Series, factor: pd.Series) -> pd.DataFrame:
-    """Centre, inverse Cholesky factor (lower triangle by rows) and log determinant of the floored scatter."""
+    """Centre, floored scatter and its inverse Cholesky factor (lower triangles by rows) and log determinant."""
     out = []
     for k, s, c, f in zip(n, sums, cross, factor):
         mu = np.asarray(s) / k
@@ -131,8 +133,20 @@ def _solved(n: pd.Series, sums: pd.Series, cross: pd.Series, factor: pd.Series)
         cov = (vectors * np.maximum(values, 0)) @ vectors.T + np.diag(np.square(list(FLOORS.values())))
         chol = np.linalg.cholesky(cov)
         white = np.linalg.inv(chol)
-        out.append((mu.tolist(), [white[i, j] for i, j in CROSS], 2 * float(np.log(np.diag(chol)).sum())))
-    return pd.DataFrame(out, columns=["mu", "white", "logdet"])
+        out.append((mu.tolist(), [cov[i, j] for i, j in CROSS], [white[i, j] for i, j in CROSS], 2 * float(np.log(np.diag(chol)).sum())))
+    return pd.DataFrame(out, columns=["mu", "cov", "white", "logdet"])
+
+
+def _whitened(cov: pd.Series) -> pd.Series:
+    """Inverse Cholesky factors of scatters, both as lower triangles by rows."""
+    out = []
+    for c in cov:
+        full = np.zeros((P, P))
+        for (i, j), x in zip(CROSS, c):
+            full[i, j] = full[j, i] = x
+        white = np.linalg.inv(np.linalg.cholesky(full))
+        out.append([white[i, j] for i, j in CROSS])
+    return pd.Series(out)
 
 
 def _distance():
@@ -155,8 +169,8 @@ def _moments() -> list:
 
 def _from_moments(df: DataFrame, keys: list[str], factor) -> DataFrame:
     sums, cross = F.array(*(f"s{i}" for i in range(P))), F.array(*(f"c{i}_{j}" for i, j in CROSS))
-    solved = F.pandas_udf(_solved, "mu array<double>, white array<double>, logdet double")
-    return df.select(*keys, F.col("n").cast("double"), solved("n", sums, cross, factor).alias("e")).select(*keys, "n", "e.mu", "e.white", "e.logdet")
+    solved = F.pandas_udf(_solved, "mu array<double>, cov array<double>, white array<double>, logdet double")
+    return df.select(*keys, F.col("n").cast("double"), solved("n", sums, cross, factor).alias("e")).select(*keys, "n", "e.mu", "e.cov", "e.white", "e.logdet")
 
 
 def _meeting(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -166,7 +180,7 @@ def _meeting(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 
 
 def robust_estimates(rows: DataFrame) -> DataFrame:
-    """(group_key, rows, mu, white) for ``rows`` of group_key, salt and the vector's statistics."""
+    """(group_key, rows, mu, cov) for ``rows`` of group_key, salt and the vector's statistics."""
     keys = ["group_key", "start"]
     all_rows = rows.groupBy("group_key").agg(*_moments()).withColumn("start", F.lit("all"))
     sizes = cut(all_rows.select("group_key", F.col("n").alias("rows")))
@@ -176,20 +190,30 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
         "group_key", F.lit("middle").alias("start"), F.lit(1).alias("n"), *(F.col(c)[1].alias(f"s{i}") for i, c in enumerate(NAMES)),
         *((F.col(NAMES[i])[1] * F.col(NAMES[j])[1] + (width(i) * width(i) if i == j else F.lit(0.0))).alias(f"c{i}_{j}") for i, j in CROSS),
     )
-    now = cut(_from_moments(all_rows.unionByName(middle), keys, F.lit(1.0)))
     share = SHARE / chi2_cdf(chi2_quantile(SHARE, P), P + 2)
-    before = None
-    for _ in range(STEPS):
-        now = cut(_from_moments(_closest(_meeting(rows, now.drop("n")), sizes, keys), keys, F.lit(share)))
-        after = now.agg(F.sum("logdet")).first()[0]
-        if after is None or before is not None and before - after < SETTLED:
-            break
-        before = after
-    best = now.withColumn("place", F.row_number().over(Window.partitionBy("group_key").orderBy("logdet", "start"))).where("place = 1")
+    # a start's own scatter is no concentrated one, so that the first step is always taken
+    now = cut(_from_moments(all_rows.unionByName(middle), keys, F.lit(1.0)).select(*keys, "mu", "white", F.lit(float("inf")).alias("logdet")))
+    ended = []
+    while not now.isEmpty():
+        step = _from_moments(_closest(_meeting(rows, now), sizes, keys), keys, F.lit(share)).select(*keys, *(F.col(c).alias(f"new_{c}") for c in ("mu", "white", "logdet")))
+        both = cut(now.join(step, keys))
+        falls = F.col("logdet") - F.col("new_logdet") >= SETTLED
+        ended.append(both.where(~falls).select(*now.columns))
+        now = both.where(falls).select(*keys, *(F.col(f"new_{c}").alias(c) for c in ("mu", "white", "logdet")))
+    done = reduce(DataFrame.unionByName, ended) if ended else now
+    best = done.withColumn("place", F.row_number().over(Window.partitionBy("group_key").orderBy("logdet", "start"))).where("place = 1")
     near = _meeting(rows, cut(best.select("group_key", "mu", "white"))).where(_distance() <= chi2_quantile(0.975, P))
     factor = 0.975 / chi2_cdf(chi2_quantile(0.975, P), P + 2)
     last = _from_moments(near.groupBy("group_key").agg(*_moments()), ["group_key"], F.lit(factor))
-    return last.drop("n", "logdet").join(sizes, "group_key")
+    return last.select("group_key", "mu", "cov").join(sizes, "group_key")
+
+
+def _drawn(own: str, towards: str):
+    """An estimate drawn towards another by ``PRIOR_ROWS``; the other where there is none of its own."""
+    a, b = F.col(own), F.col(towards)
+    mix = lambda x, y: (x * a["rows"] + y * PRIOR_ROWS) / (a["rows"] + PRIOR_ROWS)
+    mixed = F.struct(a["rows"].alias("rows"), F.zip_with(a["mu"], b["mu"], mix).alias("mu"), F.zip_with(a["cov"], b["cov"], mix).alias("cov"))
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(mixed)
 
 
 def _closest(rows: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
@@ -205,12 +229,12 @@ def _closest(rows: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """One row per row of ``docs``: doc_id, lang, source, the five counts, base_failed, distance, kept.
 
-    ``distance`` is the squared robust distance from the row's own language and source; a pair
-    with fewer than ``OWN_ROWS`` rows that pass the base rules is judged by its language, and a
-    language with fewer by all rows. A null language or source is a group as any other. A null or
-    empty text has no words and fails the base rules. Repeated rows are rows of their own and count
-    as such in the estimates. If no row passes the base rules, all distances are null
-    and nothing is kept. Other columns are not read, whatever their names.
+    ``distance`` is the squared robust distance from the row's own language and source, whose estimate is drawn
+    towards the language's and that towards all rows'. A null language or source is a group as any other. A null or
+    empty text has no words and fails the base rules; a text of any length is counted whole. Repeated rows are rows of their own and count
+    as such in the estimates. Of starts with one determinant the first by name wins, and a distance at the cut itself is kept.
+    If no row passes the base rules, all distances are null
+    and nothing is kept. Other columns are not read, whatever their names. An empty table gives no rows.
     """
     rows = cut(text_statistics(docs, id_col, text_col, lang_col, source_col))
     named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
@@ -218,10 +242,12 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     fit = rows.where("not base_failed").select(F.explode(F.array(own, of_lang, of_all)).alias("group_key"), "salt", *NAMES)
     found = cut(robust_estimates(fit))
 
-    pairs = rows.select("lang", "source").distinct().select(own.alias("own"), F.explode(F.array(own, of_lang, of_all)).alias("group_key"))
-    usable = pairs.join(found, "group_key").where((F.col("rows") >= OWN_ROWS) | (F.col("group_key") == "0"))
-    best = usable.withColumn("place", F.row_number().over(Window.partitionBy("own").orderBy(F.desc("group_key")))).where("place = 1")
-    judged = rows.withColumn("own", own).join(cut(best.select("own", "mu", "white")), "own", "left").withColumn("distance", _distance())
+    best = cut(rows.select(own.alias("own"), of_lang.alias("of_lang")).distinct()).withColumn("of_all", of_all)
+    for level in ("own", "of_lang", "of_all"):
+        best = best.join(found.select(F.col("group_key").alias(level), F.struct("rows", "mu", "cov").alias(f"e_{level}")), level, "left")
+    best = best.withColumn("e_of_lang", _drawn("e_of_lang", "e_of_all")).withColumn("e", _drawn("e_own", "e_of_lang")).where("e is not null")
+    best = best.select("own", "e.mu", F.pandas_udf(_whitened, "array<double>")("e.cov").alias("white"))
+    judged = rows.withColumn("own", own).join(cut(best), "own", "left").withColumn("distance", _distance())
     far = chi2_quantile(1 - 1 / ONE_IN, P)
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= far, F.lit(True))
     return judged.select("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", kept.alias("kept"))

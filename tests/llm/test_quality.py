@@ -90,3 +90,14 @@ def test_quantiles():
     for df in (2, 6, 8):
         assert abs(chi2_cdf(chi2_quantile(0.975, df), df) - 0.975) < 1e-9
     assert abs(chi2_quantile(0.975, 6) - 14.449) < 1e-3
+
+
+def test_small_groups_lean_on_their_language(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8)))
+    clean = [(k, " ".join(word() for _ in range(120)), "en", f"s{k % 3}") for k in range(300)]
+    few = [(1000 + k, " ".join(word() for _ in range(120)), "en", f"rare{k}") for k in range(6)]
+    odd = [(2000 + k, " ".join(word() + "$#|&" for _ in range(120)), "en", f"odd{k // 2}") for k in range(6)]
+    df = spark.createDataFrame(clean + few + odd, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules(df).collect()}
+    assert all(v == (k < 2000) for k, v in kept.items())
