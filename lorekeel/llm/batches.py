@@ -26,6 +26,14 @@ def text_slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BY
     yield batch.slice(at)
 
 
+def free_name(columns: list[str], wanted: str) -> str:
+    """``wanted``, with as many underscores as it takes to be none of ``columns`` (case aside)."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def words_of(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each text (null: none): starts (one more than texts), word codes, the distinct words.
 

@@ -92,17 +92,16 @@ def loaded(path: str, pattern: str) -> ByteBpe:
 
 
 def _swapped(schema: T.StructType, old: str, new: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([f for f in schema.fields if f.name != old] + [T.StructField(new, kind)])
+    return T.StructType([f for f in schema.fields if f.name not in (old, new)] + [T.StructField(new, kind)])
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with ``text_col`` replaced by ``ids_col``, its token ids without special tokens.
 
     A null text counts as empty; an empty text has no ids. All other columns pass through
-    unread, repeated rows stay repeated, and an empty table gives no rows. A text is never cut short.
+    unread, one named ``ids_col`` is replaced, repeated rows stay repeated, and an empty table gives no rows. A text is never cut short.
     """
-    if ids_col in docs.columns and ids_col != text_col:
-        raise ValueError(f"{ids_col} is a column already")
+    docs = docs.drop(ids_col) if ids_col != text_col else docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
@@ -117,7 +116,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "bytes") -> DataFrame:
-    """``rows`` with ``ids_col`` replaced by ``bytes_col``, the bytes that the ids stand for; null ids give none."""
+    """``rows`` with ``ids_col`` replaced by ``bytes_col``, the bytes that the ids stand for; null ids give none. Another column named ``bytes_col`` is replaced."""
+    rows = rows.drop(bytes_col) if bytes_col != ids_col else rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)

@@ -210,7 +210,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     ``spans`` lists (first, past, lang), by places of words, of runs of one language. ``lang_pred``
     holds the most letters (a tie goes to the first by name), and ``score`` is its share of them.
     A text that is null, or has no letter, is ``und`` with score 0 and no spans, and so
-    are all texts if nothing was learned. Rows may repeat; no other column is read.
+    are all texts if nothing was learned. A text of any length is read whole. Rows may repeat; no other column is read, and an empty table gives no rows.
     """
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     held = given.sparkSession.sparkContext.broadcast(model)
@@ -226,9 +226,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def with_language(docs: DataFrame, model: Model, text_col: str = "text", into: str = "lang_pred", switch: float = SWITCH) -> DataFrame:
-    """``docs`` as they are, with the language of each text (as in ``identify``) in a new column ``into``; nothing is shuffled."""
-    if into in docs.columns:
-        raise ValueError(f"{into} is a column already")
+    """``docs`` as they are, with the language of each text (as in ``identify``) in a new column ``into``, which replaces one of that name; nothing is shuffled."""
+    docs = docs.drop(into) if into != text_col else docs
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from lorekeel.llm.batches import text_slices, words_of
 from lorekeel.session import cut
 
-#: Labelled documents that are learned from (expected number), terms and exceptions that a lexicon holds.
-SAMPLE_DOCS, MAX_TERMS, MAX_EXCEPTIONS = 20_000, 2_000, 10_000
+#: Labelled documents that are learned from (expected number); they bound the lexicon, whose every entry was seen in several of them.
+SAMPLE_DOCS = 20_000
 #: Letters of a word's beginnings that may be terms, written with a star.
 BEGINNINGS = range(4, 9)
 #: Different words that must have stood before a term in toxic documents; the least log odds of a term.
@@ -111,7 +111,8 @@ def _folded(batch: pa.RecordBatch) -> tuple[list[list[str]], np.ndarray]:
 
 
 def matched(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``rows`` with ``text`` replaced by ``n_words``, ``total`` (the sum of weights) and ``hits`` (start in the folded text, weight)."""
+    """``rows`` with ``text`` replaced by ``n_words``, ``total`` (the sum of weights) and ``hits`` (start in the folded text, weight); columns of these names are replaced too."""
+    rows = rows.drop("n_words", "total", "hits")
     held = rows.sparkSession.sparkContext.broadcast(lexicon)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("weight", pa.float64())]))
 
@@ -189,17 +190,17 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     often = texts.mapInArrow(_terms, "term string, bad double, good double").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     odds = F.round(F.log((F.col("bad") + 0.5) / bad) - F.log((F.col("good") + 0.5) / good), 6)
     likely = often.where(F.col("bad") >= CONTEXTS).withColumn("weight", odds).where(F.col("weight") >= LEAST_WEIGHT)
-    likely = {r["term"]: r["weight"] for r in likely.orderBy(F.desc(F.col("weight") * F.sqrt(F.round("bad", 6))), "term").limit(2 * MAX_TERMS).collect()}
+    likely = {r["term"]: r["weight"] for r in likely.select("term", "weight").collect()}
 
     around = cut(texts.mapInArrow(_contexts(set(likely)), "term string, toxic int, before string, word string, after string"))
     varied = around.where("toxic = 1").groupBy("term").agg(F.countDistinct("before").alias("b"), F.countDistinct("after").alias("a"))
     kept = varied.where((F.col("b") >= CONTEXTS) & (F.col("a") >= CONTEXTS)).select("term").collect()
-    weights = {t: likely[t] for t in sorted((r["term"] for r in kept), key=lambda t: (-likely[t], t))[:MAX_TERMS]}
+    weights = {t: likely[t] for t in sorted((r["term"] for r in kept), key=lambda t: (-likely[t], t))}
 
     pairs = around.where(F.col("term").isin(*weights) if weights else F.lit(False)).select("toxic", "before", "word", "after").distinct()
     pairs = pairs.select("toxic", F.explode(F.array(F.concat_ws(" ", "before", "word"), F.concat_ws(" ", "word", "after"))).alias("phrase")).where("trim(phrase) = phrase")
     mild = pairs.groupBy("phrase").agg(F.count(F.lit(1)).alias("n"), F.avg("toxic").alias("bad"))
-    mild = mild.where((F.col("n") >= EXCEPTION_DOCS) & (F.col("bad") <= EXCEPTION_SHARE)).orderBy(F.desc("n"), "phrase").limit(MAX_EXCEPTIONS)
+    mild = mild.where((F.col("n") >= EXCEPTION_DOCS) & (F.col("bad") <= EXCEPTION_SHARE)).orderBy("phrase").select("phrase")
     lexicon = Lexicon(weights, [r["phrase"] for r in mild.collect()])
 
     powers = F.explode(F.array(*(F.struct(F.lit(p).alias("power"), _normalised(p).alias("x")) for p in LENGTH_POWERS))).alias("e")
@@ -234,7 +235,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float
 def toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, score (0 to 1), hits (start, weight; places in the folded text).
 
-    A null, empty or wordless text has no hits and the lowest score. Repeated rows are scored alike.
+    A null, empty or wordless text has no hits and the lowest score. A text of any length is matched whole. Where several terms
+    match one word the weightiest counts, of equals any. Repeated rows are scored alike, and an empty table gives no rows.
     No other column is read, whatever its name.
     """
     rows = matched(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), lexicon)

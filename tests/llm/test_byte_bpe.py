@@ -45,9 +45,10 @@ def test_operator_round_trip(docs_of, plain):
     assert "lang" in coded.columns and "text" not in coded.columns
 
 
-def test_clashing_column_is_an_error(docs_of):
-    with pytest.raises(ValueError):
-        encode(docs_of(["a"], "ids"), *RANKS)
+def test_columns_of_the_same_names_are_replaced(docs_of, plain):
+    rows = decode(encode(docs_of(["a b"], "ids bytes"), *RANKS), *RANKS).collect()
+    assert [bytes(r["bytes"]) for r in rows] == [b"a b"] and rows[0]["lang"] == "en"
+    assert list(encode(docs_of(["a b"], "ids"), *RANKS).first()["ids"]) == plain.encode_ordinary("a b")
 
 
 def test_given_documents(given, given_rows, plain):
