@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 #: Text bytes that one slice of a batch holds at most, unless a single text is longer.
 SLICE_BYTES = 1 << 20
 
 
+#: Rows of an Arrow batch at most where rows hold whole texts or sets; it bounds the memory of tasks and changes no result.
+BATCH_ROWS = 500
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """``df.mapInArrow`` in batches of ``BATCH_ROWS`` rows at most; the session keeps that bound."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_ROWS)) <= BATCH_ROWS:
+        conf.set(_ROWS, str(BATCH_ROWS))
+
+    def freeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(freeing, schema)
+
+
 def text_slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of whole rows of about ``limit`` text bytes, to bound a task's memory."""
     if not batch.num_rows:

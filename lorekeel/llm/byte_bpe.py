@@ -21,7 +21,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lorekeel.llm.batches import text_slices
+from lorekeel.llm.batches import map_batches, text_slices
 
 #: Code points of a leaf when encoding, ids of a leaf when decoding, code points of the first window.
 LEAF_TEXT, LEAF_IDS, WINDOW = 2048, 2048, 32
@@ -112,7 +112,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
                 starts = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 yield batch.remove_column(at).append_column(ids_col, pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(ids))))
 
-    return docs.mapInArrow(run, _swapped(docs.schema, text_col, ids_col, T.ArrayType(T.IntegerType())))
+    return map_batches(docs, run, _swapped(docs.schema, text_col, ids_col, T.ArrayType(T.IntegerType())))
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "bytes") -> DataFrame:
@@ -128,4 +128,4 @@ def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes
             raw = [bpe.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
             yield batch.remove_column(at).append_column(bytes_col, pa.array(raw, pa.binary()))
 
-    return rows.mapInArrow(run, _swapped(rows.schema, ids_col, bytes_col, T.BinaryType()))
+    return map_batches(rows, run, _swapped(rows.schema, ids_col, bytes_col, T.BinaryType()))

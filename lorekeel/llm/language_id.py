@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lorekeel.llm.batches import text_slices, words_of
+from lorekeel.llm.batches import map_batches, text_slices, words_of
 
 #: Labelled documents that a language is learned from (expected number), and languages that can be learned.
 SAMPLE_DOCS, MAX_LANGS = 4000, 100
@@ -168,7 +168,7 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, max_langs: int =
         k, place = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(place, pa.int64()), pa.array(total[k, place])], ["lang", "place", "n"])
 
-    summed = picked.mapInArrow(count, "lang long, place long, n long").groupBy("lang", "place").agg(F.sum("n").alias("n")).toPandas()
+    summed = map_batches(picked, count, "lang long, place long, n long").groupBy("lang", "place").agg(F.sum("n").alias("n")).toPandas()
     total = np.zeros((len(langs), PLACES + N_SCRIPTS))
     total[summed["lang"].to_numpy(), summed["place"].to_numpy()] = summed["n"].to_numpy()
     grams, scripts = total[:, :PLACES], total[:, PLACES:]
@@ -222,7 +222,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), f.lang, f.score, f.spans], ["doc_id", "lang_pred", "score", "spans"])
 
     kind = given.schema["doc_id"].dataType.simpleString()
-    return given.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, spans array<struct<first:int,past:int,lang:string>>")
+    return map_batches(given, run, f"doc_id {kind}, lang_pred string, score double, spans array<struct<first:int,past:int,lang:string>>")
 
 
 def with_language(docs: DataFrame, model: Model, text_col: str = "text", into: str = "lang_pred", switch: float = SWITCH) -> DataFrame:
@@ -235,7 +235,7 @@ def with_language(docs: DataFrame, model: Model, text_col: str = "text", into: s
             for batch in text_slices(whole, text_col):
                 yield batch.append_column(into, Found(batch.column(text_col), held.value, switch).lang)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(into, T.StringType())]))
+    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField(into, T.StringType())]))
 
 
 def held_out(id_col: str = "doc_id", parts: int = 5, part: int = 0):

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from lorekeel.llm.batches import text_slices, words_of
+from lorekeel.llm.batches import map_batches, text_slices, words_of
 from lorekeel.operators.components import connected_components
 from lorekeel.session import cut
 
@@ -182,7 +182,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id %s, n_shingles long, set_key binary, bands array<long>" % given.schema["doc_id"].dataType.simpleString()
-    rows = given.mapInArrow(_sketching(width), schema)
+    rows = map_batches(given, _sketching(width), schema)
     rows = cut(rows.withColumn("row_id", F.monotonically_increasing_id()))
     some = rows.where("n_shingles > 0")
     classes = cut(some.groupBy("set_key", "n_shingles").agg(F.min("row_id").alias("node"), F.min("doc_id").alias("least_id")))
@@ -203,13 +203,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids = cut(needed.join(rows.select(F.col("row_id").alias("node"), "doc_id"), "node").select("doc_id").distinct())
     light = isinstance(given.schema["doc_id"].dataType, NumericType) and ids.count() <= BROADCAST_IDS
     texts = given.join(F.broadcast(ids) if light else ids, given["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    sets = texts.mapInArrow(_listing(width), "set_key binary, members binary")
+    sets = map_batches(texts, _listing(width), "set_key binary, members binary")
     sets = cut(sets.join(needed, "set_key").select("node", "members").dropDuplicates(["node"]))
 
     def verified(pairs: DataFrame) -> DataFrame:
         full = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("members_a")), "a")
         full = full.join(sets.select(F.col("node").alias("b"), F.col("members").alias("members_b")), "b")
-        return cut(full.select("a", "b", "members_a", "members_b").mapInArrow(_verifying(percent), "a long, b long"))
+        return cut(map_batches(full.select("a", "b", "members_a", "members_b"), _verifying(percent), "a long, b long"))
 
     found = cut(connected_components(verified(tried), "a", "b"))
 
@@ -247,7 +247,7 @@ def _untried(members: DataFrame, found: DataFrame, sets: DataFrame, tried: DataF
     small = end(few, "a", "key").join(end(few, "b", "key"), F.expr("key_a = key_b and a < b and c_a <> c_b")).where(_close(percent)).select("a", "b")
 
     large = cut(left.where(F.col("size") > SMALL_BUCKET).select("node", "n", "component").distinct())
-    listed = cut(large.select("node").join(sets, "node").mapInArrow(_exploding, "node long, shingle long"))
+    listed = cut(map_batches(large.select("node").join(sets, "node"), _exploding, "node long, shingle long"))
     shared = cut(listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1"))
     # one row a set; shingles of no other set come first in its order, and are only counted
     order = listed.join(shared, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order"))

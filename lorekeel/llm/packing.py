@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lorekeel.llm.batches import text_slices
+from lorekeel.llm.batches import map_batches, text_slices
 from lorekeel.llm.word_bpe import encoder
 from lorekeel.session import cut
 
@@ -109,7 +109,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
 
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = given.schema["doc_id"].dataType.simpleString()
-    return given.mapInArrow(run, f"doc_id {kind}, start long, length long, doc_tokens long, tokens binary")
+    return map_batches(given, run, f"doc_id {kind}, start long, length long, doc_tokens long, tokens binary")
 
 
 def _numbering(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +134,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     # a piece travels as one struct, so that no name of its columns can clash with a name used here
     whole = pieces.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("piece"), F.col("length").cast("long").alias("length"))
-    numbered = cut(whole.mapInArrow(_numbering, T.StructType([*whole.schema.fields, T.StructField("part", T.LongType()), T.StructField("local", T.LongType())])))
+    numbered = cut(map_batches(whole, _numbering, T.StructType([*whole.schema.fields, T.StructField("part", T.LongType()), T.StructField("local", T.LongType())])))
     tally = cut(numbered.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = tally.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lorekeel.llm.batches import text_slices, words_of
+from lorekeel.llm.batches import map_batches, text_slices, words_of
 from lorekeel.session import cut
 
 #: Statistics of the vector and the least standard deviation that each is given, so small that each can reject a document on its own.
@@ -109,7 +109,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     given = docs.select(*(F.col(c).alias(n) for c, n in ((id_col, "doc_id"), (lang_col, "lang"), (source_col, "source"), (text_col, "text"))))
     kinds = ", ".join(f"{c} {given.schema[c].dataType.simpleString()}" for c in ("doc_id", "lang", "source"))
     longs = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_marks", "n_breaks")
-    counted = given.mapInArrow(_counts, kinds + "".join(f", {c} long" for c in longs))
+    counted = map_batches(given, _counts, kinds + "".join(f", {c} long" for c in longs))
     share = lambda a, b: F.sqrt(F.col(a) / F.greatest(F.col(b), F.lit(1)))
     return counted.select(
         "doc_id", "lang", "source", *longs[:5],

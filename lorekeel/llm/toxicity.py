@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekeel.llm.batches import text_slices, words_of
+from lorekeel.llm.batches import map_batches, text_slices, words_of
 from lorekeel.session import cut
 
 #: Labelled documents that are learned from (expected number); they bound the lexicon, whose every entry was seen in several of them.
@@ -128,7 +128,7 @@ def matched(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
                 yield out.append_column("hits", pa.array([[{"start": a, "weight": w} for a, w in x] for x in hits], kind))
 
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(run, f"{kinds}n_words long, total double, hits array<struct<start:int,weight:double>>")
+    return map_batches(rows, run, f"{kinds}n_words long, total double, hits array<struct<start:int,weight:double>>")
 
 
 def _normalised(power: float):
@@ -187,12 +187,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
 
     totals = texts.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).first()
     bad, good = (totals["bad"] or 0) + 1, (totals["good"] or 0) + 1
-    often = texts.mapInArrow(_terms, "term string, bad double, good double").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    often = map_batches(texts, _terms, "term string, bad double, good double").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     odds = F.round(F.log((F.col("bad") + 0.5) / bad) - F.log((F.col("good") + 0.5) / good), 6)
     likely = often.where(F.col("bad") >= CONTEXTS).withColumn("weight", odds).where(F.col("weight") >= LEAST_WEIGHT)
     likely = {r["term"]: r["weight"] for r in likely.select("term", "weight").collect()}
 
-    around = cut(texts.mapInArrow(_contexts(set(likely)), "term string, toxic int, before string, word string, after string"))
+    around = cut(map_batches(texts, _contexts(set(likely)), "term string, toxic int, before string, word string, after string"))
     varied = around.where("toxic = 1").groupBy("term").agg(F.countDistinct("before").alias("b"), F.countDistinct("after").alias("a"))
     kept = varied.where((F.col("b") >= CONTEXTS) & (F.col("a") >= CONTEXTS)).select("term").collect()
     weights = {t: likely[t] for t in sorted((r["term"] for r in kept), key=lambda t: (-likely[t], t))}

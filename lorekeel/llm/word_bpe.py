@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from lorekeel.llm.batches import text_slices, words_of
 
 #: Words that a worker remembers; then it starts anew. This bounds memory and changes no result.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Lower-case letters that normalisation leaves alone, between marks that never join a letter.
 _PLAIN = re.compile("([!-&(-/:;=?@\\[-`{}~]*)([a-zß-öø-ÿ]+)([!-&(-/:;=?@\\[-`{}~]*)")
 
