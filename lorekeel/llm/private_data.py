@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lorekeel.llm.batches import text_slices
+from lorekeel.llm.batches import map_batches, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Atoms of a segment at most; passages and rounds of training; the log odds that a found segment must have.
@@ -29,6 +29,9 @@ MAX_ATOMS, SAMPLE_PASSAGES, ROUNDS, MARGIN = 24, 400, 4, 3.0
 #: Code points of a training passage at most, and documents that passages are drawn from (expected number).
 PASSAGE, SAMPLE_DOCS = 200, 20_000
 
+#: Shapes of segments whose scores a worker remembers; then it starts anew. This bounds memory and changes no result.
+REMEMBERED = 100_000
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -36,6 +39,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _ATOM = re.compile(r"[A-Za-zÀ-\U0010FFFF]+|[0-9]+|.", re.S)
+_LETTERS, _DIGITS = re.compile(r"[^\W\d_]+"), re.compile("[0-9]+")
 _AT = re.compile(r"(?<![A-Za-z])(?:at)(?![A-Za-z])", re.I)
 _DOT = re.compile(r"(?<![A-Za-z])(?:dot|punkt|punto|point)(?![A-Za-z])", re.I)
 #: A bare word for "at" counts where a dot inside a name or between blanks, or a word for one, follows within the atoms that one segment can hold.
@@ -121,16 +125,20 @@ def _ahead(text: str, at: int) -> int:
     return m.end() if m else len(text)
 
 
-def _gaps(a: int, b: int, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    out = []
-    for s, e, _ in taken:
-        if e > a and s < b:
-            if s > a:
-                out.append((a, s))
-            a = max(a, e)
-    if a < b:
-        out.append((a, b))
-    return out
+def _gaps(found: list[tuple[int, int]], taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What the spans taken leave of regions in order; both are walked once."""
+    k = 0
+    for a, b in found:
+        while k < len(taken) and taken[k][1] <= a:
+            k += 1
+        at = k
+        while at < len(taken) and taken[at][0] < b:
+            if taken[at][0] > a:
+                yield a, taken[at][0]
+            a = max(a, taken[at][1])
+            at += 1
+        if a < b:
+            yield a, b
 
 
 def features(span: str, before: str, after: str) -> list[str]:
@@ -166,12 +174,80 @@ def _tail(span: str) -> str:
     return "long" if len(tail) > 4 else str(len(tail))
 
 
+def _atom_shape(atom: str) -> str:
+    """What the features of a segment need to know of an atom."""
+    if atom.isascii() and atom.isalpha():
+        low = atom.lower()
+        return low if _AT.fullmatch(low) or _DOT.fullmatch(low) else "aaaaa"[: len(atom)]
+    return f"<{min(len(atom), 20)}>" if atom[0] in "0123456789" else atom
+
+
+class Candidates:
+    """The segments of ``text[a:b]`` that the field scores.
+
+    A segment has ``MAX_ATOMS`` atoms at most, no line break, and no blank or bracket at its edges; it holds a sign or word for "@", or as many
+    digits as a number of some kind has: nine to nineteen, or four and more between three dots. These tests need sums up to each atom only.
+    """
+
+    def __init__(self, text: str, a: int, b: int) -> None:
+        self.text = text
+        self.bounds = [a, *(m.end() for m in _ATOM.finditer(text, a, b))]
+        atoms = [text[x:y] for x, y in zip(self.bounds, self.bounds[1:])]
+        self.shapes = [_atom_shape(x) for x in atoms]
+        self.pairs: list[tuple[int, int]] = []
+        digits, ats, dots = [0], [0], [0]
+        for x in atoms:
+            word = len(x) > 1 and x[0] not in "0123456789"
+            digits.append(digits[-1] + (len(x) if x[0] in "0123456789" else 0))
+            ats.append(ats[-1] + (len(_AT.findall(x)) if word else x == "@"))
+            dots.append(dots[-1] + (len(_DOT.findall(x)) if word else x == "."))
+        bad_end = [x[-1] in " \t.,;:-_([{+" for x in atoms]
+        for i, x in enumerate(atoms):
+            if x in " \t\n\x0b\x0c\r.,;:-_)]}":
+                continue
+            for j in range(i + 1, min(i + MAX_ATOMS, len(atoms)) + 1):
+                if atoms[j - 1] == "\n":
+                    break
+                n = digits[j] - digits[i]
+                if ats[j] == ats[i]:
+                    if n > 19:
+                        break
+                    if n < 9 and (n < 4 or dots[j] - dots[i] < 3):
+                        continue
+                if not bad_end[j - 1] and self.bounds[j] - self.bounds[i] >= 6:
+                    self.pairs.append((i, j))
+
+    def features(self, i: int, j: int) -> list[str]:
+        text, x, y = self.text, self.bounds[i], self.bounds[j]
+        return features(text[x:y], text[max(0, x - 24) : x], text[y : y + 1])
+
+    def keys(self) -> Iterator[tuple[int, int, tuple]]:
+        """(first, past, key) of every candidate; candidates with one key have the same features."""
+        text, bounds, last, left, word = self.text, self.bounds, -1, "", ""
+        for i, j in self.pairs:
+            x, y = bounds[i], bounds[j]
+            if i != last:
+                before, last = text[max(0, x - 24) : x], i
+                words = _LETTERS.findall(before)
+                left, word = _kind(before[-1:]), words[-1].lower() if words else ""
+            shape = "".join(self.shapes[i:j])
+            span = text[x:y]
+            numbers = _DIGITS.findall(span)
+            n = sum(map(len, numbers))
+            # what digits say beyond their number, and where they are told apart
+            said = (luhn("".join(numbers)) if 12 <= n <= 19 else None, len(numbers) == 4 and all(_byte(p) for p in numbers))
+            yield i, j, (shape, left, word, _kind(text[y : y + 1]), said)
+
+
 class Field:
     """Weights by feature, one for each kind; the score of a stretch outside any segment is 0."""
 
     def __init__(self, weights: dict[str, np.ndarray] | None = None) -> None:
         self.weights = weights or {}
-        self.known: dict[tuple[str, str, str], np.ndarray] = {}
+        self.known: dict[tuple, tuple[float, int]] = {}
+
+    def __getstate__(self) -> dict:
+        return {"weights": self.weights, "known": {}}
 
     def scores(self, found: list[str]) -> np.ndarray:
         total = np.zeros(len(KINDS))
@@ -183,29 +259,23 @@ class Field:
 
     def segments(self, text: str, a: int, b: int) -> tuple[list[int], list[tuple[int, int, list[str]]]]:
         """Atom bounds of ``text[a:b]`` and (first, past, features) of every candidate segment."""
-        bounds = [a, *(m.end() for m in _ATOM.finditer(text, a, b))]
-        out = []
-        for i in range(len(bounds) - 1):
-            if text[bounds[i]] in " \t\n\x0b\x0c\r.,;:-_)]}":
-                continue
-            for j in range(i + 1, min(i + MAX_ATOMS, len(bounds) - 1) + 1):
-                span = text[bounds[i] : bounds[j]]
-                if "\n" in span:
-                    break
-                if span[-1] in " \t.,;:-_([{+" or not (any(c in "0123456789@" for c in span) or _AT.search(span)) or len(span) < 6:
-                    continue
-                out.append((i, j, features(span, text[max(0, bounds[i] - 24) : bounds[i]], text[bounds[j] : bounds[j] + 1])))
-        return bounds, out
+        c = Candidates(text, a, b)
+        return c.bounds, [(i, j, c.features(i, j)) for i, j in c.pairs]
 
     def best(self, text: str, a: int, b: int, margin: float = MARGIN) -> list[tuple[int, int, int]]:
         """The best segmentation of ``text[a:b]``: its segments with their kinds."""
-        bounds, candidates = self.segments(text, a, b)
+        candidates = Candidates(text, a, b)
+        bounds = candidates.bounds
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
         into: dict[int, list[tuple[int, float, int]]] = {}
-        for i, j, found in candidates:
-            s = self.scores(found)
-            k = int(s.argmax())
-            if s[k] > margin:
-                into.setdefault(j, []).append((i, float(s[k]) - margin, k))
+        for i, j, key in candidates.keys():
+            held = self.known.get(key)
+            if held is None:
+                s = self.scores(candidates.features(i, j))
+                held = self.known[key] = float(s.max()), int(s.argmax())
+            if held[0] > margin:
+                into.setdefault(j, []).append((i, held[0] - margin, held[1]))
         top, back = [0.0], [None]
         for j in range(1, len(bounds)):
             value, came = top[j - 1], None
@@ -330,7 +400,7 @@ def passages_of(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, limit: int = SA
         return []
     share = min(1.0, sample_docs / n)
     some = some.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
-    found = some.mapInArrow(run, "passage string, spans array<struct<a:int,b:int,k:int>>").distinct()
+    found = map_batches(some, run, "passage string, spans array<struct<a:int,b:int,k:int>>").distinct()
     place = F.row_number().over(Window.partitionBy("bare").orderBy(F.xxhash64("passage"), "passage"))
     found = found.withColumn("bare", F.size("spans") == 0).withColumn("place", place).where(F.col("place") <= F.when(F.col("bare"), limit // 4).otherwise(limit - limit // 4))
     found = found.orderBy("bare", "place").collect()
@@ -361,7 +431,8 @@ def find_private(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col
 
     Places are code points, ends exclusive; ``spans`` holds the base spans and what the field adds
     outside them. A null or empty text has none. Texts of any length are read whole, in time
-    linear in their length. Repeated rows have the same spans; no other column is read.
+    linear in their length. Of segmentations with one score the one with fewer, later segments counts. Repeated rows have the same spans; no other
+    column is read, and an empty table gives no rows.
     """
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     held = given.sparkSession.sparkContext.broadcast(field)
@@ -381,14 +452,14 @@ def find_private(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col
 
     id_kind = given.schema["doc_id"].dataType.simpleString()
     span = "array<struct<kind:string,start:int,end:int>>"
-    return given.mapInArrow(run, f"doc_id {id_kind}, base_spans {span}, spans {span}")
+    return map_batches(given, run, f"doc_id {id_kind}, base_spans {span}, spans {span}")
 
 
 def added(text: str, taken: list[tuple[int, int, int]], field: Field) -> list[tuple[int, int, int]]:
     """What the field finds in ``text`` outside the spans taken."""
     if not field.weights:
         return []
-    return [s for a, b in regions(text, taken) for c, d in _gaps(a, b, taken) for s in field.best(text, c, d)]
+    return [s for c, d in _gaps(regions(text, taken), taken) for s in field.best(text, c, d)]
 
 
 def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
@@ -417,4 +488,4 @@ def redact(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
                     out.append(redacted(text, spans) if spans else text)
                 yield batch.set_column(at, text_col, pa.array(out, pa.string()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
