@@ -174,7 +174,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = labels.where("toxic = 1 or quality = 0").select("doc_id").distinct()
     rollup.commit(3, counts.join(gone, "doc_id", "left_semi").withColumn("op", F.lit("delete")))
     rollup.commit(2, recount)
-    return rollup.totals()
+    return rollup.take()
 
 
 QUERIES = {

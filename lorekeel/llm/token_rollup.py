@@ -5,59 +5,97 @@ resolved against what earlier batches left of each (document, tokenizer version)
 becomes signed sums by source, language and version: what a document counted before is taken
 away, what it counts now is added. Totals are the plain sum of the deltas of committed batches.
 
-A batch is written in three steps: its changes, its deltas, then its commit, one small file that appears by
-a rename. Only committed batches are read. A batch that is committed again is not
+A commit costs the batch and what it touches, not the history. Changes lie in ``BUCKETS`` folders by document and version, and a
+batch looks up only the buckets that it has rows in. Runs of ``FAN`` batches are merged into one, runs of
+``FAN`` such runs again, so that a look-up reads a number of runs that grows with the logarithm of the number of batches, and a
+record is written again as often. Totals are kept as running sums beside the deltas.
+
+A batch is written in steps: its changes, its deltas, the totals after it, the merges that it completes, then its commit, one
+small file that appears by a rename. Only committed batches are read. A batch that is committed again is not
 applied again, and one that broke off is written anew over its remains, so replays and lost
 drivers or executors change nothing.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lorekeel.llm.batches import map_batches
 from lorekeel.llm.word_bpe import counting
+from lorekeel.session import cut
+
+#: Folders that a run's records are dealt into, and runs that are merged into one.
+BUCKETS, FAN = 64, 4
 
 _KEYS = ["doc_id", "version"]
 _GROUP = ["source", "lang", "version"]
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, version: str) -> DataFrame:
-    """(doc_id, source, lang, version, n_tokens) of every row; a null or empty text counts 0."""
+    """(doc_id, source, lang, version, n_tokens) of every row; a null or empty text counts 0, a text of any length is counted whole, an empty table gives no rows."""
     given = docs.select("doc_id", "source", "lang", "text")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema if f.name != "text")
-    return given.mapInArrow(counting(vocabulary), f"{kinds}, n_tokens long").withColumn("version", F.lit(version))
+    return map_batches(given, counting(vocabulary), f"{kinds}, n_tokens long").withColumn("version", F.lit(version))
 
 
 class Rollup:
-    """Totals by source, language and tokenizer version under ``root``."""
+    """Totals by source, language and tokenizer version under ``root``; document ids are of ``id_type``."""
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, id_type: str = "long") -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        # named, as an empty run has no file to tell it
+        self.records = f"doc_id {id_type}, version string, source string, lang string, n_tokens long, at int, bucket int"
 
     def _path(self, kind: str, batch: int) -> str:
         return f"{self.root}/{kind}/batch={batch}"
 
     def committed(self) -> list[int]:
-        """Batches that count, in order."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/commits")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
+        """Batches that count, in order; a broken-off one has no file under its commit."""
+        try:
+            found = self.spark.read.schema("id long, batch int").parquet(f"{self.root}/commits")
+            return sorted(r["batch"] for r in found.select("batch").distinct().collect())
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             return []
-        found = [x.getPath() for x in fs.listStatus(path)]
-        done = [p for p in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(p.getName().partition("=")[2]) for p in done)
 
-    def _read(self, kind: str, batches: list[int]) -> DataFrame:
-        return self.spark.read.option("basePath", f"{self.root}/{kind}").parquet(*(self._path(kind, b) for b in batches))
+    def _runs(self, done: list[int]) -> list[str]:
+        """Folders of the runs that together hold the changes of ``done``: the fewest aligned ones."""
+        out, at = [], 0
+        while at < len(done):
+            level = 0
+            while at % FAN ** (level + 1) == 0 and at + FAN ** (level + 1) <= len(done):
+                level += 1
+            at += FAN**level
+            out.append(self._path("changes", done[at - 1]) if not level else f"{self.root}/merged/level={level}/to={at}")
+        return out
+
+    def _latest(self, runs: list[str], touched: DataFrame | None = None) -> DataFrame | None:
+        """The latest record of each document and version in ``runs``, deleted ones (null counts) included; only of the buckets ``touched``, if given."""
+        if not runs:
+            return None
+        rows = reduce(DataFrame.unionByName, (self._read(r) for r in runs))
+        if touched is not None:
+            # at most BUCKETS numbers; a list of literals prunes folders before they are read
+            rows = rows.where(F.col("bucket").isin([r["bucket"] for r in touched.select("bucket").distinct().collect()]))
+        fields = F.struct("at", "source", "lang", "n_tokens")
+        last = rows.groupBy("bucket", *_KEYS).agg(F.max_by(fields, "at").alias("r"))
+        return last.select("bucket", *_KEYS, "r.at", "r.source", "r.lang", "r.n_tokens")
 
     def current(self, batches: list[int]) -> DataFrame | None:
-        """The latest record of each document and version over ``batches``, deleted ones (null counts) included."""
-        if not batches:
-            return None
-        fields = F.struct("batch", "source", "lang", "n_tokens")
-        last = self._read("changes", batches).groupBy(*_KEYS).agg(F.max_by(fields, "batch").alias("r"))
-        return last.select(*_KEYS, "r.source", "r.lang", "r.n_tokens")
+        """The latest record of each document and version over the first ``batches``, deleted ones (null counts) included."""
+        last = self._latest(self._runs(batches))
+        return None if last is None else last.drop("bucket", "at")
+
+    def _read(self, path: str) -> DataFrame:
+        return self.spark.read.schema(self.records).parquet(path)
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
     def commit(self, batch: int, changes: DataFrame) -> bool:
         """Apply ``changes`` (op, doc_id, source, lang, version, n_tokens, and seq if a document may change twice) as ``batch``.
@@ -65,7 +103,7 @@ class Rollup:
         Of several changes to one document and version the one with the largest seq counts; then, as
         ties must not matter, the largest (op, n_tokens, source, lang). ``insert`` and ``revise`` both set the count, whether or not
         there was one, and may move a document to another source or language. ``delete``, and a null
-        count, take it away, if there was one. Null ids, sources, languages and versions are values as any other. An
+        count, take it away, if there was one. Rows that repeat one document and version in a batch are one change. Null ids, sources, languages and versions are values as any other. An
         empty batch commits nothing but itself. Returns whether the batch was new; batches must come in order.
         """
         done = self.committed()
@@ -77,17 +115,30 @@ class Rollup:
         order = F.struct(seq.cast("long").alias("seq"), "op", F.coalesce("n_tokens", F.lit(-1)).alias("n"), F.col("source").alias("s"), F.col("lang").alias("l"))
         kept = F.when(F.col("op") == "delete", F.lit(None)).otherwise(F.col("n_tokens")).cast("long")
         last = changes.groupBy(*_KEYS).agg(F.max_by(F.struct("source", "lang", kept.alias("n_tokens")), order).alias("r"))
-        last.select(*_KEYS, "r.source", "r.lang", "r.n_tokens").write.mode("overwrite").parquet(self._path("changes", batch))
+        bucket = F.pmod(F.xxhash64(*_KEYS), F.lit(BUCKETS)).cast("int").alias("bucket")
+        self._write(last.select(*_KEYS, "r.source", "r.lang", "r.n_tokens", F.lit(len(done)).alias("at"), bucket), self._path("changes", batch))
 
-        new = self._read("changes", [batch]).drop("batch")
+        new = self._read(self._path("changes", batch))
         signed = new.where("n_tokens is not null").select(*_GROUP, F.lit(1).alias("sign"), "n_tokens")
-        old = self.current(done)
+        old = self._latest(self._runs(done), new)
         if old is not None:
             same = old["doc_id"].eqNullSafe(new["doc_id"]) & old["version"].eqNullSafe(new["version"])
             gone = old.join(new.select(*_KEYS), same, "left_semi").where("n_tokens is not null")
             signed = signed.unionByName(gone.select(*_GROUP, F.lit(-1).alias("sign"), "n_tokens"))
         deltas = signed.groupBy(*_GROUP).agg(F.sum("sign").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens"))
         deltas.write.mode("overwrite").parquet(self._path("deltas", batch))
+        sums = self.spark.read.parquet(self._path("deltas", batch))
+        if done:
+            sums = sums.unionByName(self.spark.read.parquet(self._path("totals", done[-1])))
+        sums = sums.groupBy(*_GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        sums.write.mode("overwrite").parquet(self._path("totals", batch))
+
+        n, level = len(done) + 1, 1
+        while n % FAN**level == 0:
+            step = FAN ** (level - 1)
+            parts = [self._path("changes", ([*done, batch])[k - 1]) if level == 1 else f"{self.root}/merged/level={level - 1}/to={k}" for k in range(n - FAN**level + step, n + 1, step)]
+            self._write(self._latest(parts), f"{self.root}/merged/level={level}/to={n}")
+            level += 1
         self.spark.range(1, numPartitions=1).write.mode("overwrite").parquet(self._path("commits", batch))
         return True
 
@@ -96,5 +147,10 @@ class Rollup:
         done = self.committed()
         if not done:
             return self.spark.createDataFrame([], "source string, lang string, version string, n_docs long, n_tokens long")
-        sums = self._read("deltas", done).groupBy(*_GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        return sums.where("n_docs <> 0")
+        return self.spark.read.parquet(self._path("totals", done[-1])).select(*_GROUP, "n_docs", "n_tokens").where("n_docs <> 0")
+
+    def take(self) -> DataFrame:
+        """The totals, written apart from the rollup, whose files then go: for a rollup that was made for one result."""
+        out = cut(self.totals())
+        self.spark.range(0).write.mode("overwrite").parquet(self.root)
+        return out

@@ -80,3 +80,25 @@ def test_counts_and_query(spark, small, given, given_rows):
             docs[r["source"], r["lang"], VERSION] += 1
     rows = QUERIES["op10_token_counts"](spark, small).collect()
     assert {(r["source"], r["lang"], r["version"]): (r["n_docs"], r["n_tokens"]) for r in rows} == {k: (docs[k], tokens[k]) for k in docs}
+
+
+def test_many_batches_are_merged_and_look_ups_stay_few(spark, rollup):
+    rng, state = random.Random(2), {}
+    for batch in range(1, 18):
+        rows = [(rng.choice(["insert", "delete"]), rng.randrange(30), rng.choice("ab"), "en", "v", rng.randrange(50), k) for k in range(3)]
+        for op, key, source, _, _, n, _ in rows:
+            state[key] = None if op == "delete" else (source, n)
+        rollup.commit(batch, changes(spark, rows))
+    runs = rollup._runs(rollup.committed())
+    assert len(runs) == 2 and sum("/merged/" in r for r in runs) == 1
+    expected, docs = Counter(), Counter()
+    for v in state.values():
+        if v is not None:
+            expected[v[0], "en", "v"] += v[1]
+            docs[v[0], "en", "v"] += 1
+    assert totals(rollup) == {k: (docs[k], expected[k]) for k in docs}
+    now = {r["doc_id"]: r["n_tokens"] for r in rollup.current(rollup.committed()).collect()}
+    assert now == {k: v and v[1] for k, v in state.items()}
+    taken = rollup.take()
+    assert {r["source"] for r in taken.collect()} == {k[0] for k in docs}
+    assert not any("changes" in str(p) for p in __import__("pathlib").Path(rollup.root.removeprefix("file:")).rglob("*.parquet"))
