@@ -55,3 +55,14 @@ def test_null_and_repeated_ids_stay_once(spark, docs_of, small):
 def test_run(spark, small):
     rows = corpus_pipeline.run(spark, small)
     assert rows.count() > 0 and {"doc_id", "start", "length", "sequence_id", "offset"} <= set(rows.columns)
+
+
+def test_clashing_columns_and_empty_tables(spark, docs_of, small):
+    given = docs_of([(1, "one two three mail bob@a.example.com"), (1, "one two three mail bob@a.example.com"), (2, "four words of text"), (3, None)], "found _found sha _sha place component piece bytes")
+    for docs, n in ((given, 2), (given.where("false"), 0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, small)
+            assert out.columns == docs.columns, name
+            docs = spark.createDataFrame(out.collect(), docs.schema)
+        assert docs.count() == n and all(r["found"] == r["_sha"] == "x" for r in docs.collect())
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, small).select("doc_id").distinct().count() == n
