@@ -120,8 +120,8 @@ def align(candidates: DataFrame, locations: list[str]) -> DataFrame:
     inside = cut(containing_pairs(all_names, all_names).where("inner <> outer"))
     both_ways = inside.select("group", F.col("inner").alias("name_a"), F.col("outer").alias("name_b")).unionByName(inside.select("group", F.col("outer").alias("name_a"), F.col("inner").alias("name_b")))
     substring = name_of("a").join(both_ways, ["group", "name_a"]).join(name_of("b"), ["group", "name_b"]).where("place_a < place_b").select("a", "b")
-    similar = similar_pairs(rows.select("group", F.struct("place", "candidate_id").alias("key"), "words"), ALIGN_SIMILARITY)
-    similar = similar.where("a.place < b.place").select(F.col("a.candidate_id").alias("a"), F.col("b.candidate_id").alias("b"))
+    similar = similar_pairs(rows.select("group", F.struct("place", "candidate_id").alias("key"), "words"), ALIGN_SIMILARITY, apart="place")
+    similar = similar.select(F.col("a.candidate_id").alias("a"), F.col("b.candidate_id").alias("b"))
     vectors = rows.where("embedding is not null and size(embedding) > 0")
     near = similar_vectors(vectors, ALIGN_COSINE, "candidate_id", "embedding", "group").select("a", "b")
     places = rows.select("candidate_id", "place")

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lorekeel.session import cut
 
@@ -18,66 +17,60 @@ GRAM = 3
 
 
 def ranked_words(names: DataFrame, word_list: str = "words", key: str = "key") -> DataFrame:
-    """(group, key, word, place, n): the words of each name from rare to frequent, counted within the group."""
-    each = names.select("group", key, F.size(word_list).alias("n"), F.explode(word_list).alias("word"))
-    often = each.groupBy("group", "word").agg(F.count(F.lit(1)).alias("often"))
-    order = Window.partitionBy("group", key).orderBy("often", "word")
-    return each.join(often, ["group", "word"]).select("group", key, "word", "n", F.row_number().over(order).alias("place"))
+    """(group, key, w, n): names with their words from rare to frequent, counted within the group; names without words are left out."""
+    numbered = cut(names.select("group", F.col(key).alias("key"), F.col(word_list).alias("words")).withColumn("id", F.monotonically_increasing_id()))
+    each = numbered.select("group", "id", F.explode("words").alias("word"))
+    # written first: a join beside an aggregate on the same key could not be split where a word is hot
+    often = cut(each.groupBy("group", "word").agg(F.count(F.lit(1)).alias("often")))
+    order = each.join(often, ["group", "word"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("often", "word")))["word"].alias("w"))
+    return numbered.join(order, "id").select("group", F.col("key").alias(key), "w", F.size("w").alias("n"))
 
 
-def candidate_pairs(names: DataFrame, prefix: Column, together: int = 1, key: str = "key", further: Column | None = None) -> DataFrame:
-    """Distinct (group, a, b), a before b, that share one word (``together`` 2: two words) among their first ``prefix`` (of ``n``) words by rarity.
+def _sharing(names: DataFrame, prefix: Column, together: int, key: str, further: Column | None, apart: str | None) -> DataFrame:
+    """(group, a, b, shared, n_a, n_b) of names that share the ``together`` (1 or 2) rarest of their common words within their first ``prefix`` words.
 
-    ``further`` may hold n_a, n_b and the places of the (second) shared word, place_a and place_b, and is tested in the join.
+    A pair meets at every such word or two words, and is given out only at the first of its common ones, so once. ``further`` may hold
+    n_a, n_b and the places of the (second) word, place_a and place_b. With ``apart`` only names that differ in that field of their key meet.
     """
-    head = ranked_words(names, key=key).where(F.col("place") <= prefix)
-    on = ["group", "word"]
-    if together == 2:
-        first = head.select("group", key, F.col("word").alias("before"), F.col("place").alias("_p"))
-        head, on = head.join(first, ["group", key]).where("_p < place").drop("_p"), ["group", "before", "word"]
-    a, b = (head.select(*on, F.col(key).alias(s), F.col("n").alias(f"n_{s}"), F.col("place").alias(f"place_{s}")) for s in "ab")
-    found = a.join(b, on).where("a < b")
-    return (found if further is None else found.where(further)).select("group", "a", "b").distinct()
-
-
-def _numbered(names: DataFrame, key: str) -> DataFrame:
-    """Names with a number each: pairs of numbers are cheaper to shuffle than pairs of texts."""
-    return cut(names.select("group", F.col(key).alias("key"), "words").withColumn("id", F.monotonically_increasing_id()))
-
-
-def _with_words(pairs: DataFrame, names: DataFrame) -> DataFrame:
-    """Pairs of numbers with the keys (the lesser as a) and words of both."""
-    for side in "ab":
-        own = names.select(F.col("id").alias(side), F.col("key").alias(f"key_{side}"), F.col("words").alias(f"words_{side}"))
-        pairs = pairs.join(own, side)
-    named = pairs.withColumn("_shared", F.size(F.array_intersect("words_a", "words_b")))
-    return named.select("group", F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"), "_shared", (F.size("words_a") + F.size("words_b") - F.col("_shared")).alias("_either"))
+    ranked = ranked_words(names, key=key).withColumn("p", F.least(prefix, F.col("n")).cast("int")).where(F.col("p") >= together)
+    if together == 1:
+        places = F.expr("transform(sequence(1, p), i -> struct(w[i - 1] as x, '' as y, i as place))")
+    else:
+        places = F.expr("flatten(transform(sequence(1, p - 1), i -> transform(sequence(i + 1, p), j -> struct(w[i - 1] as x, w[j - 1] as y, j as place))))")
+    head = cut(ranked.select("group", F.col(key).alias("key"), "w", "n", F.explode(places).alias("e")).select("group", "key", "w", "n", "e.*"))
+    a, b = (head.select(*(F.col(c).alias(f"{c}_{s}") for c in ("group", "key", "w", "n", "x", "y", "place"))) for s in "ab")
+    met = (F.col("group_a") == F.col("group_b")) & (F.col("x_a") == F.col("x_b")) & (F.col("y_a") == F.col("y_b")) & (F.col("key_a") < F.col("key_b"))
+    if apart is not None:
+        met &= F.col("key_a")[apart] != F.col("key_b")[apart]
+    found = a.join(b, met if further is None else met & further).withColumn("both", F.array_intersect("w_a", "w_b"))
+    first = F.col("both")[0] == F.col("x_a")
+    found = found.where(first if together == 1 else first & (F.col("both")[1] == F.col("y_a")))
+    return found.select(F.col("group_a").alias("group"), F.col("key_a").alias("a"), F.col("key_b").alias("b"), F.size("both").alias("shared"), "n_a", "n_b")
 
 
 def sharing_pairs(names: DataFrame, least: int = 2, key: str = "key") -> DataFrame:
-    """(group, a, b) of names (group, key, words) with ``least`` words or more in common.
+    """(group, a, b), a before b, of names (group, key, words) with ``least`` words or more in common.
 
     Of two names that share so many, each has one of the shared words among all but its ``least`` - 1 most frequent ones.
     """
-    names = _numbered(names, key)
-    pairs = _with_words(candidate_pairs(names, F.col("n") - (least - 1), key="id"), names)
-    return pairs.where(F.col("_shared") >= least).select("group", "a", "b")
+    pairs = _sharing(names, F.col("n") - (least - 1), 1, key, None, None)
+    return pairs.where(F.col("shared") >= least).select("group", "a", "b")
 
 
-def similar_pairs(names: DataFrame, over: float, least: int = 1, key: str = "key") -> DataFrame:
-    """(group, a, b, similarity) of names whose word sets have a Jaccard similarity above ``over`` and share ``least`` words or more.
+def similar_pairs(names: DataFrame, over: float, least: int = 1, key: str = "key", apart: str | None = None) -> DataFrame:
+    """(group, a, b, similarity), a before b, of names whose word sets have a Jaccard similarity above ``over`` and share ``least`` words or more.
 
     A name of n words shares more than ``over`` * n with such a partner, so the first common word is among its first words by
-    rarity, and so are the first two if two must be shared. Two words together are much rarer than one.
+    rarity, and so are the first two if two must be shared. Two words together are much rarer than one. ``apart`` names a field of the
+    key in which the names of a pair must differ.
     """
-    names = _numbered(names, key)
     together = min(least, 2)
     shared = F.greatest(F.floor(F.col("n") * over + 1e-9) + 1, F.lit(least))
     # no other word up to the last of the first common ones is shared, which bounds how many can be
     reach = together + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     enough = reach * (1 + over) >= over * (F.col("n_a") + F.col("n_b")) - 1e-9
-    pairs = _with_words(candidate_pairs(names, F.col("n") - shared + together, together, "id", enough), names)
-    scored = pairs.where(F.col("_shared") >= least).withColumn("similarity", F.col("_shared") / F.col("_either"))
+    pairs = _sharing(names, F.col("n") - shared + together, together, key, enough, apart)
+    scored = pairs.where(F.col("shared") >= least).withColumn("similarity", F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared")))
     return scored.where(F.col("similarity") > over).select("group", "a", "b", "similarity")
 
 
@@ -99,7 +92,7 @@ def containing_pairs(short: DataFrame, long: DataFrame) -> DataFrame:
         if size < GRAM:  # only if a string that short is looked up
             part = part.join(inner.where(F.length("inner") == size).select("group", F.col("inner").alias("gram")), ["group", "gram"], "left_semi")
         pieces = part.select("group", "outer", "gram") if pieces is None else pieces.unionByName(part.select("group", "outer", "gram"))
-    often = pieces.groupBy("group", "gram").agg(F.count(F.lit(1)).alias("often"))
+    often = cut(pieces.groupBy("group", "gram").agg(F.count(F.lit(1)).alias("often")))
     own = F.when(F.length("inner") < GRAM, F.array("inner")).otherwise(_grams(F.col("inner"), GRAM))
     asked = inner.select("group", "inner", F.explode(own).alias("gram")).join(often, ["group", "gram"], "left")
     # a piece that no string of ``long`` has rules the string out, so it comes first

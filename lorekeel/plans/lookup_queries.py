@@ -311,14 +311,14 @@ def name_groups(spark, d):
     return groups.withColumn("aliases", F.when(F.size("aliases") > 0, F.array_join("aliases", ",")))
 
 
-@query("""WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), p AS (SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.v, b.v) AS s FROM e a JOIN e b ON a.label = b.label AND a.vec_id % 2 = 0 AND b.vec_id % 2 = 1 WHERE list_cosine_similarity(a.v, b.v) > 0.8)
+@query("""WITH e AS (SELECT vec_id, label, embedding[1:3]::DOUBLE[] AS v FROM embeddings), p AS (SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.v, b.v) AS s FROM e a JOIN e b ON a.label = b.label AND a.vec_id % 2 = 0 AND b.vec_id % 2 = 1 WHERE list_cosine_similarity(a.v, b.v) > 0.8)
 SELECT 'v' || a AS source_entity_id, 'v' || b AS target_entity_id, 0.75 ::DOUBLE AS score, 'embedding' AS evidence, 'possibleSameAs' AS alignment_type FROM p""")
 def alignment_by_vectors(spark, d):
     e = table(spark, d, "embeddings")
     name = F.concat(F.lit("v"), F.col("vec_id").cast("string"))
     rows = e.select(
         F.col("vec_id").alias("ordinal"), name.alias("candidate_id"), F.concat(name, F.lit("!"), name).alias("canonical_name"), F.col("label").cast("string").alias("candidate_type"), F.array().cast("array<string>").alias("aliases"),
-        F.when(F.col("vec_id") % 2 == 0, "even").otherwise("odd").alias("code_location"), "embedding",
+        F.when(F.col("vec_id") % 2 == 0, "even").otherwise("odd").alias("code_location"), F.slice("embedding", 1, 3).alias("embedding"),
     )
     edges = resolution.align(rows, ["even", "odd"]).where(F.array_contains("evidence", "embedding"))
     return edges.select("source_entity_id", "target_entity_id", "score", F.array_join("evidence", ",").alias("evidence"), "alignment_type")

@@ -359,7 +359,8 @@ def error_ratio(spark, d):
 
 @query("SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.99), 6) AS p99 FROM events GROUP BY event_type")
 def event_quantiles(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.round(F.percentile("value", 0.5), 6).alias("p50"), F.round(F.percentile("value", 0.99), 6).alias("p99"))
+    found = metrics.exact_quantiles(table(spark, d, "events"), ["event_type"], "value", [0.5, 0.99])
+    return found.select("event_type", F.round("q0", 6).alias("p50"), F.round("q1", 6).alias("p99"))
 
 
 @query("""SELECT time_bucket(INTERVAL '1 minute', ts) AS window_start, event_type AS level, count(*) AS n FROM events GROUP BY 1, 2""")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
+from lorekeel.session import cut
+
 
 def timed(events: DataFrame, ts: str = "ts", late: str | None = None) -> DataFrame:
     """``events`` with ``ts`` as a timestamp, and a watermark on a stream."""
@@ -41,6 +43,27 @@ def quantiles(events: DataFrame, value: str, shares: list[float], length: str, t
     return _edges(out.select("window", *(F.col("q")[k].alias(f"q{k}") for k in range(len(shares)))))
 
 
+def exact_quantiles(rows: DataFrame, keys: list[str], value: str, shares: list[float]) -> DataFrame:
+    """(keys, q0, q1, ...): quantiles of each key by linear interpolation between the two nearest values, null values aside. For batches.
+
+    Rows are sorted over the cluster, by key and value, and numbered by the sizes of the parts before them, so that no key is held by one task.
+    """
+    placed = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v")).repartitionByRange(*keys, "_v").sortWithinPartitions(*keys, "_v")
+    placed = cut(placed.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)
+    # a row for each part and key that it holds; a key's rows lie together, so a part's first id of a key tells the place in it
+    parts = placed.groupBy(*keys, part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).withColumn("_all", F.sum("_n").over(Window.partitionBy(*keys)))
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), (F.lit(s) * (F.col("_all") - 1)).alias("at")) for k, s in enumerate(shares)))).alias("_s")
+    asked = parts.select(*keys, "_part", "_n", "_first", "_before", each)
+    near = F.explode(F.array_distinct(F.array(F.floor("_s.at"), F.ceil("_s.at")))).alias("_rank")
+    ids = asked.select(*keys, "_n", "_before", "_first", "_s", near).where("_rank >= _before and _rank < _before + _n").select(*keys, "_s", "_rank", (F.col("_first") + F.col("_rank") - F.col("_before")).alias("_id"))
+    held = placed.join(ids.drop(*keys), "_id").withColumn("_w", 1 - F.abs(F.col("_rank") - F.col("_s.at")))
+    out = held.groupBy(*keys, "_s.k").agg(F.sum(F.col("_w") * F.col("_v")).alias("_q"))
+    return out.groupBy(*keys).agg(*(F.max(F.when(F.col("k") == k, F.col("_q"))).alias(f"q{k}") for k in range(len(shares))))
+
+
 def log_counts(logs: DataFrame, schema: str = "level string, message string", pattern: str = ".*", length: str = "1 minute", ts: str = "ts", raw: str = "line") -> DataFrame:
     """(window_start, window_end, level, n) of JSON log lines whose level fits a pattern; lines that are no JSON have no level."""
     rows = logs.withColumn("level", F.from_json(raw, schema)["level"]).where(F.col("level").rlike(f"^(?:{pattern})$"))
