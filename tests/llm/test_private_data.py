@@ -106,3 +106,61 @@ def test_every_written_out_address_is_looked_at_and_found():
             assert any(a <= 12 and b >= 12 + len(address) for a, b in regions(text, [])), address
             assert [text[a:b] for a, b, _ in added(text, [], trained)] == [address]
     assert added("they are at home. Then they left.", [], trained) == []
+
+
+def test_best_segmentation_and_log_sums_against_all_segmentations():
+    import math
+    import random
+
+    import numpy as np
+
+    from lorekeel.llm.private_data import KINDS, Candidates, Field, _sums
+
+    def every(n, candidates, at=0):
+        """All lists of candidates, one after the other, from a bound on."""
+        if at == n - 1:
+            yield []
+            return
+        yield from every(n, candidates, at + 1)
+        for c in candidates:
+            if c[0] == at:
+                for rest in every(n, candidates, c[1]):
+                    yield [c, *rest]
+
+    rng = random.Random(4)
+    for text in ("call 030-123 456 78 now", "bob at b.de, x@y.de", "10.0.0.1 and 10 . 0 . 0 . 1"):
+        bounds, candidates = Field().segments(text, 0, len(text))
+        assert candidates
+        field = Field({f: np.array([rng.uniform(-1, 2) for _ in KINDS]) for _, _, found in candidates for f in found})
+        score = np.array([field.scores(f) for _, _, f in candidates])
+        top = {(i, j): s for (i, j, _), s in zip(candidates, score)}
+        lists = list(every(len(bounds), candidates))
+        totals = [sum(np.logaddexp.reduce(top[c[0], c[1]]) for c in x) for x in lists]
+        ahead, behind = _sums(len(bounds), candidates, score)
+        whole = math.log(sum(math.exp(t) for t in totals))
+        assert abs(ahead[-1] - whole) < 1e-9 and abs(behind[0] - whole) < 1e-9
+        margin = 0.5
+        value = lambda x: sum(top[c[0], c[1]].max() - margin for c in x)
+        usable = [x for x in lists if all(top[c[0], c[1]].max() > margin for c in x)]
+        place = {b: k for k, b in enumerate(bounds)}
+        got = field.best(text, 0, len(text), margin)
+        assert abs(sum(top[place[a], place[b]][k] - margin for a, b, k in got) - max(map(value, usable))) < 1e-9
+        seen = Candidates(text, 0, len(text))
+        assert all(field.known[key][0] == field.scores(seen.features(i, j)).max() for i, j, key in seen.keys())
+
+
+def test_number_tables_take_linear_time(spark):
+    import random
+    import time
+
+    from lorekeel.llm.private_data import added, base_spans, fit
+
+    field = fit([("call +49 30 1234567 now", base_spans("call +49 30 1234567 now"))] * 4)
+    rng = random.Random(0)
+    took = []
+    for n in (20_000, 80_000):
+        text = " ".join(str(rng.randrange(1000)) for _ in range(n // 4))
+        start = time.process_time()
+        added(text, base_spans(text), field)
+        took.append(time.process_time() - start)
+    assert took[1] < 8 * took[0] + 1 and took[1] < 20
