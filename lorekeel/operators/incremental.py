@@ -54,8 +54,8 @@ class Store:
             return False
         at = f"{self.root}/{dataset}" + (f"/partition={partition}" if partition else "")
         rows.write.mode("overwrite").parquet(at)
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(at)
-        size = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(at)
+        size = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
         record = (run_id or uuid.uuid4().hex, datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None), dataset, partition, "parquet", n, size, mark)
         self.spark.createDataFrame([record], MANIFEST).coalesce(1).write.mode("append").parquet(self._log)
         return True

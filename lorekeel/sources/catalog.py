@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -51,8 +52,13 @@ def list_configs(paths: DataFrame) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def load(spark: SparkSession, path: str, schema: StructType | str | None = None, fallback: str | None = None, limit: int = 0) -> DataFrame:

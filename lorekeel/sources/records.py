@@ -24,14 +24,19 @@ _START = r'^"(\d+)","\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}"'
 
 
 def cable_records(lines: DataFrame) -> DataFrame:
-    """Cables from ``lines`` (file, line_no, value) of an archive whose bodies span lines.
+    """Cables from ``lines`` (file, line_no, value, and block where a file was read in parts) of an archive whose bodies span lines.
 
     A record starts on a line with an id and a time in quotes; all lines up to the next start belong to it. Lines before the first start, and
-    records with fewer than six fields, are left out. Records are found file by file.
+    records with fewer than six fields, are left out. Starts are found part by part; lines before the first start of a part belong to the
+    last start before it, which a row for each part tells, so that no task holds a file.
     """
-    started = lines.withColumn("_start", F.col("value").rlike(_START).cast("int"))
-    order = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = started.withColumn("record", F.sum("_start").over(order)).where("record > 0")
+    rows = lines if "block" in lines.columns else lines.withColumn("block", F.lit(0))
+    started = rows.withColumn("_start", F.when(F.col("value").rlike(_START), F.col("line_no")))
+    order = Window.partitionBy("file", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = started.withColumn("_own", F.last("_start", ignorenulls=True).over(order))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    parts = started.groupBy("file", "block").agg(F.max("_start").alias("_last")).select("file", "block", F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    numbered = own.join(parts, ["file", "block"]).withColumn("record", F.coalesce("_own", "_before")).where("record is not null")
     parts = F.array_sort(F.collect_list(F.struct("line_no", "value")))["value"]
     whole = numbered.groupBy("file", "record").agg(F.array_join(parts, "\n").alias("raw"))
     fields = F.regexp_extract_all("raw", F.lit(r'(?s)"((?:[^"\\]|\\.|"")*)"(?:,|\s*$)'), F.lit(1))
@@ -43,16 +48,14 @@ def cable_records(lines: DataFrame) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, value) of text files, by the order of their lines; a file is read by one task."""
+    """(file, block, line_no, value) of text files, by the order of their lines; a file is read in as many parts as it has splits.
 
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for file, raw in zip(frame["path"], frame["content"]):
-                text = raw.decode("utf-8", "replace").split("\n")
-                yield pd.DataFrame({"file": file, "line_no": range(len(text)), "value": [t.rstrip("\r") for t in text]})
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(lines, "file string, line_no long, value string")
+    ``block`` is where a part starts in its file, and ``line_no`` orders the lines of a file: a struct of block and place.
+    """
+    text = spark.read.option("lineSep", "\n").text(path)
+    block = F.col("_metadata.file_block_start")
+    line = F.struct(block.alias("block"), F.monotonically_increasing_id().alias("place"))
+    return text.select(F.col("_metadata.file_path").alias("file"), block.alias("block"), line.alias("line_no"), F.regexp_replace("value", "\r$", "").alias("value"))
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

@@ -26,6 +26,21 @@ def test_cables(spark, tmp_path):
     assert rows["1"]["subject"] == "On trade" and rows["1"]["tags"] == ["PREL", "PGOV"] and 'said "no"' in rows["1"]["content"] and rows["2"]["content"] == "body"
 
 
+def test_cables_of_a_file_read_in_parts(spark, tmp_path):
+    bodies = [f"line {k}\r\nmore {'x' * (7 * k % 50)}\n\nend of {k}" for k in range(40)]
+    text = "no record\n" + "\n".join(f'"{k}","2/7/1972 0:00","ref","Embassy","SECRET","","h","{b}"' for k, b in enumerate(bodies)) + "\n"
+    (tmp_path / "long.csv").write_bytes(text.encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "150")
+    try:
+        lines = records.read_lines(spark, str(tmp_path))
+        assert lines.select("block").distinct().count() > 10
+        got = {int(r["id"]): r["content"] for r in records.cable_records(lines).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {k: b.replace("\r", "") for k, b in enumerate(bodies)}
+
+
 def test_archive(spark, tmp_path):
     raw = io.BytesIO()
     with zipfile.ZipFile(raw, "w") as z:
