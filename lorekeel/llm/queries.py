@@ -41,12 +41,16 @@ URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net"
 #: Words that, as a part of a host between dots and hyphens, put its pages on the list.
 URL_WORDS = ("casino", "bets", "pills", "adult")
 
+#: A title that puts its page's URL on the list.
+URL_JUNK = "<title>[^<]*###"
+
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    bad = host_of(F.col("url")).rlike(rf"(^|[.-])({'|'.join(URL_WORDS)})([.-]|$)")
+    """The list holds the canonical URLs of pages on hosts with a listed word and of pages with a junk title, so that pages with another spelling of such a URL are found by it alone."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    bad = host_of(F.col("url")).rlike(rf"(^|[.-])({'|'.join(URL_WORDS)})([.-]|$)") | F.col("html").rlike(URL_JUNK)
     listed = pages.where(bad).select(canonical_of(F.col("url")).alias("url"))
-    return filter_urls(pages, URL_RULES, listed).select("page_id", "host", "path", "rule", "verdict")
+    return filter_urls(pages.drop("html"), URL_RULES, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
 OP3_SQL = rf"""
@@ -54,7 +58,8 @@ WITH p AS (
   SELECT page_id,
          translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path,
-         coalesce(regexp_extract(url, '^.*?://[^?#]*\?([^#]*)', 1, 's'), '') AS query
+         coalesce(regexp_extract(url, '^.*?://[^?#]*\?([^#]*)', 1, 's'), '') AS query,
+         coalesce(regexp_matches(html, '{URL_JUNK}'), false) AS junk
   FROM pages
 ), q AS (
   SELECT *, array_to_string(list_sort(list_filter(string_split(query, '&'),
@@ -63,7 +68,7 @@ WITH p AS (
 ), c AS (
   SELECT page_id, host, path,
          regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/$', '') || CASE WHEN kept = '' THEN '' ELSE '?' || kept END AS canonical,
-         regexp_matches(host, '(^|[.-])({'|'.join(URL_WORDS)})([.-]|$)') AS bad
+         regexp_matches(host, '(^|[.-])({'|'.join(URL_WORDS)})([.-]|$)') OR junk AS bad
   FROM q
 ), r AS (
   SELECT *, CASE
