@@ -42,8 +42,8 @@ class Store:
         place = F.row_number().over(Window.partitionBy("dataset").orderBy(F.desc("timestamp"), F.desc("run_id")))
         return rows.withColumn("_p", place).where(F.col("_p") <= KEPT_RECORDS).drop("_p")
 
-    def write(self, dataset: str, rows: DataFrame | None, partition: str | None = None, run_id: str | None = None) -> bool:
-        """Write ``rows`` unless the last record of this dataset and partition has the same content; whether it was written."""
+    def write(self, dataset: str, rows: DataFrame | None, partition: str | None = None, run_id: str | None = None, form: str = "parquet") -> bool:
+        """Write ``rows`` (as ``parquet``, ``json`` lines or ``csv``) unless the last record of this dataset and partition has the same content; whether it was written."""
         if rows is None:
             return False
         rows = cut(rows)
@@ -53,10 +53,10 @@ class Store:
         if last is not None and last["content_hash"] == mark:
             return False
         at = f"{self.root}/{dataset}" + (f"/partition={partition}" if partition else "")
-        rows.write.mode("overwrite").parquet(at)
+        rows.write.mode("overwrite").format(form).option("header", "true").save(at)
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(at)
         size = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-        record = (run_id or uuid.uuid4().hex, datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None), dataset, partition, "parquet", n, size, mark)
+        record = (run_id or uuid.uuid4().hex, datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None), dataset, partition, form, n, size, mark)
         self.spark.createDataFrame([record], MANIFEST).coalesce(1).write.mode("append").parquet(self._log)
         return True
 
@@ -100,6 +100,11 @@ def audit_rows(results: DataFrame, payload: str = "payload") -> DataFrame:
     return results.withColumn("payload_hash", F.substring(F.sha2(F.col(payload).cast("string"), 256), 1, 16))
 
 
+def append_audit(results: DataFrame, path: str, payload: str = "payload") -> None:
+    """Append ``audit_rows`` as JSON lines."""
+    audit_rows(results, payload).write.mode("append").json(path)
+
+
 def vertices(entities: DataFrame) -> DataFrame:
     return entities.select(F.col("canonical_id").alias("id"), "canonical_name", "entity_type", "mention_count").dropDuplicates(["id"])
 

@@ -81,6 +81,17 @@ def repair_actions(spark, d):
     return validation.repair_plan(valued).groupBy("action", "auto_applicable", "suggested_value").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT p_partkey, 'EVIDENCE_LENGTH' AS code, true AS is_warning FROM part WHERE p_size % 3 = 1")
+def evidence_warnings(spark, d):
+    p = table(spark, d, "part")
+    one = F.struct(F.col("p_name").alias("text"), F.lit(3).alias("span_start"), (F.length("p_name") + 3 + (F.col("p_size") % 3 == 1).cast("int")).alias("span_end"))
+    items = p.select(
+        F.col("p_partkey").alias("batch_id"), F.lit(0).alias("pos"), F.col("p_name").alias("text"), F.lit("ORG").alias("mention_type"), F.lit(0).alias("span_start"), F.length("p_name").alias("span_end"), F.lit(0.5).alias("confidence"), F.array(one).alias("evidence"),
+    )
+    found = validation.mention_errors(items, p.select(F.col("p_partkey").alias("batch_id"), F.col("p_name").alias("text")))
+    return found.select(F.col("batch_id").alias("p_partkey"), "code", "is_warning")
+
+
 @query("""WITH e AS (SELECT user_id, value / 3 - 60 AS lat, value - 200 AS lon, event_id % 16 AS resolution, CAST(CAST(round(value) AS BIGINT) AS VARCHAR) AS x, event_type, value / 400 AS confidence FROM events),
 b AS (SELECT user_id, lat NOT BETWEEN -90 AND 90 OR lon NOT BETWEEN -180 AND 180 OR resolution > 12 OR event_type = 'error' OR confidence > 1 AS bad FROM e)
 SELECT user_id AS batch_id, count(*) FILTER (NOT bad) AS valid_count, count(*) FILTER (bad) AS invalid_count, CASE WHEN count(*) FILTER (bad) = 0 THEN 'valid' WHEN count(*) FILTER (NOT bad) = 0 THEN 'invalid' ELSE 'ambiguous' END AS verdict FROM b GROUP BY user_id""")

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from lorekeel.functions import scalars
-from lorekeel.operators import documents, incremental
+from lorekeel.operators import documents, explore, incremental
 from lorekeel.plans.base import query
 from lorekeel.plans.views import table
 from lorekeel.session import shared_dir
@@ -327,6 +327,32 @@ def audited_results(spark, d):
     return incremental.audit_rows(table(spark, d, "supplier").select(F.col("s_suppkey").alias("suppkey"), F.col("s_name").alias("payload"))).select("suppkey", "payload_hash")
 
 
+@query("SELECT n_nationkey, n_name, f AS form FROM nation, (SELECT unnest(['csv', 'json', 'jsonl', 'parquet', 'text']) AS f)")
+def read_by_format(spark, d):
+    """Nations written in every format and read by a hint or by the folder's extension."""
+    n = table(spark, d, "nation").select("n_nationkey", "n_name").coalesce(1)
+    root, schema, rows = _staged(spark, "formats"), "n_nationkey int, n_name string", []
+    n.write.option("header", "true").csv(f"{root}/x.csv")
+    n.write.json(f"{root}/x.ndjson")
+    n.groupBy().agg(F.to_json(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name")))).alias("value")).write.text(f"{root}/one")
+    n.write.parquet(f"{root}/x")
+    n.select(F.concat_ws(" ", "n_nationkey", "n_name")).write.text(f"{root}/x.txt")
+    for form, name, hint in (("csv", "x.csv", None), ("jsonl", "x.ndjson", None), ("json", "one", "json"), ("parquet", "x", None)):
+        rows.append(catalog.read_as(spark, f"{root}/{name}", hint, schema).select(*n.columns, F.lit(form).alias("form")))
+    split = F.split("value", " ")
+    rows.append(catalog.read_as(spark, f"{root}/x.txt").select(split[0].cast("int").alias("n_nationkey"), split[1].alias("n_name"), F.lit("text").alias("form")))
+    return explore.with_lineage(**{str(k): r for k, r in enumerate(rows)}).drop("_source")
+
+
+@query("SELECT r_regionkey, r_name FROM region")
+def loaded_with_fallback(spark, d):
+    """A dataset that is not there is read from where it lay before."""
+    root = _staged(spark, "moved")
+    old, new = (catalog.dataset_path(root, "gold", place, "congress", "congress_mentions", "cs400") for place in ("old", "new"))
+    table(spark, d, "region").select("r_regionkey", "r_name").write.parquet(old)
+    return catalog.load(spark, new, "r_regionkey int, r_name string", fallback=old)
+
+
 @query("SELECT DISTINCT split_part(s_name, '#', 1) || p AS source FROM supplier, (SELECT unnest(['0', '1', '2']) AS p)")
 def listed_sources(spark, d):
     """Source names of datasets named after suppliers."""

@@ -69,6 +69,27 @@ def load(spark: SparkSession, path: str, schema: StructType | str | None = None,
     return rows.limit(limit) if limit else rows
 
 
+def format_of(path: str, hint: str | None = None) -> str:
+    """The format that a hint or an extension names: jsonl, json (one value a file), csv, text or parquet, which is also that of a name without one."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    kind = (hint or (name.rsplit(".", 1)[-1] if "." in name else "parquet")).lower()
+    named = {"ndjson": "jsonl", "txt": "text", "md": "text", "pq": "parquet"}.get(kind, kind)
+    if named not in ("jsonl", "json", "csv", "text", "parquet"):
+        raise ValueError(f"no reader for {kind}")
+    return named
+
+
+def read_as(spark: SparkSession, path: str, hint: str | None = None, schema: StructType | str | None = None) -> DataFrame:
+    """Rows of a file or folder by ``format_of``; CSV files have a header."""
+    kind = format_of(path, hint)
+    reader = spark.read.schema(schema) if schema is not None and kind != "text" else spark.read
+    if kind == "csv":
+        return reader.option("header", "true").csv(path)
+    if kind in ("json", "jsonl"):
+        return reader.option("multiLine", str(kind == "json").lower()).json(path)
+    return reader.text(path) if kind == "text" else reader.parquet(path)
+
+
 def partitions(paths: DataFrame, below: str) -> DataFrame:
     """Distinct first path parts below a folder."""
     return paths.select(F.regexp_extract("path", rf"\Q{below}\E/?([^/]+)/", 1).alias("partition")).where("partition <> ''").distinct().orderBy("partition")
