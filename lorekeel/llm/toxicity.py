@@ -103,11 +103,21 @@ def matches(folded: str, found: ahocorasick.Automaton) -> list[tuple[int, float]
     return [(at, w) for at, w in words.items() if not any(a <= at < b - 1 for a, b in shields)] if shields else list(words.items())
 
 
-def _folded(batch: pa.RecordBatch) -> tuple[list[list[str]], np.ndarray]:
+def _folded(batch: pa.RecordBatch, found: ahocorasick.Automaton | None = None) -> tuple[list[list[str]], np.ndarray]:
+    """Folded words of each text, and how many words it has; with ``found`` only of texts with a word that it matches, others have none.
+
+    Every distinct word of the batch is folded and looked up once.
+    """
     starts, codes, distinct = words_of(batch.column("text"))
     known = [fold(w) for w in distinct.to_pylist()]
+    bounds = list(zip(starts[:-1].tolist(), starts[1:].tolist()))
+    if found is not None:
+        hit = np.fromiter((bool(w) and any(x[1][1] for x in found.iter(f" {w} ")) for w in known), bool, len(known))
+        before = np.concatenate(([0], np.cumsum(hit[codes]))) if len(codes) else np.zeros(1, np.int64)
+        some = before[starts[1:]] > before[starts[:-1]]
+        return [[w for w in (known[c] for c in codes[a:b].tolist()) if w] if s else [] for s, (a, b) in zip(some.tolist(), bounds)], np.diff(starts)
     words = [known[c] for c in codes.tolist()]
-    return [[w for w in words[a:b] if w] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())], np.diff(starts)
+    return [[w for w in words[a:b] if w] for a, b in bounds], np.diff(starts)
 
 
 def matched(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
@@ -120,8 +130,11 @@ def matched(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
         found = held.value.automaton()
         for whole in batches:
             for batch in text_slices(whole):
-                texts, sizes = _folded(batch)
-                hits = [matches(f" {' '.join(t)} ", found) if found and t else [] for t in texts]
+                if found is None:
+                    texts, sizes = [[]] * batch.num_rows, np.diff(words_of(batch.column("text"))[0])
+                else:
+                    texts, sizes = _folded(batch, found)
+                hits = [matches(f" {' '.join(t)} ", found) if t else [] for t in texts]
                 at = batch.schema.get_field_index("text")
                 out = batch.remove_column(at).append_column("n_words", pa.array(sizes, pa.int64()))
                 out = out.append_column("total", pa.array([float(sum(h[1] for h in x)) for x in hits], pa.float64()))

@@ -120,6 +120,16 @@ def test_automaton_against_plain_search(spark, small, given):
         assert {a: v for a, v in toxicity.matches(f" {' '.join(w)} ", found) if a + 1} == {s - 1: v for s, v in plain.items()}
 
 
+def test_texts_without_a_term_are_not_walked_but_score_the_same(given, texts):
+    common = Counter(toxicity.fold(w) for t in texts.values() for w in WORD.findall(t))
+    words = [w for w, _ in common.most_common(60) if w]
+    lexicon = toxicity.Lexicon({words[50]: 2.0, words[55][:3] + "*": 1.0}, [f"{words[0]} {words[50]}"])
+    found = lexicon.automaton()
+    for r in toxicity.toxicity(given, lexicon).collect():
+        w = [x for x in map(toxicity.fold, WORD.findall(texts[r["doc_id"]])) if x]
+        assert sorted((h["start"], h["weight"]) for h in r["hits"]) == sorted(toxicity.matches(f" {' '.join(w)} ", found))
+
+
 def test_packing(spark, small, texts):
     plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     ids = {i: [*plain.encode(t, add_special_tokens=False).ids, 2] for i, t in texts.items()}
