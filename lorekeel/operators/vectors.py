@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lorekeel.functions.scalars import cosine
+from lorekeel.session import cut
 
 #: Vectors in a block of a similarity join.
 BLOCK_ROWS = 2048
@@ -79,7 +80,8 @@ def similar_vectors(vectors: DataFrame, over: float, id_col: str = "vec_id", vec
     """
     group = F.lit(0) if group_col is None else F.col(group_col)
     rows = vectors.where(F.size(vector_col) > 0).select(group.alias("group"), F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    sizes = rows.groupBy("group").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block_rows)).cast("int").alias("blocks"))
+    # written first: a join beside an aggregate on the same key could not be split where a group is hot
+    sizes = cut(rows.groupBy("group").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block_rows)).cast("int").alias("blocks")))
     dealt = rows.join(sizes, "group").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     spread = dealt.select("group", "id", "v", "own", other).withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
