@@ -15,7 +15,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -144,22 +143,17 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     for repeats, pattern in plan_windows(counts, capacity):
         offset = 0
         for n, k in sorted(pattern.items(), reverse=True):
-            rows.append((n, used[n], sequence, k, offset))
+            # the next ``repeats * k`` pieces of this length go here, ``k`` to a window
+            rows.append((n, used[n], used[n] + repeats * k, sequence, k, offset))
             used[n] += repeats * k
             offset += n * k
         sequence += repeats
-    table = np.array(sorted(rows), np.int64).reshape(-1, 5)
-    keys = (table[:, 0] << 44) | table[:, 1]
-
-    @F.pandas_udf("sequence_id long, offset long")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        length, rank = length.to_numpy(np.int64), rank.to_numpy(np.int64)
-        _, since, base, copies, at = table[np.searchsorted(keys, (length << 44) | rank, side="right") - 1].T
-        turn, slot = np.divmod(rank - since, copies)
-        return pd.DataFrame({"sequence_id": base + turn, "offset": at + slot * length})
-
-    ranked = numbered.join(offsets, ["part", "length"]).withColumn("at", place("length", F.col("before") + F.col("local")))
-    return ranked.select(*(F.col("piece")[c].alias(c) for c in kept), "at.sequence_id", "at.offset")
+    # as long as the plan, whose patterns are bounded by the lengths
+    plan = pieces.sparkSession.createDataFrame(rows, "length long, since long, until long, base long, copies long, at long")
+    ranked = numbered.join(offsets, ["part", "length"]).withColumn("rank", F.col("before") + F.col("local"))
+    found = ranked.join(F.broadcast(plan), "length").where("since <= rank and rank < until").withColumn("turn", F.col("rank") - F.col("since"))
+    sequence_id, place = F.col("base") + F.expr("turn div copies"), F.col("at") + F.expr("turn % copies") * F.col("length")
+    return found.select(*(F.col("piece")[c].alias(c) for c in kept), sequence_id.alias("sequence_id"), place.alias("offset"))
 
 
 def sequences(placed: DataFrame) -> DataFrame:
