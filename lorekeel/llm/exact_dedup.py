@@ -1,8 +1,8 @@
 """Operator 4, exact dedup by deterministic block naming.
 
 A text without its ASCII white space is cut into blocks of ``block`` code points. The
-distinct blocks are sorted over the whole cluster (dealt by ranges, sorted within them), and a block's
-place in that order is its integer name, so that names do not depend on how the cluster deals rows out; then the
+distinct blocks are sorted over the whole cluster (dealt by ranges, sorted within them; by their first code points, then by a
+128-bit key), and a block's place in that order is its integer name, so that names do not depend on how the cluster deals rows out; then the
 distinct pairs of neighbouring names are sorted and named alike, level after level,
 until each document has one name. Names stand for contents, not for hashes, so
 two documents share (level, name) only if their normalised texts are equal.
@@ -24,8 +24,8 @@ from pyspark.sql.window import Window
 
 from lorekeel.session import cut, parts_for
 
-#: Code points in a block.
-BLOCK = 512
+#: Code points in a block, and how many of them it is sorted by before its key decides.
+BLOCK, HEAD = 512, 32
 
 
 def normalised(text):
@@ -60,7 +60,8 @@ def block_names(docs: DataFrame, text_col: str = "text", block: int = BLOCK) ->
     for seed in count():
         k1, k2 = _keys(F.col("part"), seed)
         distinct = parts.select(k1.alias("k1"), k2.alias("k2"), "part").distinct()
-        names = _named(distinct, ["part"], ["k1", "k2"])
+        # the order of first code points, then of keys: total, and light to deal out
+        names = _named(distinct.select("k1", "k2", F.substring("part", 1, HEAD).alias("head")), ["head", "k1", "k2"], ["k1", "k2"])
         if names.groupBy("k1", "k2").count().where("count > 1").isEmpty():
             return names, seed
 
