@@ -58,12 +58,12 @@ def mention_errors(mentions: DataFrame, texts: DataFrame) -> DataFrame:
 
     A batch of ``texts`` without a mention has one EMPTY_EXTRACTION. Of mentions with one span all but the first are duplicates.
     """
-    source = texts.select("batch_id", F.col("text").alias("_source"))
-    rows = mentions.join(source, "batch_id", "left")
+    source = texts.select("batch_id", F.col("text").alias("_source"), F.length("text").alias("_length"))
     s, e = F.col("span_start"), F.col("span_end")
-    in_range = (s >= 0) & (s < e) & (e <= F.length(F.coalesce("_source", F.lit(""))))
+    in_range = (s >= 0) & (s < e) & (e <= F.coalesce("_length", F.lit(0)))
     again = F.row_number().over(Window.partitionBy("batch_id", "span_start", "span_end").orderBy("pos")) > 1
-    rows = rows.withColumn("_again", again & s.isNotNull() & e.isNotNull())
+    # texts come last, so that they are not dealt out with every mention
+    rows = mentions.withColumn("_again", again & s.isNotNull() & e.isNotNull()).join(source, "batch_id", "left")
     kind = alias_type("mention_type")
     slice_ = F.call_function("substring", F.col("_source"), s + 1, e - s)
     rules = [
