@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and, where SQL can express one, its DuckDB text."""
+"""Registered queries of the operators and, where SQL can express one, its DuckDB text."""
 
 from __future__ import annotations
 
@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorekeel.llm import byte_bpe, language_id, private_data, toxicity
+from lorekeel.llm import byte_bpe, decontaminate, language_id, private_data, spelling, toxicity
 from lorekeel.llm.exact_dedup import exact_dedup
 from lorekeel.llm.near_dedup import near_dedup
 from lorekeel.llm.packing import pack, token_pieces
+from lorekeel.llm.prefix_trie import prefix_trie
 from lorekeel.llm.quality import quality_rules
 from lorekeel.llm.token_rollup import Rollup, count_tokens
 from lorekeel.llm.url_filter import canonical_of, filter_urls, host_of
@@ -182,6 +183,111 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.take()
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"), shared=True)
+
+
+#: A list of 256 numbers, by which a byte changes a crc32; ``{bytes}`` is a list of bytes.
+CRC_TABLE_SQL = "SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tbl"
+CRC_SQL = "xor(list_reduce({bytes}, lambda c, b: xor(c >> 8, tbl[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+OP11_SQL = f"""
+WITH crc AS ({CRC_TABLE_SQL}
+), t AS (
+  SELECT conv_id, length(coalesce(text, '')) AS chars, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT conv_id, chars, digest, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos FROM t
+), c AS (
+  SELECT conv_id, {CRC_SQL.format(bytes="list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))")} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM o), crc
+), r AS (
+  SELECT c.conv_id, 0 AS part, pos, chars, digest FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 100 AND pos <= h
+  UNION ALL SELECT c.conv_id, 1, pos, chars, digest FROM c JOIN o ON o.conv_id = c.conv_id AND pos > h
+), p AS (
+  SELECT conv_id, chars, row_number() OVER w AS depth, sha256(array_to_string(list(digest) OVER w, ',')) AS node
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), q AS (
+  SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM p
+), n AS (
+  SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+         CASE WHEN bool_and(last) THEN 1 ELSE 0 END AS leaf, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM q GROUP BY node
+), s AS (
+  SELECT p.node, sum(n.leaf) AS n_leaves, sum(n.saved) AS saved_tokens FROM n JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.node
+), k AS (
+  SELECT parent AS node, count(*) AS n_children FROM n GROUP BY parent
+)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN s ON s.node = n.node LEFT JOIN k ON k.node = n.node LEFT JOIN n AS up ON up.node = n.parent
+"""
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.word_counts(table(spark, sf_dir, "documents"), slip_every=31))
+
+
+OP12_SQL = f"""
+WITH RECURSIVE crc AS ({CRC_TABLE_SQL}
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents
+), o AS (
+  SELECT w, count(*) AS n, list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, ''), lambda x: CAST(ord(x) AS BIGINT)) AS points FROM runs WHERE length(w) >= 7 GROUP BY doc_id, w
+), h AS (
+  SELECT w, n, {CRC_SQL.format(bytes="flatten(list_transform(points, lambda c: CASE WHEN c < 128 THEN [c] ELSE [192 | (c >> 6), 128 | (c & 63)] END))")} AS h FROM o, crc
+), s AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM s WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), v AS (
+  SELECT word, k, substr(word, 1, k - 1) || substr(word, k + 1) AS v FROM (SELECT word, unnest(range(1, length(word) + 1)) AS k FROM words)
+), near AS (
+  SELECT x.word AS a, y.word AS b FROM v x JOIN v y ON x.v = y.v AND x.k = y.k AND x.word <> y.word
+  UNION SELECT v.word, w.word FROM v JOIN words w ON v.v = w.word UNION SELECT w.word, v.word FROM v JOIN words w ON v.v = w.word
+), best AS (
+  SELECT a, count(*) AS n_near, first(b ORDER BY w.n DESC, b) AS b, max(w.n) AS m FROM near JOIN words w ON w.word = b GROUP BY a
+), judged AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN b END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n FROM words LEFT JOIN best ON a = word
+), roots AS (
+  SELECT word, word AS root, form AS further FROM judged UNION ALL SELECT r.word, j.word, j.form FROM roots r JOIN judged j ON j.word = r.further
+)
+SELECT j.word, j.form, r.root, j.n, j.n_near, j.form_n FROM judged j JOIN roots r ON r.word = j.word AND r.further IS NULL
+"""
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.with_benchmark_hits(docs, table(spark, sf_dir, "benchmark")).drop("text")
+    found = F.col("found")
+    items = found["items"]
+    out = marked.select("doc_id", found["n_words"].alias("n_words"), decontaminate.n_hit(found).alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"))
+    return out.withColumn("contaminated", F.col("n_hit") > 0)
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item, least(10, len(w)) AS l, array_to_string(w[i:i + 9], ' ') AS g FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT row, i, l, array_to_string(w[i:i + l - 1], ' ') AS g FROM (SELECT row, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM bw))
+), o AS (
+  SELECT row, i, dw.l, item FROM dw JOIN bw ON bw.g = dw.g AND bw.l = dw.l
+), h AS (
+  SELECT row, count(*) AS n_hit FROM (SELECT DISTINCT row, unnest(range(i, i + l)) AS k FROM o) GROUP BY row
+), s AS (
+  SELECT row, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM o GROUP BY row
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (row) LEFT JOIN s USING (row)
+"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
@@ -193,5 +299,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_spelling_groups": op12_spelling_groups,
+    "op13_decontamination": op13_decontamination,
 }
-ORACLES = {"op3_url_filter": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op6_near_dedup": OP6_SQL}
+ORACLES = {"op3_url_filter": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op6_near_dedup": OP6_SQL, "op11_prefix_trie": OP11_SQL, "op12_spelling_groups": OP12_SQL, "op13_decontamination": OP13_SQL}
