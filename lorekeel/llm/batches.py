@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Text bytes that one slice of a batch holds at most, unless a single text is longer.
@@ -46,6 +47,16 @@ def text_slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BY
     yield batch.slice(at)
 
 
+#: Steps of a draw: a share of one row in 10^18 still has some.
+_DRAWS = 1 << 62
+
+
+def drawn(id_col: str, share: float | Column) -> Column:
+    """Whether an id belongs to a sample of about ``share`` (0 to 1) of all ids, by its hash: the same ids in every run, at any size of table."""
+    place = F.pmod(F.xxhash64(id_col), F.lit(_DRAWS))
+    return place < (F.lit(int(share * _DRAWS)) if isinstance(share, float) else F.floor(F.least(share, F.lit(1.0)) * F.lit(float(_DRAWS))).cast("long"))
+
+
 def free_name(columns: list[str], wanted: str) -> str:
     """``wanted``, with as many underscores as it takes to be none of ``columns`` (case aside)."""
     taken = {c.lower() for c in columns}

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lorekeel.llm.batches import map_batches, text_slices, words_of
+from lorekeel.llm.batches import drawn, map_batches, text_slices, words_of
 
 #: Labelled documents that a language is learned from (expected number), and languages that can be learned.
 SAMPLE_DOCS, MAX_LANGS = 4000, 100
@@ -152,7 +152,7 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, max_langs: int =
     code = {x: k for k, x in enumerate(langs)}
     # an even share of each language by a hash of the id, so that the sample is the same in every run
     share = F.element_at(F.create_map(*(F.lit(y) for x in langs for y in (x, sample_docs / sizes[x]))), F.col("lang"))
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)).select("lang", "text")
+    picked = rows.where(drawn("doc_id", share)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(langs), PLACES + N_SCRIPTS), np.int64)

@@ -39,7 +39,7 @@ from lorekeel.session import cut
 COORDINATES, BAND = 128, 4
 #: Buckets of so many classes at most compare what is left directly, others by prefixes; both find the same links.
 SMALL_BUCKET = 8
-#: Numeric ids up to this count go to all tasks (8 bytes each) to pick the texts that are read again; beyond it they are joined by a shuffle.
+#: Numeric ids up to this count go to all tasks (8 bytes each, 16 for decimals) to pick the texts that are read again; beyond it they are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -175,10 +175,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``component_id`` is the least doc_id reachable over links of at least ``percent``
     similarity, its own included; ``kept`` says that the row is that document. A text of
     fewer than ``width`` words is one shingle; without words, or null, it has an empty set
-    and links with nothing. Rows repeated with one id are of one component, and each is
+    and links with nothing; a text of any length is one set. Rows repeated with one id are one document: they and all that any of
+    their texts links to are of one component, and each is
     kept if that id is. A null id names a component only if no member has another: then
-    component_id is null, and its rows, which nothing tells apart, are all kept. Other columns
-    are not read, whatever their names. An empty table gives no rows.
+    component_id is null, and its rows, which nothing tells apart, are all kept. To tell rows apart give
+    each an id of its own. Other columns are not read, whatever their names. An empty table gives no rows.
     """
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id %s, n_shingles long, set_key binary, bands array<long>" % given.schema["doc_id"].dataType.simpleString()
@@ -211,7 +212,15 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         full = full.join(sets.select(F.col("node").alias("b"), F.col("members").alias("members_b")), "b")
         return cut(map_batches(full.select("a", "b", "members_a", "members_b"), _verifying(percent), "a long, b long"))
 
-    found = cut(connected_components(verified(tried), "a", "b"))
+    # rows of one id and different texts are one document: a star of their classes
+    several = cut(rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y")).where("x <> y").select("doc_id"))
+    repeated = not several.isEmpty()
+    links = verified(tried)
+    if repeated:
+        arms = cut(some.join(several, "doc_id", "left_semi").select("doc_id", "set_key").distinct().join(classes.select("set_key", "node"), "set_key").select("doc_id", "node"))
+        centres = cut(arms.groupBy("doc_id").agg(F.min("node").alias("a")))
+        links = links.unionByName(arms.join(centres, "doc_id").where("node <> a").select("a", F.col("node").alias("b")))
+    found = cut(connected_components(links, "a", "b"))
 
     def component_of(pairs: DataFrame, end: str) -> DataFrame:
         return pairs.join(found.withColumnRenamed("node", end), end, "left").select(pairs["*"], F.coalesce("component", end).alias(f"c_{end}"))
@@ -230,6 +239,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = labels.join(least, "component").select("set_key", "component_id")
     out = some.join(named, "set_key").select("doc_id", "n_shingles", "component_id")
     out = out.unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    if repeated:  # a row without words goes with the other rows of its id
+        out = cut(out)
+        one = cut(out.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("least")))
+        out = out.join(one, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("least", "component_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

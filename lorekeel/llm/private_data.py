@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lorekeel.llm.batches import map_batches, text_slices
+from lorekeel.llm.batches import drawn, map_batches, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Atoms of a segment at most; passages and rounds of training; the log odds that a found segment must have.
@@ -399,7 +399,7 @@ def passages_of(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, limit: int = SA
     if not n:
         return []
     share = min(1.0, sample_docs / n)
-    some = some.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
+    some = some.where(drawn("doc_id", share)).select("text")
     found = map_batches(some, run, "passage string, spans array<struct<a:int,b:int,k:int>>").distinct()
     place = F.row_number().over(Window.partitionBy("bare").orderBy(F.xxhash64("passage"), "passage"))
     found = found.withColumn("bare", F.size("spans") == 0).withColumn("place", place).where(F.col("place") <= F.when(F.col("bare"), limit // 4).otherwise(limit - limit // 4))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekeel.llm.batches import map_batches, text_slices, words_of
+from lorekeel.llm.batches import drawn, map_batches, text_slices, words_of
 from lorekeel.session import cut
 
 #: Labelled documents that are learned from (expected number); they bound the lexicon, whose every entry was seen in several of them.
@@ -195,7 +195,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     if not bad or bad == n:
         return Lexicon({}, [], shift=30.0 if bad else -30.0)
     share = min(1.0, sample_docs / n)
-    picked = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    picked = known.where(drawn("doc_id", share))
     texts = cut(docs.select("doc_id", "text").where("text is not null").join(picked, "doc_id").select("toxic", "text"))
 
     totals = texts.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).first()

@@ -112,3 +112,16 @@ def test_shingles_of_slices_do_not_depend_on_the_batch():
     whole = shingle_sets(pa.array(texts), 4)
     alone = [shingle_sets(pa.array([t], pa.string()), 4)[0] for t in texts]
     assert all((x == y).all() and len(x) == len(y) for x, y in zip(whole, alone))
+
+
+def test_rows_of_one_id_are_one_document(docs_of):
+    a, b = "a b c d e f g h i j", "k l m n o p q r s t"
+    rows = near_dedup(docs_of([(1, a), (5, a + " x"), (5, b), (9, b + " y"), (5, None), (7, "alone"), (7, ""), (8, None)]), width=4, percent=70).collect()
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in rows)
+    assert got == [(1, 7, 1, True), (5, 0, 1, False), (5, 7, 1, False), (5, 8, 1, False), (7, 0, 7, True), (7, 1, 7, True), (8, 0, 8, True), (9, 8, 1, False)]
+
+
+def test_a_very_long_text(docs_of):
+    long = " ".join(f"w{k}" for k in range(200_000))
+    rows = near_dedup(docs_of([long, long + " end", "w0 w1 w2 w3"]), width=4).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows) == [(0, 199_997, 0), (1, 199_998, 0), (2, 1, 2)]

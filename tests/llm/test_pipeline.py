@@ -52,6 +52,21 @@ def test_null_and_repeated_ids_stay_once(spark, docs_of, small):
     assert sorted(r["text"] for r in corpus_pipeline.drop_near_copies(spark, docs, small).collect()) == ["null id here", "one two three", "other words", "second null id"]
 
 
+def test_near_copies_of_null_and_repeated_ids_go(spark, docs_of, small):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    docs = docs_of([(None, a), (None, a + " more"), (5, b), (5, b + " more"), (5, c), (3, b + " end"), (6, None), (6, None), (None, None), (4, c + " end")], extra="key key_")
+    texts = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, small).collect()]
+    assert len(texts) == 5 and [t for i, t in texts if i == 5] == [] and {(3, b + " end"), (4, c + " end"), (6, None), (None, None)} < set(texts)
+    assert sum((t or "").startswith("a0") for _, t in texts) == 1
+
+
+def test_row_keys_keep_the_order_of_ids(spark, docs_of):
+    ids = [-(2**63), -5, 0, 7, 2**63 - 1]
+    docs = docs_of([(i, t) for i in ids for t in ("x", "y", None)] + [(None, "x"), (None, "y")])
+    rows = docs.select("doc_id", "text", corpus_pipeline._row_key(docs).alias("k")).orderBy("k").collect()
+    assert len({r["k"] for r in rows}) == len(rows) and [r["doc_id"] for r in rows] == [None] * 2 + [i for i in ids for _ in range(3)]
+
+
 def test_run(spark, small):
     rows = corpus_pipeline.run(spark, small)
     assert rows.count() > 0 and {"doc_id", "start", "length", "sequence_id", "offset"} <= set(rows.columns)
