@@ -7,10 +7,12 @@ columns of ``documents`` as they came; the last returns the pieces of packed seq
 from __future__ import annotations
 
 import uuid
+from decimal import Decimal
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window
 
 from lorekeel.llm import language_id, private_data
@@ -58,13 +60,32 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clear.select(*docs.columns).unionByName(once.select(*docs.columns))
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """A number for each id and text: rows differ in it if they differ in one of them, and it is in the order of whole-number ids; null ids come first, told apart by two hashes of the text."""
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        ids = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.lit(1), "doc_id"))
+    else:
+        ids = F.col("doc_id")
+    wide = lambda x: x.cast("decimal(19,0)")
+    part = lambda seed: F.pmod(F.xxhash64(F.lit(seed), F.col("text")), F.lit(10**18))
+    nameless = F.lit(Decimal(-93 * 10**36)) - (wide(part(1)) * F.lit(Decimal(10**18)) + wide(part(2)))
+    return F.coalesce(wide(ids) * F.lit(Decimal(10**19)) + wide(part(1)), nameless).cast("decimal(38,0)")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the least id.
+    """Of each group of near copies, one row: that with the least id.
 
-    Documents without words, and rows with a null id that no other document is near to, stay. All columns stay as they are, whatever their names, and an empty table stays empty.
+    Rows are told apart by id and text, so rows with a null id or one id are judged by themselves, and of rows with one id and one text one stays. Documents without
+    words stay. All columns stay as they are, whatever their names, and an empty table stays empty.
     """
-    ids = near_dedup(docs, width=SHINGLE_WORDS, percent=SIMILAR).where("kept").select("doc_id").distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select(*docs.columns)
+    key = free_name(docs.columns, "key")
+    rows = docs.withColumn(key, _row_key(docs))
+    kept = near_dedup(rows, id_col=key, width=SHINGLE_WORDS, percent=SIMILAR).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    stay = rows.join(kept, key, "left_semi")
+    twice = cut(rows.groupBy(key).count().where("count > 1").select(key))
+    if not twice.isEmpty():
+        stay = stay.join(twice, key, "left_anti").unionByName(stay.join(twice, key, "left_semi").dropDuplicates([key]))
+    return stay.select(*docs.columns)
 
 
 def redact_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
