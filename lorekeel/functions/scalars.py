@@ -98,8 +98,8 @@ def flag_text(flag) -> Column:
 
 
 def stripped(text) -> Column:
-    """Without white space of any script at either end."""
-    return F.regexp_replace(_c(text), r"(?U)^\s+|\s+$", "")
+    """Without white space of any script at either end; a run of blanks inside is walked once."""
+    return F.regexp_replace(_c(text), r"(?U)^\s++|(?<!\s)\s++$", "")
 
 
 def normalised(text) -> Column:
@@ -178,7 +178,7 @@ def tag_list(body) -> Column:
 
 
 def is_snake_case(text) -> Column:
-    return _c(text).rlike(r"^[a-z][a-z0-9]*(_[a-z0-9]+)*$")
+    return _c(text).rlike(r"^[a-z][a-z0-9]*+(?:_[a-z0-9]++)*+$")
 
 
 def is_wkt(text) -> Column:
@@ -205,8 +205,8 @@ def json_at(payload, path: str) -> Column:
 
 def without_fences(text) -> Column:
     """The inside of the first fenced block, if there is one; else the stripped text."""
-    inside = F.regexp_extract(_c(text), r"(?s)```(?:json)?\s*(.*?)\s*```", 1)
-    return F.coalesce(falsy(inside), stripped(text))
+    inside = F.regexp_extract(_c(text), r"(?s)```(?:json)?(.*?)```", 1)
+    return F.coalesce(falsy(F.regexp_replace(inside, r"^\s++|(?<!\s)\s++$", "")), stripped(text))
 
 
 def quoted(text) -> Column:
@@ -227,14 +227,27 @@ def keyword_in_context(context, entity, window: int) -> list[Column]:
     return [left, hit, right]
 
 
+def file_name(path) -> Column:
+    """What follows the last slash."""
+    return F.substring_index(_c(path), "/", -1)
+
+
+def _before_extension(name: Column) -> Column:
+    """What stands before the last dot; null if there is no dot, or only dots before it."""
+    before = F.call_function("left", name, F.length(name) - F.length(F.substring_index(name, ".", -1)) - 1)
+    return F.when(before.rlike("[^.]"), before)
+
+
 def extension(path) -> Column:
     """Lower-cased extension with its dot; empty without one. A leading dot starts none."""
-    return F.lower(F.regexp_extract(_c(path), r"[^/.][^/]*?(\.[^./]*)$", 1))
+    name = file_name(path)
+    return F.when(name.isNotNull(), F.coalesce(F.lower(F.substring(name, F.length(_before_extension(name)) + 1, F.length(name))), F.lit("")))
 
 
 def stem(path) -> Column:
     """File name without folders and its last extension."""
-    return F.regexp_replace(F.regexp_extract(_c(path), r"([^/]*)$", 1), r"(?<=[^.])\.[^.]*$", "")
+    name = file_name(path)
+    return F.coalesce(_before_extension(name), name)
 
 
 def preview(text, n: int, more: str = "...") -> Column:

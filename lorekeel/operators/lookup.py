@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lorekeel.functions.scalars import falsy, stem
+from lorekeel.functions.scalars import falsy, file_name, stem
 from lorekeel.operators.explore import contains_fold
 from lorekeel.operators.textjoin import containing_pairs
 
@@ -118,5 +118,5 @@ def transcripts_of(files: DataFrame, transcripts: DataFrame) -> DataFrame:
 
 def metadata_of(files: DataFrame, metadata: DataFrame) -> DataFrame:
     """(path, and the columns of ``metadata``) by equal file names."""
-    named = files.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("filename"))
+    named = files.select("path", file_name("path").alias("filename"))
     return named.join(metadata, "filename")

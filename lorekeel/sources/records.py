@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lorekeel.functions.scalars import extension, first_truthy, stripped, subject_line, tag_list
+from lorekeel.functions.scalars import extension, file_name, first_truthy, stripped, subject_line, tag_list
 
 # The node files of the offshore archive in their order, and the entity type of each.
 NODE_FILES = [
@@ -20,6 +20,8 @@ NODE_FILES = [
 ]
 #: Extensions of media files.
 MEDIA_EXTENSIONS = [".mp4", ".mkv", ".webm", ".avi", ".mov", ".mp3", ".m4a", ".wav", ".flac"]
+#: A field in quotes, with escaped or doubled quotes inside; possessive, so that a body of any length takes no recursion.
+_FIELD = r'(?s)"([^"\\]*+(?:(?:\\.|"")[^"\\]*+)*+)"(?:,|\s*+$)'
 _START = r'^"(\d+)","\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}"'
 
 
@@ -39,7 +41,7 @@ def cable_records(lines: DataFrame) -> DataFrame:
     numbered = own.join(parts, ["file", "block"]).withColumn("record", F.coalesce("_own", "_before")).where("record is not null")
     parts = F.array_sort(F.collect_list(F.struct("line_no", "value")))["value"]
     whole = numbered.groupBy("file", "record").agg(F.array_join(parts, "\n").alias("raw"))
-    fields = F.regexp_extract_all("raw", F.lit(r'(?s)"((?:[^"\\]|\\.|"")*)"(?:,|\s*$)'), F.lit(1))
+    fields = F.regexp_extract_all("raw", F.lit(_FIELD), F.lit(1))
     rows = whole.withColumn("f", F.transform(fields, lambda x: F.regexp_replace(F.replace(x, F.lit('""'), F.lit('"')), r'\\"', '"'))).where(F.size("f") >= 6)
     field = lambda k: F.coalesce(F.try_element_at("f", F.lit(k + 1)), F.lit(""))
     body = F.array_join(F.slice("f", 8, F.greatest(F.size("f") - 7, F.lit(0))), "\n")
@@ -107,7 +109,7 @@ def offshore_relationships(rows: DataFrame, member: str = "relationships.csv") -
 def media_files(spark: SparkSession, path: str, extensions: list[str] = MEDIA_EXTENSIONS) -> DataFrame:
     """path, filename, extension, size_bytes, mtime and source_dir of media files below ``path``; contents are not read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    rows = found.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("filename"), extension("path").alias("extension"), F.col("length").alias("size_bytes"), F.col("modificationTime").cast("double").alias("mtime"))
+    rows = found.select("path", file_name("path").alias("filename"), extension("path").alias("extension"), F.col("length").alias("size_bytes"), F.col("modificationTime").cast("double").alias("mtime"))
     return rows.where(F.col("extension").isin(extensions)).withColumn("source_dir", F.lit(path))
 
 

@@ -78,3 +78,23 @@ def test_places_of_hits_where_lower_case_is_longer(spark):
     names = spark.createDataFrame([(1, "acme"), (1, "ACME corp"), (1, ""), (1, None)], "id int, entity string")
     assert sorted(tuple(r)[1:] for r in occurrences(texts, names).collect()) == [("ACME corp", 19, 28), ("acme", 3, 7), ("acme", 13, 17), ("acme", 19, 23)]
     assert sorted(tuple(r)[1:] for r in annotated(texts, names).select("id", "entity", "start", "end").collect()) == [("ACME corp", 19, 28), ("acme", 3, 7), ("acme", 13, 17)]
+
+
+def test_long_values_take_linear_time_and_no_recursion(spark):
+    million = spark.range(1).select(F.repeat(F.lit(" "), 1_000_000).alias("blanks"), F.repeat(F.lit("_a1"), 100_000).alias("parts"), F.repeat(F.lit("a/"), 300_000).alias("path"))
+    row = million.select(
+        F.length(S.stripped(F.concat(F.lit("  a"), "blanks", F.lit("b \n")))).alias("kept"), F.length(S.stripped("blanks")).alias("none"),
+        S.is_snake_case(F.concat(F.lit("a"), "parts")).alias("snake"), S.is_snake_case(F.concat(F.lit("a"), "parts", F.lit("_"))).alias("odd"),
+        F.length(S.without_fences(F.concat(F.lit("```json\n"), "blanks", F.lit("x"), "blanks", F.lit("y"), "blanks", F.lit("```")))).alias("fenced"),
+        F.length(S.without_fences(F.concat(F.lit("``` "), "blanks", F.lit("x")))).alias("open"),
+        S.extension(F.concat("path", F.repeat(F.lit("b"), 200_000))).alias("no_extension"), S.extension(F.concat("path", F.repeat(F.lit("b."), 200_000), F.lit("TXT"))).alias("extension"),
+        F.length(S.stem(F.concat("path", F.repeat(F.lit("b."), 200_000), F.lit("TXT")))).alias("stem"),
+    ).first()
+    assert row.asDict() == {"kept": 1_000_002, "none": 0, "snake": True, "odd": False, "fenced": 1_000_002, "open": 1_000_005, "no_extension": "", "extension": ".txt", "stem": 399_999}
+
+
+def test_stripping_by_script_and_names_of_files(spark):
+    assert [one(spark, S.stripped("a"), a=v) for v in ("\u2003a \u00a0b\u2003\n", "", " \t", None, "a")] == ["a \u00a0b", "", "", None, "a"]
+    names = {"/x/a.TXT": (".txt", "a"), "a": ("", "a"), ".hidden": ("", ".hidden"), "..b": ("", "..b"), "a..b": (".b", "a."), "x.y/": ("", ""), "d.e/f": ("", "f"), "a.": (".", "a"), ".a.b": (".b", ".a"), None: (None, None)}
+    for name, expected in names.items():
+        assert (one(spark, S.extension("a"), a=name), one(spark, S.stem("a"), a=name)) == expected, name

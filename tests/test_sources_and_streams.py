@@ -26,6 +26,14 @@ def test_cables(spark, tmp_path):
     assert rows["1"]["subject"] == "On trade" and rows["1"]["tags"] == ["PREL", "PGOV"] and 'said "no"' in rows["1"]["content"] and rows["2"]["content"] == "body"
 
 
+def test_a_cable_of_a_megabyte(spark, tmp_path):
+    lines = ["SUBJECT: long", "x" * 500_000, 'say \\"so\\" ' * 60_000, '""quoted""' * 20_000, "", "end" + " " * 300_000]
+    (tmp_path / "long.csv").write_text('"7","2/7/1972 0:00","REF","Embassy","SECRET","","header","' + "\n".join(lines) + '"\n"8","2/8/1972 0:00","R","E","S","","h","short"\n')
+    rows = {r["id"]: r for r in records.cable_records(records.read_lines(spark, str(tmp_path / "long.csv"))).collect()}
+    expected = "\n".join(lines).replace('""', '"').replace('\\"', '"')
+    assert rows["7"]["content"] == expected and rows["7"]["subject"] == "long" and rows["8"]["content"] == "short"
+
+
 def test_cables_of_a_file_read_in_parts(spark, tmp_path):
     bodies = [f"line {k}\r\nmore {'x' * (7 * k % 50)}\n\nend of {k}" for k in range(40)]
     text = "no record\n" + "\n".join(f'"{k}","2/7/1972 0:00","ref","Embassy","SECRET","","h","{b}"' for k, b in enumerate(bodies)) + "\n"
