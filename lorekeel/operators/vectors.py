@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,31 +29,22 @@ def top_k(vectors: DataFrame, query: list[float], k: int, threshold: float | Non
     return best if threshold is None else best.where(F.col("score") >= threshold)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int, threshold: float | None = None, id_col: str = "vec_id", vector_col: str = "embedding", query_id: str = "query_id", query_block: int = 512) -> DataFrame:
-    """(query_id, id, score, place): the ``k`` rows closest by cosine to each of ``queries`` (query_id, embedding), then those of at least ``threshold``; exact.
+def units(v: np.ndarray) -> np.ndarray:
+    """Rows in double precision, each of length 1 or, without one, as it is."""
+    v = v.astype(np.float64)
+    norm = np.linalg.norm(v, axis=1)
+    return v / np.where(norm > 0, norm, 1)[:, None]
 
-    Ties go to the smaller id; vectors without length have score 0, null and empty ones are left out. Rows and queries meet in blocks: a pair
-    of blocks is one task's matrix product, made a slice of queries at a time, and keeps ``k`` rows for each query, which are merged by query.
-    """
-    rows = vectors.where(F.size(vector_col) > 0).select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<float>").alias("v"))
-    asked = queries.where(F.size(vector_col) > 0).select(F.col(query_id).alias("id"), F.col(vector_col).cast("array<float>").alias("v"))
-    n_rows, n_asked = (max(1, -(-df.count() // n)) for df, n in ((rows, BLOCK_ROWS * 4), (asked, BLOCK_ROWS)))
-    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    a = asked.select(every(n_rows).alias("r"), block(n_asked).alias("q"), "id", "v", F.lit(True).alias("asks"))
-    b = rows.select(block(n_rows).alias("r"), every(n_asked).alias("q"), "id", "v", F.lit(False).alias("asks"))
-    kinds = [df.schema["id"].dataType.simpleString() for df in (asked, rows)]
 
-    def unit(frame: pd.DataFrame) -> np.ndarray:
-        v = np.stack(frame["v"].to_numpy()).astype(np.float64)
-        norm = np.linalg.norm(v, axis=1)
-        return v / np.where(norm > 0, norm, 1)[:, None]
+def best_of_block(k: int, query_block: int = 512) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """For a frame of queries and rows (id, v, asks): query_id, id and score of the ``k`` rows closest to each query, a slice of queries at a time."""
 
     def best(frame: pd.DataFrame) -> pd.DataFrame:
         mine, held = frame[frame["asks"]], frame[~frame["asks"]].sort_values("id")
         out = []
         if len(mine) and len(held):
-            u, v, q, ids = unit(mine), unit(held), mine["id"].to_numpy(), held["id"].to_numpy()
+            u, v = (units(np.stack(x["v"].to_numpy())) for x in (mine, held))
+            q, ids = mine["id"].to_numpy(), held["id"].to_numpy()
             for at in range(0, len(u), query_block):
                 score = u[at : at + query_block] @ v.T
                 # rows are in the order of their ids, which a stable sort keeps among equals
@@ -62,10 +53,28 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, threshold: float | No
                 out.append(pd.DataFrame({"query_id": np.repeat(q[at : at + query_block], n), "id": ids[top].ravel(), "score": np.take_along_axis(score, top, 1).ravel()}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "id": [], "score": []})
 
+    return best
+
+
+def search(vectors: DataFrame, queries: DataFrame, k: int, threshold: float | None = None, id_col: str = "vec_id", vector_col: str = "embedding", query_id: str = "query_id", query_block: int = 512) -> DataFrame:
+    """(query_id, id, score, place): the ``k`` rows closest by cosine to each of ``queries`` (query_id, embedding), then those of at least ``threshold``; exact.
+
+    Ties go to the smaller id; vectors without length have score 0, null and empty ones are left out. Rows and queries meet in blocks: a pair
+    of blocks is one task's matrix product, made a slice of queries at a time, and keeps ``k`` rows for each query, which are merged by query.
+    """
+    rows = vectors.where(F.size(vector_col) > 0).select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<float>").alias("v"))
+    asked = queries.where(F.size(vector_col) > 0).select(F.col(query_id).alias("id"), F.col(vector_col).cast("array<float>").alias("v"))
+    n_rows, n_asked = (max(1, -(-df.count() // n)) for df, n in ((rows, BLOCK_ROWS * 4), (asked, BLOCK_ROWS)))
+    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    a = asked.select(every(n_rows).alias("r"), block(n_asked).alias("q"), "id", "v", F.lit(True).alias("asks"))
+    b = rows.select(block(n_rows).alias("r"), every(n_asked).alias("q"), "id", "v", F.lit(False).alias("asks"))
+    kinds = [df.schema["id"].dataType.simpleString() for df in (asked, rows)]
+
     # one type for both ids inside a task; they get their own back after
     kind = kinds[0] if kinds[0] == kinds[1] else "string"
     both = a.withColumn("id", F.col("id").cast(kind)).unionByName(b.withColumn("id", F.col("id").cast(kind)))
-    found = both.groupBy("r", "q").applyInPandas(best, f"query_id {kind}, id {kind}, score double")
+    found = both.groupBy("r", "q").applyInPandas(best_of_block(k, query_block), f"query_id {kind}, id {kind}, score double")
     found = found.select(F.col("query_id").cast(kinds[0]), F.col("id").cast(kinds[1]).alias(id_col), "score")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), id_col))
     out = found.withColumn("place", place).where(F.col("place") <= k)

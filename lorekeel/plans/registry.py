@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorekeel.functions.scalars import keyword_in_context, text_hash
-from lorekeel.operators import chunking, documents, explore, incremental, resolution, textjoin, validation, vectors
+from lorekeel.operators import chunking, documents, explore, incremental, resolution, textjoin, validation, vector_index, vectors
 from lorekeel.operators.components import connected_components
 from lorekeel.plans.base import ORACLES, QUERIES, query
 from lorekeel.plans.views import ASSERTIONS_SQL, CANDIDATES_SQL, SURFACES_SQL, assertions, candidates, mentions, table
@@ -300,6 +300,24 @@ def vector_topk(spark, d):
     return _searched(spark, d, 10, threshold=0.2).select("query_id", "vec_id", F.round("score", 5).alias("score"), "place")
 
 
+@query(f"WITH {_VECTOR_SQL} SELECT query_id, vec_id, round(score, 5) AS score, CAST(place AS INTEGER) AS place FROM ranked WHERE place <= 10")
+def indexed_topk(spark, d):
+    """The same by an index: few lists first, then those that can still hold a closer vector."""
+    e = table(spark, d, "embeddings")
+    index = vector_index.VectorIndex.build(e)
+    asked = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return index.search(asked, 10, probes=5, exact=True).select("query_id", "vec_id", F.round("score", 5).alias("score"), "place")
+
+
+@query()
+def index_search(spark, d):
+    """By as many lists as nine in ten of the closest rows take on a sample of the queries; tests hold the recall."""
+    e = table(spark, d, "embeddings")
+    index = vector_index.VectorIndex.build(e)
+    asked = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return index.search(asked, 10, probes=index.probes_for(asked, 10)).select("query_id", "vec_id", F.round("score", 5).alias("score"), "place")
+
+
 @query(f"""WITH {_VECTOR_SQL}, a AS (SELECT query_id, vec_id FROM ranked WHERE place <= 50), c AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS p FROM scored WHERE label < 5), b AS (SELECT query_id, vec_id FROM c WHERE p <= 50)
 SELECT query_id, (SELECT count(*) FROM a WHERE a.query_id = q.query_id) AS n_a, (SELECT count(*) FROM b WHERE b.query_id = q.query_id) AS n_b, (SELECT count(*) FROM a JOIN b USING (query_id, vec_id) WHERE a.query_id = q.query_id) AS n_both FROM q""")
 def result_overlap(spark, d):
