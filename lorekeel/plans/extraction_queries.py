@@ -229,7 +229,22 @@ def annotated_conversations(spark, d):
     """Hits in all turns of a conversation of every word of its turns that begins with a capital; the longest is kept where they start together."""
     c = table(spark, d, "conversations").select(F.concat_ws(":", "conv_id", "turn").alias("id"), "conv_id", "turn", "text")
     words = c.select("conv_id", F.explode(F.regexp_extract_all("text", F.lit("([A-Z][a-z]{3,})"), F.lit(1))).alias("entity")).distinct()
-    return spans.annotated(c, c.select("id", "conv_id").join(words, "conv_id").select("id", "entity"))
+    return spans.annotated(c, words, family="conv_id")
+
+
+@query("""WITH names AS (SELECT DISTINCT n_name AS name FROM nation UNION SELECT r_name FROM region UNION SELECT DISTINCT p_name FROM part WHERE p_partkey % 50 = 0),
+t AS (SELECT l_orderkey * 10 + l_linenumber AS id, 'to ' || n_name || ', ' || r_name || ': ' || p_name AS text FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey WHERE l_quantity > 45)
+SELECT id, count(DISTINCT name) AS n_names FROM t JOIN names ON contains(lower(text), lower(name)) GROUP BY id""")
+def shipped_names(spark, d):
+    """Names of one dictionary for all in shipping notes: every line of notes is of one family, dealt over tasks."""
+    named = table(spark, d, "nation").select(F.col("n_name").alias("entity")).union(table(spark, d, "region").select("r_name")).union(table(spark, d, "part").where("p_partkey % 50 = 0").select("p_name")).distinct()
+    n, r = table(spark, d, "nation"), table(spark, d, "region")
+    places = table(spark, d, "supplier").join(n, F.col("s_nationkey") == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"]).select("s_suppkey", "n_name", "r_name")
+    lines = table(spark, d, "lineitem").where("l_quantity > 45").join(table(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey")).join(places, F.col("s_suppkey") == F.col("l_suppkey"))
+    text = F.concat(F.lit("to "), "n_name", F.lit(", "), "r_name", F.lit(": "), "p_name")
+    notes = lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), text.alias("text"), F.lit(1).alias("family"))
+    hits = spans.annotated(notes, named.withColumn("family", F.lit(1)), family="family", all_hits=True, part_chars=200_000)
+    return hits.groupBy("id").agg(F.countDistinct("entity").alias("n_names"))
 
 
 @query("""WITH w AS (SELECT doc_id, string_split(text, '. ') AS s FROM documents), e AS (SELECT doc_id, unnest(s) AS part, generate_subscripts(s, 1) - 1 AS pos FROM w),
