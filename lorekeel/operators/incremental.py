@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,15 +68,16 @@ class Store:
 
 
 def merged(old: DataFrame, new: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
-    """``old`` with the ``update`` columns of rows that ``new`` has too, and the rows only ``new`` has; of rows of ``new`` with one key the last by all columns."""
-    once = new.groupBy(*keys).agg(F.max(F.struct(*[c for c in old.columns if c not in keys])).alias("_n"))
+    """``old`` with the ``update`` columns of rows that ``new`` has too, and the rows only ``new`` has; of rows of ``new`` with one key the last by all columns. Null keys are keys as any other."""
+    once = new.groupBy(*(F.col(k).alias(f"_k_{k}") for k in keys)).agg(F.max(F.struct(*[c for c in old.columns if c not in keys])).alias("_n"))
     mark = old.withColumn("_there", F.lit(True))
-    joined = mark.join(once, keys, "full_outer")
+    same = reduce(lambda a, b: a & b, (mark[k].eqNullSafe(once[f"_k_{k}"]) for k in keys))
+    joined = mark.join(once, same, "full_outer")
     there = F.coalesce("_there", F.lit(False))
     columns = []
     for c in old.columns:
         if c in keys:
-            columns.append(F.col(c))
+            columns.append(F.coalesce(c, f"_k_{c}").alias(c))
         elif c in update:
             columns.append(F.when(F.col("_n").isNotNull(), F.col(f"_n.{c}")).otherwise(F.col(c)).alias(c))
         else:

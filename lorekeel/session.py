@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +20,8 @@ def build_session(name: str = "lorekeel", master: str | None = None, **conf: str
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # files of a checkpoint go when nothing refers to it any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings |= {k.replace("__", "."): v for k, v in conf.items()}
     builder = SparkSession.builder.appName(name).config(map=settings)
@@ -53,3 +58,19 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, so that lost executors recompute nothing before it."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def removed(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder with all that is in it; whether it was there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder where the cluster's shared files are, for as long as the block lasts; what is read from it must be cut inside."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        removed(spark, path)
