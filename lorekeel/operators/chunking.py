@@ -12,6 +12,7 @@ from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,8 @@ PROFILES = {
     "member_profile": None, "committee_profile": None, "offshore_entity": None,
 }
 DEFAULT = (1000, 200)
+#: Text bytes that are cut up at once, unless one text is longer.
+SLICE_BYTES = 1 << 20
 
 
 def split_text(text: str, size: int, overlap: int, separators: tuple[str, ...] = SEPARATORS) -> list[str]:
@@ -82,49 +85,57 @@ def passthrough(docs: DataFrame, prepend_title: bool = True) -> DataFrame:
     return _finished(whole, prepend_title)
 
 
-def recursive(docs: DataFrame, size: int | None = None, overlap: int | None = None, prepend_title: bool = True) -> DataFrame:
-    """Overlapping chunks of every document (id, title, content); a size or overlap of 0 means the default.
-
-    The title goes before the text of each chunk after it was cut, so a chunk may be longer than ``size`` by that.
-    """
-    size, overlap = size or DEFAULT[0], overlap or DEFAULT[1]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+def _cutting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of rows (id, title, content, size, overlap); a row without a size is one chunk. Slices of rows are bounded by their text."""
+    for whole in batches:
+        lengths = pc.fill_null(pc.binary_length(whole.column("content")), 0).to_pylist()
+        at = 0
+        while at < whole.num_rows:
+            end, held = at + 1, lengths[at]
+            while end < whole.num_rows and held + lengths[end] <= SLICE_BYTES:
+                held += lengths[end]
+                end += 1
+            batch, at = whole.slice(at, end - at), end
             of, texts, index, total = [], [], [], []
-            for k, content in enumerate(batch.column("content").to_pylist()):
-                chunks = split_text(content, size, overlap) if content and content.strip() else []
+            for k, (content, size, overlap) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("content", "size", "overlap")))):
+                bare = content.strip() if content else ""
+                chunks = [] if not bare else [bare] if size is None else split_text(content, size, overlap)
                 of += [k] * len(chunks)
                 texts += chunks
                 index += range(len(chunks))
                 total += [len(chunks)] * len(chunks)
             rows = pa.array(of, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(rows), batch.column("title").take(rows), pa.array(texts, pa.string()), pa.array(index, pa.int32()), pa.array(total, pa.int32())],
-                ["document_id", "title", "text", "index", "total_chunks"],
+                [*(batch.column(c).take(rows) for c in ("id", "title", "size", "overlap")), pa.array(texts, pa.string()), pa.array(index, pa.int32()), pa.array(total, pa.int32())],
+                ["document_id", "title", "size", "overlap", "text", "index", "total_chunks"],
             )
 
-    given = docs.select("id", F.col("title").cast("string").alias("title"), F.col("content").cast("string").alias("content"))
+
+def _chunked(docs: DataFrame, size, overlap, prepend_title: bool) -> DataFrame:
+    """Chunks of documents (id, title, content) by columns of size and overlap; a null size makes one chunk of a document."""
+    given = docs.select("id", F.col("title").cast("string").alias("title"), F.col("content").cast("string").alias("content"), size.cast("int").alias("size"), overlap.cast("int").alias("overlap"))
     kind = given.schema["id"].dataType.simpleString()
-    cut_up = given.mapInArrow(run, f"document_id {kind}, title string, text string, index int, total_chunks int")
-    notes = {"chunk_size": str(size), "chunk_overlap": str(overlap), "strategy": "recursive"}
-    return _finished(cut_up.withColumn("metadata", F.create_map(*(F.lit(x) for kv in notes.items() for x in kv))), prepend_title)
+    cut_up = given.mapInArrow(_cutting, f"document_id {kind}, title string, size int, overlap int, text string, index int, total_chunks int")
+    text = lambda c: F.col(c).cast("string")
+    notes = F.create_map(F.lit("chunk_size"), text("size"), F.lit("chunk_overlap"), text("overlap"), F.lit("strategy"), F.lit("recursive"))
+    whole = F.create_map(F.lit("strategy"), F.lit("passthrough"))
+    return _finished(cut_up.withColumn("metadata", F.when(F.col("size").isNull(), whole).otherwise(notes)), prepend_title)
+
+
+def recursive(docs: DataFrame, size: int | None = None, overlap: int | None = None, prepend_title: bool = True) -> DataFrame:
+    """Overlapping chunks of every document (id, title, content); a size or overlap of 0 means the default.
+
+    The title goes before the text of each chunk after it was cut, so a chunk may be longer than ``size`` by that.
+    """
+    return _chunked(docs, F.lit(size or DEFAULT[0]), F.lit(overlap or DEFAULT[1]), prepend_title)
 
 
 def by_type(docs: DataFrame, profiles: dict = PROFILES) -> DataFrame:
-    """Chunks of documents of any type, each by its type's profile."""
-    parts = []
-    whole = [k for k, p in profiles.items() if p is None]
-    parts.append(passthrough(docs.where(F.col("document_type").isin(whole))))
-    for size, overlap in sorted({p for p in profiles.values() if p}):
-        kinds = [k for k, p in profiles.items() if p == (size, overlap)]
-        parts.append(recursive(docs.where(F.col("document_type").isin(kinds)), size, overlap))
-    other = F.coalesce(~F.col("document_type").isin(list(profiles)), F.lit(True))
-    parts.append(recursive(docs.where(other), *DEFAULT))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Chunks of documents of any type, each by its type's profile, in one pass over them."""
+    known = F.create_map(*(x for kind, p in profiles.items() for x in (F.lit(kind), F.array(*(F.lit(n).cast("int") for n in (p or (None, None)))))))
+    kind = F.coalesce("document_type", F.lit(""))
+    profile = F.coalesce(F.try_element_at(known, kind), F.array(*map(F.lit, DEFAULT)))
+    return _chunked(docs, profile[0], profile[1], True)
 
 
 def reconstructed(chunks: DataFrame) -> DataFrame:

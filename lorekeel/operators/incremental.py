@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lorekeel.session import cut
+from lorekeel.session import cut, removed
 from lorekeel.sources.catalog import exists
 
 #: Records that a manifest keeps.
 KEPT_RECORDS = 100
-MANIFEST = "run_id string, timestamp timestamp, dataset string, partition string, format string, count long, size_bytes long, content_hash string"
+MANIFEST = "run_id string, timestamp timestamp, dataset string, partition string, format string, count long, size_bytes long, content_hash string, path string"
 
 
 def content_mark(rows: DataFrame) -> tuple[int, str]:
@@ -44,23 +44,42 @@ class Store:
         return rows.withColumn("_p", place).where(F.col("_p") <= KEPT_RECORDS).drop("_p")
 
     def write(self, dataset: str, rows: DataFrame | None, partition: str | None = None, run_id: str | None = None, form: str = "parquet") -> bool:
-        """Write ``rows`` (as ``parquet``, ``json`` lines or ``csv``) unless the last record of this dataset and partition has the same content; whether it was written."""
+        """Write ``rows`` (as ``parquet``, ``json`` lines or ``csv``) unless the last record of this dataset and partition has the same content; whether it was written.
+
+        Each write has a folder of its own, which counts once a record names it: a write that breaks off changes nothing for readers. The folder before the last goes then.
+        """
         if rows is None:
             return False
         rows = cut(rows)
         n, mark = content_mark(rows)
-        mine = self.manifest().where((F.col("dataset") == dataset) & F.col("partition").eqNullSafe(F.lit(partition)))
-        last = mine.orderBy(F.desc("timestamp")).first()
+        mine = self._records(dataset, partition)
+        last = mine[0] if mine else None
         if last is not None and last["content_hash"] == mark:
             return False
-        at = f"{self.root}/{dataset}" + (f"/partition={partition}" if partition else "")
-        rows.write.mode("overwrite").format(form).option("header", "true").save(at)
+        run_id = run_id or uuid.uuid4().hex
+        at = f"{self.root}/{dataset}" + (f"/partition={partition}" if partition else "") + f"/run={run_id}-{uuid.uuid4().hex[:8]}"
+        rows.write.format(form).option("header", "true").save(at)
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(at)
         size = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-        record = (run_id or uuid.uuid4().hex, datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None), dataset, partition, form, n, size, mark)
+        record = (run_id, datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None), dataset, partition, form, n, size, mark, at)
         self.spark.createDataFrame([record], MANIFEST).coalesce(1).write.mode("append").parquet(self._log)
+        if len(mine) > 1:  # those who read the last one may still be at it
+            removed(self.spark, mine[1]["path"])
         return True
 
+    def _records(self, dataset: str, partition: str | None) -> list:
+        """The last two records of a dataset and partition, the newest first."""
+        mine = self.manifest().where((F.col("dataset") == dataset) & F.col("partition").eqNullSafe(F.lit(partition)))
+        return mine.orderBy(F.desc("timestamp"), F.desc("run_id")).limit(2).collect()
+
+    def read(self, dataset: str, partition: str | None = None, schema: str | None = None) -> DataFrame:
+        """Rows of the last write; without one, or of a partition that has none, an error. CSV and JSON need a schema for other types than text."""
+        mine = self._records(dataset, partition)
+        if not mine:
+            raise ValueError(f"nothing written for {dataset}, {partition}")
+        reader = self.spark.read.option("header", "true")
+        return (reader.schema(schema) if schema else reader).format(mine[0]["format"]).load(mine[0]["path"])
+
     def timeline(self) -> DataFrame:
         """Records for display: size in MiB (0 without one), a short run id, a dash where there is no partition."""
         mib = F.round(F.coalesce("size_bytes", F.lit(0)) / 2**20, 2)
@@ -90,11 +109,23 @@ def unprocessed(rows: DataFrame, processed: DataFrame, key: str = "content_hash"
     return rows.join(processed.select(key).distinct(), key, "left_anti")
 
 
-def append_lines(rows: DataFrame, path: str, id_col: str = "document_id") -> None:
-    """Append rows as JSON lines, a folder for each document; an id that is no safe name (letters, digits, ``_``, ``.`` and ``-``, no sign first) stops the write."""
+#: Folders that appended lines are dealt to.
+LINE_BUCKETS = 256
+
+
+def append_lines(rows: DataFrame, path: str, id_col: str = "document_id", buckets: int = LINE_BUCKETS) -> None:
+    """Append rows as JSON lines, the rows of a document in one of ``buckets`` folders; an id that is no safe name (letters, digits, ``_``, ``.`` and ``-``, no sign first) stops the write."""
     safe = F.col(id_col).cast("string").rlike(r"^[a-zA-Z0-9][a-zA-Z0-9_.\-]*$")
     sure = F.when(F.coalesce(safe, F.lit(False)), F.col(id_col)).otherwise(F.raise_error(F.concat(F.lit("no safe name: "), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))).cast(rows.schema[id_col].dataType))
-    rows.withColumn(id_col, sure).write.mode("append").partitionBy(id_col).json(path)
+    bucket = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(buckets)).cast("int")
+    rows.withColumn(id_col, sure).withColumn("_bucket", bucket).write.mode("append").partitionBy("_bucket").json(path)
+
+
+def lines_of(spark: SparkSession, path: str, ids: list[str], schema: str, id_col: str = "document_id", buckets: int = LINE_BUCKETS) -> DataFrame:
+    """Appended rows of some documents; only their buckets are read."""
+    asked = spark.createDataFrame([(str(i),) for i in ids], "id string").select(F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int").alias("b")).distinct()
+    lines = spark.read.schema(f"{schema}, _bucket int").json(path).where(F.col("_bucket").isin([r["b"] for r in asked.collect()]))
+    return lines.where(F.col(id_col).cast("string").isin([str(i) for i in ids])).drop("_bucket")
 
 
 def audit_rows(results: DataFrame, payload: str = "payload") -> DataFrame:

@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-import uuid
+import zipfile
+from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lorekeel.functions import scalars
 from lorekeel.operators import documents, explore, incremental
+from lorekeel.operators.keyed_table import KeyedTable
 from lorekeel.plans.base import query
 from lorekeel.plans.views import table
-from lorekeel.session import shared_dir
-from lorekeel.sources import catalog, records
-from lorekeel.streaming import metrics
+from lorekeel.session import cut, scratch
+from lorekeel.sources import archives, catalog, records
+from lorekeel.streaming import metrics, stateful
 
 _NTZ = "timestamp_ntz"
 
 
-def _staged(spark, name: str) -> str:
-    """A new folder where the cluster's shared files are."""
-    return f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
-
-
 # --- column functions ------------------------------------------------------------------------------
 
 
@@ -274,6 +272,17 @@ def cables_of_lines(spark, d):
     return records.cable_records(numbered).select("id", "reference", "content", "subject")
 
 
+@query("""SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(source, '') AS reference, replace(coalesce(text, ''), chr(92), '') AS content FROM documents""")
+def cables_of_documents(spark, d):
+    """All documents, whole, written as an archive of cables with doubled quotes and read from its lines."""
+    docs = table(spark, d, "documents")
+    body = F.replace(F.translate(F.coalesce("text", F.lit("")), "\\", ""), F.lit('"'), F.lit('""'))
+    fields = [F.col("doc_id").cast("string"), F.lit("2/7/1972 0:00"), F.coalesce("source", F.lit("")), F.lit("Embassy"), F.lit("SECRET"), F.lit(""), F.lit(""), body]
+    with scratch(spark, "cables") as path:
+        docs.select(F.concat_ws(",", *(F.concat(F.lit('"'), x, F.lit('"')) for x in fields)).alias("value")).write.text(path)
+        return cut(records.cable_records(records.read_lines(spark, path)).select("id", "reference", "content"))
+
+
 @query("""SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'entity' ELSE 'officer' END AS entity_type, CASE WHEN s_suppkey % 2 = 0 THEN n_name ELSE '' END AS jurisdiction, CASE WHEN s_acctbal > 0 THEN 'leak' ELSE 'unknown' END AS source_dataset FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
 def offshore_entities(spark, d):
     s, n = table(spark, d, "supplier"), table(spark, d, "nation")
@@ -287,6 +296,29 @@ def offshore_entities(spark, d):
     return records.offshore_entities(read).select("id", "name", "entity_type", "jurisdiction", "source_dataset")
 
 
+@query("""SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'entity' ELSE 'officer' END AS entity_type, n_name AS jurisdiction, count(*) OVER (PARTITION BY s_suppkey % 4) AS n_archive FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+def archived_entities(spark, d):
+    """Suppliers packed into four ZIP archives of two CSV files, read member by member."""
+    s, n = table(spark, d, "supplier"), table(spark, d, "nation")
+    rows = s.join(n, s["s_nationkey"] == n["n_nationkey"]).select((F.col("s_suppkey") % 4).alias("part"), F.col("s_suppkey").cast("string").alias("node_id"), F.col("s_name").alias("name"), F.col("n_name").alias("jurisdiction"))
+    with scratch(spark, "archives") as path:
+
+        def pack(frame):
+            even = frame["node_id"].astype(int) % 2 == 0
+            system, at = archives.file_system(path)
+            system.create_dir(at, recursive=True)
+            with system.open_output_stream(f"{at}/{frame['part'].iat[0]}.zip") as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+                for name, mine in (("nodes-entities.csv", frame[even]), ("nodes-officers.csv", frame[~even])):
+                    z.writestr(f"in/{name}", mine.drop(columns="part").to_csv(index=False))
+            return frame[["part"]].head(1)
+
+        rows.groupBy("part").applyInPandas(pack, "part long").write.format("noop").mode("overwrite").save()
+        read = cut(records.read_archive(spark, path))
+    counts = read.groupBy("archive").agg(F.count(F.lit(1)).alias("n_archive"))
+    entities = records.offshore_entities(read.join(counts, "archive").withColumn("fields", F.map_concat("fields", F.create_map(F.lit("status"), F.col("n_archive").cast("string")))))
+    return entities.select("id", "name", "entity_type", "jurisdiction", F.col("status").cast("long").alias("n_archive"))
+
+
 @query("""SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS id, CAST(l_partkey AS VARCHAR) AS start_id, CAST(l_suppkey AS VARCHAR) AS end_id, l_returnflag AS rel_type FROM lineitem""")
 def offshore_relationships(spark, d):
     text = lambda c: F.col(c).cast("string")
@@ -301,25 +333,63 @@ def offshore_relationships(spark, d):
 
 @query("SELECT source, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents GROUP BY 1")
 def appended_lines(spark, d):
-    """Documents appended as JSON lines in a folder for each source, in two writes, and read again."""
-    path = _staged(spark, "lines")
+    """Documents appended as JSON lines, in buckets by their source, in two writes, and read again."""
     docs = table(spark, d, "documents").select("doc_id", "source", "text")
-    for part in ("doc_id % 2 = 0", "doc_id % 2 = 1"):
-        incremental.append_lines(docs.where(part), path, "source")
-    return records.json_lines(spark, path, "doc_id long, text string, source string").groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("n_chars"))
+    with scratch(spark, "lines") as path:
+        for part in ("doc_id % 2 = 0", "doc_id % 2 = 1"):
+            incremental.append_lines(docs.where(part), path, "source")
+        lines = records.json_lines(spark, path, "doc_id long, text string, source string")
+        return cut(lines.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("n_chars")))
 
 
 @query("""SELECT 'orders' AS dataset, o_orderstatus AS "partition", count(*) AS "count", 1 AS n_writes FROM orders GROUP BY 2 UNION ALL SELECT 'nations', NULL, count(*) + 1, 2 FROM nation""")
 def store_manifest(spark, d):
     """A store written twice: what did not change is not written again. The last record of each dataset and partition, and how many there are."""
-    store = incremental.Store(spark, _staged(spark, "store"))
     orders, nation = table(spark, d, "orders"), table(spark, d, "nation")
-    for grown in (nation, nation.unionByName(nation.limit(1))):
-        store.write("nations", grown)
+    with scratch(spark, "store") as root:
+        store = incremental.Store(spark, root)
+        for grown in (nation, nation.unionByName(nation.limit(1))):
+            store.write("nations", grown)
+            for status in ("F", "O", "P"):
+                store.write("orders", orders.where(F.col("o_orderstatus") == status), partition=status)
+        last = store.manifest().groupBy("dataset", "partition").agg(F.max_by("count", "timestamp").alias("count"), F.count(F.lit(1)).cast("int").alias("n_writes"))
+        return cut(last.select("dataset", "partition", "count", "n_writes"))
+
+
+@query("""SELECT 'orders' AS dataset, o_orderstatus AS "partition", count(*) AS "count", '—' AS shown_partition FROM orders GROUP BY 2 UNION ALL SELECT 'nations', NULL, count(*), '—' FROM nation WHERE n_nationkey >= 5""")
+def store_timeline(spark, d):
+    """What a store's readers and its timeline show after a dataset was written anew with fewer rows: the rows of the last record only."""
+    orders, nation = table(spark, d, "orders"), table(spark, d, "nation")
+    with scratch(spark, "store") as root:
+        store = incremental.Store(spark, root)
         for status in ("F", "O", "P"):
             store.write("orders", orders.where(F.col("o_orderstatus") == status), partition=status)
-    last = store.manifest().groupBy("dataset", "partition").agg(F.max_by("count", "timestamp").alias("count"), F.count(F.lit(1)).cast("int").alias("n_writes"))
-    return last.select("dataset", "partition", "count", "n_writes")
+        store.write("nations", nation)
+        store.write("nations", nation.where("n_nationkey >= 5"))
+        shown = store.timeline().where("run is not null and size_mb >= 0").groupBy("dataset").agg(F.max(F.when(F.col("partition") == "—", "—")).alias("none"))
+        parts = [store.read("orders", p).select(F.lit("orders").alias("dataset"), F.lit(p).alias("partition")) for p in ("F", "O", "P")]
+        rows = reduce(lambda a, b: a.union(b), [*parts, store.read("nations").select(F.lit("nations").alias("dataset"), F.lit(None).cast("string").alias("partition"))])
+        counts = rows.groupBy("dataset", "partition").agg(F.count(F.lit(1)).alias("count"))
+        return cut(counts.join(shown, "dataset").select("dataset", "partition", "count", F.coalesce("none", F.lit("—")).alias("shown_partition")))
+
+
+#: Orders come in four batches, by years.
+_PART = "greatest(0, least(3, (year(o_orderdate) - 1993) {div} 2))"
+
+
+@query(f"""WITH o AS (SELECT o_custkey, o_orderdate, o_orderkey, {_PART.format(div="//")} AS part FROM orders)
+SELECT o_custkey AS custkey, max(o_orderdate) AS last_date, max(o_orderkey) FILTER (last) AS last_key, min(part) AS first_part FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1 AS last FROM o) GROUP BY 1""")
+def upserted_stream(spark, d):
+    """The last order of each customer, merged from a stream in four micro-batches that then all come again; the part that a customer came with first stays."""
+    orders = table(spark, d, "orders")
+    rows = orders.select(F.col("o_custkey").alias("custkey"), F.col("o_orderdate").alias("last_date"), F.col("o_orderkey").alias("last_key"), F.expr(_PART.format(div="div")).cast("int").alias("first_part"))
+    with scratch(spark, "upserts") as root:
+        held = KeyedTable(spark, f"{root}/table", rows.schema, ["custkey"], ["last_date", "last_key"], buckets=8)
+        for part in range(4):
+            rows.where(F.col("first_part") == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        for again in range(2):
+            held.upsert_stream(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in"), f"{root}/checkpoint-{again}")
+        return cut(held.read())
 
 
 @query("SELECT s_suppkey AS suppkey, substr(sha256(CAST(s_name AS VARCHAR)), 1, 16) AS payload_hash FROM supplier")
@@ -331,7 +401,12 @@ def audited_results(spark, d):
 def read_by_format(spark, d):
     """Nations written in every format and read by a hint or by the folder's extension."""
     n = table(spark, d, "nation").select("n_nationkey", "n_name").coalesce(1)
-    root, schema, rows = _staged(spark, "formats"), "n_nationkey int, n_name string", []
+    with scratch(spark, "formats") as root:
+        return cut(_in_every_format(spark, n, root))
+
+
+def _in_every_format(spark, n, root):
+    schema, rows = "n_nationkey int, n_name string", []
     n.write.option("header", "true").csv(f"{root}/x.csv")
     n.write.json(f"{root}/x.ndjson")
     n.groupBy().agg(F.to_json(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name")))).alias("value")).write.text(f"{root}/one")
@@ -347,10 +422,10 @@ def read_by_format(spark, d):
 @query("SELECT r_regionkey, r_name FROM region")
 def loaded_with_fallback(spark, d):
     """A dataset that is not there is read from where it lay before."""
-    root = _staged(spark, "moved")
-    old, new = (catalog.dataset_path(root, "gold", place, "congress", "congress_mentions", "cs400") for place in ("old", "new"))
-    table(spark, d, "region").select("r_regionkey", "r_name").write.parquet(old)
-    return catalog.load(spark, new, "r_regionkey int, r_name string", fallback=old)
+    with scratch(spark, "moved") as root:
+        old, new = (catalog.dataset_path(root, "gold", place, "congress", "congress_mentions", "cs400") for place in ("old", "new"))
+        table(spark, d, "region").select("r_regionkey", "r_name").write.parquet(old)
+        return cut(catalog.load(spark, new, "r_regionkey int, r_name string", fallback=old))
 
 
 @query("SELECT DISTINCT split_part(s_name, '#', 1) || p AS source FROM supplier, (SELECT unnest(['0', '1', '2']) AS p)")
@@ -399,6 +474,61 @@ def counter_increase(spark, d):
     return found.select("user_id", F.col("window_start").cast(_NTZ).alias("window_start"), F.round("increase", 4).alias("increase"))
 
 
+#: Bounds of the buckets of a histogram of event values.
+_BOUNDS = (1, 5, 10, 50, 100)
+
+
+@query(f"""WITH b AS (SELECT unnest([{', '.join(f'{x}.0::DOUBLE' for x in _BOUNDS)}, 'infinity'::DOUBLE]) AS le), e AS (SELECT event_type, time_bucket(INTERVAL '1 day', ts) AS day, value FROM events),
+c AS (SELECT event_type, day, le, count(*) FILTER (value <= le) AS c FROM e, b GROUP BY ALL), g AS (SELECT event_type, day, list(le ORDER BY le) AS les, list(c ORDER BY le) AS cs FROM c GROUP BY ALL),
+f AS (SELECT event_type, day, le, c, coalesce(lag(c) OVER w, 0) AS c0, coalesce(lag(le) OVER w, 0.0) AS le0, max(c) OVER (PARTITION BY event_type, day) AS n FROM c WINDOW w AS (PARTITION BY event_type, day ORDER BY le)),
+q AS (SELECT unnest([0.5, 0.99]) AS s)
+SELECT event_type, day AS window_start, any_value(n)::DOUBLE AS n, round(max(CASE WHEN s = 0.5 AND c0 < 0.5 * n AND c >= 0.5 * n THEN CASE WHEN le = 'infinity' THEN le0 ELSE le0 + (le - le0) * (0.5 * n - c0) / (c - c0) END END), 6) AS p50,
+round(max(CASE WHEN s = 0.99 AND c0 < 0.99 * n AND c >= 0.99 * n THEN CASE WHEN le = 'infinity' THEN le0 ELSE le0 + (le - le0) * (0.99 * n - c0) / (c - c0) END END), 6) AS p99 FROM f, q GROUP BY 1, 2""")
+def histogram_quantiles(spark, d):
+    """Daily quantiles of event values as a scraper of cumulative counters sees them: one sample an hour of each bucket, and a restart of the counters on the tenth day."""
+    e = _events(spark, d).select("event_type", "ts", "value")
+    bounds = F.explode(F.array(*(F.lit(str(float(x))) for x in _BOUNDS), F.lit("+Inf"))).alias("le")
+    hours = e.groupBy("event_type", F.date_trunc("hour", "ts").alias("hour")).agg(*(F.count_if(F.col("value") <= x).alias(f"c{k}") for k, x in enumerate((*_BOUNDS, float("inf")))))
+    counts = hours.select("event_type", "hour", F.posexplode(F.array(*(F.col(f"c{k}") for k in range(len(_BOUNDS) + 1)))).alias("k", "c"))
+    le = F.element_at(F.array(*(F.lit(str(float(x))) for x in _BOUNDS), F.lit("+Inf")), F.col("k") + 1)
+    grown = Window.partitionBy("event_type", "k", F.dayofmonth("hour") >= 10).orderBy("hour").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # counters start with a sample of 0 before the first event, and again at the restart
+    samples = counts.select("event_type", F.col("hour").alias("ts"), le.alias("le"), F.sum("c").over(grown).cast("double").alias("value"))
+    zero = lambda day: e.select("event_type").distinct().select("event_type", F.lit(day).cast("timestamp").alias("ts"), bounds, F.lit(0.0).alias("value"))
+    found = metrics.bucket_quantiles(samples.unionByName(zero("2023-12-31 12:00:00")), ["event_type"], [0.5, 0.99], length="1 day").where("n is not null and n > 0")
+    return found.select("event_type", F.col("window_start").cast(_NTZ).alias("window_start"), "n", F.round("q0", 6).alias("p50"), F.round("q1", 6).alias("p99"))
+
+
+def _played(spark, d, root):
+    """Events as a stream of four files, one after another in time, and a last event long after, which closes all that is open."""
+    e = table(spark, d, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
+    for first, last in ((1, 8), (8, 16), (16, 24), (24, 32)):
+        e.where((F.dayofmonth("ts") >= first) & (F.dayofmonth("ts") < last)).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    e.limit(1).select(F.lit("none").alias("event_type"), F.lit("2030-01-01").cast("timestamp").alias("ts"), "value").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return metrics.timed(spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in"), late="1 hour")
+
+
+@query("""WITH l AS (SELECT event_type, ts, value, lag(value) OVER (PARTITION BY event_type ORDER BY ts, value) AS before FROM events),
+s AS (SELECT event_type, time_bucket(INTERVAL '1 day', ts) AS window_start, CASE WHEN before IS NULL THEN 0.0 WHEN value < before THEN value ELSE value - before END AS step FROM l)
+SELECT event_type, window_start, round(sum(step), 4) AS increase FROM s GROUP BY 1, 2""")
+def streamed_increase(spark, d):
+    """Daily increases of counters with resets, on a stream whose state waits for the watermark."""
+    with scratch(spark, "stream") as root, stateful.keyed_state(spark):
+        found = stateful.counter_increase(_played(spark, d, root), ["event_type"], length="1 day")
+        metrics.run_to_end(found, f"{root}/out", f"{root}/checkpoint")
+        return cut(spark.read.parquet(f"{root}/out").select("event_type", F.col("window_start").cast(_NTZ).alias("window_start"), F.round("increase", 4).alias("increase")))
+
+
+@query("""WITH m AS (SELECT event_type, ts, value > 5 AS h FROM events), r AS (SELECT *, sum(CASE WHEN h THEN 0 ELSE 1 END) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM m)
+SELECT event_type, min(ts) AS since, max(ts) AS until, count(*) AS n FROM r WHERE h GROUP BY event_type, run HAVING epoch_us(max(ts)) - epoch_us(min(ts)) >= 28800000000""")
+def streamed_runs(spark, d):
+    """Runs of values above 5 for eight hours or longer, on a stream; the last ones end as nothing follows them."""
+    with scratch(spark, "stream") as root, stateful.keyed_state(spark):
+        found = stateful.sustained(_played(spark, d, root), ["event_type"], F.col("value") > 5, 8 * 3600, idle="30 days")
+        metrics.run_to_end(found, f"{root}/out", f"{root}/checkpoint")
+        return cut(spark.read.parquet(f"{root}/out").where("ended").select("event_type", *(F.col(c).cast(_NTZ).alias(c) for c in ("since", "until")), "n"))
+
+
 @query("""WITH r AS (SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, value, row_number() OVER (PARTITION BY time_bucket(INTERVAL '1 day', ts) ORDER BY value) AS k, count(*) OVER (PARTITION BY time_bucket(INTERVAL '1 day', ts)) AS n FROM events)
 SELECT window_start, min(value) FILTER (k >= ceil(0.5 * n)) AS q0, min(value) FILTER (k >= ceil(0.99 * n)) AS q1 FROM r GROUP BY 1""")
 def daily_quantiles(spark, d):

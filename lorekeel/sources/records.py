@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lorekeel.functions.scalars import extension, file_name, first_truthy, stripped, subject_line, tag_list
+from lorekeel.sources import archives
 
 # The node files of the offshore archive in their order, and the entity type of each.
 NODE_FILES = [
@@ -61,24 +62,29 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, member, ordinal, fields) of every row of every CSV file in ZIP archives; ``fields`` maps column to text.
+    """(archive, member, ordinal, fields) of every row of every CSV file in ZIP archives at or below a path; ``fields`` maps column to text.
 
-    An archive is read where its block of files is; a leading byte-order mark is dropped.
+    Each member is a task and streams from the file system. On a path that only Spark's own readers know, an archive is one row of theirs (2 GB at most) and one task.
     """
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for archive, raw in zip(frame["path"], frame["content"]):
-                with zipfile.ZipFile(io.BytesIO(raw)) as z:
-                    for member in sorted(n for n in z.namelist() if n.lower().endswith(".csv")):
-                        at = 0
-                        with z.open(member) as f:
-                            for part in pd.read_csv(f, dtype=str, keep_default_na=False, encoding="utf-8-sig", chunksize=20_000):
-                                yield pd.DataFrame({"archive": archive, "member": member.rsplit("/", 1)[-1], "ordinal": range(at, at + len(part)), "fields": part.to_dict("records")})
-                                at += len(part)
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(rows, "archive string, member string, ordinal long, fields map<string,string>")
+    try:
+        archives.file_system(path)
+    except ValueError:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path).select("path", "content")
+        return files.mapInPandas(_unpacked, archives.SCHEMA)
+    spark.dataSource.register(archives.ArchiveSource)
+    return spark.read.format("zip_csv").option("path", path).load()
+
+
+def _unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in batches:
+        for archive, raw in zip(frame["path"], frame["content"]):
+            with zipfile.ZipFile(io.BytesIO(raw)) as z:
+                for member in sorted(n for n in z.namelist() if n.lower().endswith(".csv")):
+                    at = 0
+                    with z.open(member) as f:
+                        for part in pd.read_csv(f, dtype=str, keep_default_na=False, encoding="utf-8-sig", chunksize=archives.CHUNK_ROWS):
+                            yield pd.DataFrame({"archive": archive, "member": member.rsplit("/", 1)[-1], "ordinal": range(at, at + len(part)), "fields": part.to_dict("records")})
+                            at += len(part)
 
 
 def _present(*names: str):

@@ -64,6 +64,38 @@ def exact_quantiles(rows: DataFrame, keys: list[str], value: str, shares: list[f
     return out.groupBy(*keys).agg(*(F.max(F.when(F.col("k") == k, F.col("_q"))).alias(f"q{k}") for k in range(len(shares))))
 
 
+def bucket_quantiles(samples: DataFrame, keys: list[str], shares: list[float], series: list[str] | None = None, le: str = "le", value: str = "value", ts: str = "ts", length: str = "5 minutes") -> DataFrame:
+    """(window_start, window_end, keys, n, q0, q1, ...) from cumulative histogram buckets: samples of counters, one series for each of ``series`` (the keys, if none are named) and upper bound ``le``.
+
+    Each bucket's counter has its increase in a window, resets included; increases of series with one key add up. Inside the bucket in which a share falls the quantile is
+    interpolated between its bounds; the lowest bucket begins at 0 if its bound is positive, else it is the bound itself. A share in the last bucket (``+Inf``) is the bound below it; a window
+    without increase, or without an infinite bucket, or with that one alone, has null quantiles. A share below 0 or above 1 is minus or plus infinity. For batches.
+    """
+    bound = F.when(F.lower(F.col(le).cast("string")).isin("+inf", "inf", "infinity", "+infinity"), F.lit(float("inf"))).otherwise(F.expr(f"try_cast(`{le}` as double)"))
+    rows = samples.withColumn("_le", bound).where("_le is not null and not isnan(_le)")
+    steps = counter_rate(rows, [*dict.fromkeys([*keys, *(series or [])]), "_le"], value, ts, length)
+    each = steps.groupBy("window_start", "window_end", *keys, "_le").agg(F.sum("increase").alias("c"))
+    listed = each.groupBy("window_start", "window_end", *keys).agg(F.array_sort(F.collect_list(F.struct(F.col("_le").alias("le"), "c"))).alias("b"))
+    # counts that fall from a bucket to the next come from samples that were not taken at once; the running most mends them
+    listed = listed.withColumn("b", F.transform("b", lambda x, i: F.struct(x["le"].alias("le"), F.array_max(F.slice("b", F.lit(1), i + 1)["c"]).alias("c"))))
+    last = F.try_element_at("b", F.lit(-1))
+    listed = listed.withColumn("n", F.when(last["le"] == float("inf"), last["c"]))
+    usable = (F.col("n") > 0) & (F.size("b") > 1)
+
+    def quantile(share: float):
+        if share < 0 or share > 1:
+            return F.when(usable, F.lit(float("-inf") if share < 0 else float("inf")))
+        rank = F.lit(share) * F.col("n")
+        at = F.array_position(F.transform("b", lambda x: x["c"] >= rank), True).cast("int")
+        here, below = F.try_element_at("b", at), F.when(at > 1, F.try_element_at("b", at - 1))
+        low = F.when(at > 1, below["le"]).otherwise(0.0)
+        part = (rank - F.coalesce(below["c"], F.lit(0.0))) / F.nullif(here["c"] - F.coalesce(below["c"], F.lit(0.0)), F.lit(0.0))
+        inside = F.when((at == 1) & (here["le"] <= 0), here["le"]).otherwise(low + (here["le"] - low) * F.coalesce(part, F.lit(1.0)))
+        return F.when(usable, F.when(at == F.size("b"), F.try_element_at("b", F.lit(-2))["le"]).otherwise(inside))
+
+    return listed.select("window_start", "window_end", *keys, "n", *(quantile(s).alias(f"q{k}") for k, s in enumerate(shares)))
+
+
 def log_counts(logs: DataFrame, schema: str = "level string, message string", pattern: str = ".*", length: str = "1 minute", ts: str = "ts", raw: str = "line") -> DataFrame:
     """(window_start, window_end, level, n) of JSON log lines whose level fits a pattern; lines that are no JSON have no level."""
     rows = logs.withColumn("level", F.from_json(raw, schema)["level"]).where(F.col("level").rlike(f"^(?:{pattern})$"))

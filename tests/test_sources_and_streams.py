@@ -5,7 +5,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from lorekeel.sources import catalog, records
+from lorekeel.sources import archives, catalog, records
 from lorekeel.sources.paged import PagedReader, PagedSource, fetch
 from lorekeel.streaming import metrics
 
@@ -62,6 +62,29 @@ def test_archive(spark, tmp_path):
     assert [tuple(r)[:4] for r in records.offshore_relationships(rows).collect()] == [("0", "1", "3", "owns")]
 
 
+def test_archive_members_are_partitions_and_stream(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "CHUNK_ROWS", 7)
+    (tmp_path / "below").mkdir()
+    for k in range(2):
+        with zipfile.ZipFile(tmp_path / "below" / f"{k}.ZIP", "w", zipfile.ZIP_DEFLATED) as z:
+            for m in range(3):
+                z.writestr(f"in/{m}.csv", "a,b\n" + "".join(f'{k}{m}{i},"x, ""{i}""\ny"\n' for i in range(20)))
+            z.writestr("empty.csv", "")
+            z.writestr("only_header.csv", "a,b\n")
+            z.writestr("readme.txt", "a,b\n1,2\n")
+    reader = archives.ArchiveReader(str(tmp_path), ".csv")
+    assert len(reader.partitions()) == 10
+    batches = list(reader.read(next(p for p in reader.partitions() if p.member == "in/0.csv")))
+    assert [b.num_rows for b in batches] == [7, 7, 6]
+    rows = records.read_archive(spark, str(tmp_path)).collect()
+    assert len(rows) == 120 and {(r["member"], r["ordinal"]): r["fields"] for r in rows if "/1.ZIP" in r["archive"]}["2.csv", 5] == {"a": "125", "b": 'x, "5"\ny'}
+    with zipfile.ZipFile(tmp_path / "none.zip", "w"):
+        pass
+    assert records.read_archive(spark, str(tmp_path / "none.zip")).count() == 0
+    plain = lambda df: sorted((r["archive"], r["member"], r["ordinal"], sorted(r["fields"].items())) for r in df.collect())
+    assert plain(records.read_archive(spark, "file://" + str(tmp_path))) == sorted((r["archive"], r["member"], r["ordinal"], sorted(r["fields"].items())) for r in rows)
+
+
 def test_media_prompts_and_lines(spark, tmp_path):
     media = tmp_path / "m" / "sub"
     media.mkdir(parents=True)
