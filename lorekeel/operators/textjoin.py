@@ -16,36 +16,54 @@ from lorekeel.session import cut
 GRAM = 3
 
 
-def ranked_words(names: DataFrame, word_list: str = "words", key: str = "key") -> DataFrame:
-    """(group, key, w, n): names with their words from rare to frequent, counted within the group; names without words are left out."""
+def ranked_words(names: DataFrame, word_list: str = "words", key: str = "key") -> tuple[DataFrame, DataFrame]:
+    """Numbered names (id, key) and their words as numbers (group, id, w, n), from rare to frequent within the group; names without words are only in the first.
+
+    A word's number is its place among all words of its group by how often it is used, so words are compared and sorted as numbers, and no string meets another.
+    """
     numbered = cut(names.select("group", F.col(key).alias("key"), F.col(word_list).alias("words")).withColumn("id", F.monotonically_increasing_id()))
     each = numbered.select("group", "id", F.explode("words").alias("word"))
     # written first: a join beside an aggregate on the same key could not be split where a word is hot
-    often = cut(each.groupBy("group", "word").agg(F.count(F.lit(1)).alias("often")))
-    order = each.join(often, ["group", "word"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("often", "word")))["word"].alias("w"))
-    return numbered.join(order, "id").select("group", F.col("key").alias(key), "w", F.size("w").alias("n"))
+    often = each.groupBy("group", "word").agg(F.count(F.lit(1)).alias("often"))
+    places = cut(often.repartitionByRange("often", "group", "word").sortWithinPartitions("often", "group", "word").select("group", "word", F.monotonically_increasing_id().alias("place")))
+    order = each.join(places, ["group", "word"]).groupBy("group", "id").agg(F.sort_array(F.collect_list("place")).alias("w"))
+    return numbered.select("id", "key"), order.select("group", "id", "w", F.size("w").alias("n"))
 
 
-def _sharing(names: DataFrame, prefix: Column, together: int, key: str, further: Column | None, apart: str | None) -> DataFrame:
-    """(group, a, b, shared, n_a, n_b) of names that share the ``together`` (1 or 2) rarest of their common words within their first ``prefix`` words.
+def _sharing(names: DataFrame, prefix: Column, together: int, key: str, further: Column | None, apart: str | None) -> tuple[DataFrame, DataFrame]:
+    """(group, id_a, id_b, shared, n_a, n_b), and the names' numbers (id, key), of names that share the ``together`` (1 or 2) rarest of their common words within their first ``prefix`` words.
 
-    A pair meets at every such word or two words, and is given out only at the first of its common ones, so once. ``further`` may hold
+    A pair meets at every such word or two words, and is given out only at the first of its common ones, so once; names are numbers until then. ``further`` may hold
     n_a, n_b and the places of the (second) word, place_a and place_b. With ``apart`` only names that differ in that field of their key meet.
     """
-    ranked = ranked_words(names, key=key).withColumn("p", F.least(prefix, F.col("n")).cast("int")).where(F.col("p") >= together)
+    numbered, ranked = ranked_words(names, key=key)
+    ranked = ranked.withColumn("p", F.least(prefix, F.col("n")).cast("int")).where(F.col("p") >= together)
+    if apart is not None:
+        ranked = ranked.join(numbered.select("id", F.col("key")[apart].alias("side")), "id")
+    else:
+        ranked = ranked.withColumn("side", F.lit(0))
     if together == 1:
-        places = F.expr("transform(sequence(1, p), i -> struct(w[i - 1] as x, '' as y, i as place))")
+        places = F.expr("transform(sequence(1, p), i -> struct(w[i - 1] as x, 0L as y, i as place))")
     else:
         places = F.expr("flatten(transform(sequence(1, p - 1), i -> transform(sequence(i + 1, p), j -> struct(w[i - 1] as x, w[j - 1] as y, j as place))))")
-    head = cut(ranked.select("group", F.col(key).alias("key"), "w", "n", F.explode(places).alias("e")).select("group", "key", "w", "n", "e.*"))
-    a, b = (head.select(*(F.col(c).alias(f"{c}_{s}") for c in ("group", "key", "w", "n", "x", "y", "place"))) for s in "ab")
-    met = (F.col("group_a") == F.col("group_b")) & (F.col("x_a") == F.col("x_b")) & (F.col("y_a") == F.col("y_b")) & (F.col("key_a") < F.col("key_b"))
+    # a number of a word is of one group, so that words alone tell groups apart
+    head = cut(ranked.select("group", "id", "side", "w", "n", F.explode(places).alias("e")).select("group", "id", "side", "w", "n", "e.*"))
+    a, b = (head.select(*(F.col(c).alias(f"{c}_{s}") for c in ("group", "id", "side", "w", "n", "x", "y", "place"))) for s in "ab")
+    met = (F.col("x_a") == F.col("x_b")) & (F.col("y_a") == F.col("y_b")) & (F.col("id_a") < F.col("id_b"))
     if apart is not None:
-        met &= F.col("key_a")[apart] != F.col("key_b")[apart]
+        met &= F.col("side_a") != F.col("side_b")
     found = a.join(b, met if further is None else met & further).withColumn("both", F.array_intersect("w_a", "w_b"))
     first = F.col("both")[0] == F.col("x_a")
-    found = found.where(first if together == 1 else first & (F.col("both")[1] == F.col("y_a")))
-    return found.select(F.col("group_a").alias("group"), F.col("key_a").alias("a"), F.col("key_b").alias("b"), F.size("both").alias("shared"), "n_a", "n_b")
+    found = found.where(first if together == 1 else first & (F.try_element_at("both", F.lit(2)) == F.col("y_a")))
+    pairs = found.select(F.col("group_a").alias("group"), "id_a", "id_b", F.size("both").alias("shared"), "n_a", "n_b")
+    return pairs, numbered
+
+
+def _named(pairs: DataFrame, numbered: DataFrame, *more: str) -> DataFrame:
+    """(group, a, b, more): numbers as the names that they stand for, the lesser first."""
+    of = lambda side: numbered.select(F.col("id").alias(f"id_{side}"), F.col("key").alias(f"key_{side}"))
+    both = pairs.join(of("a"), "id_a").join(of("b"), "id_b")
+    return both.select("group", F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"), *more)
 
 
 def sharing_pairs(names: DataFrame, least: int = 2, key: str = "key") -> DataFrame:
@@ -53,8 +71,8 @@ def sharing_pairs(names: DataFrame, least: int = 2, key: str = "key") -> DataFra
 
     Of two names that share so many, each has one of the shared words among all but its ``least`` - 1 most frequent ones.
     """
-    pairs = _sharing(names, F.col("n") - (least - 1), 1, key, None, None)
-    return pairs.where(F.col("shared") >= least).select("group", "a", "b")
+    pairs, numbered = _sharing(names, F.col("n") - (least - 1), 1, key, None, None)
+    return _named(pairs.where(F.col("shared") >= least), numbered)
 
 
 def similar_pairs(names: DataFrame, over: float, least: int = 1, key: str = "key", apart: str | None = None) -> DataFrame:
@@ -69,9 +87,9 @@ def similar_pairs(names: DataFrame, over: float, least: int = 1, key: str = "key
     # no other word up to the last of the first common ones is shared, which bounds how many can be
     reach = together + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     enough = reach * (1 + over) >= over * (F.col("n_a") + F.col("n_b")) - 1e-9
-    pairs = _sharing(names, F.col("n") - shared + together, together, key, enough, apart)
+    pairs, numbered = _sharing(names, F.col("n") - shared + together, together, key, enough, apart)
     scored = pairs.where(F.col("shared") >= least).withColumn("similarity", F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared")))
-    return scored.where(F.col("similarity") > over).select("group", "a", "b", "similarity")
+    return _named(scored.where(F.col("similarity") > over), numbered, "similarity")
 
 
 def _grams(text: Column, size: int) -> Column:
@@ -84,17 +102,20 @@ def containing_pairs(short: DataFrame, long: DataFrame) -> DataFrame:
     If a string lies in another, so do all its trigrams; it is looked up by that one of them which the fewest
     strings of ``long`` have. Strings of one or two code points are looked up whole, among pieces of their size.
     """
-    inner = short.select("group", F.col("text").alias("inner")).where("inner <> ''").distinct()
-    outer = long.select("group", F.col("text").alias("outer")).where("outer <> ''").distinct()
+    numbered = lambda df, name: cut(df.select("group", F.col("text").alias(name)).where(f"{name} <> ''").distinct().withColumn(f"{name}_id", F.monotonically_increasing_id()))
+    inner, outer = numbered(short, "inner"), numbered(long, "outer")
     pieces = None
     for size in range(1, GRAM + 1):
-        part = outer.where(F.length("outer") >= size).select("group", "outer", F.explode(_grams(F.col("outer"), size)).alias("gram"))
+        part = outer.where(F.length("outer") >= size).select("group", "outer_id", F.explode(_grams(F.col("outer"), size)).alias("gram"))
         if size < GRAM:  # only if a string that short is looked up
             part = part.join(inner.where(F.length("inner") == size).select("group", F.col("inner").alias("gram")), ["group", "gram"], "left_semi")
-        pieces = part.select("group", "outer", "gram") if pieces is None else pieces.unionByName(part.select("group", "outer", "gram"))
+        pieces = part.select("group", "outer_id", "gram") if pieces is None else pieces.unionByName(part.select("group", "outer_id", "gram"))
     often = cut(pieces.groupBy("group", "gram").agg(F.count(F.lit(1)).alias("often")))
     own = F.when(F.length("inner") < GRAM, F.array("inner")).otherwise(_grams(F.col("inner"), GRAM))
-    asked = inner.select("group", "inner", F.explode(own).alias("gram")).join(often, ["group", "gram"], "left")
+    asked = inner.select("group", "inner_id", F.explode(own).alias("gram")).join(often, ["group", "gram"], "left")
     # a piece that no string of ``long`` has rules the string out, so it comes first
-    rarest = asked.groupBy("group", "inner").agg(F.min_by("gram", F.struct(F.coalesce("often", F.lit(0)).alias("n"), F.col("gram").alias("g"))).alias("gram"))
-    return rarest.join(pieces, ["group", "gram"]).where(F.contains("outer", "inner")).select("group", "inner", "outer").distinct()
+    rarest = asked.groupBy("group", "inner_id").agg(F.min_by("gram", F.struct(F.coalesce("often", F.lit(0)).alias("n"), F.col("gram").alias("g"))).alias("gram"))
+    # only numbers met so far; the strings of those that did are looked at once, and a pair meets at one piece only
+    met = rarest.join(pieces, ["group", "gram"]).select("group", "inner_id", "outer_id")
+    both = met.join(inner.select("inner_id", "inner"), "inner_id").join(outer.select("outer_id", "outer"), "outer_id")
+    return both.where(F.contains("outer", "inner")).select("group", "inner", "outer")
