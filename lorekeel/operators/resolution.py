@@ -208,6 +208,17 @@ def link_assertions(assertions: DataFrame, entities: DataFrame) -> DataFrame:
     return out.drop("_s", "_o")
 
 
+def with_entity_names(linked: DataFrame, entities: DataFrame) -> DataFrame:
+    """``linked`` assertions with subject_name and object_name: the canonical name of a linked end, the text as it was of one that is not.
+
+    Entities of one id are one row here; an entity that a third of all assertions name is a hot key of a join that adaptive execution splits.
+    """
+    names = cut(entities.groupBy("canonical_id").agg(F.min_by("canonical_name", "ordinal").alias("name")))
+    of = lambda end: names.select(F.col("canonical_id").alias(f"{end}_canonical_id"), F.col("name").alias(f"_{end}"))
+    out = linked.join(of("subject"), "subject_canonical_id", "left").join(of("object"), "object_canonical_id", "left")
+    return out.select(*linked.columns, F.coalesce("_subject", "subject_text").alias("subject_name"), F.coalesce("_object", "object_text").alias("object_name"))
+
+
 def link_status():
     """full, partial or none, by which canonical ids are there."""
     s, o = F.col("subject_canonical_id").isNotNull(), F.col("object_canonical_id").isNotNull()

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorekeel.operators import explore, incremental, lookup, resolution, vectors
+from lorekeel.operators import explore, incremental, lookup, resolution, trigram_index, vectors
 from lorekeel.plans.base import query
 from lorekeel.plans.views import ASSERTIONS_SQL, CANDIDATES_SQL, assertions, candidates, mentions, table
+from lorekeel.session import cut, scratch
 
 # part names as entities: their types are aliases, their brands locations
 _ENTITIES_SQL = """
@@ -328,3 +329,16 @@ def alignment_by_vectors(spark, d):
 def embedded_documents(spark, d):
     found = vectors.embedded(table(spark, d, "documents").select("doc_id", "text"), lambda texts: [(len(t), t.count("e")) for t in texts], 2, model="counts")
     return found.select("doc_id", F.col("embedding")[0].cast("long").alias("n"), F.col("embedding")[1].cast("long").alias("n_e"), "model", "dimensions")
+
+
+@query("""WITH t AS (SELECT conv_id * 1000 + turn AS id, conv_id, turn, text FROM conversations), q AS (SELECT conv_id AS pattern_id, min(substr(text, 4, 9)) AS pattern FROM t WHERE conv_id % 50 = 0 AND turn = 0 GROUP BY 1)
+SELECT DISTINCT pattern_id, id FROM q JOIN t ON contains(lower(text), lower(pattern)) WHERE pattern <> ''""")
+def trigram_matches(spark, d):
+    """Turns that hold what a first turn of every conversation whose id 50 divides says, by an index of two batches."""
+    t = table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "conv_id", "turn", "text")
+    asked = t.where("conv_id % 50 = 0 and turn = 0").groupBy(F.col("conv_id").alias("pattern_id")).agg(F.min(F.substring("text", 4, 9)).alias("pattern"))
+    with scratch(spark, "trigrams") as root:
+        index = trigram_index.TrigramIndex(spark, root)
+        index.add(t.where("turn < 2"), "first")
+        index.add(t.where("turn >= 2"), "rest")
+        return cut(index.search(asked))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorekeel.functions.scalars import keyword_in_context, text_hash
-from lorekeel.operators import chunking, documents, explore, incremental, resolution, textjoin, validation, vector_index, vectors
+from lorekeel.operators import chunking, density, documents, explore, incremental, projection, resolution, textjoin, validation, vector_index, vectors
 from lorekeel.operators.components import connected_components
 from lorekeel.plans.base import ORACLES, QUERIES, query
 from lorekeel.plans.views import ASSERTIONS_SQL, CANDIDATES_SQL, SURFACES_SQL, assertions, candidates, mentions, table
@@ -262,10 +262,13 @@ found AS (SELECT k.key, coalesce(max(CASE WHEN e.key = k.key THEN e.id END), arg
 linked AS (SELECT assertion_id, a.id AS subject_canonical_id, b.id AS object_canonical_id FROM asked LEFT JOIN found a ON a.key = s LEFT JOIN found b ON b.key = o)"""
 
 
+def _part_entities(spark, d):
+    named = table(spark, d, "part").groupBy(F.col("p_name").alias("canonical_name")).agg(F.min("p_partkey").alias("ordinal"))
+    return named.select("ordinal", "canonical_name", F.concat(F.lit("E"), F.col("ordinal").cast("string")).alias("canonical_id"), F.array().cast("array<string>").alias("aliases"))
+
+
 def _linked(spark, d):
-    p = table(spark, d, "part")
-    named = p.groupBy(F.col("p_name").alias("canonical_name")).agg(F.min("p_partkey").alias("ordinal"))
-    entities = named.select("ordinal", "canonical_name", F.concat(F.lit("E"), F.col("ordinal").cast("string")).alias("canonical_id"), F.array().cast("array<string>").alias("aliases"))
+    p, entities = table(spark, d, "part"), _part_entities(spark, d)
     asked = p.select(F.col("p_partkey").alias("assertion_id"), F.split("p_name", " ")[0].alias("subject_text"), F.concat_ws(" ", "p_name", "p_type").alias("object_text"))
     return resolution.link_assertions(asked, entities)
 
@@ -275,6 +278,12 @@ def linked_assertions(spark, d):
     return _linked(spark, d).select("assertion_id", "subject_canonical_id", "object_canonical_id")
 
 
+@query(f"""WITH {_LINKED_SQL}, n AS (SELECT 'E' || min(p_partkey) AS id, p_name AS name FROM part GROUP BY p_name)
+SELECT assertion_id, coalesce(s.name, string_split(p_name, ' ')[1]) AS subject_name, coalesce(o.name, p_name || ' ' || p_type) AS object_name FROM linked JOIN part ON p_partkey = assertion_id LEFT JOIN n s ON s.id = subject_canonical_id LEFT JOIN n o ON o.id = object_canonical_id""")
+def named_assertions(spark, d):
+    return resolution.with_entity_names(_linked(spark, d), _part_entities(spark, d)).select("assertion_id", "subject_name", "object_name")
+
+
 @query(f"""WITH {_LINKED_SQL} SELECT count(*) FILTER (subject_canonical_id IS NOT NULL AND object_canonical_id IS NOT NULL) AS n_full,
 count(*) FILTER ((subject_canonical_id IS NULL) <> (object_canonical_id IS NULL)) AS n_partial, count(*) FILTER (subject_canonical_id IS NULL AND object_canonical_id IS NULL) AS n_none FROM linked""")
 def link_status(spark, d):
@@ -331,6 +340,25 @@ def vector_pairs(spark, d):
     return found.select("a", "b", F.round("score", 5).alias("score"))
 
 
+@query()
+def projected_vectors(spark, d):
+    """Vectors along their two directions of most variance; tests hold them against a decomposition."""
+    found = projection.principal_components(table(spark, d, "embeddings"))
+    return found.select("vec_id", *(F.round(F.col("coordinates")[k], 4).alias(n) for k, n in enumerate("xy")))
+
+
+@query("""WITH RECURSIVE p AS (SELECT p_partkey AS id, p_retailprice / 100 AS x, p_size * 1.0::DOUBLE AS y FROM part),
+near AS (SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON a.y = b.y AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.3::DOUBLE * 0.3::DOUBLE),
+cores AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 4), links AS (SELECT a, b FROM near WHERE a IN (FROM cores) AND b IN (FROM cores)),
+reach AS (SELECT id AS node, id AS c FROM cores UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.node), named AS (SELECT node, min(c) AS cluster FROM reach GROUP BY node),
+beside AS (SELECT a, min(cluster) AS cluster FROM near JOIN named ON node = b GROUP BY a)
+SELECT id AS partkey, coalesce(n.cluster, b.cluster) AS cluster, n.node IS NOT NULL AS core FROM p LEFT JOIN named n ON n.node = id LEFT JOIN beside b ON b.a = id""")
+def part_clusters(spark, d):
+    """Clusters of parts by price among those of one size: points whose second coordinates are a whole number apart."""
+    points = table(spark, d, "part").select(F.col("p_partkey").alias("partkey"), (F.col("p_retailprice") / 100).alias("x"), F.col("p_size").cast("double").alias("y"))
+    return density.density_clusters(points, 0.3, 4, "partkey")
+
+
 @query(f"""WITH {_VECTOR_SQL}, t AS (SELECT query_id, score, doc_id, text, sum(length(text)) OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS used FROM ranked JOIN documents ON doc_id = vec_id WHERE place <= 30)
 SELECT query_id, string_agg(text, chr(10) || chr(10) ORDER BY score DESC, doc_id) AS context, count(*) AS n_chunks FROM t WHERE used <= 8000 GROUP BY query_id""")
 def retrieval_context(spark, d):
