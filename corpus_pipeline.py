@@ -20,7 +20,7 @@ from lorekeel.llm.batches import free_name
 from lorekeel.llm.exact_dedup import exact_dedup, normalised
 from lorekeel.llm.near_dedup import near_dedup
 from lorekeel.llm.packing import pack, token_pieces
-from lorekeel.session import cut, shared_dir
+from lorekeel.session import cut, removed, shared_dir
 
 
 #: Words in a shingle of the pipeline's near-duplicates, and the similarity in percent from which two documents are.
@@ -127,5 +127,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             docs.write.parquet(f"{between}/{k}-{name}")
             docs = spark.read.parquet(f"{between}/{k}-{name}")
     docs = cut(docs)
-    spark.range(0).write.mode("overwrite").parquet(between)
+    removed(spark, between)
     return docs

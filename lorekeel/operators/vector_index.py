@@ -57,8 +57,9 @@ def fit_centres(vectors: DataFrame, lists: int = LISTS, id_col: str = "vec_id",
     return units(np.stack(model.clusterCenters()))
 
 
-def _placing(centres: np.ndarray, probes: int):
+def _placing(centres: np.ndarray, probes: int, with_vectors: bool = True):
     """Rows (id, v) with their nearest lists in order: list, place and angle. What has no length is in list -1."""
+    names = ["id", *["v"] * with_vectors, "list", "place", "angle"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -74,7 +75,37 @@ def _placing(centres: np.ndarray, probes: int):
                 place = np.tile(np.arange(near.shape[1], dtype=np.int32), len(v))
                 keep = ~nothing[row] | (place == 0)
                 taken = pa.array(row[keep])
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(taken), batch.column("v").take(taken), pa.array(near.ravel()[keep].astype(np.int32)), pa.array(place[keep]), pa.array(angle.ravel()[keep])], ["id", "v", "list", "place", "angle"])
+                given = [batch.column(c).take(taken) for c in names[: 1 + with_vectors]]
+                yield pa.RecordBatch.from_arrays([*given, pa.array(near.ravel()[keep].astype(np.int32)), pa.array(place[keep]), pa.array(angle.ravel()[keep])], names)
+
+    return run
+
+
+def _opening(centres: np.ndarray, reach: np.ndarray, blind_rows: bool, probes: int):
+    """Rows (id, v, last) with every list that can hold a row of cosine ``last`` or more, but for the ``probes`` nearest, as (id, v, list).
+
+    ``reach`` has the angle of each list's farthest row from its centre (negative: no rows). Rows without length, in list -1, score 0; so does a query without length everywhere.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK_ROWS):
+                batch = whole.slice(at, BLOCK_ROWS)
+                v, last = units(np.stack(batch.column("v").to_numpy(zero_copy_only=False))), batch.column("last").to_numpy(zero_copy_only=False)
+                nothing = ~v.any(axis=1)
+                score = v @ centres.T if len(centres) else np.zeros((len(v), 0))
+                best = np.cos(np.maximum(np.arccos(np.clip(score, -1, 1)) - reach, 0))
+                open_ = (best >= last[:, None] - 1e-9) | nothing[:, None]
+                if probes and score.shape[1]:
+                    near = np.argsort(-score, axis=1, kind="stable")[:, :probes]
+                    np.put_along_axis(open_, near, np.take_along_axis(open_, near, 1) & nothing[:, None], 1)
+                open_ &= reach >= 0
+                row, where = np.nonzero(open_)
+                if blind_rows:
+                    more = np.flatnonzero(~nothing & (last <= 0))
+                    row, where = np.concatenate((row, more)), np.concatenate((where, np.full(len(more), -1)))
+                taken = pa.array(row)
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(taken), batch.column("v").take(taken), pa.array(where.astype(np.int32))], ["id", "v", "list"])
 
     return run
 
@@ -126,14 +157,14 @@ class VectorIndex:
             given = _usable(queries, query_id, vector_col)
             last = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("last"))
             worst = given.select(F.col("id").alias("query_id")).distinct().join(last, "query_id", "left").select(F.col("query_id").alias("id"), F.when(F.col("n") >= k, F.col("last")).otherwise(-2.0).alias("last"))
-            reach = F.broadcast(self.rows.groupBy("list").agg(F.max("angle").alias("reach")))
-            every = self._asked(queries, max(1, len(self.centres)), query_id, vector_col)
-            # a query without length is as near to one list as to another; rows without length score 0
-            blind = every.where("list = -1").crossJoin(reach.where("list >= 0").select(F.col("list").alias("l"))).select("id", "v", F.col("l").alias("list"))
-            seen = every.where("list >= 0").join(reach, "list").join(worst, "id").where(F.col("place") >= probes)
-            open_ = seen.where(F.cos(F.greatest(F.col("angle") - F.col("reach"), F.lit(0.0))) >= F.col("last") - 1e-9).select("id", "v", "list")
-            still = every.where("list >= 0 and place = 0").join(worst, "id").where("last <= 0").select("id", "v", F.lit(-1).alias("list"))
-            more = _met(self.rows, cut(open_.unionByName(blind).unionByName(still)), k)
+            # a row for each list
+            reached = {r["list"]: r["reach"] for r in self.rows.groupBy("list").agg(F.max("angle").alias("reach")).collect()}
+            reach = np.array([reached.get(k, -1.0) for k in range(len(self.centres))])
+            kind = given.schema["id"].dataType.simpleString()
+            # without centres all rows are in list -1, which was met
+            blind_rows = -1 in reached and len(self.centres) > 0
+            open_ = given.join(worst, "id").mapInArrow(_opening(self.centres, reach, blind_rows, probes), f"id {kind}, v array<float>, list int")
+            more = _met(self.rows, cut(open_), k)
             found = found.unionByName(more)
         place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
         out = found.withColumn("place", place).where(F.col("place") <= k).withColumnRenamed("id", self.id_col).withColumnRenamed("query_id", query_id)
@@ -144,7 +175,7 @@ class VectorIndex:
         asked = queries.select(F.col(query_id).alias("id"), F.col(vector_col).alias("v"))
         asked = cut(_sample(asked, most, asked.count()))
         truth = search(self.rows, asked.withColumnRenamed("id", "query_id"), k, id_col="id", vector_col="v", query_id="query_id").select("query_id", "id")
-        order = cut(_placed(_usable(asked, "id", "v"), self.centres, max(1, len(self.centres))).select(F.col("id").alias("query_id"), "list", "place"))
+        order = cut(_placed(_usable(asked, "id", "v"), self.centres, max(1, len(self.centres)), False).select(F.col("id").alias("query_id"), "list", "place"))
         lists = cut(self.rows.groupBy("list").agg(F.count(F.lit(1)).alias("n")))
         hits = truth.join(self.rows.select("id", "list").distinct(), "id").join(order, ["query_id", "list"]).groupBy("place").agg(F.count(F.lit(1)).alias("hits"))
         met = order.join(F.broadcast(lists), "list").groupBy("place").agg(F.sum("n").alias("met"))
@@ -162,11 +193,11 @@ class VectorIndex:
         return next((n for n, (share, _) in enumerate(measured, 1) if share >= recall), len(measured))
 
 
-def _placed(rows: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
+def _placed(rows: DataFrame, centres: np.ndarray, probes: int, with_vectors: bool = True) -> DataFrame:
     kind = rows.schema["id"].dataType.simpleString()
     if not len(centres):  # no row has a length
-        return rows.select("id", "v", F.lit(-1).alias("list"), F.lit(0).alias("place"), F.lit(0.0).alias("angle"))
-    return rows.mapInArrow(_placing(centres, probes), f"id {kind}, v array<float>, list int, place int, angle double")
+        return rows.select("id", *["v"] * with_vectors, F.lit(-1).alias("list"), F.lit(0).alias("place"), F.lit(0.0).alias("angle"))
+    return rows.mapInArrow(_placing(centres, probes, with_vectors), f"id {kind}, {'v array<float>, ' * with_vectors}list int, place int, angle double")
 
 
 def _met(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:

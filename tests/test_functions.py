@@ -98,3 +98,13 @@ def test_stripping_by_script_and_names_of_files(spark):
     names = {"/x/a.TXT": (".txt", "a"), "a": ("", "a"), ".hidden": ("", ".hidden"), "..b": ("", "..b"), "a..b": (".b", "a."), "x.y/": ("", ""), "d.e/f": ("", "f"), "a.": (".", "a"), ".a.b": (".b", ".a"), None: (None, None)}
     for name, expected in names.items():
         assert (one(spark, S.extension("a"), a=name), one(spark, S.stem("a"), a=name)) == expected, name
+
+
+def test_scratch_folders_go(spark):
+    from lorekeel.session import scratch
+    from lorekeel.sources.catalog import exists
+
+    with scratch(spark, "some") as path:
+        spark.range(3).write.parquet(path)
+        assert exists(spark, path)
+    assert not exists(spark, path)
