@@ -54,19 +54,43 @@ def surface_edges(names: DataFrame, vectors: DataFrame | None = None) -> DataFra
     return edges.distinct()
 
 
-def resolve_mentions(mentions: DataFrame, code_location: str, vectors: DataFrame | None = None) -> DataFrame:
-    """Entity candidates of ``mentions`` (ordinal, mention_id, document_id, text, mention_type); ``vectors``: (norm, embedding), optional.
-
-    Mentions of one type with the same normalised text are one entity; surfaces join by ``surface_edges`` and whatever
-    that connects. The canonical name is the commonest text, of equals the first seen; ids are in the order of the mentions.
-    """
+def _joined_mentions(mentions: DataFrame, vectors: DataFrame | None) -> DataFrame:
+    """``mentions`` with norm and component, the (group, key) that stands for all surfaces of one entity."""
     names = cut(surfaces(mentions))
     node = F.struct("group", "key")
     edges = surface_edges(names, vectors)
     links = edges.select(F.struct("group", F.col("a").alias("key")).alias("u"), F.struct("group", F.col("b").alias("key")).alias("v"))
     linked = connected_components(links)
     known = names.select(node.alias("node")).join(linked, "node", "left").select(F.col("node.group").alias("mention_type"), F.col("node.key").alias("norm"), F.coalesce("component", "node").alias("component"))
-    rows = cut(mentions.withColumn("norm", normalised("text")).join(known, ["mention_type", "norm"]))
+    return cut(mentions.withColumn("norm", normalised("text")).join(known, ["mention_type", "norm"]))
+
+
+def entity_members(mentions: DataFrame, code_location: str, vectors: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Entities of ``mentions`` (ordinal, mention_id, document_id, text, mention_type) as one row each, and their members as rows of their own.
+
+    The first: ordinal, candidate_id, canonical_name, candidate_type, mention_count, document_count, alias_count and code_location, each by aggregates that combine before their
+    shuffle; the second: candidate_id, mention_id, document_id, text and ordinal of every mention. Entities are those of ``resolve_mentions``, but nothing
+    lists an entity's mentions in one row, so one that a third of all mentions are of is no row too large.
+    """
+    rows = _joined_mentions(mentions, vectors)
+    texts = cut(rows.groupBy("component", "text").agg(F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first")))
+    best = texts.groupBy("component").agg(F.min_by("text", F.struct((-F.col("n")).alias("n"), "first")).alias("canonical_name"), (F.count(F.lit(1)) - 1).alias("alias_count"), F.min("first").alias("ordinal"))
+    # distinct first, so that a hot entity's mentions and documents are counted from many tasks
+    ids = rows.select("component", "mention_id").distinct().groupBy("component").agg(F.count("mention_id").alias("mention_count"))
+    documents = rows.select("component", "document_id").distinct().groupBy("component").agg(F.count("document_id").alias("document_count"))
+    candidate = deterministic_id("canonical_name", "component.group", F.lit(code_location)).alias("candidate_id")
+    named = cut(best.join(ids, "component").join(documents, "component").select("component", "ordinal", candidate, "canonical_name", F.col("component.group").alias("candidate_type"), "mention_count", "document_count", "alias_count"))
+    members = rows.join(named.select("component", "candidate_id"), "component").select("candidate_id", "mention_id", "document_id", "text", "ordinal")
+    return named.drop("component").withColumn("code_location", F.lit(code_location)), members
+
+
+def resolve_mentions(mentions: DataFrame, code_location: str, vectors: DataFrame | None = None) -> DataFrame:
+    """Entity candidates of ``mentions`` (ordinal, mention_id, document_id, text, mention_type); ``vectors``: (norm, embedding), optional.
+
+    Mentions of one type with the same normalised text are one entity; surfaces join by ``surface_edges`` and whatever
+    that connects. The canonical name is the commonest text, of equals the first seen; ids are in the order of the mentions. A row lists all of an entity's mentions and documents: where one may have very many, take ``entity_members``.
+    """
+    rows = _joined_mentions(mentions, vectors)
 
     texts = rows.groupBy("component", "text").agg(F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first"))
     best = texts.groupBy("component").agg(F.min_by("text", F.struct((-F.col("n")).alias("n"), "first")).alias("canonical_name"), F.collect_set("text").alias("texts"))

@@ -236,6 +236,29 @@ def entity_candidates(spark, d):
     return found.select("canonical_name", F.size("aliases").cast("long").alias("n_aliases"), F.col("mention_count").cast("long").alias("mention_count"), "ordinal", F.array_join("source_documents", ",").alias("source_documents"))
 
 
+@query(f"""WITH RECURSIVE {SURFACES_SQL}, edges AS (SELECT a, b FROM pairs WHERE shared >= 2 AND (shared / CAST(either AS DOUBLE) > 0.6 OR contains(a, b) OR contains(b, a))),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges), reach AS (SELECT key AS node, key AS component FROM surfaces UNION SELECT w.b, r.component FROM reach r JOIN both_ways w ON w.a = r.node),
+comp AS (SELECT node, min(component) AS component FROM reach GROUP BY node),
+m AS (SELECT p_partkey, p_brand, p_type || ' ' || p_brand || ' ' || p_name || ' ' || CAST(p_size AS VARCHAR) AS text FROM part), r AS (SELECT m.*, component FROM m JOIN comp ON lower(m.text) = node),
+t AS (SELECT component, text, count(*) AS n, min(p_partkey) AS first FROM r GROUP BY 1, 2), best AS (SELECT component, arg_min(text, ROW(-n, first)) AS canonical_name, count(*) - 1 AS n_aliases FROM t GROUP BY 1)
+SELECT canonical_name, CAST(n_aliases AS BIGINT) AS alias_count, count(*) AS mention_count, count(DISTINCT p_brand) AS document_count, min(p_partkey) AS ordinal FROM r JOIN best USING (component) GROUP BY component, canonical_name, n_aliases""")
+def entity_rows(spark, d):
+    """Entities with counts, beside which their members are rows of their own."""
+    return resolution.entity_members(mentions(spark, d), "parts")[0].select("canonical_name", "alias_count", "mention_count", "document_count", "ordinal")
+
+
+@query(f"""WITH RECURSIVE {SURFACES_SQL}, edges AS (SELECT a, b FROM pairs WHERE shared >= 2 AND (shared / CAST(either AS DOUBLE) > 0.6 OR contains(a, b) OR contains(b, a))),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges), reach AS (SELECT key AS node, key AS component FROM surfaces UNION SELECT w.b, r.component FROM reach r JOIN both_ways w ON w.a = r.node),
+comp AS (SELECT node, min(component) AS component FROM reach GROUP BY node),
+m AS (SELECT p_partkey, p_brand, p_type || ' ' || p_brand || ' ' || p_name || ' ' || CAST(p_size AS VARCHAR) AS text FROM part), r AS (SELECT m.*, component FROM m JOIN comp ON lower(m.text) = node),
+t AS (SELECT component, text, count(*) AS n, min(p_partkey) AS first FROM r GROUP BY 1, 2), best AS (SELECT component, arg_min(text, ROW(-n, first)) AS canonical_name, count(*) - 1 AS n_aliases FROM t GROUP BY 1)
+SELECT canonical_name, CAST(p_partkey AS VARCHAR) AS mention_id, p_brand AS document_id, text FROM r JOIN best USING (component)""")
+def entity_mentions(spark, d):
+    """A row for each mention with the name of its entity."""
+    entities, members = resolution.entity_members(mentions(spark, d), "parts")
+    return members.join(entities.select("candidate_id", "canonical_name"), "candidate_id").select("canonical_name", "mention_id", "document_id", "text")
+
+
 @query(f"""WITH {CANDIDATES_SQL} SELECT source_entity_id, target_entity_id, CAST(score AS DOUBLE) AS score, evidence, CASE WHEN score >= 0.9 THEN 'sameAs' ELSE 'possibleSameAs' END AS alignment_type FROM edges""")
 def cross_source_alignment(spark, d):
     edges = resolution.align(candidates(spark, d), ["low", "high"])
