@@ -116,7 +116,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "bytes") -> DataFrame:
-    """``rows`` with ``ids_col`` replaced by ``bytes_col``, the bytes that the ids stand for; null ids give none. Another column named ``bytes_col`` is replaced."""
+    """``rows`` with ``ids_col`` replaced by ``bytes_col``, the bytes that the ids stand for; null ids give none.
+
+    Another column named ``bytes_col`` is replaced, all others stay. Lists of any length are decoded whole, by a tree of halves; repeated rows are decoded each, and an empty table gives no rows.
+    """
     rows = rows.drop(bytes_col) if bytes_col != ids_col else rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,7 +36,7 @@ _GROUP = ["source", "lang", "version"]
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, version: str) -> DataFrame:
-    """(doc_id, source, lang, version, n_tokens) of every row; a null or empty text counts 0, a text of any length is counted whole, an empty table gives no rows."""
+    """(doc_id, source, lang, version, n_tokens) of every row; a null or empty text counts 0, a text of any length is counted whole, an empty table gives no rows; repeated rows count each, other columns are not read."""
     given = docs.select("doc_id", "source", "lang", "text")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema if f.name != "text")
     return map_batches(given, counting(vocabulary), f"{kinds}, n_tokens long").withColumn("version", F.lit(version))

@@ -91,7 +91,8 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], listed: Dat
     ``listed`` has one column ``url`` of canonical URLs to block; its nulls and repeats do not matter, and an
     empty list blocks nothing. A rule's verdict goes before the list's. A null URL, or one without
     ``://``, has an empty host, path and canonical URL, which is never listed. Pages may repeat, also
-    a third of them with one URL: only possible hits are shuffled, by a join that can be split. Other columns are not read.
+    a third of them with one URL: only possible hits are shuffled, by a join that can be split. URLs of any length are judged whole, of rules that fit
+    the longest counts (one host and path has one rule), other columns are not read, whatever their names, and an empty table gives no rows.
     """
     listed = cut(listed.select(F.col("url").alias("canonical")).where("canonical <> ''").distinct())
     filter_, blocks = bloom_filter(listed, "canonical")
