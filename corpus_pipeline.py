@@ -30,7 +30,7 @@ SHINGLE_WORDS, SIMILAR = 5, 80
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, whose language stays undetermined, go; a missing ``lang`` is filled with the one found.
 
-    A null or empty text has no letter. Repeated rows stay repeated, all columns stay as they are, whatever their names, and an empty table stays empty.
+    A null or empty text has no letter. A text of any length is judged whole. Repeated rows stay repeated, all columns stay as they are, whatever their names, and an empty table stays empty.
     """
     model = language_id.learn(docs.where(~language_id.held_out()).select("doc_id", "text", "lang"))
     name = free_name(docs.columns, "found")
@@ -41,7 +41,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of equal texts, the one document that stays; also of rows that have one id and one text.
 
-    Null and empty texts are one group. Rows with a null id, or with one id and different texts, are told apart by their texts. All
+    Null and empty texts are one group, texts of any length are compared whole; of equal lengths the smallest doc_id stays. Rows with a null id, or with one id and different texts, are told apart by their texts. All
     columns stay as they are, whatever their names, and an empty table stays empty.
     """
     kept = cut(exact_dedup(docs).where("kept").select("doc_id", "text_sha256"))
@@ -76,7 +76,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of near copies, one row: that with the least id.
 
     Rows are told apart by id and text, so rows with a null id or one id are judged by themselves, and of rows with one id and one text one stays. Documents without
-    words stay. All columns stay as they are, whatever their names, and an empty table stays empty.
+    words stay, and texts of any length are compared whole. All columns stay as they are, whatever their names, and an empty table stays empty.
     """
     key = free_name(docs.columns, "key")
     rows = docs.withColumn(key, _row_key(docs))
@@ -91,7 +91,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def redact_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts replaced by its kind; n_chars, if there, follows.
 
-    A null text stays null, and its n_chars becomes null. All rows, also repeated ones, and all other columns stay, and an empty table stays empty.
+    A null text stays null, and its n_chars becomes null; texts of any length are read whole. All rows, also repeated ones, and all other columns stay, and an empty table stays empty.
     """
     redacted = private_data.redact(docs, private_data.learn(docs))
     return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else redacted
