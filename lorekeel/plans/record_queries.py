@@ -513,7 +513,7 @@ s AS (SELECT event_type, time_bucket(INTERVAL '1 day', ts) AS window_start, CASE
 SELECT event_type, window_start, round(sum(step), 4) AS increase FROM s GROUP BY 1, 2""")
 def streamed_increase(spark, d):
     """Daily increases of counters with resets, on a stream whose state waits for the watermark."""
-    with scratch(spark, "stream") as root, stateful.keyed_state(spark):
+    with scratch(spark, "stream") as root, stateful.keyed_state(spark, 8):
         found = stateful.counter_increase(_played(spark, d, root), ["event_type"], length="1 day")
         metrics.run_to_end(found, f"{root}/out", f"{root}/checkpoint")
         return cut(spark.read.parquet(f"{root}/out").select("event_type", F.col("window_start").cast(_NTZ).alias("window_start"), F.round("increase", 4).alias("increase")))
@@ -523,7 +523,7 @@ def streamed_increase(spark, d):
 SELECT event_type, min(ts) AS since, max(ts) AS until, count(*) AS n FROM r WHERE h GROUP BY event_type, run HAVING epoch_us(max(ts)) - epoch_us(min(ts)) >= 28800000000""")
 def streamed_runs(spark, d):
     """Runs of values above 5 for eight hours or longer, on a stream; the last ones end as nothing follows them."""
-    with scratch(spark, "stream") as root, stateful.keyed_state(spark):
+    with scratch(spark, "stream") as root, stateful.keyed_state(spark, 8):
         found = stateful.sustained(_played(spark, d, root), ["event_type"], F.col("value") > 5, 8 * 3600, idle="30 days")
         metrics.run_to_end(found, f"{root}/out", f"{root}/checkpoint")
         return cut(spark.read.parquet(f"{root}/out").where("ended").select("event_type", *(F.col(c).cast(_NTZ).alias(c) for c in ("since", "until")), "n"))

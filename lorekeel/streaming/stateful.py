@@ -21,14 +21,20 @@ _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvid
 
 
 @contextlib.contextmanager
-def keyed_state(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB, which state with timers needs; the session's own setting comes back after."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKS)
+def keyed_state(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, which state with timers needs, and deal it to ``partitions``, which a query keeps from its first start on.
+
+    The session's own settings come back after.
+    """
+    wanted = {_PROVIDER: _ROCKS} | ({} if partitions is None else {"spark.sql.shuffle.partitions": str(partitions)})
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 class _Ordered(StatefulProcessor):

@@ -317,3 +317,21 @@ def test_runs_that_last(spark):
     df = spark.createDataFrame([(k, t, v) for k, t, v in rows], "k string, t long, up int").withColumn("ts", F.timestamp_seconds("t"))
     got = [(r["k"], r["n"]) for r in sustained(df, ["k"], F.col("up") == 1, 300).collect()]
     assert got == [("a", 3)]
+
+
+def test_entities_and_members_are_those_of_the_candidates(spark):
+    from lorekeel.operators import resolution
+
+    rows = [(k, f"m{k}", f"d{k % 7}", ["Acme Corp Ltd", "acme corp ltd ", "Acme Corp", "Other Name", None][k % 5], "ORG") for k in range(60)] + [(99, "m1", "d1", "Acme Corp Ltd", "ORG"), (100, None, None, "Other Name", "ORG")]
+    mentions = spark.createDataFrame(rows, "ordinal int, mention_id string, document_id string, text string, mention_type string")
+    entities, members = resolution.entity_members(mentions, "here")
+    listed = {r["candidate_id"]: r for r in resolution.resolve_mentions(mentions, "here").collect()}
+    held = {r["candidate_id"]: r for r in entities.collect()}
+    assert set(held) == set(listed) and len(held) == 2
+    for i, r in held.items():
+        assert (r["canonical_name"], r["alias_count"], r["ordinal"]) == (listed[i]["canonical_name"], len(listed[i]["aliases"]), listed[i]["ordinal"])
+        assert r["document_count"] == len(listed[i]["source_documents"])
+    by = {}
+    for r in members.collect():
+        by.setdefault(r["candidate_id"], []).append(r["mention_id"])
+    assert {i: len(x) for i, x in by.items()} == {i: sum(t is not None and ("Other" in t) == ("Other" in held[i]["canonical_name"]) for _, _, _, t, _ in rows) for i in held}

@@ -82,3 +82,7 @@ def test_the_sessions_own_setting_comes_back(spark):
     with stateful.keyed_state(spark):
         assert spark.conf.get(stateful._PROVIDER) == stateful._ROCKS
     assert spark.conf.get(stateful._PROVIDER, None) == before
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    with stateful.keyed_state(spark, 3):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
