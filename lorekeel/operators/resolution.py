@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lorekeel.functions.scalars import content_hash, deterministic_id, jaccard, normalised, stripped, tokens
-from lorekeel.operators.components import connected_components
+from lorekeel.operators.components import components_of
 from lorekeel.operators.textjoin import containing_pairs, similar_pairs
 from lorekeel.operators.vectors import similar_vectors
 from lorekeel.session import cut
@@ -60,7 +60,7 @@ def _joined_mentions(mentions: DataFrame, vectors: DataFrame | None) -> DataFram
     node = F.struct("group", "key")
     edges = surface_edges(names, vectors)
     links = edges.select(F.struct("group", F.col("a").alias("key")).alias("u"), F.struct("group", F.col("b").alias("key")).alias("v"))
-    linked = connected_components(links)
+    linked = components_of(links)
     known = names.select(node.alias("node")).join(linked, "node", "left").select(F.col("node.group").alias("mention_type"), F.col("node.key").alias("norm"), F.coalesce("component", "node").alias("component"))
     return cut(mentions.withColumn("norm", normalised("text")).join(known, ["mention_type", "norm"]))
 
@@ -117,7 +117,7 @@ def name_groups(mentions: DataFrame) -> DataFrame:
     """
     texts = mentions.select("ordinal", stripped("text").alias("text"), F.coalesce("mention_type", F.lit("")).alias("mention_type")).where("text <> ''")
     names = cut(surfaces(texts))
-    linked = connected_components(surface_edges(names).select("a", "b"), "a", "b")
+    linked = components_of(surface_edges(names).select("a", "b"), "a", "b")
     keys = names.select("key").distinct().join(linked.withColumnRenamed("node", "key"), "key", "left").select(F.col("key").alias("norm"), F.coalesce("component", "key").alias("component"))
     each = texts.groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first"), F.max_by("mention_type", "ordinal").alias("label"))
     rows = each.withColumn("norm", normalised("text")).join(cut(keys), "norm")
@@ -182,7 +182,7 @@ def canonical_entities(candidates: DataFrame, alignments: DataFrame) -> DataFram
     candidate ids, so that a rerun gives the same one.
     """
     same = alignments.where("alignment_type = 'sameAs'")
-    linked = connected_components(same, "source_entity_id", "target_entity_id")
+    linked = components_of(same, "source_entity_id", "target_entity_id")
     rows = candidates.join(linked.withColumnRenamed("node", "candidate_id"), "candidate_id", "left").withColumn("component", F.coalesce("component", "candidate_id"))
     first = F.struct((-F.col("mention_count")).alias("n"), "ordinal")
     grouped = rows.groupBy("component").agg(

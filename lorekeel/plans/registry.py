@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lorekeel.functions.scalars import keyword_in_context, text_hash
 from lorekeel.operators import chunking, density, documents, explore, incremental, projection, resolution, textjoin, validation, vector_index, vectors
-from lorekeel.operators.components import connected_components
+from lorekeel.operators.components import components_of
 from lorekeel.plans.base import ORACLES, QUERIES, query
 from lorekeel.plans.views import ASSERTIONS_SQL, CANDIDATES_SQL, SURFACES_SQL, assertions, candidates, mentions, table
 from lorekeel.plans.views import documents as given_documents
@@ -221,7 +221,7 @@ both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges), reach AS (SE
 SELECT node, min(component) AS component FROM reach GROUP BY node""")
 def surface_components(spark, d):
     edges = resolution.surface_edges(resolution.surfaces(mentions(spark, d)))
-    return connected_components(edges, "a", "b")
+    return components_of(edges, "a", "b")
 
 
 @query(f"""WITH RECURSIVE {SURFACES_SQL}, edges AS (SELECT a, b FROM pairs WHERE shared >= 2 AND (shared / CAST(either AS DOUBLE) > 0.6 OR contains(a, b) OR contains(b, a))),

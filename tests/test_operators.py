@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -6,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lorekeel.operators import chunking, documents, explore, extraction, incremental, resolution, spans, textjoin, validation, vectors
-from lorekeel.operators.components import connected_components
+from lorekeel.operators.components import components_of, connected_components
 
 
 @settings(max_examples=200, deadline=None)
@@ -71,6 +72,19 @@ def test_components(spark):
     df = spark.createDataFrame([*edges, (None, 1)], "u long, v long")
     assert {r["node"]: r["component"] for r in connected_components(df).collect()} == {a: root(a) for a in parent}
     assert connected_components(df.limit(0)).count() == 0
+    for task_edges in (0, 10_000):  # by rounds and in one task
+        assert {r["node"]: r["component"] for r in components_of(df, task_edges=task_edges).collect()} == {a: root(a) for a in parent}
+        assert components_of(df.limit(0), task_edges=task_edges).count() == 0
+
+
+def test_components_of_structs_and_strings(spark):
+    """A long path, nodes that are structs with a null field, and code points beyond the first plane, which sort as their bytes do."""
+    path = spark.range(5000).selectExpr("concat('n', lpad(cast((id * 7919) % 5000 as string), 5, '0')) as u", "concat('n', lpad(cast(((id + 1) * 7919) % 5000 as string), 5, '0')) as v")
+    assert [tuple(r) for r in components_of(path).groupBy("component").count().collect()] == [("n00000", 5000)]
+    rows = [((None, "\U0001F600"), ("g", "\uFFFD")), (("g", "\U0001F600"), ("g", "\uFFFD")), (("h", "a"), ("h", "a"))]
+    df = spark.createDataFrame(rows, "u struct<k:string,t:string>, v struct<k:string,t:string>")
+    got = [{(tuple(r["node"]), tuple(r["component"])) for r in components_of(df, task_edges=n).collect()} for n in (0, 100)]
+    assert got[0] == got[1] == {((None, "\U0001F600"), (None, "\U0001F600")), (("g", "\uFFFD"), (None, "\U0001F600")), (("g", "\U0001F600"), (None, "\U0001F600")), (("h", "a"), ("h", "a"))}
 
 
 def mention_rows(spark, texts):
@@ -252,6 +266,52 @@ def test_similar_pairs_agree_with_all_pairs(spark, over, least):
     assert {(r["a"], r["b"]) for r in textjoin.sharing_pairs(df, least).collect()} >= got
 
 
+@pytest.mark.parametrize("over, least", [(0.6, 2), (0.5, 1), (0.75, 3)])
+def test_similar_pairs_of_long_and_short_names(spark, over, least):
+    """Names of 1 to 40 words, copies with some words changed among them, on both sides of the sizes that meet by size; a name without words, repeated names in two groups."""
+    rng = random.Random(least)
+    sets = []
+    for size in (1, 2, 5, 9, 14, 15, 16, 17, 18, 24, 40):
+        base = rng.sample(range(60), size)
+        for cuts in (0, 1, 2, 3, 5):
+            sets.append(frozenset(base[min(cuts, size - 1) :]) | frozenset(rng.sample(range(60, 80), cuts)))
+    names = {" ".join(f"w{k}" for k in sorted(x)) for x in sets} | {""}
+    df = spark.createDataFrame([(g, n, n.split()) for n in sorted(names) for g in ("g", "h")], "group string, key string, words array<string>")
+    expected = set()
+    for a in names:
+        for b in names:
+            x, y = set(a.split()), set(b.split())
+            if a < b and len(x & y) >= least and len(x & y) / len(x | y) > over:
+                expected |= {(g, a, b, round(len(x & y) / len(x | y), 9)) for g in ("g", "h")}
+    got = [(r["group"], r["a"], r["b"], round(r["similarity"], 9)) for r in textjoin.similar_pairs(df, over, least).collect()]
+    assert sorted(got) == sorted(expected) and len({len(e[1].split()) > textjoin.BY_SIZE for e in expected}) == 2
+    assert textjoin.similar_pairs(df.limit(0), over, least).count() == 0
+
+
+def test_keys_by_size_lose_no_pair():
+    """Whatever words two names share, their first shared ones are at places that the plan looks both up by."""
+    for over, least in ((0.6, 2), (0.5, 1), (0.3, 2)):
+        for n, m in itertools.combinations_with_replacement(range(1, 8), 2):
+            keys = {s: [p for k, lo, hi, p in textjoin._plan(sorted({n, m}), over, least) if (k, lo, hi) == (s, n, m)] for s in (n, m)}
+            for o in range(least, n + 1):
+                if o / (n + m - o) > over:
+                    for a in itertools.combinations(range(n), o):
+                        for b in itertools.combinations(range(m), o):
+                            k = len(keys[n][0])
+                            assert list(a[:k]) in keys[n] and list(b[:k]) in keys[m]
+
+
+def test_containment_of_all_lengths(spark):
+    rng = random.Random(9)
+    texts = {"".join(rng.choice("ab\U0001F600") for _ in range(rng.randrange(0, 14))) for _ in range(200)} | {"a" * 7, "a" * 8, "a" * 9, "a" * 30}
+    df = spark.createDataFrame([("g", t) for t in sorted(texts)], "group string, text string")
+    got = sorted((r["inner"], r["outer"]) for r in textjoin.containing_pairs(df, df).collect())
+    assert got == sorted((a, b) for a in texts for b in texts if a and a in b)
+    long = df.where("length(text) > 9")
+    assert sorted((r["inner"], r["outer"]) for r in textjoin.containing_pairs(long, df).collect()) == sorted((a, b) for a in texts for b in texts if len(a) > 9 and a in b)
+    assert textjoin.containing_pairs(df.limit(0), df).count() == 0 and textjoin.containing_pairs(df, df.limit(0)).count() == 0
+
+
 def test_search_against_brute_force(spark):
     import numpy as np
 
