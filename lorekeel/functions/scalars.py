@@ -262,6 +262,13 @@ def config_key(chunk_size, overlap, model, dimensions, aliases: dict[str, str])
     return F.concat(F.lit("cs"), _c(chunk_size).cast("string"), F.lit("_co"), _c(overlap).cast("string"), F.lit("_"), slug, tail)
 
 
+def config_hash(chunk_size, overlap, model, dimensions, prepend_title, strategy) -> Column:
+    """The first 8 hexadecimal digits of the SHA-256 of all settings between colons, where a missing one is ``None`` and a switch ``True`` or ``False``."""
+    switch = F.when(_c(prepend_title), "True").otherwise("False")
+    parts = [_c(chunk_size), _c(overlap), _c(model), _c(dimensions), switch, _c(strategy)]
+    return F.substring(F.sha2(F.concat_ws(":", *(F.coalesce(p.cast("string"), F.lit("None")) for p in parts)), 256), 1, 8)
+
+
 def hive_segment(value) -> Column:
     """year=/month=/day= folders of a day or month; any other value as it is."""
     value = _c(value)

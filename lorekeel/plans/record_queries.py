@@ -15,6 +15,7 @@ from lorekeel.plans.base import query
 from lorekeel.plans.views import table
 from lorekeel.session import cut, scratch
 from lorekeel.sources import archives, catalog, records
+from lorekeel.sources.datasets import Datasets
 from lorekeel.streaming import metrics, stateful
 
 _NTZ = "timestamp_ntz"
@@ -102,6 +103,14 @@ def chunk_config_keys(spark, d):
     return p.select("p_partkey", scalars.config_key(F.col("p_size") * 10, "p_size", "model", F.when(F.col("p_size") % 2 == 0, F.col("p_size")), {"SMALL": "sm"}).alias("key"))
 
 
+@query("""SELECT p_partkey, substr(sha256(p_size * 10 || ':' || p_size || ':' || p_name || ':' || CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS VARCHAR) ELSE 'None' END || ':' ||
+CASE WHEN p_size > 25 THEN 'True' ELSE 'False' END || ':' || p_type), 1, 8) AS hash FROM part""")
+def chunk_config_hashes(spark, d):
+    """What tells two settings of chunks and vectors apart, all of them counted."""
+    even = F.when(F.col("p_size") % 2 == 0, F.col("p_size"))
+    return table(spark, d, "part").select("p_partkey", scalars.config_hash(F.col("p_size") * 10, "p_size", "p_name", even, F.col("p_size") > 25, "p_type").alias("hash"))
+
+
 @query("""SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN strftime(o_orderdate, 'year=%Y/month=%m/day=%d') WHEN 'F' THEN strftime(o_orderdate, 'year=%Y/month=%m') ELSE o_orderpriority END AS segment FROM orders""")
 def partition_segments(spark, d):
     o = table(spark, d, "orders")
@@ -452,6 +461,69 @@ def listed_partitions(spark, d):
     return catalog.partitions(p.select(path.alias("path")), "gold/x")
 
 
+def _mentions_of(spark, d):
+    p = table(spark, d, "part")
+    kind = F.when(F.col("p_size") % 3 == 0, "PERSON").otherwise("ORG")
+    return p.select(F.col("p_partkey").cast("string").alias("mention_id"), F.col("p_brand").alias("document_id"), F.col("p_name").alias("text"), kind.alias("mention_type"), kind.alias("label"), F.length("p_name").alias("span_end"), "p_size")
+
+
+@query("""SELECT 'new' AS source, CAST(p_partkey AS VARCHAR) AS id, p_brand AS document_id, p_name AS text, 'ORG' AS kind, length(p_name) AS span_end FROM part WHERE p_size % 2 = 0 AND p_size % 3 <> 0
+UNION ALL SELECT 'old', NULL, p_brand, p_name, CASE WHEN p_size % 3 = 0 THEN 'PERSON' ELSE 'ORG' END, length(p_name) FROM part WHERE p_size % 2 = 1""")
+def mentions_or_entities(spark, d):
+    """Organisations of a source with mentions, in two partitions, and the older entities of one without; a third source has neither."""
+    rows = _mentions_of(spark, d)
+    with scratch(spark, "typed") as root:
+        sets = Datasets(spark, root)
+        for part in (0, 2):
+            sets.save("mentions", rows.where(f"p_size % 4 = {part}"), "new", partition=str(part))
+        sets.save("entities", rows.where("p_size % 2 = 0"), "new")
+        sets.save("entities", rows.where("p_size % 2 = 1"), "old", location="elsewhere")
+        new, old, none = (sets.load("mentions", s, mention_type="ORG") for s in ("new", "old", "none"))
+        common = "document_id", "text", "span_end"
+        new, none = (m.select(F.lit("new").alias("source"), F.col("mention_id").alias("id"), F.col("mention_type").alias("kind"), *common) for m in (new, none))
+        return cut(new.unionByName(old.select(F.lit("old").alias("source"), F.lit(None).cast("string").alias("id"), F.col("label").alias("kind"), *common)).unionByName(none))
+
+
+@query("""WITH l AS (SELECT l_orderkey * 100 + l_linenumber AS id, l_linestatus AS predicate, CAST(l_partkey AS VARCHAR) AS object_text, l_returnflag FROM lineitem)
+SELECT 'assertions' AS kind, id, predicate, object_text, true AS negated FROM l WHERE l_returnflag = 'R' UNION ALL SELECT 'propositions', id, predicate, object_text, NULL FROM l WHERE l_returnflag = 'A'""")
+def assertions_or_propositions(spark, d):
+    """Assertions of a source that has them (of one configuration of two), propositions of one that has none."""
+    lines = table(spark, d, "lineitem").select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"), F.col("l_linestatus").alias("predicate"), F.col("l_partkey").alias("object_text"), "l_returnflag")
+    flagged = lambda f, key: lines.where(F.col("l_returnflag") == f).withColumnRenamed("id", key).withColumn("negated", F.lit(True))
+    with scratch(spark, "typed") as root:
+        sets = Datasets(spark, root)
+        sets.save("assertions", flagged("R", "assertion_id"), "r", config="cs400")
+        sets.save("assertions", flagged("N", "assertion_id"), "r", config="cs800")
+        sets.save("propositions", flagged("A", "proposition_id"), "a")
+        a, p = sets.load("assertions", "r", config="cs400"), sets.load("assertions", "a")
+        shown = lambda df, kind, key, negated: df.select(F.lit(kind).alias("kind"), F.col(key).cast("long").alias("id"), "predicate", "object_text", negated.alias("negated"))
+        return cut(shown(a, "assertions", "assertion_id", F.col("negated")).unionByName(shown(p, "propositions", "proposition_id", F.lit(None).cast("boolean"))))
+
+
+@query("""SELECT id, length(content) AS n_chars, lang AS document_type FROM (SELECT CAST(doc_id AS VARCHAR) AS id, text AS content, lang FROM documents) ORDER BY id LIMIT 2000""")
+def shown_documents(spark, d):
+    """The documents that a source's page shows: the first by id, as many as its kind says."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"), F.col("lang").alias("document_type"), "source")
+    with scratch(spark, "typed") as root:
+        sets = Datasets(spark, root)
+        sets.save("documents", docs, "web")
+        return cut(sets.shown("documents", "web").select("id", F.length("content").alias("n_chars"), "document_type"))
+
+
+@query("""SELECT 'silver' AS layer, 'web_documents' AS asset, 'documents' AS kind, 'web' AS source, NULL AS config, lang AS "partition", count(*) AS count FROM documents WHERE lang IS NOT NULL GROUP BY lang
+UNION ALL SELECT 'platinum', 'canonical_entities', 'canonical_entities', NULL, 'cs' || r_regionkey, NULL, count(n_nationkey) FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey""")
+def described_datasets(spark, d):
+    """What the sidecars of a store say: documents in a partition for each language, canonical entities in a configuration for each region."""
+    docs, nation = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang"), table(spark, d, "nation").withColumnRenamed("n_name", "canonical_name")
+    with scratch(spark, "typed") as root:
+        sets = Datasets(spark, root)
+        for r in docs.where("lang is not null").select("lang").distinct().collect():  # a few languages
+            sets.save("documents", docs.where(F.col("lang") == r["lang"]), "web", partition=r["lang"])
+        for r in table(spark, d, "region").select("r_regionkey").collect():
+            sets.save("canonical_entities", nation.where(F.col("n_regionkey") == r["r_regionkey"]), config=f"cs{r['r_regionkey']}")
+        return cut(sets.described().select("layer", "asset", "kind", "source", "config", "partition", "count"))
+
+
 # --- metrics ---------------------------------------------------------------------------------------------
 
 

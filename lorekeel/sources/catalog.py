@@ -21,18 +21,25 @@ def group_of(name):
     return F.split(name, "_")[0]
 
 
+#: Folders between a dataset's own and a sidecar below it: a configuration, a partition or the parts of a day.
+BELOW = 4
+
+
 def list_datasets(spark: SparkSession, root: str) -> DataFrame:
-    """(layer, code_location, group, asset, root) of every folder with a metadata file.
+    """(layer, code_location, group, asset, root) of every folder with a metadata file, the first four being its first parts below ``root``.
 
-    Spark's readers pass over names with a leading underscore, so the folders are listed by the file system; there is a name for each dataset.
+    Spark's readers pass over names with a leading underscore, so the files are named by patterns that the file system looks up, and only their names, one for
+    each dataset, configuration and partition, come to the driver, never those of data files.
     """
-    top = spark._jvm.org.apache.hadoop.fs.Path(root)
-    found, files = [], top.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(top, True)
-    while files.hasNext():
-        path = files.next().getPath().toString()
-        parts = path.split("/")
-        if parts[-1] == "_metadata.json" and len(parts) > 4:
-            found.append((*parts[-5:-1], "/".join(parts[:-1])))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(root)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = files.makeQualified(top).toString().rstrip("/") + "/"
+    found = []
+    for depth in range(4, 5 + BELOW):
+        for status in files.globStatus(hadoop.Path(top, "/".join(["*"] * depth) + "/_metadata.json")) or []:
+            folder = status.getPath().getParent().toString()
+            found.append((*folder.removeprefix(base).split("/")[:4], folder))
     return spark.createDataFrame(found, "layer string, code_location string, group string, asset string, root string")
 
 
