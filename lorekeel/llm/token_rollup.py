@@ -11,7 +11,7 @@ batch looks up only the buckets that it has rows in. Runs of ``FAN`` batches are
 record is written again as often. Totals are kept as running sums beside the deltas.
 
 A batch is written in steps: its changes, its deltas, the totals after it, the merges that it completes, then its commit, one
-small file that appears by a rename. Only committed batches are read. A batch that is committed again is not
+small file that appears by a rename at the next free place, with the last few batches in it, so that nothing lists all commits. Only committed batches are read. A batch that is committed again is not
 applied again, and one that broke off is written anew over its remains, so replays and lost
 drivers or executors change nothing.
 """
@@ -33,6 +33,7 @@ BUCKETS, FAN = 64, 4
 
 _KEYS = ["doc_id", "version"]
 _GROUP = ["source", "lang", "version"]
+_COMMIT = "batch int, recent array<int>"
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, version: str) -> DataFrame:
@@ -53,25 +54,57 @@ class Rollup:
     def _path(self, kind: str, batch: int) -> str:
         return f"{self.root}/{kind}/batch={batch}"
 
+    def _there(self, place: int) -> bool:
+        """Whether a batch is committed at a place; a broken-off one has no file there."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/commits/place={place}/part-*")
+        return bool(list(at.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(at) or []))
+
+    def _commits(self, places: str) -> DataFrame:
+        return self.spark.read.schema(_COMMIT).parquet(f"{self.root}/commits/{places}")
+
+    def _head(self) -> tuple[int, list[int]]:
+        """How many batches are committed, and the last ``FAN`` of them.
+
+        Places are taken one after another, so the last is found by doubling and halving: looks that grow with the logarithm of the number of batches, and one file read.
+        """
+        over = 1
+        while self._there(over):
+            over *= 2
+        under = over // 2
+        while over - under > 1:
+            middle = (under + over) // 2
+            under, over = (middle, over) if self._there(middle) else (under, middle)
+        return (under, list(self._commits(f"place={under}").first()["recent"])) if under else (0, [])
+
+    def _is_committed(self, batch: int, n: int) -> bool:
+        """Whether ``batch`` is one of the first ``n``, which are in order: a search by halves."""
+        low, high = 1, n
+        while low <= high:
+            middle = (low + high) // 2
+            found = self._commits(f"place={middle}").first()["batch"]
+            if found == batch:
+                return True
+            low, high = (middle + 1, high) if found < batch else (low, middle - 1)
+        return False
+
     def committed(self) -> list[int]:
-        """Batches that count, in order; a broken-off one has no file under its commit."""
+        """All batches that count, in order: a list of every commit, which neither ``commit`` nor ``totals`` needs."""
         try:
-            found = self.spark.read.schema("id long, batch int").parquet(f"{self.root}/commits")
-            return sorted(r["batch"] for r in found.select("batch").distinct().collect())
+            return [r["batch"] for r in self._commits("").select("batch").sort("batch").collect()]
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             return []
 
-    def _runs(self, done: list[int]) -> list[str]:
-        """Folders of the runs that together hold the changes of ``done``: the fewest aligned ones."""
-        out, at = [], 0
-        while at < len(done):
+    def _runs(self, done: list[int], before: int = 0) -> list[str]:
+        """Folders of the runs that together hold the changes of ``before`` batches and then ``done``: the fewest aligned ones. ``done`` may be the last ``FAN`` only."""
+        out, at, n = [], 0, before + len(done)
+        while at < n:
             level = 0
-            while at % FAN ** (level + 1) == 0 and at + FAN ** (level + 1) <= len(done):
+            while at % FAN ** (level + 1) == 0 and at + FAN ** (level + 1) <= n:
                 level += 1
             at += FAN**level
-            out.append(self._path("changes", done[at - 1]) if not level else f"{self.root}/merged/level={level}/to={at}")
+            out.append(f"{self.root}/merged/level={level}/to={at}" if level else self._path("changes", done[at - before - 1]))
         return out
 
     def _latest(self, runs: list[str], touched: DataFrame | None = None) -> DataFrame | None:
@@ -106,21 +139,21 @@ class Rollup:
         count, take it away, if there was one. Rows that repeat one document and version in a batch are one change. Null ids, sources, languages and versions are values as any other. An
         empty batch commits nothing but itself. Returns whether the batch was new; batches must come in order.
         """
-        done = self.committed()
-        if batch in done:
-            return False
-        if done and batch < done[-1]:
-            raise ValueError(f"batch {batch} comes after {done[-1]}")
+        n, recent = self._head()
+        if recent and batch <= recent[-1]:
+            if batch in recent or self._is_committed(batch, n):
+                return False
+            raise ValueError(f"batch {batch} comes after {recent[-1]}")
         seq = F.col("seq") if "seq" in changes.columns else F.lit(0)
         order = F.struct(seq.cast("long").alias("seq"), "op", F.coalesce("n_tokens", F.lit(-1)).alias("n"), F.col("source").alias("s"), F.col("lang").alias("l"))
         kept = F.when(F.col("op") == "delete", F.lit(None)).otherwise(F.col("n_tokens")).cast("long")
         last = changes.groupBy(*_KEYS).agg(F.max_by(F.struct("source", "lang", kept.alias("n_tokens")), order).alias("r"))
         bucket = F.pmod(F.xxhash64(*_KEYS), F.lit(BUCKETS)).cast("int").alias("bucket")
-        self._write(last.select(*_KEYS, "r.source", "r.lang", "r.n_tokens", F.lit(len(done)).alias("at"), bucket), self._path("changes", batch))
+        self._write(last.select(*_KEYS, "r.source", "r.lang", "r.n_tokens", F.lit(n).cast("int").alias("at"), bucket), self._path("changes", batch))
 
         new = self._read(self._path("changes", batch))
         signed = new.where("n_tokens is not null").select(*_GROUP, F.lit(1).alias("sign"), "n_tokens")
-        old = self._latest(self._runs(done), new)
+        old = self._latest(self._runs(recent, n - len(recent)), new)
         if old is not None:
             same = old["doc_id"].eqNullSafe(new["doc_id"]) & old["version"].eqNullSafe(new["version"])
             gone = old.join(new.select(*_KEYS), same, "left_semi").where("n_tokens is not null")
@@ -128,26 +161,26 @@ class Rollup:
         deltas = signed.groupBy(*_GROUP).agg(F.sum("sign").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens"))
         deltas.write.mode("overwrite").parquet(self._path("deltas", batch))
         sums = self.spark.read.parquet(self._path("deltas", batch))
-        if done:
-            sums = sums.unionByName(self.spark.read.parquet(self._path("totals", done[-1])))
+        if recent:
+            sums = sums.unionByName(self.spark.read.parquet(self._path("totals", recent[-1])))
         sums = sums.groupBy(*_GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         sums.write.mode("overwrite").parquet(self._path("totals", batch))
 
-        n, level = len(done) + 1, 1
+        n, level, recent = n + 1, 1, [*recent, batch][-FAN:]
         while n % FAN**level == 0:
             step = FAN ** (level - 1)
-            parts = [self._path("changes", ([*done, batch])[k - 1]) if level == 1 else f"{self.root}/merged/level={level - 1}/to={k}" for k in range(n - FAN**level + step, n + 1, step)]
+            parts = [self._path("changes", recent[k - n - 1]) if level == 1 else f"{self.root}/merged/level={level - 1}/to={k}" for k in range(n - FAN**level + step, n + 1, step)]
             self._write(self._latest(parts), f"{self.root}/merged/level={level}/to={n}")
             level += 1
-        self.spark.range(1, numPartitions=1).write.mode("overwrite").parquet(self._path("commits", batch))
+        self.spark.createDataFrame([(batch, recent)], _COMMIT).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/place={n}")
         return True
 
     def totals(self) -> DataFrame:
         """(source, lang, version, n_docs, n_tokens) over all committed batches, without groups that have no document left."""
-        done = self.committed()
-        if not done:
+        _, recent = self._head()
+        if not recent:
             return self.spark.createDataFrame([], "source string, lang string, version string, n_docs long, n_tokens long")
-        return self.spark.read.parquet(self._path("totals", done[-1])).select(*_GROUP, "n_docs", "n_tokens").where("n_docs <> 0")
+        return self.spark.read.parquet(self._path("totals", recent[-1])).select(*_GROUP, "n_docs", "n_tokens").where("n_docs <> 0")
 
     def take(self) -> DataFrame:
         """The totals, written apart from the rollup, whose files then go: for a rollup that was made for one result."""

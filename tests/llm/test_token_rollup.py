@@ -55,6 +55,24 @@ def test_broken_off_batch_does_not_count_and_can_be_written_again(spark, rollup)
     assert totals(rollup) == {("s", "en", "v"): (2, 13)}
 
 
+def test_commits_are_found_without_a_list_of_them(spark, rollup):
+    """Hundreds of commits, with gaps between their numbers: the last, members and strangers; looks grow with the logarithm; a folder without a file is no commit."""
+    batches = [3 * k + 1 for k in range(300)]
+    rows = [(k + 1, b, batches[max(0, k - 3) : k + 1]) for k, b in enumerate(batches)]
+    spark.createDataFrame(rows, "place int, batch int, recent array<int>").repartition(4).write.partitionBy("place").parquet(f"{rollup.root}/commits")
+    looks = []
+    there = rollup._there
+    rollup._there = lambda place: looks.append(place) or there(place)
+    assert rollup._head() == (300, batches[-4:]) and len(looks) <= 20
+    assert rollup._is_committed(1, 300) and rollup._is_committed(898, 300) and rollup._is_committed(451, 300) and not rollup._is_committed(450, 300) and not rollup._is_committed(0, 300)
+    assert not rollup.commit(451, changes(spark, []))
+    with pytest.raises(ValueError):
+        rollup.commit(450, changes(spark, []))
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{rollup.root}/commits/place=301/_temporary")
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
+    assert rollup._head()[0] == 300 and rollup.committed() == batches
+
+
 def test_edge_cases(spark, rollup):
     assert rollup.totals().count() == 0
     assert rollup.commit(3, changes(spark, [])) and totals(rollup) == {}
