@@ -10,7 +10,7 @@ from lorekeel.functions.scalars import content_hash, deterministic_id, jaccard,
 from lorekeel.operators.components import components_of
 from lorekeel.operators.textjoin import containing_pairs, similar_pairs
 from lorekeel.operators.vectors import similar_vectors
-from lorekeel.session import cut
+from lorekeel.session import cut, dealt
 
 #: Words two surfaces must share; similarity of their word sets; cosine of their vectors.
 SHARED_WORDS, WORD_SIMILARITY, VECTOR_SIMILARITY = 2, 0.6, 0.85
@@ -34,7 +34,7 @@ def contained_pairs(names: DataFrame, least: int = SHARED_WORDS) -> DataFrame:
     texts = names.select("group", F.col("key").alias("text"))
     inside = containing_pairs(texts, texts).where("inner <> outer")
     words = lambda side: names.select("group", F.col("key").alias(side), F.col("words").alias(f"words_{side}"))
-    both = inside.join(words("inner"), ["group", "inner"]).join(words("outer"), ["group", "outer"]).where(F.size(F.array_intersect("words_inner", "words_outer")) >= least)
+    both = inside.join(dealt(words("inner")), ["group", "inner"]).join(dealt(words("outer")), ["group", "outer"]).where(F.size(F.array_intersect("words_inner", "words_outer")) >= least)
     return both.select("group", F.least("inner", "outer").alias("a"), F.greatest("inner", "outer").alias("b")).distinct()
 
 
@@ -62,7 +62,7 @@ def _joined_mentions(mentions: DataFrame, vectors: DataFrame | None) -> DataFram
     links = edges.select(F.struct("group", F.col("a").alias("key")).alias("u"), F.struct("group", F.col("b").alias("key")).alias("v"))
     linked = components_of(links)
     known = names.select(node.alias("node")).join(linked, "node", "left").select(F.col("node.group").alias("mention_type"), F.col("node.key").alias("norm"), F.coalesce("component", "node").alias("component"))
-    return cut(mentions.withColumn("norm", normalised("text")).join(known, ["mention_type", "norm"]))
+    return cut(mentions.withColumn("norm", normalised("text")).join(dealt(known), ["mention_type", "norm"]))
 
 
 def entity_members(mentions: DataFrame, code_location: str, vectors: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -120,7 +120,7 @@ def name_groups(mentions: DataFrame) -> DataFrame:
     linked = components_of(surface_edges(names).select("a", "b"), "a", "b")
     keys = names.select("key").distinct().join(linked.withColumnRenamed("node", "key"), "key", "left").select(F.col("key").alias("norm"), F.coalesce("component", "key").alias("component"))
     each = texts.groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first"), F.max_by("mention_type", "ordinal").alias("label"))
-    rows = each.withColumn("norm", normalised("text")).join(cut(keys), "norm")
+    rows = each.withColumn("norm", normalised("text")).join(dealt(cut(keys)), "norm")
     best = F.min_by(F.struct("text", "label"), F.struct((-F.col("n")).alias("n"), "first")).alias("best")
     groups = rows.groupBy("component").agg(best, F.sum("n").alias("count"), F.array_sort(F.collect_list(F.struct("first", "text")))["text"].alias("texts"))
     return groups.select(F.col("best.text").alias("canonical"), F.col("best.label").alias("label"), F.array_remove("texts", F.col("best.text")).alias("aliases"), "count")

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lorekeel.session import cut
+from lorekeel.session import cut, dealt
 
 #: Code points of the pieces that containment is looked up by, the largest that a string reaches.
 GRAMS = [1, 2, 3, 8]
@@ -29,13 +29,13 @@ def ranked_words(names: DataFrame, word_list: str = "words", key: str = "key") -
     # written first: a join beside an aggregate on the same key could not be split where a word is hot
     often = each.groupBy("group", "word").agg(F.count(F.lit(1)).alias("often"))
     places = cut(often.repartitionByRange("often", "group", "word").sortWithinPartitions("often", "group", "word").select("group", "word", F.monotonically_increasing_id().alias("place")))
-    order = each.join(places, ["group", "word"]).groupBy("group", "id").agg(F.sort_array(F.collect_list("place")).alias("w"))
+    order = each.join(dealt(places), ["group", "word"]).groupBy("group", "id").agg(F.sort_array(F.collect_list("place")).alias("w"))
     return numbered.select("id", "key"), order.select("group", "id", "w", F.size("w").alias("n"))
 
 
 def _met(a: DataFrame, b: DataFrame, met: Column, k: Column) -> DataFrame:
     """(group, id_a, id_b, shared, n_a, n_b) of rows of heads that meet under a key, at the first ``k`` words that they share only, so once a pair."""
-    found = a.join(b, met).withColumn("both", F.array_intersect("w_a", "w_b"))
+    found = a.join(dealt(b), met).withColumn("both", F.array_intersect("w_a", "w_b"))
     found = found.where((F.slice("both", 1, k) == F.col("x_a")) & (F.col("x_a") == F.col("x_b")))
     return found.select(F.col("group_a").alias("group"), "id_a", "id_b", F.size("both").alias("shared"), "n_a", "n_b")
 
@@ -102,7 +102,7 @@ def _sharing_by_size(ranked: DataFrame, sizes: list[int], over: float, least: in
 def _named(pairs: DataFrame, numbered: DataFrame, *more: str) -> DataFrame:
     """(group, a, b, more): numbers as the names that they stand for, the lesser first."""
     of = lambda side: numbered.select(F.col("id").alias(f"id_{side}"), F.col("key").alias(f"key_{side}"))
-    both = pairs.join(of("a"), "id_a").join(of("b"), "id_b")
+    both = pairs.join(dealt(of("a")), "id_a").join(dealt(of("b")), "id_b")
     return both.select("group", F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"), *more)
 
 
@@ -124,7 +124,7 @@ def similar_pairs(names: DataFrame, over: float, least: int = 1, key: str = "key
     """
     numbered, ranked = ranked_words(names, key=key)
     if apart is not None:
-        ranked = ranked.join(numbered.select("id", F.col("key")[apart].alias("side")), "id")
+        ranked = ranked.join(dealt(numbered.select("id", F.col("key")[apart].alias("side"))), "id")
     ranked = cut(ranked)
     found = sorted(r["n"] for r in ranked.select(F.least("n", F.lit(BY_SIZE + 1)).alias("n")).distinct().collect())
     pairs = _sharing_by_size(ranked, [n for n in found if n <= BY_SIZE], over, least)
@@ -164,8 +164,8 @@ def containing_pairs(short: DataFrame, long: DataFrame) -> DataFrame:
     at = ["group", "size", "gram"]
     often = cut(pieces.groupBy(*at).agg(F.count(F.lit(1)).alias("often")))
     # a piece that no string of ``long`` has rules the string out, so it comes first
-    asked = own.join(often, at, "left").groupBy("group", "size", "inner_id").agg(F.min_by("gram", F.struct(F.coalesce("often", F.lit(0)).alias("n"), F.col("gram").alias("g"))).alias("gram"))
+    asked = own.join(dealt(often), at, "left").groupBy("group", "size", "inner_id").agg(F.min_by("gram", F.struct(F.coalesce("often", F.lit(0)).alias("n"), F.col("gram").alias("g"))).alias("gram"))
     # only numbers met so far; the strings of those that did are looked at once, and a pair meets at one piece only
-    met = asked.join(pieces, at).select("group", "inner_id", "outer_id")
-    both = met.join(inner.select("inner_id", "inner"), "inner_id").join(outer.select("outer_id", "outer"), "outer_id")
+    met = asked.join(dealt(pieces), at).select("group", "inner_id", "outer_id")
+    both = met.join(dealt(inner.select("inner_id", "inner")), "inner_id").join(dealt(outer.select("outer_id", "outer")), "outer_id")
     return both.where(F.contains("outer", "inner")).select("group", "inner", "outer")

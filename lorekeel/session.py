@@ -60,6 +60,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that deals both sides by key, whatever their sizes are held to be.
+
+    Spark guesses a table's size from its compressed files, and keeps that guess through a checkpoint and for rows that were exploded; a join that
+    trusts it may send hundreds of megabytes through the driver.
+    """
+    return df.hint("merge")
+
+
 def removed(spark: SparkSession, path: str) -> bool:
     """Delete a file or folder with all that is in it; whether it was there."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -395,3 +395,13 @@ def test_entities_and_members_are_those_of_the_candidates(spark):
     for r in members.collect():
         by.setdefault(r["candidate_id"], []).append(r["mention_id"])
     assert {i: len(x) for i, x in by.items()} == {i: sum(t is not None and ("Other" in t) == ("Other" in held[i]["canonical_name"]) for _, _, _, t, _ in rows) for i in held}
+
+
+def test_joins_of_names_trust_no_guessed_sizes(spark, tmp_path):
+    """Sizes guessed from compressed files are far below those of exploded rows, which must not pass through the driver."""
+    spark.range(3000).selectExpr("'t' as mention_type", "concat('name ', id % 50, ' of ', id) as text", "id as ordinal").write.parquet(str(tmp_path / "names"))
+    names = resolution.surfaces(spark.read.parquet(str(tmp_path / "names")))
+    edges = resolution.contained_pairs(names)
+    assert edges.count() > 0
+    joins = edges._jdf.queryExecution().sparkPlan().toString()
+    assert "Broadcast" not in joins and "SortMergeJoin" in joins
