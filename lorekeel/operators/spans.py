@@ -19,8 +19,13 @@ PART_CHARS = 64_000_000
 
 def valid_span(start, end, text) -> Column:
     """0 <= start < end <= length of the text."""
-    s, e = F.col(start), F.col(end)
-    return (s >= 0) & (s < e) & (e <= F.length(text))
+    return span_within(start, end, F.length(text))
+
+
+def span_within(start, end, length) -> Column:
+    """0 <= start < end <= a length, where a text's length goes on without the text."""
+    s, e, n = (F.col(x) if isinstance(x, str) else x for x in (start, end, length))
+    return (s >= 0) & (s < e) & (e <= n)
 
 
 def greedy(spans: Column) -> Column:

@@ -252,11 +252,12 @@ p AS (SELECT doc_id, pos, part, coalesce(sum(length(part) + 2) OVER (PARTITION B
 SELECT doc_id, count(*) AS n, count(*) FILTER (part <> '') AS n_valid FROM p GROUP BY doc_id""")
 def valid_spans(spark, d):
     """Sentences of documents as spans, and how many of them are valid."""
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("batch_id"), "text")
-    each = docs.select("batch_id", F.posexplode(F.split("text", r"\. ")).alias("pos", "part"), "text")
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("batch_id"), F.split("text", r"\. ").alias("parts"), F.length("text").alias("length"))
+    # sentences go on with the length of their text only, not with the text
+    each = docs.select("batch_id", F.posexplode(F.transform("parts", F.length)).alias("pos", "size"), "length")
     before = Window.partitionBy("batch_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    placed = each.withColumn("start", F.coalesce(F.sum(F.length("part") + 2).over(before), F.lit(0))).withColumn("end", F.col("start") + F.length("part"))
-    return placed.groupBy(F.col("batch_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("n"), F.count_if(spans.valid_span("start", "end", "text")).alias("n_valid"))
+    placed = each.withColumn("start", F.coalesce(F.sum(F.col("size") + 2).over(before), F.lit(0))).withColumn("end", F.col("start") + F.col("size"))
+    return placed.groupBy(F.col("batch_id").alias("doc_id")).agg(F.count(F.lit(1)).alias("n"), F.count_if(spans.span_within("start", "end", "length")).alias("n_valid"))
 
 
 @query()

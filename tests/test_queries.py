@@ -69,3 +69,10 @@ def test_chunks_against_the_splitter(spark, small):
 def test_entry_and_registration(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_spans_are_dealt_without_their_texts(spark, small):
+    node = registry.QUERIES["valid_spans"](spark, small)._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Window":
+        node = node.children().apply(0)
+    assert "size" in node.outputSet().toString() and "text" not in node.outputSet().toString()
