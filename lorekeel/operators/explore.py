@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lorekeel.functions.scalars import any_of, falsy, first_truthy, stripped
+from lorekeel.session import dealt, parts_for
 
 #: Qualifiers whose coverage is counted, and layers in their order.
 QUALIFIERS = ["time", "location", "condition", "manner", "purpose"]
@@ -143,9 +144,13 @@ def cooccurrence(mentions: DataFrame, targets: DataFrame | None = None, unit: st
     rows = mentions.select(F.col(unit).alias("u"), F.col(entity).alias("e")).where("e is not null")
     if targets is not None:
         rows = rows.join(targets.select(F.col(entity).alias("e")).distinct(), "e", "left_semi")
-    rows = rows.distinct()
+    # one row: how many pairs there can be, which says how many tasks they are worth
+    rows_of_units = rows.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+    most = rows_of_units.agg(F.sum(F.col("n") * (F.col("n") + 1) / 2)).first()[0] or 0
+    parts = parts_for(int(most))
+    rows = rows.repartition(parts, "u").distinct()
     a, b = rows.withColumnRenamed("e", "a"), rows.withColumnRenamed("e", "b")
-    return a.join(b, "u").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    return a.join(dealt(b), "u").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
 def first_by(rows: DataFrame, keys: list[str], order: list) -> DataFrame:

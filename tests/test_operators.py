@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -405,3 +406,18 @@ def test_joins_of_names_trust_no_guessed_sizes(spark, tmp_path):
     assert edges.count() > 0
     joins = edges._jdf.queryExecution().sparkPlan().toString()
     assert "Broadcast" not in joins and "SortMergeJoin" in joins
+
+
+def test_pairs_are_dealt_by_their_number(spark, monkeypatch):
+    """Units are dealt to as many tasks as there may be pairs for, which combine them before they move."""
+    monkeypatch.setattr(explore, "parts_for", lambda n: max(4, n // 500))
+    rng = random.Random(8)
+    rows = [(rng.randrange(400) if rng.random() < 0.98 else None, rng.randrange(30) if rng.random() < 0.98 else None) for _ in range(3000)]
+    expected = {}
+    for u in {u for u, _ in rows if u is not None}:
+        for a, b in itertools.combinations(sorted({e for v, e in rows if v == u and e is not None}), 2):
+            expected[a, b] = expected.get((a, b), 0) + 1
+    got = explore.cooccurrence(spark.createDataFrame(rows, "chunk_id int, entity int"))
+    assert {(r["a"], r["b"]): r["n"] for r in got.collect()} == expected
+    exchanges = re.findall(r"hashpartitioning\((\w+)#\d+, (\d+)\)", got._jdf.queryExecution().executedPlan().toString())
+    assert exchanges and all(int(n) > 10 for u, n in exchanges if u == "chunk_id" or u == "u")
