@@ -1,7 +1,7 @@
 """A trigram index of texts kept on disk: postings in buckets, extended by batches, looked up by the buckets of what is asked.
 
-A text that holds a pattern holds all its trigrams. A search reads the counts and then the postings of the pattern's rarest trigrams
-only, from the folders of their buckets, and looks at the texts of rows that have them all, so what it reads grows with what is asked and not
+A text that holds a pattern holds all its trigrams. A search reads the counts and then the postings of the pattern's rarest trigram
+only, from the folder of its bucket, and looks at the texts of rows that have it, so what it reads grows with what is asked and not
 with the table. Case is left aside.
 """
 
@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from lorekeel.session import cut
+from lorekeel.session import cut, dealt, parts_for
 
-#: Code points of a piece, folders that pieces and texts are dealt to, and pieces of a pattern that are looked up.
-GRAM, BUCKETS, LOOKED_UP = 3, 64, 4
+#: Code points of a piece, folders that pieces and texts are dealt to, and candidates for a folder up to which only those that are needed are read.
+GRAM, BUCKETS, FEW = 3, 64, 8
 
 
 def grams(text: Column) -> Column:
@@ -84,17 +84,23 @@ class TrigramIndex:
         # at most ``buckets`` numbers
         buckets = [r["bucket"] for r in each.select("bucket").distinct().collect()]
         counts = self._read("counts", folders, "gram string, n long, bucket int", buckets).groupBy("gram").agg(F.sum("n").alias("n"))
-        counted = each.join(counts, "gram", "left").select("pattern_id", "low", "bucket", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram").alias("g"))
-        rarest = counted.groupBy("pattern_id", "low").agg(F.slice(F.sort_array(F.collect_list("g")), 1, LOOKED_UP).alias("g"))
+        counted = each.join(counts, "gram", "left").select("pattern_id", "low", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram").alias("g"))
         # a piece that no text has rules the pattern out
-        rarest = rarest.where(F.col("g")[0]["n"] > 0).select("pattern_id", "low", F.size("g").alias("needed"), F.explode("g.gram").alias("gram"))
+        rarest = counted.groupBy("pattern_id", "low").agg(F.min("g").alias("g")).where("g.n > 0").select("pattern_id", "low", "g.gram", "g.n")
         rarest = cut(rarest.withColumn("bucket", self._bucket("gram")))
         buckets = [r["bucket"] for r in rarest.select("bucket").distinct().collect()]
+        candidates = rarest.agg(F.sum("n")).first()[0] or 0
         postings = self._read("postings", folders, f"id {self.id_type}, gram string, bucket int", buckets)
-        met = rarest.drop("bucket").join(postings.select("gram", "id"), "gram").groupBy("pattern_id", "low", "needed", "id").agg(F.count(F.lit(1)).alias("n")).where("n = needed")
-        met = cut(met.select("pattern_id", "low", "id").withColumn("bucket", self._bucket("id")))
-        buckets = [r["bucket"] for r in met.select("bucket").distinct().collect()]
-        found = met.drop("bucket").join(self._read("texts", folders, texts, buckets).drop("bucket"), "id").where(F.contains(F.lower("text"), F.col("low"))).select("pattern_id", "id")
+        met = rarest.drop("bucket", "n").join(postings.select("gram", "id"), "gram").select("pattern_id", "low", "id")
+        buckets = None
+        if candidates <= self.buckets * FEW:
+            met = cut(met.withColumn("bucket", self._bucket("id")))
+            buckets = [r["bucket"] for r in met.select("bucket").distinct().collect()]
+            met = met.drop("bucket")
+        # dealt by id to as many tasks as the candidates, of known number, are worth; a text is looked at where it lies
+        parts = parts_for(candidates)
+        held = self._read("texts", folders, texts, buckets).drop("bucket").repartition(parts, "id")
+        found = met.repartition(parts, "id").join(dealt(held), "id").where(F.contains(F.lower("text"), F.col("low"))).select("pattern_id", "id")
         short = asked.where(F.length("low") < GRAM)
         if not short.isEmpty():
             found = found.unionByName(self._read("texts", folders, texts).join(short, F.contains(F.lower("text"), F.col("low"))).select("pattern_id", "id"))

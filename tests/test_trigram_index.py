@@ -58,3 +58,18 @@ def test_only_the_folders_of_what_is_asked_are_read(spark, rows, tmp_path):
             if name.startswith("bucket=") and int(name.split("=")[1]) not in held:
                 shutil.rmtree(tmp_path / "i" / kind / folder / name)
     assert found(index, spark, asked) == [("i", 903)]
+
+
+def test_candidates_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    """Few trigrams and many patterns: candidates are no rows of a few buckets of counts, and repeated ids count once."""
+    from lorekeel.operators import trigram_index
+
+    monkeypatch.setattr(trigram_index, "parts_for", lambda n: max(4, n // 500))
+    rng = random.Random(3)
+    rows = [(k % 1900, "".join(rng.choice("ab") for _ in range(30))) for k in range(2000)]
+    asked = [(str(k), "".join(rng.choice("ab") for _ in range(7))) for k in range(40)]
+    index = TrigramIndex(spark, str(tmp_path / "i"), buckets=4)
+    index.add(spark.createDataFrame(rows, TEXTS), "b")
+    got = index.search(spark.createDataFrame(asked, ASKED))
+    assert sorted((r["pattern_id"], r["id"]) for r in got.collect()) == sorted(set(plain(rows, asked)))
+    assert got.rdd.getNumPartitions() > 20
