@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lorekeel.functions.scalars import MENTION_TYPES, alias_type, clamp01, falsy, h3_resolution, is_snake_case, is_wkt
+from lorekeel.session import dealt
 
 # What repairs an error of each code: action, and whether it can be applied without asking.
 REPAIRS = {
@@ -63,7 +64,7 @@ def mention_errors(mentions: DataFrame, texts: DataFrame) -> DataFrame:
     in_range = (s >= 0) & (s < e) & (e <= F.coalesce("_length", F.lit(0)))
     again = F.row_number().over(Window.partitionBy("batch_id", "span_start", "span_end").orderBy("pos")) > 1
     # texts come last, so that they are not dealt out with every mention
-    rows = mentions.withColumn("_again", again & s.isNotNull() & e.isNotNull()).join(source, "batch_id", "left")
+    rows = mentions.withColumn("_again", again & s.isNotNull() & e.isNotNull()).join(dealt(source), "batch_id", "left")
     kind = alias_type("mention_type")
     slice_ = F.call_function("substring", F.col("_source"), s + 1, e - s)
     rules = [
@@ -79,7 +80,7 @@ def mention_errors(mentions: DataFrame, texts: DataFrame) -> DataFrame:
         uneven = F.exists("evidence", lambda v: F.length(v["text"]) != v["span_end"] - v["span_start"])
         rules.append(rule(uneven, "EVIDENCE_LENGTH", at("mentions", "evidence"), "evidence is not as long as its span", warning=True))
     found = _errors(rows, rules, ["batch_id", "pos"])
-    empty = texts.join(mentions, "batch_id", "left_anti").select("batch_id", F.lit(None).cast("int").alias("pos"), F.lit("mentions").alias("path"), F.lit("EMPTY_EXTRACTION").alias("code"), F.lit("no mentions").alias("message"), F.lit(False).alias("is_warning"))
+    empty = texts.join(dealt(mentions.select("batch_id").distinct()), "batch_id", "left_anti").select("batch_id", F.lit(None).cast("int").alias("pos"), F.lit("mentions").alias("path"), F.lit("EMPTY_EXTRACTION").alias("code"), F.lit("no mentions").alias("message"), F.lit(False).alias("is_warning"))
     return found.unionByName(empty)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from lorekeel.operators import chunking, extraction, spans, validation
 from lorekeel.plans.base import query
 from lorekeel.plans.views import table
+from lorekeel.session import parts_for
 
 # --- mentions of whole texts: every word of every turn, some of them spoilt, a batch for each conversation ------
 
@@ -34,10 +35,16 @@ m AS (
 )"""
 
 
-def _sources(spark, d) -> DataFrame:
-    """(batch_id, text): the turns of each conversation in order, a blank between them."""
+#: Code points of a word with the blank after it, at the least that counts on average.
+_WORD = 4
+
+
+def _sources(spark, d) -> tuple[DataFrame, int]:
+    """(batch_id, text): the turns of each conversation in order, a blank between them; and how many tasks their words are worth, by which they are dealt."""
     turns = F.array_sort(F.collect_list(F.struct("turn", "text")))
-    return table(spark, d, "conversations").groupBy(F.col("conv_id").alias("batch_id")).agg(F.array_join(turns["text"], " ").alias("text"))
+    c = table(spark, d, "conversations").select(F.col("conv_id").alias("batch_id"), "turn", "text")
+    parts = parts_for((c.agg(F.sum(F.length("text"))).first()[0] or 0) // _WORD)
+    return c.repartition(parts, "batch_id").groupBy("batch_id").agg(F.array_join(turns["text"], " ").alias("text")), parts
 
 
 def _words(sources: DataFrame) -> DataFrame:
@@ -48,7 +55,7 @@ def _words(sources: DataFrame) -> DataFrame:
 
 
 def _mention_errors(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    texts = _sources(spark, d)
+    texts, parts = _sources(spark, d)
     p = _words(texts).where("batch_id % 10 <> 9")
     of = lambda n, k: F.col("pos") % n == k
     moved = F.when(of(29, 4), 1_000_000).otherwise(0)
@@ -57,7 +64,7 @@ def _mention_errors(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
         (F.col("start") + moved).alias("span_start"), (F.col("start") + F.length("word") + moved).alias("span_end"), (F.col("pos") % 23 / 20).alias("confidence"),
     )
     again = p.where(of(31, 7)).select("batch_id", (F.col("pos") + 1_000_000).alias("pos"), F.col("word").alias("text"), F.lit("ORG").alias("mention_type"), F.col("start").alias("span_start"), (F.col("start") + F.length("word")).alias("span_end"), F.lit(0.5).alias("confidence"))
-    items = spoilt.unionByName(again)
+    items = spoilt.unionByName(again).repartition(parts, "batch_id")
     return items, texts, validation.mention_errors(items, texts)
 
 

@@ -76,3 +76,12 @@ def test_spans_are_dealt_without_their_texts(spark, small):
     while node.nodeName() != "Window":
         node = node.children().apply(0)
     assert "size" in node.outputSet().toString() and "text" not in node.outputSet().toString()
+
+
+def test_mentions_are_dealt_by_their_number(spark, small, monkeypatch):
+    from lorekeel.plans import extraction_queries
+
+    items = lambda: extraction_queries._mention_errors(spark, small)[0].rdd.getNumPartitions()
+    assert items() >= 4
+    monkeypatch.setattr(extraction_queries, "parts_for", lambda n: max(4, n // 100))
+    assert items() > 20
