@@ -15,6 +15,8 @@ from lorekeel.session import cut
 
 #: Vectors in a block of a similarity join.
 BLOCK_ROWS = 2048
+#: Tasks at most that pairs of blocks are dealt to; with more pairs a task has several, one after another.
+MOST_TASKS = 20_000
 
 
 def top_k(vectors: DataFrame, query: list[float], k: int, threshold: float | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -93,7 +95,10 @@ def similar_vectors(vectors: DataFrame, over: float, id_col: str = "vec_id", vec
     sizes = cut(rows.groupBy("group").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block_rows)).cast("int").alias("blocks")))
     dealt = rows.join(sizes, "group").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    # one row; a task has about one pair of blocks, which small blocks would otherwise be put together in
+    pairs = sizes.agg(F.sum(F.col("blocks").cast("long") * (F.col("blocks") + 1) / 2)).first()[0] or 1
     spread = dealt.select("group", "id", "v", "own", other).withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    spread = spread.repartition(int(min(pairs, MOST_TASKS)), "group", "low", "high")
     kind = rows.schema["id"].dataType.simpleString()
 
     def products(frame: pd.DataFrame) -> pd.DataFrame:

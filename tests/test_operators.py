@@ -421,3 +421,14 @@ def test_pairs_are_dealt_by_their_number(spark, monkeypatch):
     assert {(r["a"], r["b"]): r["n"] for r in got.collect()} == expected
     exchanges = re.findall(r"hashpartitioning\((\w+)#\d+, (\d+)\)", got._jdf.queryExecution().executedPlan().toString())
     assert exchanges and all(int(n) > 10 for u, n in exchanges if u == "chunk_id" or u == "u")
+
+
+def test_pairs_of_blocks_are_dealt_to_tasks(spark):
+    rng = random.Random(4)
+    rows = [(k, k % 2, [rng.gauss(0, 1) for _ in range(3)]) for k in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = vectors.similar_vectors(df, 0.8, group_col="label", block_rows=20)
+    unit = {k: [x / sum(y * y for y in v) ** 0.5 for x in v] for k, _, v in rows}
+    expected = {(a, b) for a, b in itertools.combinations(range(200), 2) if a % 2 == b % 2 and sum(x * y for x, y in zip(unit[a], unit[b])) > 0.8}
+    assert {(r["a"], r["b"]) for r in got.collect()} == expected
+    assert got.rdd.getNumPartitions() == 30
