@@ -1,20 +1,77 @@
-"""Token ids of a word-level BPE vocabulary, with every distinct word of a slice of texts encoded once."""
+"""Token ids of a word-level BPE vocabulary, with every distinct part of the words of a slice of texts encoded once."""
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from lorekeel.llm.batches import text_slices, words_of
+from lorekeel.llm.batches import text_slices
 
-#: Words that a worker remembers; then it starts anew. This bounds memory and changes no result.
+#: Parts of words that a worker remembers; then it starts anew. This bounds memory and changes no result.
 REMEMBERED = 150_000
-#: Lower-case letters that normalisation leaves alone, between marks that never join a letter.
-_PLAIN = re.compile("([!-&(-/:;=?@\\[-`{}~]*)([a-zß-öø-ÿ]+)([!-&(-/:;=?@\\[-`{}~]*)")
+#: What the vocabulary's own splitting leaves whole: lower-case letters that normalisation leaves alone, marks that never join a letter, a digit.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+|[!-&(-/:-@\\[-`{-~]+|[0-9]")
+#: Kinds of bytes: what may need the library as a whole word, white space, letters, marks, digits.
+_OTHER, _SPACE, _LETTER, _MARK, _DIGIT = range(5)
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Each byte in lower case (white space: a blank), and its kind."""
+    low, kind = np.arange(256, dtype=np.uint8), np.zeros(256, np.uint8)
+    low[65:91] += 32
+    low[[*range(9, 14)]] = 32
+    kind[32] = _SPACE
+    kind[97:123] = _LETTER
+    kind[48:58] = _DIGIT
+    kind[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = _MARK
+    return low, kind
+
+
+_LOW, _KIND = _tables()
+
+
+def parts_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Parts of the words of each text (no null): starts (one more than texts), codes, the distinct parts.
+
+    Words of ASCII and Latin-1 letters, ASCII digits and marks but the apostrophe are split where the vocabulary splits
+    them, and are in lower case. Any other word is one part, as it stands: it is normalised before it is lower-cased.
+    """
+    texts = texts.cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data or b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    if not len(raw):
+        return np.zeros(len(bounds), np.int64), np.zeros(0, np.int64), pa.array([], pa.large_string())
+    low = _LOW[raw]
+    # of two bytes, the second after 0xC3: capitals 32 before their letters, without the signs of multiplication and division
+    second = np.flatnonzero(raw[:-1] == 0xC3) + 1
+    low[second] += ((raw[second] < 0x9F) & (raw[second] != 0x97)).astype(np.uint8) * 32
+    kind = _KIND[low]
+    letters = second[(low[second] >= 0x9F) & (low[second] != 0xB7)]
+    kind[letters] = kind[letters - 1] = _LETTER
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[bounds] = True
+    edge = edge[:-1]
+    if not kind.all():
+        space = kind == _SPACE
+        runs = edge.copy()
+        runs[1:] |= space[1:] != space[:-1]
+        runs = np.flatnonzero(runs)
+        whole = np.repeat(np.minimum.reduceat(kind, runs) == _OTHER, np.diff(runs, append=len(raw)))
+        kind[whole] = _OTHER
+        low[whole] = raw[whole]
+    edge[1:] |= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    at = np.flatnonzero(edge)
+    runs = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(raw)).astype(np.int64)), pa.py_buffer(low)).dictionary_encode()
+    words = kind[at] != _SPACE
+    codes = runs.indices.to_numpy(zero_copy_only=False)[words].astype(np.int64)
+    return np.searchsorted(at[words], bounds), codes, runs.dictionary
 
 
 def _byte_letters() -> str:
@@ -38,30 +95,23 @@ class WordEncoder:
         self.letters = _byte_letters()
 
     def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
+        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _part(self, part: str) -> bytes:
-        found = self.known.get(part)
-        if found is None:
-            raw = part.encode().decode("latin-1").translate(self.letters)
-            found = self.known[part] = np.array([t.id for t in self.tokenizer.model.tokenize(raw)], np.uint16).tobytes()
-        return found
-
-    def _word(self, word: str) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        if not plain:
-            return self._encode(word)
-        return b"".join(self._part(p) for p in plain.groups() if p)
-
-    def words(self, words: list[str]) -> list[bytes]:
-        """Little-endian 16-bit ids of words without ASCII white space or capitals."""
+        if not _PLAIN.fullmatch(part):
+            return self._encode(part)
+        raw = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        return array("H", [t.id for t in self.tokenizer.model.tokenize(raw)]).tobytes()
+
+    def parts(self, parts: list[str]) -> list[bytes]:
+        """Little-endian 16-bit ids of ``parts_of`` texts."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
         out, known = [], self.known
-        for w in words:
+        for w in parts:
             ids = known.get(w)
             if ids is None:
-                ids = known[w] = self._word(w)
+                ids = known[w] = self._part(w)
             out.append(ids)
         return out
 
@@ -74,11 +124,12 @@ class WordEncoder:
         """
         texts = pc.fill_null(texts, "")
         special = pc.match_substring(texts, "<|")
-        starts, codes, distinct = words_of(pc.if_else(special, "", texts), lower=True)
-        blobs = self.words(distinct.to_pylist())
+        starts, codes, distinct = parts_of(pc.if_else(special, "", texts))
+        # one string for all, as parts hold no line feed
+        listed = pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct.cast(pa.string()))
+        blobs = self.parts(pc.binary_join(listed, "\n")[0].as_py().split("\n")) if len(distinct) else []
         whole = np.flatnonzero(special.to_numpy(zero_copy_only=False))
         blobs += [self._encode(texts[int(i)].as_py()) for i in whole]
-        codes, starts = codes.astype(np.int64), starts.copy()
         if len(whole):
             codes = np.insert(codes, starts[whole], len(distinct) + np.arange(len(whole)))
             starts[1:] += np.cumsum(np.isin(np.arange(len(starts) - 1), whole))

@@ -65,6 +65,24 @@ def test_ids_agree_with_the_library(plain):
         assert ids[starts[k] : starts[k + 1]].tolist() == plain.encode(t or "", add_special_tokens=False).ids + [2], t
 
 
+def test_letters_that_compose_in_lower_case_only(plain):
+    import pyarrow as pa
+
+    # the library composes first and lowers then; of these, only the small letters compose
+    texts = ["H\u0331 h\u0331 J\u030c", "W\u030a!T\u0308'S", "\u00c9\u00d7\u00df\u00f7<\u00de|9\u00d1", "a<b>c|d", "\u00c9t\u00c9 x\u0301\x1cY"]
+    starts, ids = WordEncoder(VOCABULARY).encode(pa.array(texts), None)
+    for k, t in enumerate(texts):
+        assert ids[starts[k] : starts[k + 1]].tolist() == plain.encode(t, add_special_tokens=False).ids, t
+
+
+def test_words_share_their_parts(plain):
+    import pyarrow as pa
+
+    encoder = WordEncoder(VOCABULARY)
+    encoder.encode(pa.array(["tree tree. (tree) tree, TREE###"]), None)
+    assert sum("tree" in part for part in encoder.known) == 1
+
+
 def test_forgetting_words_changes_nothing(plain, monkeypatch):
     import lorekeel.llm.word_bpe as module
     import pyarrow as pa
