@@ -571,13 +571,16 @@ def histogram_quantiles(spark, d):
     return found.select("event_type", F.col("window_start").cast(_NTZ).alias("window_start"), "n", F.round("q0", 6).alias("p50"), F.round("q1", 6).alias("p99"))
 
 
-def _played(spark, d, root):
-    """Events as a stream of four files, one after another in time, and a last event long after, which closes all that is open."""
+def _played(spark, d, root, build):
+    """What ``build`` makes of events as a stream that comes in four parts, one after another in time, and a last event long after, which closes all that is open."""
     e = table(spark, d, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
-    for first, last in ((1, 8), (8, 16), (16, 24), (24, 32)):
-        e.where((F.dayofmonth("ts") >= first) & (F.dayofmonth("ts") < last)).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    e.limit(1).select(F.lit("none").alias("event_type"), F.lit("2030-01-01").cast("timestamp").alias("ts"), "value").coalesce(1).write.mode("append").parquet(f"{root}/in")
-    return metrics.timed(spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in"), late="1 hour")
+    last = e.limit(1).select(F.lit("none").alias("event_type"), F.lit("2030-01-01").cast("timestamp").alias("ts"), "value")
+    parts = [e.where((F.dayofmonth("ts") >= a) & (F.dayofmonth("ts") < b)) for a, b in ((1, 8), (8, 16), (16, 24), (24, 32))]
+    for part in (*parts, last):
+        # a part has as many files as tasks read the table, and is played to its end before the next one comes
+        part.write.mode("append").parquet(f"{root}/in")
+        metrics.run_to_end(build(metrics.timed(spark.readStream.schema(e.schema).parquet(f"{root}/in"), late="1 hour")), f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out")
 
 
 @query("""WITH l AS (SELECT event_type, ts, value, lag(value) OVER (PARTITION BY event_type ORDER BY ts, value) AS before FROM events),
@@ -586,9 +589,8 @@ SELECT event_type, window_start, round(sum(step), 4) AS increase FROM s GROUP BY
 def streamed_increase(spark, d):
     """Daily increases of counters with resets, on a stream whose state waits for the watermark."""
     with scratch(spark, "stream") as root, stateful.keyed_state(spark, 8):
-        found = stateful.counter_increase(_played(spark, d, root), ["event_type"], length="1 day")
-        metrics.run_to_end(found, f"{root}/out", f"{root}/checkpoint")
-        return cut(spark.read.parquet(f"{root}/out").select("event_type", F.col("window_start").cast(_NTZ).alias("window_start"), F.round("increase", 4).alias("increase")))
+        found = _played(spark, d, root, lambda s: stateful.counter_increase(s, ["event_type"], length="1 day"))
+        return cut(found.select("event_type", F.col("window_start").cast(_NTZ).alias("window_start"), F.round("increase", 4).alias("increase")))
 
 
 @query("""WITH m AS (SELECT event_type, ts, value > 5 AS h FROM events), r AS (SELECT *, sum(CASE WHEN h THEN 0 ELSE 1 END) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM m)
@@ -596,9 +598,8 @@ SELECT event_type, min(ts) AS since, max(ts) AS until, count(*) AS n FROM r WHER
 def streamed_runs(spark, d):
     """Runs of values above 5 for eight hours or longer, on a stream; the last ones end as nothing follows them."""
     with scratch(spark, "stream") as root, stateful.keyed_state(spark, 8):
-        found = stateful.sustained(_played(spark, d, root), ["event_type"], F.col("value") > 5, 8 * 3600, idle="30 days")
-        metrics.run_to_end(found, f"{root}/out", f"{root}/checkpoint")
-        return cut(spark.read.parquet(f"{root}/out").where("ended").select("event_type", *(F.col(c).cast(_NTZ).alias(c) for c in ("since", "until")), "n"))
+        found = _played(spark, d, root, lambda s: stateful.sustained(s, ["event_type"], F.col("value") > 5, 8 * 3600, idle="30 days"))
+        return cut(found.where("ended").select("event_type", *(F.col(c).cast(_NTZ).alias(c) for c in ("since", "until")), "n"))
 
 
 @query("""WITH r AS (SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, value, row_number() OVER (PARTITION BY time_bucket(INTERVAL '1 day', ts) ORDER BY value) AS k, count(*) OVER (PARTITION BY time_bucket(INTERVAL '1 day', ts)) AS n FROM events)

@@ -1,15 +1,17 @@
 """Stream operators with state and timers: counters with resets, conditions that last, keys seen before.
 
 Samples wait in the state of their key until the watermark has passed them, then are taken in the order of their
-times, so late and unordered ones count where they belong. A key holds its waiting samples, one last sample and its open window or run; a key idle
-for ``idle`` is forgotten, if that is given. Results agree with the batch functions of ``metrics`` as far as the watermark has come.
+times, so late and unordered ones count where they belong. A key holds its waiting samples, an hour of them together, one last sample and its open window or run; a key idle
+for ``idle`` is forgotten, if that is given. Samples go into state and out of it as arrays, and a task has those of one key and hour at once. Results agree with the batch functions of ``metrics`` as far as the watermark has come.
 """
 
 from __future__ import annotations
 
 import contextlib
+import itertools
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,10 @@ from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import StructType
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: A sample as it waits, the span of times that waits as one entry of the state, and the samples that a task collects before it writes them there.
+_SAMPLE = np.dtype([("us", "<i8"), ("x", "<f8")])
+_SPAN_US = 3_600_000_000
+_COLLECTED = 1 << 18
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -47,44 +53,76 @@ class _Ordered(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "ts long, x double")
+        # by hour, first time and a number of its own
+        self.waiting = handle.getMapState("waiting", "hour long, first long, place long", "samples binary")
         self.memory = handle.getValueState("memory", self.state)
         self.timer = handle.getValueState("timer", "at long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        names, fresh = self._names(), []
         for frame in rows:
-            if len(frame):
-                # whole microseconds since 1970, as the sender cast them
-                self.waiting.appendList(list(zip(frame["us"].astype("int64").tolist(), frame["x"].astype(float).tolist())))
-        yield from self._advance(key, timerValues.getCurrentWatermarkInMs())
+            samples = np.empty(len(frame), _SAMPLE)
+            # whole microseconds since 1970, as the sender cast them
+            samples["us"], samples["x"] = frame["us"].astype("int64"), frame["x"].astype(float)
+            fresh.append(samples)
+            if sum(map(len, fresh)) >= _COLLECTED:
+                self._keep(np.concatenate(fresh), names)
+                fresh = []
+        if fresh:
+            self._keep(np.concatenate(fresh), names)
+        yield from self._advance(key, timerValues.getCurrentWatermarkInMs(), names)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
         self.timer.clear()
-        yield from self._advance(key, mark)
-
-    def _advance(self, key, mark_ms: int) -> Iterator[pd.DataFrame]:
-        waiting = sorted(self.waiting.get()) if self.waiting.exists() else []
-        due = [s for s in waiting if s[0] <= mark_ms * 1000]
+        yield from self._advance(key, mark, self._names())
+
+    def _names(self) -> list[tuple[int, int, int]]:
+        return [tuple(name) for name in self.waiting.keys()] if self.waiting.exists() else []
+
+    def _keep(self, samples: np.ndarray, names: list) -> None:
+        """Let samples wait, and add what they wait under to ``names``."""
+        place = 1 + max((name[2] for name in names), default=-1)
+        samples = samples[np.argsort(samples["us"], kind="stable")]
+        hours = samples["us"] // _SPAN_US
+        for part in np.split(samples, np.flatnonzero(np.diff(hours)) + 1):
+            if len(part):
+                name = (int(part["us"][0] // _SPAN_US), int(part["us"][0]), place)
+                self.waiting.updateValue(name, (part.tobytes(),))
+                names.append(name)
+
+    def _advance(self, key, mark_ms: int, names: list) -> Iterator[pd.DataFrame]:
+        mark = mark_ms * 1000
         memory = self.memory.get() if self.memory.exists() else None
-        out, memory = self.take(due, memory, mark_ms * 1000)
-        if due:
-            rest = waiting[len(due) :]
-            self.waiting.put(rest) if rest else self.waiting.clear()
-            waiting = rest
-        forget = memory is not None and not waiting and self.apart(memory, mark_ms * 1000)
+        out, left = [], []
+        for _, group in itertools.groupby(sorted(names), key=lambda name: name[0]):
+            mine = list(group)
+            if mine[0][1] > mark:
+                left += mine
+                continue
+            samples = np.concatenate([np.frombuffer(self.waiting.getValue(name)[0], _SAMPLE) for name in mine])
+            samples = samples[np.lexsort((samples["x"], samples["us"]))]
+            due = int(np.searchsorted(samples["us"], mark, "right"))
+            found, memory = self.take(samples["us"][:due], samples["x"][:due], memory)
+            out += found
+            for name in mine:
+                self.waiting.removeKey(name)
+            self._keep(samples[due:], left)
+        found, memory = self.settle(memory, mark)
+        out += found
+        forget = memory is not None and not left and self.forgotten(memory, mark)
         if memory is not None and not forget:
             self.memory.update(memory)
         elif self.memory.exists():
             self.memory.clear()
-        self._wake(waiting, None if forget else memory, mark_ms)
+        self._wake(left, None if forget else memory, mark_ms)
         if out:
             yield pd.DataFrame([(*key, *row) for row in out], columns=[*self.keys, *self.columns])
 
-    def _wake(self, waiting: list, memory: tuple | None, mark_ms: int) -> None:
+    def _wake(self, names: list, memory: tuple | None, mark_ms: int) -> None:
         """One timer a key: for its first waiting sample, or what it remembers."""
-        if waiting:
-            at = -(-waiting[0][0] // 1000)
+        if names:
+            at = -(-min(name[1] for name in names) // 1000)
         elif memory is not None and (due := self.due(memory)) is not None:
             at = -(-due // 1000)
         else:
@@ -104,6 +142,14 @@ class _Ordered(StatefulProcessor):
         """Whether the key was idle from what it remembers up to a time."""
         return self.idle_ms is not None and memory[0] + self.idle_ms * 1000 <= us
 
+    def gaps(self, us: np.ndarray, memory: tuple | None) -> np.ndarray:
+        """Whether the key was idle before each sample; not before its first."""
+        before = np.append(us[0] if memory is None else memory[0], us[:-1])
+        return np.zeros(len(us), bool) if self.idle_ms is None else (us - before >= self.idle_ms * 1000) & ((memory is not None) | (np.arange(len(us)) > 0))
+
+    def forgotten(self, memory: tuple, us: int) -> bool:
+        return self.apart(memory, us)
+
     def due(self, memory: tuple) -> int | None:
         """When something is to be given out, or forgotten, though no sample comes."""
         return None if self.idle_ms is None else memory[0] + self.idle_ms * 1000
@@ -121,24 +167,32 @@ class _Increases(_Ordered):
         super().__init__(keys, idle_ms)
         self.length_us = length_us
 
-    def take(self, due: list, memory: tuple | None, mark_us: int) -> tuple[list, tuple | None]:
-        out = []
-        for ts, value in due:
-            if memory is not None and self.apart(memory, ts):
-                if memory[4]:
-                    out.append((memory[2], memory[3]))
-                memory = None
-            window = ts // self.length_us * self.length_us
-            step = 0.0 if memory is None else value if value < memory[1] else value - memory[1]
-            if memory is not None and memory[4] and memory[2] == window:
-                step += memory[3]
-            elif memory is not None and memory[4]:
-                out.append((memory[2], memory[3]))
-            memory = (ts, value, window, step, True)
-        if memory is not None and memory[4] and memory[2] + self.length_us <= mark_us:
-            out.append((memory[2], memory[3]))
-            memory = (*memory[:4], False)
-        return out, memory
+    def take(self, us: np.ndarray, x: np.ndarray, memory: tuple | None) -> tuple[list, tuple | None]:
+        if not len(us):
+            return [], memory
+        before = np.append(x[0] if memory is None else memory[1], x[:-1])
+        with np.errstate(invalid="ignore"):
+            step = np.where(x < before, x, x - before)
+        step[self.gaps(us, memory)] = 0.0
+        if memory is None:
+            step[0] = 0.0
+        window = us // self.length_us * self.length_us
+        first = np.flatnonzero(np.append(True, np.diff(window) != 0))
+        sums = list(zip(window[first].tolist(), np.add.reduceat(step, first).tolist()))
+        if memory is not None and memory[4]:
+            if memory[2] == sums[0][0]:
+                sums[0] = (memory[2], memory[3] + sums[0][1])
+            else:
+                sums.insert(0, (memory[2], memory[3]))
+        return sums[:-1], (int(us[-1]), float(x[-1]), *sums[-1], True)
+
+    def settle(self, memory: tuple | None, mark_us: int) -> tuple[list, tuple | None]:
+        if memory is None or not memory[4] or memory[2] + self.length_us > mark_us:
+            return [], memory
+        return [(memory[2], memory[3])], (*memory[:4], False)
+
+    def forgotten(self, memory: tuple, us: int) -> bool:
+        return not memory[4] and self.apart(memory, us)
 
     def due(self, memory: tuple) -> int | None:
         return memory[2] + self.length_us if memory[4] else super().due(memory)
@@ -153,25 +207,35 @@ class _Runs(_Ordered):
         super().__init__(keys, idle_ms)
         self.least_us = seconds * 1_000_000
 
-    def take(self, due: list, memory: tuple | None, mark_us: int) -> tuple[list, tuple | None]:
+    def take(self, us: np.ndarray, x: np.ndarray, memory: tuple | None) -> tuple[list, tuple | None]:
+        if not len(us):
+            return [], memory
+        holds, gap = x != 0, self.gaps(us, memory)
+        broken = ~holds | gap
         out = []
-        for ts, holds in due:
-            if not holds or memory is not None and self.apart(memory, ts):
-                if memory is not None and memory[3]:
-                    out.append((memory[1], memory[0], memory[2], True))
-                memory = None
-            if not holds:
-                continue
-            memory = (ts, ts, 1, False) if memory is None else (ts, memory[1], memory[2] + 1, memory[3])
-            if not memory[3] and ts - memory[1] >= self.least_us:
-                out.append((memory[1], ts, memory[2], False))
-                memory = (*memory[:3], True)
+        # a run that goes on has its start, its length so far and whether it was told from before
+        goes_on = memory is not None and not broken[0]
+        if memory is not None and not goes_on and memory[3]:
+            out.append((memory[1], memory[0], memory[2], True))
+        first = np.flatnonzero(holds & (gap | ~np.append(goes_on, holds[:-1])))
+        last = np.flatnonzero(holds & np.append(broken[1:], True))
+        since, n_before, told = us[first], np.zeros(len(first), np.int64), np.zeros(len(first), bool)
+        if goes_on:
+            first, since, n_before, told = np.append(0, first), np.append(memory[1], since), np.append(memory[2], n_before), np.append(memory[3], told)
+        enough = np.maximum(np.searchsorted(us, since + self.least_us), first)
+        lasting, open_run = told | (enough <= last), holds[-1]
+        for k in np.flatnonzero(lasting).tolist():
+            if not told[k]:
+                out.append((int(since[k]), int(us[enough[k]]), int(n_before[k] + enough[k] - first[k] + 1), False))
+            if k + 1 < len(first) or not open_run:
+                out.append((int(since[k]), int(us[last[k]]), int(n_before[k] + last[k] - first[k] + 1), True))
+        return out, (int(us[-1]), int(since[-1]), int(n_before[-1] + last[-1] - first[-1] + 1), bool(lasting[-1])) if open_run else None
+
+    def settle(self, memory: tuple | None, mark_us: int) -> tuple[list, tuple | None]:
         # a run that no sample follows any more has ended
         if memory is not None and memory[3] and self.apart(memory, mark_us):
-            out.append((memory[1], memory[0], memory[2], True))
-            memory = None
-        return out, memory
-
+            return [(memory[1], memory[0], memory[2], True)], None
+        return [], memory
 
 def _milliseconds(duration: str | None) -> int | None:
     return None if duration is None else int(pd.Timedelta(duration).value // 1_000_000)

@@ -1,6 +1,8 @@
 import datetime
 import random
+import types
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +88,76 @@ def test_the_sessions_own_setting_comes_back(spark):
     with stateful.keyed_state(spark, 3):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
+
+
+class Held:
+    """State of one key in memory, with the calls of Spark's map, list and value states that are used."""
+
+    def __init__(self, entries):
+        self.entries, self.getMapState, self.getListState, self.getValueState = entries, self.named, self.named, self.named
+
+    def named(self, name, *_):
+        return Held(self.entries.setdefault(name, {}))
+
+    def exists(self):
+        return bool(self.entries)
+
+    def keys(self):
+        return iter(list(self.entries))
+
+    def getValue(self, key):
+        return self.entries[key]
+
+    def updateValue(self, key, value):
+        self.entries[key] = value
+
+    def removeKey(self, key):
+        del self.entries[key]
+
+    def get(self):
+        return self.entries.get(0) or iter(self.entries.values())
+
+    def update(self, value):
+        self.entries[0] = value
+
+    def appendList(self, values):
+        self.entries |= {k: v for k, v in enumerate(values, len(self.entries) + 1)}
+
+    def put(self, values):
+        self.entries.clear()
+        self.appendList(values)
+
+    def clear(self):
+        self.entries.clear()
+
+    def registerTimer(self, at):
+        pass
+
+    deleteTimer = registerTimer
+
+
+def fed(processor, batches):
+    """Rows given out for (seconds and values, watermark in seconds), and the most entries that waited."""
+    entries, out, most = {}, [], 0
+    processor.init(Held(entries))
+    for samples, mark in batches:
+        frame = pd.DataFrame({"us": [int(t * 1_000_000) for t, _ in samples], "x": [float(x) for _, x in samples]})
+        marks = types.SimpleNamespace(getCurrentWatermarkInMs=lambda: mark * 1000)
+        for found in processor.handleInputRows(("k",), iter([frame]), marks):
+            out += found.itertuples(index=False, name=None)
+        most = max(most, len(entries["waiting"]))
+    return out, most
+
+
+@pytest.mark.parametrize("processor", [stateful._Increases(["k"], None, 3_600_000_000), stateful._Runs(["k"], 7_200_000, 600)])
+def test_samples_wait_by_the_hour(processor):
+    samples = [(t, 1 + t % 7) for t in range(10_000)]
+    out, most = fed(processor, [(samples[::2], 0), (samples[1::2], 0), ([], 5000), ([], 20_000)])
+    assert most <= 6
+    plain, _ = fed(type(processor)(["k"], processor.idle_ms, getattr(processor, "length_us", 600)), [(samples, 20_000)])
+    assert sorted(out) == sorted(plain) and len(out) >= 2
+
+
+def test_a_window_that_a_key_was_idle_in_is_one_row():
+    out, _ = fed(stateful._Increases(["k"], 60_000, 300_000_000), [([(0, 1), (10, 3), (200, 10), (210, 14)], 0), ([], 250), ([], 400)])
+    assert out == [("k", 0, 6.0)]
