@@ -48,11 +48,17 @@ def best_of_block(k: int, query_block: int = 512) -> Callable[[pd.DataFrame], pd
             u, v = (units(np.stack(x["v"].to_numpy())) for x in (mine, held))
             q, ids = mine["id"].to_numpy(), held["id"].to_numpy()
             for at in range(0, len(u), query_block):
-                score = u[at : at + query_block] @ v.T
-                # rows are in the order of their ids, which a stable sort keeps among equals
-                top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-                n = top.shape[1]
-                out.append(pd.DataFrame({"query_id": np.repeat(q[at : at + query_block], n), "id": ids[top].ravel(), "score": np.take_along_axis(score, top, 1).ravel()}))
+                far = u[at : at + query_block] @ v.T
+                np.negative(far, out=far)
+                n = min(k, len(ids))
+                # all that are no farther than the last of the closest, ties and all; only those are put in order
+                least = np.partition(far, n - 1, axis=1)[:, n - 1 : n]
+                i, j = np.nonzero(~(far > least))
+                near = far[i, j]
+                # rows are in the order of their ids, which decides among equals
+                order = np.lexsort((j, near, i))
+                order = order[np.arange(len(order)) - np.searchsorted(i, i) < n]
+                out.append(pd.DataFrame({"query_id": q[at : at + query_block][i[order]], "id": ids[j[order]], "score": -near[order]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "id": [], "score": []})
 
     return best

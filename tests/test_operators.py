@@ -2,6 +2,8 @@ import itertools
 import random
 import re
 
+import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -432,3 +434,22 @@ def test_pairs_of_blocks_are_dealt_to_tasks(spark):
     expected = {(a, b) for a, b in itertools.combinations(range(200), 2) if a % 2 == b % 2 and sum(x * y for x, y in zip(unit[a], unit[b])) > 0.8}
     assert {(r["a"], r["b"]) for r in got.collect()} == expected
     assert got.rdd.getNumPartitions() == 30
+
+
+def test_block_searches_make_no_order_of_all_rows():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    rows = rng.integers(-1, 2, (4000, 3)).astype(np.float32)
+    rows[7] = np.nan
+    v = np.concatenate([rows[:500], rows])
+    frame = pd.DataFrame({"id": [*range(500), *range(4000)], "v": list(v), "asks": [True] * 500 + [False] * 4000})
+    tracemalloc.start()
+    got = vectors.best_of_block(30)(frame)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    u = vectors.units(rows)
+    top = np.argsort(-(u[:500] @ u.T), axis=1, kind="stable")[:, :30]
+    assert got["id"].tolist() == top.ravel().tolist() and got["query_id"].tolist() == np.repeat(np.arange(500), 30).tolist()
+    # two matrices of the product and what is small beside them; three with an order of all rows
+    assert peak < 2.7 * 500 * 4000 * 8
